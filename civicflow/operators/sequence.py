@@ -16,9 +16,14 @@ from pyspark.sql import functions as F
 DEFAULT_BUCKET_MS = 3_600_000
 
 
+def floor_div(c, n: int):
+    """Exact integer floor division of a long column (also for negatives)."""
+    return ((c - F.pmod(c, F.lit(n))) / F.lit(n)).cast("long")
+
+
 def with_lookback(
     df: DataFrame,
-    key: str,
+    key: str | list[str],
     t: str,
     seq: str,
     cols: list[str],
@@ -26,10 +31,11 @@ def with_lookback(
     bucket_ms: int = DEFAULT_BUCKET_MS,
 ) -> DataFrame:
     """Add ``{c}_lag{k}`` for ``k`` in 1..n and ``_has_lag{k}`` (row exists)."""
-    b = df.withColumn("_bkt", F.floor(F.col(t) / F.lit(bucket_ms)).cast("long"))
-    carry = [key, "_bkt", t, seq, *cols]
+    keys = [key] if isinstance(key, str) else list(key)
+    b = df.withColumn("_bkt", floor_div(F.col(t), bucket_ms))
+    carry = [*keys, "_bkt", t, seq, *cols]
 
-    newest = Window.partitionBy(key, "_bkt").orderBy(F.col(t).desc(), F.col(seq).desc())
+    newest = Window.partitionBy(*keys, "_bkt").orderBy(F.col(t).desc(), F.col(seq).desc())
     tails = (
         b.select(*carry)
         .withColumn("_rn", F.row_number().over(newest))
@@ -38,19 +44,19 @@ def with_lookback(
         .withColumnRenamed("_bkt", "_src")
     )
 
-    by_bucket = Window.partitionBy(key).orderBy("_bkt")
-    buckets = b.select(key, "_bkt").distinct()
+    by_bucket = Window.partitionBy(*keys).orderBy("_bkt")
+    buckets = b.select(*keys, "_bkt").distinct()
     sources = (
         buckets.select(
-            key, "_bkt",
+            *keys, "_bkt",
             F.array(*[F.lag("_bkt", j).over(by_bucket) for j in range(1, n + 1)]).alias("_prev"),
         )
-        .select(key, "_bkt", F.explode("_prev").alias("_src"))
+        .select(*keys, "_bkt", F.explode("_prev").alias("_src"))
         .filter(F.col("_src").isNotNull())
     )
 
     context = (
-        sources.join(tails, [key, "_src"])
+        sources.join(tails, [*keys, "_src"])
         .drop("_src")
         .withColumn("_ctx", F.lit(True))
     )
@@ -59,7 +65,7 @@ def with_lookback(
     context = context.select(*context.columns, *[F.lit(None).cast(own.schema[c].dataType).alias(c) for c in extra])
     both = own.unionByName(context)
 
-    w = Window.partitionBy(key, "_bkt").orderBy(F.col(t), F.col(seq))
+    w = Window.partitionBy(*keys, "_bkt").orderBy(F.col(t), F.col(seq))
     lags = []
     for k in range(1, n + 1):
         lags.append(F.lag(F.lit(True), k, False).over(w).alias(f"_has_lag{k}"))
@@ -69,7 +75,7 @@ def with_lookback(
 
 def with_lookahead(
     df: DataFrame,
-    key: str,
+    key: str | list[str],
     t: str,
     seq: str,
     cols: list[str],

@@ -201,4 +201,55 @@ QUERIES = {
     "latest_positions": q_latest_positions,
 }
 
-FLAGSHIP = q_aqi_emergency
+
+# -- step 5: proximity ----------------------------------------------------------
+
+def q_near_pair_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from civicflow.operators import proximity as P
+
+    (bus,) = _views(spark, sf_dir, "bus_gps")
+    pings = P.prepare_pings(bus)
+    max_t = pings.agg(F.max("t_ms")).first()[0]
+    seg = P.segments(pings)
+    near = P.near_observations(pings, seg, last_bucket=int(max_t) // P.BUNCHING_HOLD_MS)
+    return near.select("route_id", "lo", "hi", "t_ms", "seq", F.round("distance", 3).alias("distance"))
+
+
+def q_bus_bunching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from civicflow.operators import proximity as P
+
+    (bus,) = _views(spark, sf_dir, "bus_gps")
+    return P.bus_bunching(bus).select(*ALERT_OUT)
+
+
+QUERIES["near_pair_observations"] = q_near_pair_observations
+QUERIES["bus_bunching"] = q_bus_bunching
+
+
+# -- flagship: the incident feed --------------------------------------------------
+
+def q_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AQI emergencies + gridlock + bus bunching, unioned (bag semantics)."""
+    from civicflow.operators import proximity as P
+
+    aqi, traffic, bus = _views(spark, sf_dir, "air_quality", "traffic_signals", "bus_gps")
+    feed = incidents.union_alerts(
+        incidents.aqi_emergency(aqi), incidents.gridlock(traffic), P.bus_bunching(bus)
+    )
+    return feed.select(*ALERT_OUT)
+
+
+def q_incident_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incident topic payload (camelCase JSON, nulls kept), read back by field."""
+    feed = q_incidents(spark, sf_dir).withColumn("detectedAtMillis", F.lit(0).cast("long"))
+    v = incidents.alerts_json(feed).select("value")
+    fields = ["incidentType", "entityId", "zone", "description", "sourceTimestamp"]
+    return v.select(
+        *[F.get_json_object("value", f"$.{f}").alias(f) for f in fields],
+        F.get_json_object("value", "$.detectedAtMillis").cast("long").alias("detectedAtMillis"),
+    )
+
+
+QUERIES["incidents"] = q_incidents
+QUERIES["incident_json"] = q_incident_json
+FLAGSHIP = q_incidents

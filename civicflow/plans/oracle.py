@@ -69,8 +69,9 @@ WITH ev AS (
 TS = "'%Y-%m-%d %H:%M:%S'"
 
 
-def _q(body: str) -> str:
-    return PRELUDE + body
+def _q(body: str, recursive: bool = False) -> str:
+    pre = PRELUDE.replace("WITH ev AS", "WITH RECURSIVE ev AS", 1) if recursive else PRELUDE
+    return pre + body
 
 
 WARD_ENERGY = _q(f"""
@@ -211,3 +212,111 @@ ORACLE = {
     "gridlock": GRIDLOCK,
     "latest_positions": LATEST_POSITIONS,
 }
+
+
+_BUS_OBS = """
+pings AS (
+  SELECT route_id, bus_id, seq, t_ms, coalesce(lat, 0.0) AS lat, coalesce(lon, 0.0) AS lon, ts_iso
+  FROM bus_gps
+), pairs AS (
+  SELECT a.route_id, a.bus_id AS lo, b.bus_id AS hi
+  FROM (SELECT DISTINCT route_id, bus_id FROM pings) a
+  JOIN (SELECT DISTINCT route_id, bus_id FROM pings) b ON a.route_id = b.route_id AND a.bus_id < b.bus_id
+), pp AS (
+  SELECT p.route_id, p.lo, p.hi, x.t_ms, x.seq, x.bus_id, x.lat, x.lon
+  FROM pairs p JOIN pings x ON x.route_id = p.route_id AND x.bus_id = p.lo
+  UNION ALL
+  SELECT p.route_id, p.lo, p.hi, x.t_ms, x.seq, x.bus_id, x.lat, x.lon
+  FROM pairs p JOIN pings x ON x.route_id = p.route_id AND x.bus_id = p.hi
+), filled AS (
+  SELECT route_id, lo, hi, t_ms, seq,
+    last_value(CASE WHEN bus_id = lo THEN lat END IGNORE NULLS) OVER w AS lo_lat,
+    last_value(CASE WHEN bus_id = lo THEN lon END IGNORE NULLS) OVER w AS lo_lon,
+    last_value(CASE WHEN bus_id = hi THEN lat END IGNORE NULLS) OVER w AS hi_lat,
+    last_value(CASE WHEN bus_id = hi THEN lon END IGNORE NULLS) OVER w AS hi_lon
+  FROM pp
+  WINDOW w AS (PARTITION BY route_id, lo, hi ORDER BY t_ms, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), hv AS (
+  SELECT route_id, lo, hi, t_ms, seq,
+         pow(sin(radians(hi_lat - lo_lat) / 2), 2)
+           + cos(radians(lo_lat)) * cos(radians(hi_lat)) * pow(sin(radians(hi_lon - lo_lon) / 2), 2) AS a
+  FROM filled WHERE lo_lat IS NOT NULL AND hi_lat IS NOT NULL
+), obs AS (
+  SELECT route_id, lo, hi, t_ms, seq,
+         CASE WHEN a >= 0 AND a <= 1 THEN 6371000.0 * 2 * atan2(sqrt(a), sqrt(1 - a)) END AS distance
+  FROM hv
+)"""
+
+NEAR_PAIR_OBSERVATIONS = _q(f""", {_BUS_OBS.strip()}
+SELECT route_id, lo, hi, t_ms, seq, round(distance, 3) AS distance
+FROM obs WHERE distance < 200
+""")
+
+BUS_BUNCHING = _q(f""", {_BUS_OBS.strip()}
+, isl AS (
+  SELECT *, coalesce(distance < 200, false) AS near,
+         sum(CASE WHEN coalesce(distance < 200, false) THEN 0 ELSE 1 END)
+           OVER (PARTITION BY route_id, lo, hi ORDER BY t_ms, seq ROWS UNBOUNDED PRECEDING) AS island
+  FROM obs
+), closes AS (
+  SELECT route_id, lo, hi, island - 1 AS island, min(t_ms) AS close_t
+  FROM isl WHERE NOT near GROUP BY route_id, lo, hi, island
+), nearobs AS (
+  SELECT route_id, lo, hi, island, t_ms FROM isl WHERE near
+), nxt AS (
+  SELECT DISTINCT route_id, lo, hi, island, t_ms,
+         min(t_ms) OVER (PARTITION BY route_id, lo, hi, island ORDER BY t_ms
+                         RANGE BETWEEN 300001 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_start
+  FROM nearobs
+), chain AS (
+  SELECT route_id, lo, hi, island, min(t_ms) AS s FROM nearobs GROUP BY route_id, lo, hi, island
+  UNION ALL
+  SELECT c.route_id, c.lo, c.hi, c.island, n.next_start
+  FROM chain c JOIN nxt n
+    ON n.route_id = c.route_id AND n.lo = c.lo AND n.hi = c.hi AND n.island = c.island AND n.t_ms = c.s
+  WHERE n.next_start IS NOT NULL
+), deadlines AS (
+  SELECT c.route_id, c.lo, c.hi, c.s + 300000 AS deadline
+  FROM chain c LEFT JOIN closes k
+    ON k.route_id = c.route_id AND k.lo = c.lo AND k.hi = c.hi AND k.island = c.island
+  WHERE (k.close_t IS NULL OR k.close_t > c.s + 300000)
+    AND c.s + 300000 <= (SELECT max(t_ms) FROM bus_gps) - 10001
+), at_a AS (
+  SELECT d.*, p.lat AS a_lat, p.lon AS a_lon, p.ts_iso AS a_ts,
+         row_number() OVER (PARTITION BY d.route_id, d.lo, d.hi, d.deadline ORDER BY p.t_ms DESC, p.seq DESC) AS rn
+  FROM deadlines d JOIN pings p ON p.route_id = d.route_id AND p.bus_id = d.lo AND p.t_ms <= d.deadline
+), at_b AS (
+  SELECT d.route_id, d.lo, d.hi, d.deadline, p.lat AS b_lat, p.lon AS b_lon,
+         row_number() OVER (PARTITION BY d.route_id, d.lo, d.hi, d.deadline ORDER BY p.t_ms DESC, p.seq DESC) AS rn
+  FROM deadlines d JOIN pings p ON p.route_id = d.route_id AND p.bus_id = d.hi AND p.t_ms <= d.deadline
+), fired AS (
+  SELECT a.route_id, a.lo, a.hi, a.deadline, a.a_ts,
+         6371000.0 * 2 * atan2(sqrt(h), sqrt(1 - h)) AS distance
+  FROM (SELECT a.*, b.b_lat, b.b_lon,
+               pow(sin(radians(b.b_lat - a.a_lat) / 2), 2)
+                 + cos(radians(a.a_lat)) * cos(radians(b.b_lat)) * pow(sin(radians(b.b_lon - a.a_lon) / 2), 2) AS h
+        FROM at_a a JOIN at_b b
+          ON a.route_id = b.route_id AND a.lo = b.lo AND a.hi = b.hi AND a.deadline = b.deadline
+        WHERE a.rn = 1 AND b.rn = 1) a
+)
+SELECT 'BUS_BUNCHING' AS "incidentType", lo || ':' || hi AS "entityId", '' AS zone,
+       printf('Buses %s and %s on route %s within %.0fm for over 5 minutes', lo, hi, route_id, distance)
+         AS description,
+       a_ts AS "sourceTimestamp", deadline AS t_ms
+FROM fired
+""", recursive=True)
+
+ORACLE["near_pair_observations"] = NEAR_PAIR_OBSERVATIONS
+ORACLE["bus_bunching"] = BUS_BUNCHING
+
+
+# The feed: the three detector queries (each with its own CTEs) unioned.
+INCIDENTS = "\nUNION ALL\n".join(
+    f"SELECT * FROM ({q}) d{i}" for i, q in enumerate((AQI_EMERGENCY, GRIDLOCK, BUS_BUNCHING))
+)
+INCIDENT_JSON = (
+    'SELECT "incidentType", "entityId", zone, description, "sourceTimestamp", '
+    'CAST(0 AS BIGINT) AS "detectedAtMillis" FROM (' + INCIDENTS + ") feed"
+)
+ORACLE["incidents"] = INCIDENTS
+ORACLE["incident_json"] = INCIDENT_JSON

@@ -39,6 +39,7 @@ def build_session(
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
