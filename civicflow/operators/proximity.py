@@ -18,11 +18,12 @@ Plan (no route-wide pairing, no unbounded group):
 1. *segments*: each ping opens the interval during which it is its bus's
    latest position (exact skew-safe look-ahead);
 2. *near observations*: pings meet the segments of other buses through an
-   equi-join on (route, 3-D grid cell, 5-minute bucket); the grid is on the
-   unit sphere with the chord bound of the radius, which is exact;
+   equi-join on (route, 3-D grid cell, time bucket); the grid is on the unit
+   sphere and sized by the chord bound of the radius, which is exact;
 3. *candidate windows*: a near observation at bucket ``k`` can only matter to
    deadlines inside buckets ``k`` and ``k + 1``; only those (pair, bucket)
-   cells get their full observation stream (far ones included);
+   cells get their full observation stream (the two buses' pings, flagged
+   near by an equi-join with step 2, far otherwise);
 4. *scan*: observations are hash-partitioned by pair and sorted; a constant
    memory scan per partition applies the rules (a hot route is spread over its
    pairs);
@@ -46,6 +47,10 @@ BUNCHING_RADIUS_M = 200.0
 BUNCHING_HOLD_MS = 5 * 60 * 1000
 WATERMARK_DELAY_MS = 10_000
 OPEN_END = 2**62  # end of the last segment of a bus: positions never expire
+# Time granularity of the segment index.  A ping meets the segments of its
+# bucket only, so the bucket should be a few ping intervals long; a segment is
+# copied into every bucket it spans (a silent bus costs span / bucket copies).
+LOOKUP_BUCKET_MS = 30_000
 
 
 def prepare_pings(bus: DataFrame, missing: str = "zero") -> DataFrame:
@@ -77,12 +82,33 @@ def _cell_cols(lat: str, lon: str, cell: float) -> list:
     return [F.floor(c / F.lit(cell)).cast("long").alias(n) for c, n in ((x, "cx"), (y, "cy"), (z, "cz"))]
 
 
-def _replicate_by_bucket(seg: DataFrame, bucket_ms: int, last_bucket: int,
+def _probe_cells(lat: str, lon: str, cell: float):
+    """Array of the 8 cells a probe must look in.
+
+    Per axis: the probe's own cell and the one neighbour on the side of the
+    half-cell it lies in.  With an edge of twice the distance bound a nearer
+    point can only be there, so 2 x 2 x 2 cells are enough (exact)."""
+    base, side = [], []
+    for c in unit_vector(lat, lon):
+        q = c / F.lit(cell)
+        fq = F.floor(q)
+        base.append(fq.cast("long"))
+        side.append(F.when(q - fq < F.lit(0.5), F.lit(-1)).otherwise(F.lit(1)).cast("long"))
+    cells = []
+    for i in range(8):
+        cells.append(F.struct(*[
+            (base[a] + side[a] if (i >> a) & 1 else base[a]).alias(n)
+            for a, n in enumerate(("cx", "cy", "cz"))
+        ]))
+    return F.array(*cells)
+
+
+def _replicate_by_bucket(seg: DataFrame, bucket_ms: int, max_t: int,
                          s_t: str = "o_s_t", e_t: str = "o_e_t") -> DataFrame:
     """One copy of each segment per time bucket it overlaps (open ends stop at
     the last bucket of the data, so copies grow with time covered, not pairs)."""
     b0 = floor_div(F.col(s_t), bucket_ms)
-    b1 = F.least(floor_div(F.col(e_t), bucket_ms), F.lit(last_bucket))
+    b1 = F.least(floor_div(F.col(e_t), bucket_ms), F.lit(int(max_t) // bucket_ms))
     return seg.withColumn("tb", F.explode(F.sequence(b0, F.greatest(b0, b1))))
 
 
@@ -113,27 +139,27 @@ def near_observations(
     pings: DataFrame,
     seg: DataFrame,
     radius_m: float = BUNCHING_RADIUS_M,
-    bucket_ms: int = BUNCHING_HOLD_MS,
-    last_bucket: int = 0,
+    max_t: int = 0,
+    bucket_ms: int = LOOKUP_BUCKET_MS,
 ) -> DataFrame:
     """Observations with ``distance < radius`` found through the grid join.
 
-    A ping probes the 27 cells around its own; segments are indexed in their
-    cell and in every bucket they overlap.  Exact: the chord bound guarantees
-    that a pair nearer than ``radius`` is in adjacent cells.
+    Segments are indexed in their grid cell and in every time bucket they
+    overlap; a ping probes 8 cells of its neighbourhood.  Exact: the grid edge
+    is twice the chord bound of ``radius`` (see ``_probe_cells``).
     """
-    cell = chord_cell_size(radius_m)
-    offs = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    probe = (
-        pings.select("route_id", "bus_id", "t_ms", "seq", "lat", "lon", *_cell_cols("lat", "lon", cell))
-        .withColumn("tb", floor_div(F.col("t_ms"), bucket_ms))
-        .withColumn("dx", F.explode(offs)).withColumn("dy", F.explode(offs)).withColumn("dz", F.explode(offs))
-        .select("route_id", "bus_id", "t_ms", "seq", "lat", "lon", "tb",
-                (F.col("cx") + F.col("dx")).alias("cx"), (F.col("cy") + F.col("dy")).alias("cy"),
-                (F.col("cz") + F.col("dz")).alias("cz"))
+    cell = 2 * chord_cell_size(radius_m)
+    probe = pings.select(
+        "route_id", "bus_id", "t_ms", "seq", "lat", "lon",
+        floor_div(F.col("t_ms"), bucket_ms).alias("tb"),
+        F.inline(_probe_cells("lat", "lon", cell)),
+    )
+    idx = _replicate_by_bucket(_other_side(seg, *_cell_cols("lat", "lon", cell)), bucket_ms, max_t)
+    # Both sides are replicated (8 cells / time buckets), which the planner's
+    # size estimate does not see: never let it broadcast them.
+    j = probe.hint("merge").join(idx.hint("merge"), ["route_id", "cx", "cy", "cz", "tb"]).filter(
+        F.col("bus_id") != F.col("o_bus")
     )
-    idx = _replicate_by_bucket(_other_side(seg, *_cell_cols("lat", "lon", cell)), bucket_ms, last_bucket)
-    j = probe.join(idx, ["route_id", "cx", "cy", "cz", "tb"]).filter(F.col("bus_id") != F.col("o_bus"))
     j = j.filter(_covers("o_", "t_ms", "seq"))
     dist = haversine_m("lat", "lon", "o_lat", "o_lon")
     return (
@@ -145,28 +171,31 @@ def near_observations(
 
 def pair_observations(
     pings: DataFrame,
-    seg: DataFrame,
+    near: DataFrame,
     cells: DataFrame,
-    bucket_ms: int = BUNCHING_HOLD_MS,
-    last_bucket: int = 0,
+    window_ms: int = BUNCHING_HOLD_MS,
 ) -> DataFrame:
-    """All observations (near and far) of the pairs in ``cells``
-    (route_id, lo, hi, tb): every ping of either bus in the bucket, against the
-    other bus's segment covering it."""
-    own = pings.withColumn("tb", floor_div(F.col("t_ms"), bucket_ms))
-    sides = []
-    for me, other in (("lo", "hi"), ("hi", "lo")):
-        sides.append(
-            cells.join(own.withColumnRenamed("bus_id", me), ["route_id", me, "tb"])
-            .select("route_id", "lo", "hi", "tb", "t_ms", "seq", "lat", "lon",
-                    F.col(other).alias("o_bus"))
-        )
-    mine = sides[0].unionByName(sides[1])
-    idx = _replicate_by_bucket(_other_side(seg), bucket_ms, last_bucket)
-    j = mine.join(idx, ["route_id", "o_bus", "tb"]).filter(_covers("o_", "t_ms", "seq"))
-    return j.select(
-        "route_id", "lo", "hi", "t_ms", "seq",
-        haversine_m("lat", "lon", "o_lat", "o_lon").alias("distance"),
+    """The observation stream of every candidate (pair, window) in ``cells``
+    (route_id, lo, hi, wb), flagged near/far.
+
+    A pair is observed at every ping of either bus once both have been seen,
+    so the stream is just the two buses' pings in the window; an observation is
+    near iff it is in ``near`` (same route, pair and ping).  Pings from before
+    the other bus first appears come out as far, which is harmless: no watch
+    can exist before the pair's first near observation.
+    """
+    own = pings.select("route_id", "bus_id", "t_ms", "seq").withColumn(
+        "wb", floor_div(F.col("t_ms"), window_ms)
+    )
+    sides = [
+        cells.join(own.withColumnRenamed("bus_id", me), ["route_id", me, "wb"])
+        .select("route_id", "lo", "hi", "t_ms", "seq")
+        for me in ("lo", "hi")
+    ]
+    stream = sides[0].unionByName(sides[1])
+    flags = near.select("route_id", "lo", "hi", "seq", F.lit(True).alias("near"))
+    return stream.join(flags, ["route_id", "lo", "hi", "seq"], "left").select(
+        "route_id", "lo", "hi", "t_ms", "seq", F.coalesce("near", F.lit(False)).alias("near")
     )
 
 
@@ -178,7 +207,7 @@ SCAN_OUT = T.StructType([
 ])
 
 
-def _scan_factory(radius_m: float, hold_ms: int, horizon: int):
+def _scan_factory(hold_ms: int, horizon: int):
     """Per-partition scan over observations sorted by (route, lo, hi, t, seq)."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -187,8 +216,8 @@ def _scan_factory(radius_m: float, hold_ms: int, horizon: int):
         deadline = None
         for pdf in batches:
             routes, los, his = pdf["route_id"].tolist(), pdf["lo"].tolist(), pdf["hi"].tolist()
-            ts, ds = pdf["t_ms"].tolist(), pdf["distance"].tolist()
-            for r, lo, hi, t, d in zip(routes, los, his, ts, ds):
+            ts, nears = pdf["t_ms"].tolist(), pdf["near"].tolist()
+            for r, lo, hi, t, near in zip(routes, los, his, ts, nears):
                 key = (r, lo, hi)
                 if key != cur:
                     if cur is not None and deadline is not None and deadline <= horizon:
@@ -197,7 +226,6 @@ def _scan_factory(radius_m: float, hold_ms: int, horizon: int):
                 if deadline is not None and t > deadline and deadline <= horizon:
                     out.append((*key, deadline))
                     deadline = None
-                near = d is not None and d == d and d < radius_m  # NaN counts as far
                 if not near:
                     deadline = None
                 elif deadline is None:
@@ -219,27 +247,29 @@ def bunching_deadlines(
     delay_ms: int = WATERMARK_DELAY_MS,
     missing: str = "zero",
 ) -> tuple[DataFrame, DataFrame]:
-    """(deadlines as (route_id, lo, hi, deadline), segments, last time bucket)."""
+    """(deadlines as (route_id, lo, hi, deadline), segments, max event time)."""
     pings = prepare_pings(bus, missing)
     bounds = pings.agg(F.max("t_ms").alias("mx")).first()
     max_t = bounds["mx"]
     if max_t is None:
         empty = bus.sparkSession.createDataFrame([], SCAN_OUT)
         return empty, segments(pings), 0
-    horizon = int(max_t) - delay_ms - 1
-    last_bucket = int(max_t) // hold_ms
+    max_t = int(max_t)
+    horizon = max_t - delay_ms - 1
     seg = segments(pings, hold_ms)
-    near = near_observations(pings, seg, radius_m, hold_ms, last_bucket)
+    # One shuffle of the near set feeds both uses below (exchange reuse), so
+    # the grid join runs once.
+    near = near_observations(pings, seg, radius_m, max_t).repartition("route_id", "lo", "hi")
     k = floor_div(F.col("t_ms"), hold_ms)
     cells = (
-        near.select("route_id", "lo", "hi", F.explode(F.array(k, k + 1)).alias("tb"))
+        near.select("route_id", "lo", "hi", F.explode(F.array(k, k + 1)).alias("wb"))
         .distinct()
     )
-    obs = pair_observations(pings, seg, cells, hold_ms, last_bucket)
+    obs = pair_observations(pings, near, cells, hold_ms)
     keys = ["route_id", "lo", "hi"]
     ordered = obs.repartition(*keys).sortWithinPartitions(*keys, "t_ms", "seq")
-    fired = ordered.mapInPandas(_scan_factory(radius_m, hold_ms, horizon), SCAN_OUT)
-    return fired, seg, last_bucket
+    fired = ordered.mapInPandas(_scan_factory(hold_ms, horizon), SCAN_OUT)
+    return fired, seg, max_t
 
 
 def bus_bunching(
@@ -250,8 +280,8 @@ def bus_bunching(
     detected_at=None,
 ) -> DataFrame:
     """Bus-bunching incident alerts (batch form)."""
-    fired, seg, last_bucket = bunching_deadlines(bus, radius_m, hold_ms, delay_ms)
-    at = _as_of(seg, fired, hold_ms, last_bucket)
+    fired, seg, max_t = bunching_deadlines(bus, radius_m, hold_ms, delay_ms)
+    at = _as_of(seg, fired, max_t)
     dist = haversine_m("a_lat", "a_lon", "b_lat", "b_lon")
     desc = F.format_string(A.BUNCHING_TEMPLATE, F.col("lo"), F.col("hi"), F.col("route_id"), dist)
     return at.select(
@@ -263,12 +293,12 @@ def bus_bunching(
     )
 
 
-def _as_of(seg: DataFrame, fired: DataFrame, bucket_ms: int, last_bucket: int) -> DataFrame:
+def _as_of(seg: DataFrame, fired: DataFrame, max_t: int, bucket_ms: int = LOOKUP_BUCKET_MS) -> DataFrame:
     """Positions of both buses at each deadline (latest ping with ``t <= deadline``)
     via a bucketed interval join."""
     rep = _replicate_by_bucket(
         seg.select("route_id", "bus_id", "s_t", "e_t", "lat", "lon", "timestamp"),
-        bucket_ms, last_bucket, s_t="s_t", e_t="e_t",
+        bucket_ms, max_t, s_t="s_t", e_t="e_t",
     )
     probe = fired.withColumn("tb", floor_div(F.col("deadline"), bucket_ms))
     out = probe

@@ -12,7 +12,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from civicflow.functions.jsonio import to_json_value
 
@@ -48,10 +47,8 @@ def default_rules(aqi_topic: str = "air_quality", bus_topic: str = "bus_gps") ->
     ]
 
 
-# Fields the rules read; parsed from each JSON value with a narrow schema.
-RULE_FIELDS = T.StructType(
-    [T.StructField(n, T.DoubleType(), True) for n in ("aqi", "lat", "lon")]
-)
+# Fields the rules read from each JSON value (as doubles; JSON null -> null).
+RULE_FIELDS = ("aqi", "lat", "lon")
 
 
 def reason_column(rules: list[Rule], topic_col: str = "topic") -> Column:
@@ -64,13 +61,19 @@ def reason_column(rules: list[Rule], topic_col: str = "topic") -> Column:
 
 def classify(records: DataFrame, rules: list[Rule] | None = None, value_col: str = "value",
              topic_col: str = "topic") -> DataFrame:
-    """Add ``error_reason`` (null = clean) to Kafka-shaped rows with JSON values."""
+    """Add ``error_reason`` (null = clean) to Kafka-shaped rows with JSON values.
+
+    The rule fields are pulled out with one ``json_tuple`` pass per record.
+    Being a generator, it also keeps a later ``error_reason`` filter from being
+    pushed below the parse (which would re-parse the JSON once per rule).
+    """
     rules = rules or default_rules()
-    f = F.from_json(F.col(value_col), RULE_FIELDS)
-    tmp = records.withColumn("_f", f)
-    probe = tmp.select("*", *[F.col("_f")[n].alias(n) for n in RULE_FIELDS.fieldNames()
-                              if n not in records.columns])
-    out = probe.withColumn("error_reason", reason_column(rules, topic_col))
+    raw = [f"_raw_{n}" for n in RULE_FIELDS]
+    probe = records.select("*", F.json_tuple(F.col(value_col), *RULE_FIELDS).alias(*raw))
+    typed = probe.select(
+        *records.columns, *[F.col(r).try_cast("double").alias(n) for r, n in zip(raw, RULE_FIELDS)]
+    )
+    out = typed.withColumn("error_reason", reason_column(rules, topic_col))
     return out.select(*records.columns, "error_reason")
 
 

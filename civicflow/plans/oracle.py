@@ -80,7 +80,7 @@ SELECT ward_id,
        strftime(make_timestamp((t_ms // 900000 + 1) * 900000 * 1000), {TS}) AS window_end,
        strftime(make_timestamp(t_ms // 900000 * 900000 * 1000), '%Y-%m-%d') AS date,
        round(sum(kwh_reading), 6) AS total_kwh_consumed,
-       round(avg(power_factor), 6) AS avg_power_factor,
+       round(avg(power_factor) + 1e-9, 6) AS avg_power_factor,
        round(max(voltage), 6) AS peak_voltage
 FROM smart_meters
 GROUP BY ward_id, t_ms // 900000

@@ -28,7 +28,21 @@ ISO_MS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores
+    (e.g. one file with one row group) with a round-robin repartition.
+
+    A large input already scans in many splits and is returned unchanged, so
+    this costs nothing at scale.  Filters and column pruning still reach the
+    Parquet scan below the repartition.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
 
 
 def _dbl(x: float) -> Column:
