@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civicflow.functions.jsonio import to_json_value
 
@@ -49,6 +50,7 @@ def default_rules(aqi_topic: str = "air_quality", bus_topic: str = "bus_gps") ->
 
 # Fields the rules read from each JSON value (as doubles; JSON null -> null).
 RULE_FIELDS = ("aqi", "lat", "lon")
+RULE_SCHEMA = T.StructType([T.StructField(n, T.DoubleType(), True) for n in RULE_FIELDS])
 
 
 def reason_column(rules: list[Rule], topic_col: str = "topic") -> Column:
@@ -63,16 +65,14 @@ def classify(records: DataFrame, rules: list[Rule] | None = None, value_col: str
              topic_col: str = "topic") -> DataFrame:
     """Add ``error_reason`` (null = clean) to Kafka-shaped rows with JSON values.
 
-    The rule fields are pulled out with one ``json_tuple`` pass per record.
-    Being a generator, it also keeps a later ``error_reason`` filter from being
-    pushed below the parse (which would re-parse the JSON once per rule).
+    The rule fields are parsed once per record with a narrow schema (numbers
+    only: a quoted number reads as missing, ``NaN`` is accepted).  The parse
+    sits in a generator (``inline``), which keeps a later ``error_reason``
+    filter from being pushed below it and re-parsing the JSON once per rule.
     """
     rules = rules or default_rules()
-    raw = [f"_raw_{n}" for n in RULE_FIELDS]
-    probe = records.select("*", F.json_tuple(F.col(value_col), *RULE_FIELDS).alias(*raw))
-    typed = probe.select(
-        *records.columns, *[F.col(r).try_cast("double").alias(n) for r, n in zip(raw, RULE_FIELDS)]
-    )
+    parsed = F.inline(F.array(F.from_json(F.col(value_col), RULE_SCHEMA)))
+    typed = records.select(*[F.col(c) for c in records.columns], parsed)
     out = typed.withColumn("error_reason", reason_column(rules, topic_col))
     return out.select(*records.columns, "error_reason")
 
