@@ -320,3 +320,52 @@ INCIDENT_JSON = (
 )
 ORACLE["incidents"] = INCIDENTS
 ORACLE["incident_json"] = INCIDENT_JSON
+
+
+# -- streaming forms -------------------------------------------------------------
+# Append mode emits a window once the final watermark (max event time - delay)
+# has reached its end; update mode's last emission per key is the batch value.
+
+_MAX_T = ("(SELECT CAST(1704067200000 + (max(epoch_us(ts)) // 1000 - 1704067200000) // 60 AS BIGINT) "
+          "FROM events)")
+
+
+def _closed(sql: str, delay_ms: int, extra: str = "") -> str:
+    return (f"SELECT * FROM ({sql}) w WHERE epoch_ms(strptime(window_end, '%Y-%m-%d %H:%M:%S')) "
+            f"<= {_MAX_T} - {delay_ms}{extra}")
+
+
+FANOUT = _q("""
+SELECT s.subscriber, seq, junction_id, signal_phase, vehicle_count
+FROM traffic_signals, (VALUES ('HIGH_PRIORITY'), ('STANDARD_PRIORITY')) s(subscriber)
+""")
+
+
+def _rollup_sql(unit: str) -> str:
+    return _q(f"""
+SELECT ward_id,
+       strftime(date_trunc('{unit}', make_timestamp(t_ms * 1000)), {TS}) AS period_start,
+       round(sum(kwh_reading), 6) AS total_kwh_consumed,
+       round(avg(power_factor) + 1e-9, 6) AS avg_power_factor,
+       round(max(voltage), 6) AS peak_voltage,
+       count(*) AS n_readings
+FROM smart_meters
+GROUP BY ward_id, date_trunc('{unit}', make_timestamp(t_ms * 1000))
+""")
+
+
+ORACLE.update({
+    "ward_energy_stream_append": _closed(WARD_ENERGY, 45 * 60 * 1000),
+    "ward_energy_stream_update": WARD_ENERGY,
+    "ward_history_pruned": _closed(WARD_ENERGY, 45 * 60 * 1000,
+                                   " AND ward_id = 'WARD-3' AND date >= '2024-01-01'"),
+    "health_advisory_stream": _closed(HEALTH_ADVISORY, 5 * 60 * 1000),
+    "aqi_emergency_stream": AQI_EMERGENCY,
+    "route_enrichment_stream": ROUTE_ENRICHMENT,
+    "dlq_stream": DLQ_ENVELOPE,
+    "gridlock_stream": GRIDLOCK,
+    "bus_bunching_stream": BUS_BUNCHING,
+    "priority_fanout": FANOUT,
+    "ward_energy_weekly": _rollup_sql("week"),
+    "ward_energy_monthly": _rollup_sql("month"),
+})
