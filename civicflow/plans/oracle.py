@@ -369,3 +369,39 @@ ORACLE.update({
     "ward_energy_weekly": _rollup_sql("week"),
     "ward_energy_monthly": _rollup_sql("month"),
 })
+
+
+# Late rows: slices of the offset range, every 50th record one slice late; a
+# row is dropped when behind the late-event watermark of its batch, which in
+# Spark lags one batch (max event time up to two batches back - 10 s); windows
+# closed by the final watermark.
+LATE_ROWS = _q(f"""
+, bounds AS (SELECT min(seq) AS lo, max(seq) AS hi FROM traffic_signals
+), staged AS (
+  SELECT t.t_ms,
+         (t.seq - b.lo) // ((b.hi - b.lo) // 4 + 1) + CASE WHEN t.seq % 50 = 7 THEN 1 ELSE 0 END AS batch
+  FROM traffic_signals t, bounds b
+), batch_max AS (
+  SELECT batch, max(t_ms) AS mx FROM staged GROUP BY batch
+), wm AS (
+  SELECT batch, max(mx) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) - 10000 AS wm_before
+  FROM batch_max
+), kept AS (
+  SELECT s.t_ms FROM staged s JOIN wm ON s.batch = wm.batch
+  WHERE wm.wm_before IS NULL OR s.t_ms > wm.wm_before
+)
+SELECT strftime(make_timestamp(t_ms // 60000 * 60000 * 1000), {TS}) AS window_start,
+       strftime(make_timestamp((t_ms // 60000 + 1) * 60000 * 1000), {TS}) AS window_end,
+       count(*) AS n_rows
+FROM kept
+GROUP BY t_ms // 60000
+HAVING (t_ms // 60000 + 1) * 60000 <= (SELECT max(t_ms) FROM traffic_signals) - 10000
+""")
+ORACLE["late_rows"] = LATE_ROWS
+
+ORACLE["stream_batch_diff"] = (
+    "SELECT CAST(NULL AS VARCHAR) AS ward_id, CAST(NULL AS VARCHAR) AS window_start, "
+    "CAST(NULL AS VARCHAR) AS window_end, CAST(NULL AS VARCHAR) AS date, "
+    "CAST(NULL AS DOUBLE) AS total_kwh_consumed, CAST(NULL AS DOUBLE) AS avg_power_factor, "
+    "CAST(NULL AS DOUBLE) AS peak_voltage, CAST(NULL AS VARCHAR) AS side WHERE false"
+)
