@@ -18,3 +18,34 @@ def test_broadcast_only_below_bound(spark):
     small = spark.range(10)
     assert fits_broadcast(small, 10)
     assert not fits_broadcast(small, 9)
+
+
+def test_lookup_csv_last_line_wins(spark, tmp_path):
+    from civicflow import schemas
+    from civicflow.sources.files import read_lookup_csv
+
+    p = tmp_path / "routes.csv"
+    p.write_text("route_id,route_name,terminal,scheduled_arrival_time\n"
+                 "R-1,Old,T1,10:30:00\nR-2,Two,T2,10:45:00\nR-1,New,T3,11:00:00\n")
+    got = {r.route_id: r.route_name for r in read_lookup_csv(spark, str(p), schemas.ROUTE_SCHEDULE, "route_id").collect()}
+    assert got == {"R-1": "New", "R-2": "Two"}
+
+
+def test_jsonl_batch_and_stream_agree(spark, tmp_path):
+    import json
+
+    from civicflow import schemas
+    from civicflow.sources.files import read_jsonl
+    from civicflow.streaming.io import run_to_completion, write_stream
+
+    d = tmp_path / "in"
+    d.mkdir()
+    recs = [{"sensor_id": "S", "zone": "Z", "pm25": 1.0, "pm10": 2.0, "aqi": i, "timestamp": "2024-01-01T00:00:0%dZ" % i}
+            for i in range(5)]
+    (d / "a.json").write_text("\n".join(json.dumps(r) for r in recs))
+    batch = read_jsonl(spark, str(d), schemas.AIR_QUALITY)
+    assert sorted(r.aqi for r in batch.collect()) == [0, 1, 2, 3, 4]
+    stream = read_jsonl(spark, str(d), schemas.AIR_QUALITY, stream=True, max_files_per_trigger=1)
+    out = str(tmp_path / "out")
+    run_to_completion(write_stream(stream, "parquet", str(tmp_path / "ck"), path=out))
+    assert sorted(r.t_ms for r in spark.read.parquet(out).collect()) == sorted(r.t_ms for r in batch.collect())
