@@ -125,54 +125,69 @@ class BunchingProcessor(StatefulProcessor):
         self.decided = handle.getMapState(
             "decided", "lo string, hi string, deadline long", "ts string, dist double")
 
-    def _alert(self, route, lo, hi, deadline, ts, dist):
-        return (route, lo, hi, deadline, ts, dist)
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        (route,) = key
+        # The route's state is read once per micro-batch, the rows are applied
+        # in memory, and only changed entries are written back: a few state
+        # calls per key and batch instead of several per row.
         pdf = _sorted(rows)
+        pos = {k[0]: tuple(v) for k, v in self.positions.iterator()}
+        watches = {tuple(k): v[0] for k, v in self.watches.iterator()}
+        orig_watches = dict(watches)
+        moved, decided, timers = set(), {}, set()
+        radius, hold = self.radius_m, self.hold_ms
         for rec in pdf.itertuples(index=False):
             bus, t = rec.bus_id, int(rec.t_ms)
             lat = 0.0 if rec.lat is None or rec.lat != rec.lat else float(rec.lat)
             lon = 0.0 if rec.lon is None or rec.lon != rec.lon else float(rec.lon)
-            prev = self.positions.getValue((bus,)) if self.positions.containsKey((bus,)) else None
-            self.positions.updateValue((bus,), (lat, lon, t, int(rec.seq), rec.timestamp))
-            for (other,), (olat, olon, _ot, _os, ots) in self.positions.iterator():
+            prev = pos.get(bus)
+            pos[bus] = (lat, lon, t, int(rec.seq), rec.timestamp)
+            moved.add(bus)
+            for other, (olat, olon, _ot, _os, ots) in pos.items():
                 if other == bus:
                     continue
-                lo, hi = (bus, other) if bus < other else (other, bus)
-                pair = (lo, hi)
-                deadline = self.watches.getValue(pair)[0] if self.watches.containsKey(pair) else None
+                pair = (bus, other) if bus < other else (other, bus)
+                deadline = watches.get(pair)
                 if deadline is not None and t > deadline:
-                    # The watch outlived its deadline: decided with the positions as of then.
-                    dist_then = haversine(prev[0], prev[1], olat, olon)
-                    ts_lo = prev[4] if lo == bus else ots
-                    self.decided.updateValue((lo, hi, deadline), (ts_lo, dist_then))
-                    self.watches.removeKey(pair)
+                    # The watch outlived its deadline: decided, with the positions as of then.
+                    ts_lo = prev[4] if pair[0] == bus else ots
+                    decided[(*pair, deadline)] = (ts_lo, haversine(prev[0], prev[1], olat, olon))
+                    del watches[pair]
                     deadline = None
-                d = haversine(lat, lon, olat, olon)
-                if not (d < self.radius_m):
-                    if deadline is not None:
-                        self.watches.removeKey(pair)
+                if not (haversine(lat, lon, olat, olon) < radius):
+                    watches.pop(pair, None)
                 elif deadline is None:
-                    deadline = t + self.hold_ms
-                    self.watches.updateValue(pair, (deadline,))
-                    self.handle.registerTimer(deadline + 1)
+                    watches[pair] = t + hold
+                    timers.add(t + hold + 1)
+        for bus in moved:
+            self.positions.updateValue((bus,), pos[bus])
+        for pair in orig_watches.keys() - watches.keys():
+            self.watches.removeKey(pair)
+        for pair, dl in watches.items():
+            if orig_watches.get(pair) != dl:
+                self.watches.updateValue(pair, (dl,))
+        for k, v in decided.items():
+            self.decided.updateValue(k, v)
+        for expiry in timers:
+            self.handle.registerTimer(expiry)
         yield pd.DataFrame([], columns=BUNCHING_OUT.fieldNames())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         (route,) = key
         deadline = expiredTimerInfo.getExpiryTimeInMs() - 1
         out = []
-        for (lo, hi, dl), (ts, dist) in list(self.decided.iterator()):
+        for k, (ts, dist) in list(self.decided.iterator()):
+            lo, hi, dl = k
             if dl == deadline:
-                out.append(self._alert(route, lo, hi, dl, ts, dist))
+                out.append((route, lo, hi, dl, ts, dist))
                 self.decided.removeKey((lo, hi, dl))
-        for (lo, hi), (dl,) in list(self.watches.iterator()):
+        pos = None
+        for k, v in list(self.watches.iterator()):
+            (lo, hi), dl = tuple(k), v[0]
             if dl == deadline:
-                a = self.positions.getValue((lo,))
-                b = self.positions.getValue((hi,))
-                out.append(self._alert(route, lo, hi, dl, a[4], haversine(a[0], a[1], b[0], b[1])))
+                if pos is None:
+                    pos = {p[0]: tuple(q) for p, q in self.positions.iterator()}
+                a, b = pos[lo], pos[hi]
+                out.append((route, lo, hi, dl, a[4], haversine(a[0], a[1], b[0], b[1])))
                 self.watches.removeKey((lo, hi))
         yield pd.DataFrame(out, columns=BUNCHING_OUT.fieldNames())
 
