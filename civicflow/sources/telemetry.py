@@ -39,8 +39,13 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     this costs nothing at scale.  Filters and column pruning still reach the
     Parquet scan below the repartition.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= target:
+    if df.isStreaming:
+        return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # no RDD view (e.g. Spark Connect): leave the plan alone
         return df
     return df.repartition(target)
 
