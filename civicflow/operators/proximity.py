@@ -42,6 +42,7 @@ from pyspark.sql import types as T
 from civicflow.functions import alerts as A
 from civicflow.functions.geo import chord_cell_size, haversine_m, unit_vector
 from civicflow.operators.sequence import floor_div, with_lookahead
+from civicflow.session import materialize
 
 BUNCHING_RADIUS_M = 200.0
 BUNCHING_HOLD_MS = 5 * 60 * 1000
@@ -256,10 +257,11 @@ def bunching_deadlines(
         return empty, segments(pings), 0
     max_t = int(max_t)
     horizon = max_t - delay_ms - 1
-    seg = segments(pings, hold_ms)
-    # One shuffle of the near set feeds both uses below (exchange reuse), so
-    # the grid join runs once.
-    near = near_observations(pings, seg, radius_m, max_t).repartition("route_id", "lo", "hi")
+    # Segments feed the grid join and the as-of lookup, the near set feeds the
+    # candidate windows and the near flags: each is computed once and written
+    # under the shared checkpoint root.
+    seg = materialize(segments(pings, hold_ms), "bunching-segments")
+    near = materialize(near_observations(pings, seg, radius_m, max_t), "bunching-near")
     k = floor_div(F.col("t_ms"), hold_ms)
     cells = (
         near.select("route_id", "lo", "hi", F.explode(F.array(k, k + 1)).alias("wb"))
@@ -294,22 +296,23 @@ def bus_bunching(
 
 
 def _as_of(seg: DataFrame, fired: DataFrame, max_t: int, bucket_ms: int = LOOKUP_BUCKET_MS) -> DataFrame:
-    """Positions of both buses at each deadline (latest ping with ``t <= deadline``)
-    via a bucketed interval join."""
+    """Positions of both buses at each deadline (latest ping with ``t <= deadline``):
+    one bucketed interval join for both sides, folded back to one row."""
     rep = _replicate_by_bucket(
         seg.select("route_id", "bus_id", "s_t", "e_t", "lat", "lon", "timestamp"),
         bucket_ms, max_t, s_t="s_t", e_t="e_t",
     )
-    probe = fired.withColumn("tb", floor_div(F.col("deadline"), bucket_ms))
-    out = probe
-    for side, prefix in (("lo", "a_"), ("hi", "b_")):
-        r = rep.select(
-            "route_id", F.col("bus_id").alias(side), "tb",
-            F.col("s_t").alias(prefix + "s_t"), F.col("e_t").alias(prefix + "e_t"),
-            F.col("lat").alias(prefix + "lat"), F.col("lon").alias(prefix + "lon"),
-            F.col("timestamp").alias(prefix + "timestamp"),
-        )
-        out = out.join(r, ["route_id", side, "tb"]).filter(
-            (F.col(prefix + "s_t") <= F.col("deadline")) & (F.col("deadline") < F.col(prefix + "e_t"))
-        )
-    return out
+    sides = F.array(F.struct(F.lit("a").alias("side"), F.col("lo").alias("bus_id")),
+                    F.struct(F.lit("b").alias("side"), F.col("hi").alias("bus_id")))
+    probe = fired.select("route_id", "lo", "hi", "deadline", F.inline(sides)).withColumn(
+        "tb", floor_div(F.col("deadline"), bucket_ms)
+    )
+    hit = probe.join(rep, ["route_id", "bus_id", "tb"]).filter(
+        (F.col("s_t") <= F.col("deadline")) & (F.col("deadline") < F.col("e_t"))
+    )
+    pick = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c)))
+    return hit.groupBy("route_id", "lo", "hi", "deadline").agg(
+        pick("a", "lat").alias("a_lat"), pick("a", "lon").alias("a_lon"),
+        pick("a", "timestamp").alias("a_timestamp"),
+        pick("b", "lat").alias("b_lat"), pick("b", "lon").alias("b_lon"),
+    )

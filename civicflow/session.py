@@ -97,3 +97,15 @@ def local_dir(path: str) -> str:
     p = path[len("file:"):] if path.startswith("file:") else path
     os.makedirs(p, exist_ok=True)
     return p
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a Parquet table under the shared root and read it back.
+
+    Cuts the lineage of an intermediate used several times (it is computed
+    once, survives executor loss, and the planner sees its real size).
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
