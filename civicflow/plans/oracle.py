@@ -405,3 +405,30 @@ ORACLE["stream_batch_diff"] = (
     "CAST(NULL AS DOUBLE) AS total_kwh_consumed, CAST(NULL AS DOUBLE) AS avg_power_factor, "
     "CAST(NULL AS DOUBLE) AS peak_voltage, CAST(NULL AS VARCHAR) AS side WHERE false"
 )
+
+
+# Update-mode advisories: per micro-batch (offset slice) the cumulative mean of
+# every (zone, window) that received readings; published when above 150; the
+# consumer keeps the last publication per key.
+HEALTH_ADVISORY_STREAM_UPDATE = _q(f""", {_AQI_WINDOWS.strip().replace("SELECT zone, aqi,", "SELECT seq, zone, aqi,")}
+, bounds AS (SELECT min(seq) AS lo, max(seq) AS hi FROM air_quality
+), batched AS (
+  SELECT a.zone, a.aqi, a.window_end_ms, (a.seq - b.lo) // ((b.hi - b.lo) // 4 + 1) AS batch
+  FROM aqi_w a, bounds b
+), touched AS (
+  SELECT DISTINCT zone, window_end_ms, batch FROM batched
+), cumulative AS (
+  SELECT t.zone, t.window_end_ms, t.batch, avg(x.aqi) AS rolling_avg_aqi
+  FROM touched t JOIN batched x
+    ON x.zone = t.zone AND x.window_end_ms = t.window_end_ms AND x.batch <= t.batch
+  GROUP BY t.zone, t.window_end_ms, t.batch
+), published AS (
+  SELECT *, row_number() OVER (PARTITION BY zone, window_end_ms ORDER BY batch DESC) AS rn
+  FROM cumulative WHERE rolling_avg_aqi > 150
+)
+SELECT p.zone, strftime(make_timestamp(p.window_end_ms * 1000), {TS}) AS window_end,
+       round(p.rolling_avg_aqi, 6) AS rolling_avg_aqi, z.population, z.num_schools
+FROM published p JOIN zone_profile z ON p.zone = z.zone
+WHERE p.rn = 1
+""")
+ORACLE["health_advisory_stream_update"] = HEALTH_ADVISORY_STREAM_UPDATE

@@ -89,6 +89,20 @@ def q_health_advisory_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                       _r6("rolling_avg_aqi").alias("rolling_avg_aqi"), "population", "num_schools")
 
 
+def q_health_advisory_stream_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The advisory feed in update mode (the reference's topic): a window is
+    re-published whenever new readings change its mean while it is above the
+    threshold; a window whose mean later falls back keeps its last published
+    value (what a consumer of the topic holds at the end)."""
+    run, stream = _replay(spark, sf_dir, ["air_quality"], "advisory-update")
+    q = jobs.health_advisory_job(stream, tv.zone_profile(spark), f"{run}/log", f"{run}/ckpt",
+                                 mode="update", sink="update_log")
+    run_to_completion(q)
+    latest = latest_from_update_log(spark, f"{run}/log", ["zone", "window_end"])
+    return latest.select("zone", _ts("window_end").alias("window_end"),
+                         _r6("rolling_avg_aqi").alias("rolling_avg_aqi"), "population", "num_schools")
+
+
 def q_aqi_emergency_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     run, stream = _replay(spark, sf_dir, ["air_quality"], "aqi-emergency")
     run_to_completion(jobs.aqi_emergency_job(stream, f"{run}/out", f"{run}/ckpt"))
@@ -224,6 +238,7 @@ STREAM_QUERIES = {
     "ward_energy_stream_update": q_ward_energy_stream_update,
     "ward_history_pruned": q_ward_history_pruned,
     "health_advisory_stream": q_health_advisory_stream,
+    "health_advisory_stream_update": q_health_advisory_stream_update,
     "aqi_emergency_stream": q_aqi_emergency_stream,
     "route_enrichment_stream": q_route_enrichment_stream,
     "dlq_stream": q_dlq_stream,
