@@ -21,6 +21,17 @@ CORRUPT = "_corrupt_record"
 MODES = ("strict", "permissive", "quarantine")
 
 
+NUMERIC = (T.IntegerType, T.LongType, T.DoubleType, T.FloatType, T.ShortType, T.DecimalType)
+
+
+def _lenient(schema: T.StructType) -> T.StructType:
+    """Numbers read as strings (a JSON number or a quoted one both parse)."""
+    return T.StructType([
+        T.StructField(f.name, T.StringType(), True) if isinstance(f.dataType, NUMERIC) else f
+        for f in schema.fields
+    ])
+
+
 def parse_records(
     df: DataFrame,
     schema: T.StructType,
@@ -28,10 +39,20 @@ def parse_records(
     mode: str = "permissive",
     time_field: str | None = "timestamp",
     keep: tuple[str, ...] = (),
+    coerce_quoted_numbers: bool = False,
 ) -> DataFrame:
-    """``value`` JSON string -> flattened typed columns (+ ``event_time``, ``t_ms``)."""
+    """``value`` JSON string -> flattened typed columns (+ ``event_time``, ``t_ms``).
+
+    ``coerce_quoted_numbers`` accepts ``"aqi": "310"`` as 310 (what a lenient
+    JSON mapper does); by default a quoted number makes the record malformed.
+    """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
+    if coerce_quoted_numbers:
+        typed = parse_records(df, _lenient(schema), value_col, mode, time_field, keep)
+        casts = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields
+                 if isinstance(f.dataType, NUMERIC)}
+        return typed.withColumns(casts)
     names = [f.name for f in schema.fields]
     if mode == "strict":
         parsed = F.from_json(F.col(value_col), schema, {"mode": "FAILFAST"})

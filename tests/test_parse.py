@@ -42,3 +42,10 @@ def test_json_keeps_nulls(spark):
     df = spark.createDataFrame([("A", None)], schemas.INCIDENT.fields[0].name + " string, zone string")
     (v,) = df.select(to_json_value().alias("v")).first()
     assert v == '{"incidentType":"A","zone":null}'
+
+
+def test_quoted_numbers_can_be_coerced(spark):
+    out = parse_records(_df(spark), SCHEMA, mode="quarantine", keep=("offset",), coerce_quoted_numbers=True)
+    got = {r.offset: (r.aqi, r._error) for r in out.collect()}
+    assert got[1] == (310, None)
+    assert got[2] == (None, "malformed record")
