@@ -8,9 +8,9 @@ arrives in time order they produce exactly the batch forms' alerts.
   late rows are not dropped (no watermark), as in the reference;
 * bunching: keyed by route like the reference; state = latest position per
   bus, the open watch per pair, and watches already decided but not yet
-  emitted; an event-time timer at ``deadline + 1`` emits once the watermark
-  (max event time - delay) passes the deadline.  Rows behind the watermark
-  are dropped by Spark (documented difference).
+  emitted; one event-time timer per route at the earliest deadline + 1 emits
+  every watch the watermark (max event time - delay) has passed.  Rows
+  behind the watermark are dropped by Spark (documented difference).
 """
 
 from __future__ import annotations
@@ -124,6 +124,21 @@ class BunchingProcessor(StatefulProcessor):
         self.watches = handle.getMapState("watches", "lo string, hi string", "deadline long")
         self.decided = handle.getMapState(
             "decided", "lo string, hi string, deadline long", "ts string, dist double")
+        # One event-time timer per route, at the earliest pending deadline + 1.
+        self.timer = handle.getValueState("timer", "expiry long")
+
+    def _reschedule(self, deadlines) -> None:
+        due = min(deadlines) + 1 if deadlines else None
+        cur = self.timer.get()[0] if self.timer.exists() else None
+        if due == cur:
+            return
+        if cur is not None:
+            self.handle.deleteTimer(cur)
+        if due is None:
+            self.timer.clear()
+        else:
+            self.handle.registerTimer(due)
+            self.timer.update((due,))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         # The route's state is read once per micro-batch, the rows are applied
@@ -133,7 +148,8 @@ class BunchingProcessor(StatefulProcessor):
         pos = {k[0]: tuple(v) for k, v in self.positions.iterator()}
         watches = {tuple(k): v[0] for k, v in self.watches.iterator()}
         orig_watches = dict(watches)
-        moved, decided, timers = set(), {}, set()
+        pending = [k[2] for k, _ in self.decided.iterator()]
+        moved, decided = set(), {}
         radius, hold = self.radius_m, self.hold_ms
         for rec in pdf.itertuples(index=False):
             bus, t = rec.bus_id, int(rec.t_ms)
@@ -157,7 +173,6 @@ class BunchingProcessor(StatefulProcessor):
                     watches.pop(pair, None)
                 elif deadline is None:
                     watches[pair] = t + hold
-                    timers.add(t + hold + 1)
         for bus in moved:
             self.positions.updateValue((bus,), pos[bus])
         for pair in orig_watches.keys() - watches.keys():
@@ -167,28 +182,37 @@ class BunchingProcessor(StatefulProcessor):
                 self.watches.updateValue(pair, (dl,))
         for k, v in decided.items():
             self.decided.updateValue(k, v)
-        for expiry in timers:
-            self.handle.registerTimer(expiry)
+        self._reschedule(pending + [k[2] for k in decided] + list(watches.values()))
         yield pd.DataFrame([], columns=BUNCHING_OUT.fieldNames())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        # Emit every watch whose deadline the watermark has passed (deadline + 1
+        # <= watermark), decided ones with their stored positions, open ones
+        # with the current positions (no observation of the pair came after
+        # the deadline, or it would have been decided).
         (route,) = key
-        deadline = expiredTimerInfo.getExpiryTimeInMs() - 1
-        out = []
+        wm = timerValues.getCurrentWatermarkInMs()
+        self.timer.clear()
+        out, remaining = [], []
         for k, (ts, dist) in list(self.decided.iterator()):
             lo, hi, dl = k
-            if dl == deadline:
+            if dl + 1 <= wm:
                 out.append((route, lo, hi, dl, ts, dist))
                 self.decided.removeKey((lo, hi, dl))
+            else:
+                remaining.append(dl)
         pos = None
         for k, v in list(self.watches.iterator()):
             (lo, hi), dl = tuple(k), v[0]
-            if dl == deadline:
+            if dl + 1 <= wm:
                 if pos is None:
                     pos = {p[0]: tuple(q) for p, q in self.positions.iterator()}
                 a, b = pos[lo], pos[hi]
                 out.append((route, lo, hi, dl, a[4], haversine(a[0], a[1], b[0], b[1])))
                 self.watches.removeKey((lo, hi))
+            else:
+                remaining.append(dl)
+        self._reschedule(remaining)
         yield pd.DataFrame(out, columns=BUNCHING_OUT.fieldNames())
 
     def close(self) -> None:
