@@ -25,6 +25,14 @@ from civicflow.streaming.stateful import bunching_stream, gridlock_stream
 REPLAY_SLICES = 4
 
 
+def _state_partitions(spark: SparkSession) -> int:
+    """State partitions of the replay queries: one per core of the cluster."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _replay(spark: SparkSession, sf_dir: str, kinds: list[str], name: str, per_trigger: int = 1):
     """Stage the given streams (merged in offset order) and open a file stream."""
     run = new_run_dir(spark, name)
@@ -52,7 +60,8 @@ def _ward_out(df: DataFrame) -> DataFrame:
 
 def _run_ward_energy(spark: SparkSession, sf_dir: str, name: str) -> str:
     run, stream = _replay(spark, sf_dir, ["smart_meters"], name)
-    hist, live = jobs.ward_energy_job(stream, f"{run}/history", f"{run}/ckpt", live_path=f"{run}/live")
+    hist, live = jobs.ward_energy_job(stream, f"{run}/history", f"{run}/ckpt", live_path=f"{run}/live",
+                                      state_partitions=_state_partitions(spark))
     run_to_completion(hist)
     run_to_completion(live)
     return run
@@ -82,7 +91,8 @@ def q_ward_history_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_health_advisory_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     run, stream = _replay(spark, sf_dir, ["air_quality"], "advisory")
-    q = jobs.health_advisory_job(stream, tv.zone_profile(spark), f"{run}/out", f"{run}/ckpt")
+    q = jobs.health_advisory_job(stream, tv.zone_profile(spark), f"{run}/out", f"{run}/ckpt",
+                                 state_partitions=_state_partitions(spark))
     run_to_completion(q)
     out = spark.read.parquet(f"{run}/out")
     return out.select("zone", _ts("window_end").alias("window_end"),
@@ -96,7 +106,7 @@ def q_health_advisory_stream_update(spark: SparkSession, sf_dir: str) -> DataFra
     value (what a consumer of the topic holds at the end)."""
     run, stream = _replay(spark, sf_dir, ["air_quality"], "advisory-update")
     q = jobs.health_advisory_job(stream, tv.zone_profile(spark), f"{run}/log", f"{run}/ckpt",
-                                 mode="update", sink="update_log")
+                                 mode="update", sink="update_log", state_partitions=_state_partitions(spark))
     run_to_completion(q)
     latest = latest_from_update_log(spark, f"{run}/log", ["zone", "window_end"])
     return latest.select("zone", _ts("window_end").alias("window_end"),
@@ -138,7 +148,8 @@ def q_gridlock_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     alerts = gridlock_stream(jobs.typed(stream, "traffic_signals"))
     from civicflow.streaming.io import write_stream
 
-    run_to_completion(write_stream(alerts, "parquet", f"{run}/ckpt", path=f"{run}/out"))
+    run_to_completion(write_stream(alerts, "parquet", f"{run}/ckpt", path=f"{run}/out",
+                                   state_partitions=_state_partitions(spark)))
     return spark.read.parquet(f"{run}/out").select(*ALERT_OUT)
 
 
@@ -147,7 +158,8 @@ def q_bus_bunching_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     alerts = bunching_stream(jobs.typed(stream, "bus_gps"))
     from civicflow.streaming.io import write_stream
 
-    run_to_completion(write_stream(alerts, "parquet", f"{run}/ckpt", path=f"{run}/out"))
+    run_to_completion(write_stream(alerts, "parquet", f"{run}/ckpt", path=f"{run}/out",
+                                   state_partitions=_state_partitions(spark)))
     return spark.read.parquet(f"{run}/out").select(*ALERT_OUT)
 
 
@@ -189,7 +201,8 @@ def q_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.window("event_time", "1 minute").alias("window"))
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
-    run_to_completion(write_stream(counts, "parquet", f"{run}/ckpt", path=f"{run}/out"))
+    run_to_completion(write_stream(counts, "parquet", f"{run}/ckpt", path=f"{run}/out",
+                                   state_partitions=_state_partitions(spark)))
     out = spark.read.parquet(f"{run}/out")
     return out.select(_ts("window.start").alias("window_start"), _ts("window.end").alias("window_end"), "n_rows")
 

@@ -51,8 +51,23 @@ def build_session(
     return spark
 
 
+def ship_code() -> None:
+    """Let Python workers run this package's functions and stateful processors
+    without an install on the executors: cloudpickle sends its code by value.
+    (A deployment may ship it with ``--py-files`` instead; both work.)"""
+    import sys
+
+    from pyspark import cloudpickle
+
+    try:
+        cloudpickle.register_pickle_by_value(sys.modules["civicflow"])
+    except Exception:  # already registered, or an old cloudpickle
+        pass
+
+
 def ensure_session_conf(spark: SparkSession) -> None:
     """Settings the operators rely on; safe to call on a caller's session."""
+    ship_code()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     try:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)

@@ -115,8 +115,22 @@ def write_stream(
     trigger: dict | None = None,
     query_name: str | None = None,
     options: dict | None = None,
+    state_partitions: int | None = None,
 ):
-    """Start one streaming query with its own checkpoint."""
+    """Start one streaming query with its own checkpoint.
+
+    ``state_partitions`` fixes the number of shuffle/state partitions of the
+    query (frozen in the checkpoint when the query first starts; size it to
+    the state, not to the cluster's batch default)."""
+    if state_partitions:
+        conf = df.sparkSession.conf
+        old = conf.get("spark.sql.shuffle.partitions")
+        conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+        try:
+            return write_stream(df, sink, checkpoint, mode, path, topic, partition_by, trigger,
+                                query_name, options)
+        finally:
+            conf.set("spark.sql.shuffle.partitions", old)
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)

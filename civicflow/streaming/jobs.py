@@ -28,29 +28,32 @@ def typed(records: DataFrame, kind: str, mode: str = "permissive") -> DataFrame:
 
 
 def ward_energy_job(records: DataFrame, history_path: str, ckpt: str, live_path: str | None = None,
-                    live_sink: str = "update_log", topic: str | None = None, trigger: dict | None = None):
+                    live_sink: str = "update_log", topic: str | None = None, trigger: dict | None = None,
+                    state_partitions: int | None = None):
     """Two sinks from one aggregation: a live feed in update mode and the
     15-minute history as Parquet partitioned by (ward_id, date), append mode
     (each window written once, when the 45-minute watermark closes it)."""
     meters = typed(records, "smart_meters")
     windowed = windows.ward_energy(meters, watermark=windows.WARD_WATERMARK)
     hist = write_stream(windows.with_window_date(windowed), "parquet", f"{ckpt}/history", mode="append",
-                        path=history_path, partition_by=["ward_id", "date"], trigger=trigger)
+                        path=history_path, partition_by=["ward_id", "date"], trigger=trigger,
+                        state_partitions=state_partitions)
     live_df = kafka_rows(windowed) if live_sink == "kafka" else windowed
     live = write_stream(live_df, live_sink, f"{ckpt}/live", mode="update", path=live_path, topic=topic,
-                        trigger=trigger)
+                        trigger=trigger, state_partitions=state_partitions)
     return hist, live
 
 
 def health_advisory_job(records: DataFrame, zones: DataFrame, path: str, ckpt: str,
                         mode: str = "append", sink: str = "parquet", topic: str | None = None,
-                        trigger: dict | None = None):
+                        trigger: dict | None = None, state_partitions: int | None = None):
     """Rolling AQI advisories; ``mode='update'`` re-emits a window whenever its
     mean changes while above the threshold (the reference's Kafka feed)."""
     aqi = typed(records, "air_quality")
     adv = windows.health_advisories(aqi, zones, watermark=windows.AQI_WATERMARK)
     out = kafka_rows(adv, key="zone") if sink == "kafka" else adv
-    return write_stream(out, sink, ckpt, mode=mode, path=path, topic=topic, trigger=trigger)
+    return write_stream(out, sink, ckpt, mode=mode, path=path, topic=topic, trigger=trigger,
+                        state_partitions=state_partitions)
 
 
 def aqi_emergency_job(records: DataFrame, path: str, ckpt: str, sink: str = "parquet",
@@ -79,10 +82,10 @@ def dead_letter_job(records: DataFrame, path: str, ckpt: str, sink: str = "parqu
     return write_stream(out, sink, ckpt, path=path, topic=topic, trigger=trigger)
 
 
-def subscriber_job(records: DataFrame, name: str, path: str, ckpt: str,
-                   max_files_per_trigger: int | None = None, trigger: dict | None = None):
+def subscriber_job(records: DataFrame, name: str, path: str, ckpt: str, trigger: dict | None = None):
     """One independent consumer of the traffic topic (own checkpoint = own
-    offsets).  A throttled subscriber is a rate-limited source, not a sleep."""
+    offsets).  A throttled subscriber is a rate-limited source (set
+    ``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger`` on ``records``), not a sleep."""
     traffic = typed(records, "traffic_signals")
     view = traffic.select(F.lit(name).alias("subscriber"), "seq", "junction_id", "signal_phase", "vehicle_count")
     return write_stream(view, "parquet", ckpt, path=path, trigger=trigger)
