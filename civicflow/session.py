@@ -10,7 +10,6 @@ table this package materialises to cut lineage.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -103,17 +102,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/civicflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_dir(path: str) -> str:
-    """Filesystem path for a ``file:`` URI (only used for local test helpers)."""
-    p = path[len("file:"):] if path.startswith("file:") else path
-    os.makedirs(p, exist_ok=True)
-    return p
-
-
 def materialize(df, name: str):
     """Write ``df`` as a Parquet table under the shared root and read it back.
 
