@@ -59,7 +59,7 @@ def prepare_pings(bus: DataFrame, missing: str = "zero") -> DataFrame:
     null handling: a missing coordinate reads as 0.0 (``missing='zero'``) or
     the ping is dropped (``missing='drop'``)."""
     cols = ["route_id", "bus_id", "t_ms", "seq", "lat", "lon", "timestamp"]
-    p = bus.select(*cols).filter(F.col("t_ms").isNotNull())
+    p = bus.select(*cols).filter(F.col("t_ms").isNotNull() & F.col("bus_id").isNotNull())
     if missing == "zero":
         return p.fillna(0.0, subset=["lat", "lon"])
     return p.dropna(subset=["lat", "lon"])

@@ -80,7 +80,8 @@ def gridlock_stream(traffic: DataFrame, threshold: float = GRIDLOCK_WAIT_SEC,
                     cycles: int = GRIDLOCK_CYCLES, detected_at: Column | None = None) -> DataFrame:
     """Streaming gridlock alerts from a typed traffic stream."""
     cols = GRIDLOCK_OUT.fieldNames()
-    fired = traffic.select(*cols).groupBy("junction_id").transformWithStateInPandas(
+    usable = traffic.filter(F.col("t_ms").isNotNull() & F.col("junction_id").isNotNull())
+    fired = usable.select(*cols).groupBy("junction_id").transformWithStateInPandas(
         statefulProcessor=GridlockProcessor(threshold, cycles),
         outputStructType=GRIDLOCK_OUT, outputMode="Append", timeMode="None",
     )
@@ -222,7 +223,9 @@ class BunchingProcessor(StatefulProcessor):
 def bunching_stream(bus: DataFrame, radius_m: float = BUNCHING_RADIUS_M, hold_ms: int = BUNCHING_HOLD_MS,
                     delay: str = "10 seconds", detected_at: Column | None = None) -> DataFrame:
     """Streaming bus-bunching alerts from a typed bus stream (event-time timers)."""
-    src = bus.select("route_id", "bus_id", "lat", "lon", "timestamp", "t_ms", "seq", "event_time")
+    src = bus.select("route_id", "bus_id", "lat", "lon", "timestamp", "t_ms", "seq", "event_time").filter(
+        F.col("t_ms").isNotNull() & F.col("bus_id").isNotNull()
+    )
     fired = src.withWatermark("event_time", delay).groupBy("route_id").transformWithStateInPandas(
         statefulProcessor=BunchingProcessor(radius_m, hold_ms),
         outputStructType=BUNCHING_OUT, outputMode="Append", timeMode="EventTime",

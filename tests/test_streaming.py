@@ -79,3 +79,18 @@ def test_ward_history_restarts_from_checkpoint(spark, tmp_path):
     key = lambda df: sorted((r.ward_id, str(r.window.start), round(r.total_kwh_consumed, 6)) for r in df.collect())
     assert key(got) == key(exp)
     assert got.count() == got.select("ward_id", "window").distinct().count()  # each window written once
+
+
+def test_stream_detectors_skip_records_without_event_time(spark, tmp_path):
+    rows = [(1, "traffic_signals", '{"junction_id":"J","zone":"Z","avg_wait_sec":200.0,"timestamp":"bad"}'),
+            (2, "traffic_signals", '{"junction_id":"J","zone":"Z","avg_wait_sec":200.0,"timestamp":"2024-01-01T00:00:01Z"}'),
+            (3, "bus_gps", '{"bus_id":null,"route_id":"R","lat":1.0,"lon":1.0,"timestamp":"2024-01-01T00:00:01Z"}')]
+    run = _run_dir(tmp_path)
+    spark.createDataFrame(rows, "offset long, topic string, value string").coalesce(1).write.json(f"{run}/in")
+    recs = read_records(spark, "files", path=f"{run}/in")
+    traffic = jobs.typed(recs.filter("topic = 'traffic_signals'"), "traffic_signals")
+    bus = jobs.typed(recs.filter("topic = 'bus_gps'"), "bus_gps")
+    q1 = write_stream(gridlock_stream(traffic), "parquet", f"{run}/ck1", path=f"{run}/o1")
+    q2 = write_stream(bunching_stream(bus), "parquet", f"{run}/ck2", path=f"{run}/o2")
+    run_to_completion(q1)
+    run_to_completion(q2)
