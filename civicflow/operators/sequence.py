@@ -1,11 +1,12 @@
 """Exact per-key look-back that does not put a hot key in one task.
 
 ``lag(c, k) OVER (PARTITION BY key ORDER BY t, seq)`` sends every row of a key
-to one task.  Here the key's rows are split into event-time buckets; each
-bucket receives, as context, the last ``n`` rows of each of its ``n``
-preceding non-empty buckets (at least ``n`` rows in total, and always the ``n``
-rows just before the bucket), and the lags are computed inside
-``(key, bucket)``.  Work per task is bounded by the bucket, not by the key.
+to one task.  Here the key's rows are split into event-time buckets and the
+lags are computed inside ``(key, bucket)``; the first rows of a bucket take
+their look-back from the last ``n`` rows of each of the ``n`` preceding
+non-empty buckets (at least ``n`` rows in total, and always the ``n`` rows
+just before the bucket).  Work per task is bounded by the bucket, not by the
+key, and the input is shuffled once.
 """
 
 from __future__ import annotations
@@ -30,47 +31,59 @@ def with_lookback(
     n: int,
     bucket_ms: int = DEFAULT_BUCKET_MS,
 ) -> DataFrame:
-    """Add ``{c}_lag{k}`` for ``k`` in 1..n and ``_has_lag{k}`` (row exists)."""
+    """Add ``{c}_lag{k}`` for ``k`` in 1..n and ``_has_lag{k}`` (row exists).
+
+    One shuffle of the input, by (key, bucket): in-bucket lags, position and
+    bucket size come from one window pass.  Only the first ``n`` rows of a
+    bucket reach back into earlier buckets; they take their values from a
+    small per-bucket context (the last ``n`` rows of each of the ``n``
+    preceding non-empty buckets, ranked newest first), which is joined back
+    on (key, bucket) so only the small side moves.
+    """
     keys = [key] if isinstance(key, str) else list(key)
     b = df.withColumn("_bkt", floor_div(F.col(t), bucket_ms))
-    carry = [*keys, "_bkt", t, seq, *cols]
+    w = Window.partitionBy(*keys, "_bkt").orderBy(F.col(t), F.col(seq))
+    whole = Window.partitionBy(*keys, "_bkt")
+    lags = [F.lag(c, k).over(w).alias(f"{c}_lag{k}") for k in range(1, n + 1) for c in cols]
+    a = b.select("*", F.row_number().over(w).alias("_pos"), F.count(F.lit(1)).over(whole).alias("_cnt"), *lags)
 
-    newest = Window.partitionBy(*keys, "_bkt").orderBy(F.col(t).desc(), F.col(seq).desc())
-    tails = (
-        b.select(*carry)
-        .withColumn("_rn", F.row_number().over(newest))
-        .filter(F.col("_rn") <= n)
-        .drop("_rn")
-        .withColumnRenamed("_bkt", "_src")
+    tails = a.filter(F.col("_pos") > F.col("_cnt") - n).select(
+        *keys, F.col("_bkt").alias("_src"), t, seq, *cols
     )
-
     by_bucket = Window.partitionBy(*keys).orderBy("_bkt")
-    buckets = b.select(*keys, "_bkt").distinct()
+    # The bucket list is a map-side-combined distinct (one row per key and
+    # bucket leaves each input partition), not another pass over the rows.
     sources = (
-        buckets.select(
-            *keys, "_bkt",
-            F.array(*[F.lag("_bkt", j).over(by_bucket) for j in range(1, n + 1)]).alias("_prev"),
-        )
+        b.select(*keys, "_bkt").distinct()
+        .select(*keys, "_bkt", F.array(*[F.lag("_bkt", j).over(by_bucket) for j in range(1, n + 1)]).alias("_prev"))
         .select(*keys, "_bkt", F.explode("_prev").alias("_src"))
         .filter(F.col("_src").isNotNull())
     )
-
-    context = (
+    newest = Window.partitionBy(*keys, "_bkt").orderBy(F.col(t).desc(), F.col(seq).desc())
+    ranked = (
         sources.join(tails, [*keys, "_src"])
-        .drop("_src")
-        .withColumn("_ctx", F.lit(True))
+        .withColumn("_r", F.row_number().over(newest))
+        .filter(F.col("_r") <= n)
     )
-    own = b.withColumn("_ctx", F.lit(False))
-    extra = [c for c in own.columns if c not in context.columns]
-    context = context.select(*context.columns, *[F.lit(None).cast(own.schema[c].dataType).alias(c) for c in extra])
-    both = own.unionByName(context)
+    context = ranked.groupBy(*keys, "_bkt").agg(
+        F.max("_r").alias("_nctx"),
+        *[F.max(F.when(F.col("_r") == r, F.col(c))).alias(f"_ctx_{c}_{r}") for r in range(1, n + 1) for c in cols],
+    )
+    out = a.join(context, [*keys, "_bkt"], "left")
 
-    w = Window.partitionBy(*keys, "_bkt").orderBy(F.col(t), F.col(seq))
-    lags = []
+    pos = F.col("_pos")
+    fixed = {}
     for k in range(1, n + 1):
-        lags.append(F.lag(F.lit(True), k, False).over(w).alias(f"_has_lag{k}"))
-        lags.extend(F.lag(c, k).over(w).alias(f"{c}_lag{k}") for c in cols)
-    return both.select("*", *lags).filter(~F.col("_ctx")).drop("_ctx", "_bkt")
+        # lag k of the row at position p <= k is the (k - p + 1)-th newest context row
+        fixed[f"_has_lag{k}"] = (pos > k) | (F.coalesce(F.col("_nctx"), F.lit(0)) >= F.lit(k + 1) - pos)
+        for c in cols:
+            from_ctx = None
+            for p in range(1, k + 1):
+                v = F.col(f"_ctx_{c}_{k - p + 1}")
+                from_ctx = F.when(pos == p, v) if from_ctx is None else from_ctx.when(pos == p, v)
+            fixed[f"{c}_lag{k}"] = F.when(pos > k, F.col(f"{c}_lag{k}")).otherwise(from_ctx)
+    drop = ["_bkt", "_pos", "_cnt", "_nctx"] + [f"_ctx_{c}_{r}" for r in range(1, n + 1) for c in cols]
+    return out.withColumns(fixed).drop(*drop)
 
 
 def with_lookahead(
