@@ -260,12 +260,3 @@ def q_incident_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["incidents"] = q_incidents
 QUERIES["incident_json"] = q_incident_json
 FLAGSHIP = q_incidents
-
-
-def _register_streams() -> None:
-    from civicflow.plans.streams import STREAM_QUERIES
-
-    QUERIES.update(STREAM_QUERIES)
-
-
-_register_streams()
