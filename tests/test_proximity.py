@@ -86,3 +86,15 @@ def test_grid_is_exact_near_poles_and_cell_edges(spark, lat):
     pings = [p("A", 0, a), p("B", 1, b), p("A", 400, a), p("B", 400, b)]
     got = _alerts(spark, pings)
     assert [g[1] for g in got] == [301.0]
+
+
+def test_distance_helpers(spark):
+    from pyspark.sql import functions as F
+
+    from civicflow.functions.geo import flat_earth_m, haversine_m
+
+    df = spark.createDataFrame([(28.4, 77.0, 28.401, 77.0), (28.4, 77.0, 28.4, 77.001)], "a double, b double, c double, d double")
+    got = df.select(haversine_m("a", "b", "c", "d").alias("h"), flat_earth_m("a", "b", "c", "d").alias("f")).collect()
+    assert abs(got[0].h - 111.195) < 0.01 and abs(got[0].f - 111.32) < 0.01
+    assert abs(got[1].f - 111.32 * 0.88) < 0.01  # the helper's fixed longitude factor
+    assert abs(got[1].h - 97.8) < 0.1
