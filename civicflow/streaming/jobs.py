@@ -89,3 +89,14 @@ def subscriber_job(records: DataFrame, name: str, path: str, ckpt: str, trigger:
     traffic = typed(records, "traffic_signals")
     view = traffic.select(F.lit(name).alias("subscriber"), "seq", "junction_id", "signal_phase", "vehicle_count")
     return write_stream(view, "parquet", ckpt, path=path, trigger=trigger)
+
+
+def dead_letter_report(spark, source: str = "kafka", topic: str = "dlq", path: str | None = None,
+                       options: dict | None = None) -> DataFrame:
+    """Bounded read of the whole dead-letter topic (earliest to latest, no
+    stored offsets, so every run sees every message) -> counts per reason
+    plus the total."""
+    from civicflow.streaming.io import read_records
+
+    msgs = read_records(spark, source, path=path, topics=[topic], bounded=True, options=options)
+    return quality.report_from_messages(msgs)

@@ -54,3 +54,13 @@ def test_report_counts_and_total(spark):
     )
     got = {(r.error_type, r.message_count, r.is_total) for r in quality.report_from_messages(msgs).collect()}
     assert got == {("a", 2, False), ("Unknown Error", 1, False), ("Total DLQ Messages", 3, True)}
+
+
+def test_bounded_report_over_a_dead_letter_topic(spark, tmp_path):
+    from civicflow.streaming.jobs import dead_letter_report
+
+    rows = [("dlq", i, json.dumps({"error_reason": r})) for i, r in enumerate(["Null AQI", "Null AQI", "Invalid Latitude"])]
+    rows.append(("other", 9, json.dumps({"error_reason": "x"})))
+    spark.createDataFrame(rows, "topic string, offset long, value string").write.json(str(tmp_path / "t"))
+    got = {(r.error_type, r.message_count) for r in dead_letter_report(spark, "files", "dlq", str(tmp_path / "t")).collect()}
+    assert got == {("Null AQI", 2), ("Invalid Latitude", 1), ("Total DLQ Messages", 3)}
