@@ -432,3 +432,5 @@ FROM published p JOIN zone_profile z ON p.zone = z.zone
 WHERE p.rn = 1
 """)
 ORACLE["health_advisory_stream_update"] = HEALTH_ADVISORY_STREAM_UPDATE
+
+ORACLE["incidents_stream"] = INCIDENTS

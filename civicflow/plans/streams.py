@@ -163,6 +163,20 @@ def q_bus_bunching_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{run}/out").select(*ALERT_OUT)
 
 
+def q_incidents_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incident feed from three streaming detectors (one query each)."""
+    run = new_run_dir(spark, "incidents")
+    aqi, traffic, bus = _views(spark, sf_dir, "air_quality", "traffic_signals", "bus_gps")
+    streams = []
+    for kind, v in (("air_quality", aqi), ("traffic_signals", traffic), ("bus_gps", bus)):
+        stage_records(tv.wire_records(v, kind), f"{run}/in-{kind}", slices=REPLAY_SLICES)
+        streams.append(read_records(spark, "files", path=f"{run}/in-{kind}", options={"maxFilesPerTrigger": "1"}))
+    for q in jobs.incident_jobs(*streams, ckpt=f"{run}/ckpt", path=f"{run}/out",
+                                state_partitions=_state_partitions(spark)):
+        run_to_completion(q)
+    return jobs.read_incidents(spark, f"{run}/out").select(*ALERT_OUT)
+
+
 def q_priority_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two independent subscribers of the traffic topic; the standard one is
     throttled to one file per trigger.  Both see every record."""
@@ -257,6 +271,7 @@ STREAM_QUERIES = {
     "dlq_stream": q_dlq_stream,
     "gridlock_stream": q_gridlock_stream,
     "bus_bunching_stream": q_bus_bunching_stream,
+    "incidents_stream": q_incidents_stream,
     "priority_fanout": q_priority_fanout,
     "late_rows": q_late_rows,
     "stream_batch_diff": q_stream_batch_diff,

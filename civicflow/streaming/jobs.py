@@ -100,3 +100,35 @@ def dead_letter_report(spark, source: str = "kafka", topic: str = "dlq", path: s
 
     msgs = read_records(spark, source, path=path, topics=[topic], bounded=True, options=options)
     return quality.report_from_messages(msgs)
+
+
+def incident_jobs(aqi_records: DataFrame, traffic_records: DataFrame, bus_records: DataFrame,
+                  ckpt: str, path: str | None = None, sink: str = "parquet", topic: str | None = None,
+                  trigger: dict | None = None, state_partitions: int | None = None) -> list:
+    """The incident feed: one streaming query per detector (each with its own
+    watermark, state and checkpoint) writing the same feed.  Kafka: one topic,
+    JSON values; Parquet: one folder per detector under ``path``, read back
+    together with ``read_incidents``."""
+    from civicflow.streaming.stateful import bunching_stream, gridlock_stream
+
+    detectors = {
+        "aqi_emergency": incidents.aqi_emergency(typed(aqi_records, "air_quality")),
+        "gridlock": gridlock_stream(typed(traffic_records, "traffic_signals")),
+        "bus_bunching": bunching_stream(typed(bus_records, "bus_gps")),
+    }
+    queries = []
+    for name, alerts in detectors.items():
+        feed = incidents.union_alerts(alerts)
+        out = incidents.alerts_json(feed) if sink == "kafka" else feed
+        queries.append(write_stream(out, sink, f"{ckpt}/{name}", path=f"{path}/{name}" if path else None,
+                                    topic=topic, trigger=trigger, state_partitions=state_partitions))
+    return queries
+
+
+def read_incidents(spark, path: str) -> DataFrame:
+    """The Parquet incident feed of ``incident_jobs`` as one DataFrame."""
+    parts = [spark.read.parquet(f"{path}/{n}") for n in ("aqi_emergency", "gridlock", "bus_bunching")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
