@@ -47,6 +47,9 @@ def build_session(
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     ensure_session_conf(spark)
+    if not spark.conf.get("spark.sql.streaming.checkpointLocation", None):
+        # Default root for streams started without their own checkpoint.
+        spark.conf.set("spark.sql.streaming.checkpointLocation", f"{shared_root(spark)}/streams")
     return spark
 
 
