@@ -18,7 +18,8 @@ from civicflow.plans.catalog import ALERT_OUT, _r6, _r6_mean, _ts, _views
 from civicflow.sources import telemetry as tv
 from civicflow.streaming import jobs
 from civicflow.streaming.io import (
-    latest_from_update_log, new_run_dir, read_records, run_to_completion, stage_records,
+    latest_from_update_log, new_run_dir, read_records, run_to_completion, slice_of, stage_records,
+    stage_slices, write_stream,
 )
 from civicflow.streaming.stateful import bunching_stream, gridlock_stream
 
@@ -146,8 +147,6 @@ def q_dlq_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_gridlock_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     run, stream = _replay(spark, sf_dir, ["traffic_signals"], "gridlock")
     alerts = gridlock_stream(jobs.typed(stream, "traffic_signals"))
-    from civicflow.streaming.io import write_stream
-
     run_to_completion(write_stream(alerts, "parquet", f"{run}/ckpt", path=f"{run}/out",
                                    state_partitions=_state_partitions(spark)))
     return spark.read.parquet(f"{run}/out").select(*ALERT_OUT)
@@ -156,8 +155,6 @@ def q_gridlock_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_bus_bunching_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     run, stream = _replay(spark, sf_dir, ["bus_gps"], "bunching")
     alerts = bunching_stream(jobs.typed(stream, "bus_gps"))
-    from civicflow.streaming.io import write_stream
-
     run_to_completion(write_stream(alerts, "parquet", f"{run}/ckpt", path=f"{run}/out",
                                    state_partitions=_state_partitions(spark)))
     return spark.read.parquet(f"{run}/out").select(*ALERT_OUT)
@@ -199,8 +196,6 @@ def q_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Late data: every 50th traffic record is delivered one replay slice late.
     A 1-minute count with a 10-second watermark drops the rows that are behind
     the previous micro-batch's watermark; closed windows are emitted once."""
-    from civicflow.streaming.io import slice_of, stage_slices, write_stream
-
     run = new_run_dir(spark, "late-rows")
     (traffic,) = _views(spark, sf_dir, "traffic_signals")
     recs = tv.wire_records(traffic, "traffic_signals")
