@@ -20,13 +20,13 @@ Plan (no route-wide pairing, no unbounded group):
 2. *near observations*: pings meet the segments of other buses through an
    equi-join on (route, 3-D grid cell, time bucket); the grid is on the unit
    sphere and sized by the chord bound of the radius, which is exact;
-3. *candidate windows*: a near observation at bucket ``k`` can only matter to
-   deadlines inside buckets ``k`` and ``k + 1``; only those (pair, bucket)
-   cells get their full observation stream (the two buses' pings, flagged
-   near by an equi-join with step 2, far otherwise);
-4. *scan*: observations are hash-partitioned by pair and sorted; a constant
-   memory scan per partition applies the rules (a hot route is spread over its
-   pairs);
+3. *next observation*: the observation after a near one is the earlier of the
+   two buses' next pings (their segment ends); when it is not the pair's next
+   near observation it is a far one.  Far observations therefore never have to
+   be produced: the near set alone is the pair's complete event sequence;
+4. *scan*: near observations are hash-partitioned by pair and sorted; a
+   constant-memory scan per partition applies the rules (a hot route is
+   spread over its pairs);
 5. *as-of lookup* of both buses' positions at each deadline.
 """
 
@@ -137,22 +137,25 @@ def _pair_cols(a: str, b: str) -> list:
 
 
 def near_observations(
-    pings: DataFrame,
     seg: DataFrame,
     radius_m: float = BUNCHING_RADIUS_M,
     max_t: int = 0,
     bucket_ms: int = LOOKUP_BUCKET_MS,
 ) -> DataFrame:
-    """Observations with ``distance < radius`` found through the grid join.
-
-    Segments are indexed in their grid cell and in every time bucket they
-    overlap; a ping probes 8 cells of its neighbourhood.  Exact: the grid edge
-    is twice the chord bound of ``radius`` (see ``_probe_cells``).
+    """Observations with ``distance < radius``, found through the grid join,
+    each with the pair's *next* observation ``(next_t, next_seq)``.
+
+    Every ping (= the start of its own segment) probes 8 cells of its
+    neighbourhood; the other buses' segments are indexed in their cell and in
+    every time bucket they overlap.  Exact: the grid edge is twice the chord
+    bound of ``radius`` (see ``_probe_cells``).  The next observation of the
+    pair is the earlier of the two buses' next pings (segment ends).
     """
     cell = 2 * chord_cell_size(radius_m)
-    probe = pings.select(
-        "route_id", "bus_id", "t_ms", "seq", "lat", "lon",
-        floor_div(F.col("t_ms"), bucket_ms).alias("tb"),
+    probe = seg.select(
+        "route_id", "bus_id", F.col("s_t").alias("t_ms"), F.col("s_seq").alias("seq"),
+        "e_t", "e_seq", "lat", "lon",
+        floor_div(F.col("s_t"), bucket_ms).alias("tb"),
         F.inline(_probe_cells("lat", "lon", cell)),
     )
     idx = _replicate_by_bucket(_other_side(seg, *_cell_cols("lat", "lon", cell)), bucket_ms, max_t)
@@ -162,41 +165,15 @@ def near_observations(
         F.col("bus_id") != F.col("o_bus")
     )
     j = j.filter(_covers("o_", "t_ms", "seq"))
-    dist = haversine_m("lat", "lon", "o_lat", "o_lon")
+    own_first = (F.col("e_t") < F.col("o_e_t")) | ((F.col("e_t") == F.col("o_e_t")) & (F.col("e_seq") < F.col("o_e_seq")))
     return (
-        j.withColumn("distance", dist)
+        j.withColumn("distance", haversine_m("lat", "lon", "o_lat", "o_lon"))
         .filter(F.col("distance") < F.lit(radius_m))
-        .select("route_id", *_pair_cols("bus_id", "o_bus"), "t_ms", "seq", "distance")
-    )
-
-
-def pair_observations(
-    pings: DataFrame,
-    near: DataFrame,
-    cells: DataFrame,
-    window_ms: int = BUNCHING_HOLD_MS,
-) -> DataFrame:
-    """The observation stream of every candidate (pair, window) in ``cells``
-    (route_id, lo, hi, wb), flagged near/far.
-
-    A pair is observed at every ping of either bus once both have been seen,
-    so the stream is just the two buses' pings in the window; an observation is
-    near iff it is in ``near`` (same route, pair and ping).  Pings from before
-    the other bus first appears come out as far, which is harmless: no watch
-    can exist before the pair's first near observation.
-    """
-    own = pings.select("route_id", "bus_id", "t_ms", "seq").withColumn(
-        "wb", floor_div(F.col("t_ms"), window_ms)
-    )
-    sides = [
-        cells.join(own.withColumnRenamed("bus_id", me), ["route_id", me, "wb"])
-        .select("route_id", "lo", "hi", "t_ms", "seq")
-        for me in ("lo", "hi")
-    ]
-    stream = sides[0].unionByName(sides[1])
-    flags = near.select("route_id", "lo", "hi", "seq", F.lit(True).alias("near"))
-    return stream.join(flags, ["route_id", "lo", "hi", "seq"], "left").select(
-        "route_id", "lo", "hi", "t_ms", "seq", F.coalesce("near", F.lit(False)).alias("near")
+        .select(
+            "route_id", *_pair_cols("bus_id", "o_bus"), "t_ms", "seq", "distance",
+            F.when(own_first, F.col("e_t")).otherwise(F.col("o_e_t")).alias("next_t"),
+            F.when(own_first, F.col("e_seq")).otherwise(F.col("o_e_seq")).alias("next_seq"),
+        )
     )
 
 
@@ -209,33 +186,53 @@ SCAN_OUT = T.StructType([
 
 
 def _scan_factory(hold_ms: int, horizon: int):
-    """Per-partition scan over observations sorted by (route, lo, hi, t, seq)."""
+    """Per-partition scan over near observations sorted by (route, lo, hi, t, seq).
+
+    Between two near observations of a pair the state can only change at the
+    observation right after the first one: if that is not the second near
+    one, it is far (it ends the watch).  So the near observations and their
+    ``next`` observation are the complete event sequence of the pair.
+    """
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out: list[tuple] = []
-        cur = None
-        deadline = None
+        cur, deadline, pending_far = None, None, None
+
+        def fire_before(key, t):
+            nonlocal deadline
+            if deadline is not None and t > deadline and deadline <= horizon:
+                out.append((*key, deadline))
+                deadline = None
+
+        def close(key):
+            nonlocal deadline
+            if pending_far is not None:  # the pair's last near observation was followed by a far one
+                fire_before(key, pending_far[0])
+                deadline = None
+            if deadline is not None and deadline <= horizon:
+                out.append((*key, deadline))
+
         for pdf in batches:
-            routes, los, his = pdf["route_id"].tolist(), pdf["lo"].tolist(), pdf["hi"].tolist()
-            ts, nears = pdf["t_ms"].tolist(), pdf["near"].tolist()
-            for r, lo, hi, t, near in zip(routes, los, his, ts, nears):
+            cols = [pdf[c].tolist() for c in ("route_id", "lo", "hi", "t_ms", "seq", "next_t", "next_seq")]
+            for r, lo, hi, t, sq, nt, ns in zip(*cols):
                 key = (r, lo, hi)
                 if key != cur:
-                    if cur is not None and deadline is not None and deadline <= horizon:
-                        out.append((*cur, deadline))
-                    cur, deadline = key, None
-                if deadline is not None and t > deadline and deadline <= horizon:
-                    out.append((*key, deadline))
-                    deadline = None
-                if not near:
+                    if cur is not None:
+                        close(cur)
+                    cur, deadline, pending_far = key, None, None
+                elif pending_far is not None and pending_far != (t, sq):
+                    # the observation after the previous near one was far
+                    fire_before(key, pending_far[0])
                     deadline = None
-                elif deadline is None:
+                fire_before(key, t)
+                if deadline is None:
                     deadline = t + hold_ms
+                pending_far = (nt, ns) if nt < OPEN_END else None
             if len(out) >= 10_000:
                 yield pd.DataFrame(out, columns=[f.name for f in SCAN_OUT.fields])
-                out = []
-        if cur is not None and deadline is not None and deadline <= horizon:
-            out.append((*cur, deadline))
+                out.clear()
+        if cur is not None:
+            close(cur)
         yield pd.DataFrame(out, columns=[f.name for f in SCAN_OUT.fields])
 
     return scan
@@ -257,19 +254,12 @@ def bunching_deadlines(
         return empty, segments(pings), 0
     max_t = int(max_t)
     horizon = max_t - delay_ms - 1
-    # Segments feed the grid join and the as-of lookup, the near set feeds the
-    # candidate windows and the near flags: each is computed once and written
-    # under the shared checkpoint root.
+    # Segments feed the grid join (both sides) and the as-of lookup: computed
+    # once and written under the shared checkpoint root.
     seg = materialize(segments(pings, hold_ms), "bunching-segments")
-    near = materialize(near_observations(pings, seg, radius_m, max_t), "bunching-near")
-    k = floor_div(F.col("t_ms"), hold_ms)
-    cells = (
-        near.select("route_id", "lo", "hi", F.explode(F.array(k, k + 1)).alias("wb"))
-        .distinct()
-    )
-    obs = pair_observations(pings, near, cells, hold_ms)
+    near = near_observations(seg, radius_m, max_t)
     keys = ["route_id", "lo", "hi"]
-    ordered = obs.repartition(*keys).sortWithinPartitions(*keys, "t_ms", "seq")
+    ordered = near.repartition(*keys).sortWithinPartitions(*keys, "t_ms", "seq")
     fired = ordered.mapInPandas(_scan_factory(hold_ms, horizon), SCAN_OUT)
     return fired, seg, max_t
 

@@ -218,7 +218,7 @@ def q_near_pair_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     pings = P.prepare_pings(bus)
     max_t = pings.agg(F.max("t_ms")).first()[0]
     seg = P.segments(pings)
-    near = P.near_observations(pings, seg, max_t=int(max_t))
+    near = P.near_observations(seg, max_t=int(max_t))
     return near.select("route_id", "lo", "hi", "t_ms", "seq", F.round("distance", 3).alias("distance"))
 
 
