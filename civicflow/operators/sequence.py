@@ -47,9 +47,18 @@ def with_lookback(
     lags = [F.lag(c, k).over(w).alias(f"{c}_lag{k}") for k in range(1, n + 1) for c in cols]
     a = b.select("*", F.row_number().over(w).alias("_pos"), F.count(F.lit(1)).over(whole).alias("_cnt"), *lags)
 
-    tails = a.filter(F.col("_pos") > F.col("_cnt") - n).select(
-        *keys, F.col("_bkt").alias("_src"), t, seq, *cols
-    )
+    if n == 1:
+        # A one-row tail is a max_by aggregate: combined map-side, no second
+        # full shuffle of the input.
+        fields = list(dict.fromkeys((t, seq, *cols)))
+        last = F.max_by(F.struct(*fields), F.struct(t, seq)).alias("_last")
+        tails = b.groupBy(*keys, "_bkt").agg(last).select(
+            *keys, F.col("_bkt").alias("_src"), *[F.col("_last")[c].alias(c) for c in fields]
+        )
+    else:
+        tails = a.filter(F.col("_pos") > F.col("_cnt") - n).select(
+            *keys, F.col("_bkt").alias("_src"), t, seq, *cols
+        )
     by_bucket = Window.partitionBy(*keys).orderBy("_bkt")
     # The bucket list is a map-side-combined distinct (one row per key and
     # bucket leaves each input partition), not another pass over the rows.

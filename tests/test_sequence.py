@@ -30,3 +30,12 @@ def test_lookahead_equals_window_lead(spark):
     w = Window.partitionBy("k").orderBy("t", "seq")
     exp = df.select("seq", F.lead("seq", 1).over(w).alias("seq_next"))
     assert sorted(tuple(r) for r in got.select("seq", "seq_next").collect()) == sorted(tuple(r) for r in exp.collect())
+
+
+def test_lookback_of_the_order_column_itself(spark):
+    rows = _random_rows(200, ["a", "b"], seed=5)
+    df = spark.createDataFrame(rows, "k string, t long, seq long, v double")
+    got = with_lookback(df, "k", "t", "seq", ["t", "v"], 1, bucket_ms=10_000)
+    w = Window.partitionBy("k").orderBy("t", "seq")
+    exp = df.select("seq", F.lag("t", 1).over(w).alias("t_lag1"), F.lag("v", 1).over(w).alias("v_lag1"))
+    assert sorted(tuple(r) for r in got.select("seq", "t_lag1", "v_lag1").collect()) == sorted(tuple(r) for r in exp.collect())
