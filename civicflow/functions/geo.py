@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Earth radius and the flat-earth helper's factors.
 EARTH_RADIUS_M = 6_371_000.0
 FLAT_M_PER_DEG = 111_320.0
 FLAT_LON_FACTOR = 0.88

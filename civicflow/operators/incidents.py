@@ -11,6 +11,7 @@ from civicflow.operators.runs import (
     GRIDLOCK_CYCLES, GRIDLOCK_WAIT_SEC, consecutive_runs, gridlock_breach,
 )
 
+# Fixed value: the emergency threshold.
 AQI_EMERGENCY_THRESHOLD = 300
 
 

@@ -44,6 +44,7 @@ from civicflow.functions.geo import chord_cell_size, haversine_m, unit_vector
 from civicflow.operators.sequence import floor_div, with_lookahead
 from civicflow.session import materialize
 
+# Bunching radius, hold time and the detectors' watermark delay.
 BUNCHING_RADIUS_M = 200.0
 BUNCHING_HOLD_MS = 5 * 60 * 1000
 WATERMARK_DELAY_MS = 10_000

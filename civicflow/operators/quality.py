@@ -16,8 +16,18 @@ from pyspark.sql import types as T
 
 from civicflow.functions.jsonio import to_json_value
 
+# Fixed values of the dead-letter contract: reasons in rule order, the
+# report's fallback reason and total label, and the range limits.
+NULL_AQI = "Null AQI"
+AQI_OUT_OF_RANGE = "AQI Out of Range"
+MISSING_COORDINATES = "Missing Coordinates"
+INVALID_LATITUDE = "Invalid Latitude"
+INVALID_LONGITUDE = "Invalid Longitude"
 UNKNOWN_REASON = "Unknown Error"
 TOTAL_LABEL = "Total DLQ Messages"
+AQI_MAX = 500
+LAT_RANGE = (-90, 90)
+LON_RANGE = (-180, 180)
 
 
 @dataclass(frozen=True)
@@ -37,14 +47,14 @@ def _out_of(c: Column, lo: float, hi: float) -> Column:
 
 
 def default_rules(aqi_topic: str = "air_quality", bus_topic: str = "bus_gps") -> list[Rule]:
-    """The reference's checks, in precedence order (fixed values)."""
+    """The checks of the two telemetry topics, in precedence order."""
     aqi, lat, lon = _num("aqi"), _num("lat"), _num("lon")
     return [
-        Rule(aqi_topic, "Null AQI", aqi.isNull()),
-        Rule(aqi_topic, "AQI Out of Range", (aqi > 500) & ~F.isnan(aqi)),
-        Rule(bus_topic, "Missing Coordinates", lat.isNull() | lon.isNull()),
-        Rule(bus_topic, "Invalid Latitude", _out_of(lat, -90, 90)),
-        Rule(bus_topic, "Invalid Longitude", _out_of(lon, -180, 180)),
+        Rule(aqi_topic, NULL_AQI, aqi.isNull()),
+        Rule(aqi_topic, AQI_OUT_OF_RANGE, (aqi > AQI_MAX) & ~F.isnan(aqi)),
+        Rule(bus_topic, MISSING_COORDINATES, lat.isNull() | lon.isNull()),
+        Rule(bus_topic, INVALID_LATITUDE, _out_of(lat, *LAT_RANGE)),
+        Rule(bus_topic, INVALID_LONGITUDE, _out_of(lon, *LON_RANGE)),
     ]
 
 

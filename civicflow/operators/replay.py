@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from civicflow.functions.jsonio import to_json_value
 
+# Fixed value: records per replay.
 REPLAY_LIMIT = 300
 
 

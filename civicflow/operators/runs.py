@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from civicflow.operators.sequence import DEFAULT_BUCKET_MS, with_lookback
 
+# Breach threshold (seconds of wait) and run length.
 GRIDLOCK_WAIT_SEC = 180.0
 GRIDLOCK_CYCLES = 3
 

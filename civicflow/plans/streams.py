@@ -24,6 +24,8 @@ from civicflow.streaming.io import (
 from civicflow.streaming.stateful import bunching_stream, gridlock_stream
 
 REPLAY_SLICES = 4
+# The two consumer groups of the traffic topic.
+HIGH_PRIORITY, STANDARD_PRIORITY = "HIGH_PRIORITY", "STANDARD_PRIORITY"
 
 
 def _state_partitions(spark: SparkSession) -> int:
@@ -181,7 +183,7 @@ def q_priority_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     (traffic,) = _views(spark, sf_dir, "traffic_signals")
     stage_records(tv.wire_records(traffic, "traffic_signals"), f"{run}/input", slices=REPLAY_SLICES)
     outs = []
-    for name, per_trigger in (("HIGH_PRIORITY", None), ("STANDARD_PRIORITY", 1)):
+    for name, per_trigger in ((HIGH_PRIORITY, None), (STANDARD_PRIORITY, 1)):
         opts = {"maxFilesPerTrigger": str(per_trigger)} if per_trigger else {}
         stream = read_records(spark, "files", path=f"{run}/input", options=opts)
         run_to_completion(jobs.subscriber_job(stream, name, f"{run}/{name}", f"{run}/ckpt-{name}"))
