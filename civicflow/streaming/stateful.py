@@ -77,12 +77,16 @@ class GridlockProcessor(StatefulProcessor):
 
 
 def gridlock_stream(traffic: DataFrame, threshold: float = GRIDLOCK_WAIT_SEC,
-                    cycles: int = GRIDLOCK_CYCLES, detected_at: Column | None = None) -> DataFrame:
-    """Streaming gridlock alerts from a typed traffic stream."""
+                    cycles: int = GRIDLOCK_CYCLES, detected_at: Column | None = None,
+                    ttl_ms: int | None = None) -> DataFrame:
+    """Streaming gridlock alerts from a typed traffic stream.
+
+    ``ttl_ms`` (processing time) bounds how long an idle junction's run
+    length is kept; by default it never expires, as in the reference."""
     cols = GRIDLOCK_OUT.fieldNames()
     usable = traffic.filter(F.col("t_ms").isNotNull() & F.col("junction_id").isNotNull())
     fired = usable.select(*cols).groupBy("junction_id").transformWithStateInPandas(
-        statefulProcessor=GridlockProcessor(threshold, cycles),
+        statefulProcessor=GridlockProcessor(threshold, cycles, ttl_ms),
         outputStructType=GRIDLOCK_OUT, outputMode="Append", timeMode="None",
     )
     desc = F.format_string(A.GRIDLOCK_TEMPLATE, F.col("junction_id"), F.col("avg_wait_sec"),
@@ -115,13 +119,15 @@ def haversine(lat1: float, lon1: float, lat2: float, lon2: float) -> float:
 
 
 class BunchingProcessor(StatefulProcessor):
-    def __init__(self, radius_m: float = BUNCHING_RADIUS_M, hold_ms: int = BUNCHING_HOLD_MS):
-        self.radius_m, self.hold_ms = radius_m, hold_ms
+    def __init__(self, radius_m: float = BUNCHING_RADIUS_M, hold_ms: int = BUNCHING_HOLD_MS,
+                 position_ttl_ms: int | None = None):
+        self.radius_m, self.hold_ms, self.position_ttl_ms = radius_m, hold_ms, position_ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.positions = handle.getMapState(
-            "positions", "bus string", "lat double, lon double, t long, seq long, ts string")
+            "positions", "bus string", "lat double, lon double, t long, seq long, ts string",
+            self.position_ttl_ms)
         self.watches = handle.getMapState("watches", "lo string, hi string", "deadline long")
         self.decided = handle.getMapState(
             "decided", "lo string, hi string, deadline long", "ts string, dist double")
@@ -221,13 +227,17 @@ class BunchingProcessor(StatefulProcessor):
 
 
 def bunching_stream(bus: DataFrame, radius_m: float = BUNCHING_RADIUS_M, hold_ms: int = BUNCHING_HOLD_MS,
-                    delay: str = "10 seconds", detected_at: Column | None = None) -> DataFrame:
-    """Streaming bus-bunching alerts from a typed bus stream (event-time timers)."""
+                    delay: str = "10 seconds", detected_at: Column | None = None,
+                    position_ttl_ms: int | None = None) -> DataFrame:
+    """Streaming bus-bunching alerts from a typed bus stream (event-time timers).
+
+    ``position_ttl_ms`` (processing time) forgets buses that stopped
+    reporting; by default positions never expire, as in the reference."""
     src = bus.select("route_id", "bus_id", "lat", "lon", "timestamp", "t_ms", "seq", "event_time").filter(
         F.col("t_ms").isNotNull() & F.col("bus_id").isNotNull()
     )
     fired = src.withWatermark("event_time", delay).groupBy("route_id").transformWithStateInPandas(
-        statefulProcessor=BunchingProcessor(radius_m, hold_ms),
+        statefulProcessor=BunchingProcessor(radius_m, hold_ms, position_ttl_ms),
         outputStructType=BUNCHING_OUT, outputMode="Append", timeMode="EventTime",
     )
     desc = F.format_string(A.BUNCHING_TEMPLATE, F.col("lo"), F.col("hi"), F.col("route_id"), F.col("distance"))
