@@ -76,3 +76,30 @@ def test_bunching_matches_bruteforce(spark, seed):
     got = sorted((r.entityId, r.t_ms, r.sourceTimestamp, round(r.distance, 3))
                  for r in bus_bunching(df).collect())
     assert got == simulate(pings)
+
+
+def test_bunching_stream_matches_bruteforce(spark, tmp_path):
+    from civicflow.sources import telemetry as tv
+    from civicflow.streaming import jobs
+    from civicflow.streaming.io import read_records, run_to_completion, stage_records, write_stream
+    from civicflow.streaming.stateful import bunching_stream
+
+    rnd = random.Random(7)
+    pings = random_pings(rnd, 80)
+    rows = [{"sec": (p["t"] - EPOCH_MS) / 1000, "route_id": p["route"], "bus_id": p["bus"],
+             "lat": p["lat"], "lon": p["lon"], "speed_kmh": 0.0, "occupancy_pct": 0.0} for p in pings]
+    df = frame(spark, rows, "route_id string, bus_id string, lat double, lon double, "
+                            "speed_kmh double, occupancy_pct double")
+    by_seq = {r.seq: r.timestamp for r in df.select("seq", "timestamp").collect()}
+    for p in pings:
+        p["ts"] = by_seq[p["seq"]]
+    run = str(tmp_path / "bb")
+    stage_records(tv.wire_records(df, "bus_gps"), f"{run}/in", slices=5)
+    stream = read_records(spark, "files", path=f"{run}/in", options={"maxFilesPerTrigger": "1"})
+    q = write_stream(bunching_stream(jobs.typed(stream, "bus_gps")), "parquet", f"{run}/ck", path=f"{run}/out",
+                     state_partitions=4)
+    run_to_completion(q)
+    got = sorted((r.entityId, r.t_ms, r.sourceTimestamp, round(float(r.description.split("within ")[1].split("m")[0]), 0))
+                 for r in spark.read.parquet(f"{run}/out").collect())
+    exp = sorted((e, t, ts, round(d, 0)) for e, t, ts, d in simulate(pings))
+    assert got == exp and len(exp) > 0
