@@ -4,8 +4,8 @@ Both processors sort each key's rows of a micro-batch by ``(t_ms, seq)``
 before applying them (Spark gives no order inside a group), so for input that
 arrives in time order they produce exactly the batch forms' alerts.
 
-* gridlock: one integer per junction (the current run length), no timers;
-  late rows are not dropped (no watermark), as in the reference;
+* consecutive runs (gridlock): one integer per key (the current run length),
+  no timers; late rows are not dropped (no watermark), as in the reference;
 * bunching: keyed by route like the reference; state = latest position per
   bus, the open watch per pair, and watches already decided but not yet
   emitted; one event-time timer per route at the earliest deadline + 1 emits
@@ -27,7 +27,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from civicflow.functions import alerts as A
 from civicflow.functions.geo import EARTH_RADIUS_M
 from civicflow.operators.proximity import BUNCHING_HOLD_MS, BUNCHING_RADIUS_M
-from civicflow.operators.runs import GRIDLOCK_CYCLES, GRIDLOCK_WAIT_SEC
+from civicflow.operators.runs import GRIDLOCK_CYCLES, GRIDLOCK_WAIT_SEC, gridlock_breach
 
 
 def _sorted(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
@@ -37,22 +37,15 @@ def _sorted(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
     return pd.concat(frames, ignore_index=True).sort_values(["t_ms", "seq"], kind="stable")
 
 
-# -- gridlock ---------------------------------------------------------------------
+# -- consecutive runs (gridlock) -------------------------------------------------
 
-GRIDLOCK_OUT = T.StructType([
-    T.StructField("junction_id", T.StringType()),
-    T.StructField("zone", T.StringType()),
-    T.StructField("avg_wait_sec", T.DoubleType()),
-    T.StructField("timestamp", T.StringType()),
-    T.StructField("t_ms", T.LongType()),
-    T.StructField("seq", T.LongType()),
-])
 
+class RunProcessor(StatefulProcessor):
+    """Run length per key: +1 on a breaching row, reset otherwise; a row is
+    emitted when the run reaches exactly ``n``."""
 
-class GridlockProcessor(StatefulProcessor):
-    def __init__(self, threshold: float = GRIDLOCK_WAIT_SEC, cycles: int = GRIDLOCK_CYCLES,
-                 ttl_ms: int | None = None):
-        self.threshold, self.cycles, self.ttl_ms = threshold, cycles, ttl_ms
+    def __init__(self, n: int, columns: list[str], ttl_ms: int | None = None):
+        self.n, self.columns, self.ttl_ms = n, columns, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.run = handle.getValueState("run", "n int", self.ttl_ms)
@@ -60,22 +53,38 @@ class GridlockProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows)
         n = self.run.get()[0] if self.run.exists() else 0
-        fired = []
-        for rec in pdf.itertuples(index=False):
-            w = rec.avg_wait_sec
-            if w is not None and w == w and w > self.threshold:
-                n += 1
-                if n == self.cycles:
-                    fired.append((rec.junction_id, rec.zone, w, rec.timestamp, rec.t_ms, rec.seq))
-            else:
-                n = 0
+        hit = []
+        if len(pdf):
+            for i, breach in enumerate(pdf["breach_flag"].tolist()):
+                if breach is True or breach == 1:
+                    n += 1
+                    if n == self.n:
+                        hit.append(i)
+                else:
+                    n = 0
         self.run.update((n,))
-        yield pd.DataFrame(fired, columns=GRIDLOCK_OUT.fieldNames())
+        yield pdf.iloc[hit][self.columns] if hit else pd.DataFrame([], columns=self.columns)
 
     def close(self) -> None:
         pass
 
 
+def consecutive_runs_stream(df: DataFrame, key: str, breach: Column, n: int,
+                            keep: list[str], ttl_ms: int | None = None) -> DataFrame:
+    """Streaming form of ``operators.runs.consecutive_runs``: the rows that
+    complete a run of exactly ``n`` breaches of their key (``breach`` null =
+    no breach).  ``keep`` are the output columns (``t_ms`` and ``seq`` order
+    the rows of a micro-batch).  No watermark: late rows are not dropped."""
+    cols = list(dict.fromkeys([key, *keep, "t_ms", "seq"]))
+    usable = df.filter(F.col("t_ms").isNotNull() & F.col(key).isNotNull())
+    src = usable.select(*cols, F.coalesce(breach, F.lit(False)).alias("breach_flag"))
+    out_schema = T.StructType([src.schema[c] for c in cols])
+    return src.groupBy(key).transformWithStateInPandas(
+        statefulProcessor=RunProcessor(n, cols, ttl_ms),
+        outputStructType=out_schema, outputMode="Append", timeMode="None",
+    )
+
+
 def gridlock_stream(traffic: DataFrame, threshold: float = GRIDLOCK_WAIT_SEC,
                     cycles: int = GRIDLOCK_CYCLES, detected_at: Column | None = None,
                     ttl_ms: int | None = None) -> DataFrame:
@@ -83,11 +92,9 @@ def gridlock_stream(traffic: DataFrame, threshold: float = GRIDLOCK_WAIT_SEC,
 
     ``ttl_ms`` (processing time) bounds how long an idle junction's run
     length is kept; by default it never expires, as in the reference."""
-    cols = GRIDLOCK_OUT.fieldNames()
-    usable = traffic.filter(F.col("t_ms").isNotNull() & F.col("junction_id").isNotNull())
-    fired = usable.select(*cols).groupBy("junction_id").transformWithStateInPandas(
-        statefulProcessor=GridlockProcessor(threshold, cycles, ttl_ms),
-        outputStructType=GRIDLOCK_OUT, outputMode="Append", timeMode="None",
+    fired = consecutive_runs_stream(
+        traffic, "junction_id", gridlock_breach("avg_wait_sec", threshold), cycles,
+        keep=["zone", "avg_wait_sec", "timestamp"], ttl_ms=ttl_ms,
     )
     desc = F.format_string(A.GRIDLOCK_TEMPLATE, F.col("junction_id"), F.col("avg_wait_sec"),
                            F.lit(int(threshold)), F.lit(cycles), F.col("zone"))
