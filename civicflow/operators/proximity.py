@@ -186,24 +186,26 @@ SCAN_OUT = T.StructType([
 ])
 
 
-def _scan_factory(hold_ms: int, horizon: int):
+def _scan_factory(hold_ms: int, horizon: int, once_per_episode: bool = False):
     """Per-partition scan over near observations sorted by (route, lo, hi, t, seq).
 
     Between two near observations of a pair the state can only change at the
     observation right after the first one: if that is not the second near
     one, it is far (it ends the watch).  So the near observations and their
     ``next`` observation are the complete event sequence of the pair.
+    ``once_per_episode``: after an alert, no new watch until a far observation.
     """
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out: list[tuple] = []
-        cur, deadline, pending_far = None, None, None
+        cur, deadline, pending_far, quiet = None, None, None, False
 
         def fire_before(key, t):
-            nonlocal deadline
+            nonlocal deadline, quiet
             if deadline is not None and t > deadline and deadline <= horizon:
                 out.append((*key, deadline))
                 deadline = None
+                quiet = once_per_episode
 
         def close(key):
             nonlocal deadline
@@ -220,13 +222,13 @@ def _scan_factory(hold_ms: int, horizon: int):
                 if key != cur:
                     if cur is not None:
                         close(cur)
-                    cur, deadline, pending_far = key, None, None
+                    cur, deadline, pending_far, quiet = key, None, None, False
                 elif pending_far is not None and pending_far != (t, sq):
                     # the observation after the previous near one was far
                     fire_before(key, pending_far[0])
-                    deadline = None
+                    deadline, quiet = None, False
                 fire_before(key, t)
-                if deadline is None:
+                if deadline is None and not quiet:
                     deadline = t + hold_ms
                 pending_far = (nt, ns) if nt < OPEN_END else None
             if len(out) >= 10_000:
@@ -245,6 +247,7 @@ def bunching_deadlines(
     hold_ms: int = BUNCHING_HOLD_MS,
     delay_ms: int = WATERMARK_DELAY_MS,
     missing: str = "zero",
+    once_per_episode: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(deadlines as (route_id, lo, hi, deadline), segments, max event time)."""
     pings = prepare_pings(bus, missing)
@@ -261,7 +264,7 @@ def bunching_deadlines(
     near = near_observations(seg, radius_m, max_t)
     keys = ["route_id", "lo", "hi"]
     ordered = near.repartition(*keys).sortWithinPartitions(*keys, "t_ms", "seq")
-    fired = ordered.mapInPandas(_scan_factory(hold_ms, horizon), SCAN_OUT)
+    fired = ordered.mapInPandas(_scan_factory(hold_ms, horizon, once_per_episode), SCAN_OUT)
     return fired, seg, max_t
 
 
@@ -271,9 +274,15 @@ def bus_bunching(
     hold_ms: int = BUNCHING_HOLD_MS,
     delay_ms: int = WATERMARK_DELAY_MS,
     detected_at=None,
+    once_per_episode: bool = False,
 ) -> DataFrame:
-    """Bus-bunching incident alerts (batch form)."""
-    fired, seg, max_t = bunching_deadlines(bus, radius_m, hold_ms, delay_ms)
+    """Bus-bunching incident alerts (batch form).
+
+    By default a pair that stays near re-arms after each alert (an alert
+    every 5 minutes, as in the reference); ``once_per_episode`` alerts once
+    until the buses have been seen apart."""
+    fired, seg, max_t = bunching_deadlines(bus, radius_m, hold_ms, delay_ms,
+                                           once_per_episode=once_per_episode)
     at = _as_of(seg, fired, max_t)
     dist = haversine_m("a_lat", "a_lon", "b_lat", "b_lon")
     desc = F.format_string(A.BUNCHING_TEMPLATE, F.col("lo"), F.col("hi"), F.col("route_id"), dist)

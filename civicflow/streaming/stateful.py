@@ -127,8 +127,9 @@ def haversine(lat1: float, lon1: float, lat2: float, lon2: float) -> float:
 
 class BunchingProcessor(StatefulProcessor):
     def __init__(self, radius_m: float = BUNCHING_RADIUS_M, hold_ms: int = BUNCHING_HOLD_MS,
-                 position_ttl_ms: int | None = None):
+                 position_ttl_ms: int | None = None, once_per_episode: bool = False):
         self.radius_m, self.hold_ms, self.position_ttl_ms = radius_m, hold_ms, position_ttl_ms
+        self.once = once_per_episode
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -138,6 +139,8 @@ class BunchingProcessor(StatefulProcessor):
         self.watches = handle.getMapState("watches", "lo string, hi string", "deadline long")
         self.decided = handle.getMapState(
             "decided", "lo string, hi string, deadline long", "ts string, dist double")
+        # once_per_episode: pairs that alerted and have not been seen apart since.
+        self.quiet = handle.getMapState("quiet", "lo string, hi string", "q boolean")
         # One event-time timer per route, at the earliest pending deadline + 1.
         self.timer = handle.getValueState("timer", "expiry long")
 
@@ -163,6 +166,8 @@ class BunchingProcessor(StatefulProcessor):
         watches = {tuple(k): v[0] for k, v in self.watches.iterator()}
         orig_watches = dict(watches)
         pending = [k[2] for k, _ in self.decided.iterator()]
+        quiet = {tuple(k) for k, _ in self.quiet.iterator()} if self.once else set()
+        orig_quiet = set(quiet)
         moved, decided = set(), {}
         radius, hold = self.radius_m, self.hold_ms
         for rec in pdf.itertuples(index=False):
@@ -183,9 +188,12 @@ class BunchingProcessor(StatefulProcessor):
                     decided[(*pair, deadline)] = (ts_lo, haversine(prev[0], prev[1], olat, olon))
                     del watches[pair]
                     deadline = None
+                    if self.once:
+                        quiet.add(pair)
                 if not (haversine(lat, lon, olat, olon) < radius):
                     watches.pop(pair, None)
-                elif deadline is None:
+                    quiet.discard(pair)
+                elif deadline is None and pair not in quiet:
                     watches[pair] = t + hold
         for bus in moved:
             self.positions.updateValue((bus,), pos[bus])
@@ -196,6 +204,10 @@ class BunchingProcessor(StatefulProcessor):
                 self.watches.updateValue(pair, (dl,))
         for k, v in decided.items():
             self.decided.updateValue(k, v)
+        for pair in orig_quiet - quiet:
+            self.quiet.removeKey(pair)
+        for pair in quiet - orig_quiet:
+            self.quiet.updateValue(pair, (True,))
         self._reschedule(pending + [k[2] for k in decided] + list(watches.values()))
         yield pd.DataFrame([], columns=BUNCHING_OUT.fieldNames())
 
@@ -224,6 +236,8 @@ class BunchingProcessor(StatefulProcessor):
                 a, b = pos[lo], pos[hi]
                 out.append((route, lo, hi, dl, a[4], haversine(a[0], a[1], b[0], b[1])))
                 self.watches.removeKey((lo, hi))
+                if self.once:
+                    self.quiet.updateValue((lo, hi), (True,))
             else:
                 remaining.append(dl)
         self._reschedule(remaining)
@@ -235,7 +249,7 @@ class BunchingProcessor(StatefulProcessor):
 
 def bunching_stream(bus: DataFrame, radius_m: float = BUNCHING_RADIUS_M, hold_ms: int = BUNCHING_HOLD_MS,
                     delay: str = "10 seconds", detected_at: Column | None = None,
-                    position_ttl_ms: int | None = None) -> DataFrame:
+                    position_ttl_ms: int | None = None, once_per_episode: bool = False) -> DataFrame:
     """Streaming bus-bunching alerts from a typed bus stream (event-time timers).
 
     ``position_ttl_ms`` (processing time) forgets buses that stopped
@@ -244,7 +258,7 @@ def bunching_stream(bus: DataFrame, radius_m: float = BUNCHING_RADIUS_M, hold_ms
         F.col("t_ms").isNotNull() & F.col("bus_id").isNotNull()
     )
     fired = src.withWatermark("event_time", delay).groupBy("route_id").transformWithStateInPandas(
-        statefulProcessor=BunchingProcessor(radius_m, hold_ms, position_ttl_ms),
+        statefulProcessor=BunchingProcessor(radius_m, hold_ms, position_ttl_ms, once_per_episode),
         outputStructType=BUNCHING_OUT, outputMode="Append", timeMode="EventTime",
     )
     desc = F.format_string(A.BUNCHING_TEMPLATE, F.col("lo"), F.col("hi"), F.col("route_id"), F.col("distance"))

@@ -57,6 +57,16 @@ def test_case_d_rearms_after_firing(spark):
     assert [g[1] for g in got] == [300.0, 660.0]
 
 
+def test_case_d_once_per_episode(spark):
+    pings = []
+    for t in range(0, 1021, 60):
+        pings += [p("A", t, BASE), p("B", t, NEAR)]
+    pings += [p("B", 1100, FAR), p("B", 1160, NEAR), p("A", 1470, BASE), p("Z", 3000, BASE, "R-9")]
+    out = bus_bunching(_pings(spark, pings), once_per_episode=True).collect()
+    # one alert for the first episode, a new one after the buses were seen apart
+    assert sorted((r.t_ms - EPOCH_MS) / 1000 for r in out) == [300.0, 1460.0]
+
+
 def test_case_e_three_mutually_near_buses(spark):
     pings = []
     for t in (0, 100, 200, 320):

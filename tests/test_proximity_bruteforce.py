@@ -19,10 +19,10 @@ HOLD, DELAY = 300_000, 10_000
 SPOTS = [(28.4, 77.0), (28.4009, 77.0), (28.4017, 77.0), (28.4, 77.0021), (28.403, 77.003)]
 
 
-def simulate(pings):
+def simulate(pings, once=False):
     horizon = max(p["t"] for p in pings) - DELAY - 1
     hist = {}  # (route, bus) -> list of (t, seq, lat, lon, ts)
-    watches, fired = {}, []
+    watches, fired, quiet = {}, [], set()
     for p in sorted(pings, key=lambda p: (p["t"], p["seq"])):
         r, b = p["route"], p["bus"]
         hist.setdefault((r, b), []).append((p["t"], p["seq"], p["lat"], p["lon"], p["ts"]))
@@ -36,9 +36,12 @@ def simulate(pings):
                 fired.append((r, lo, hi, dl))
                 dl = None
                 del watches[(r, lo, hi)]
+                if once:
+                    quiet.add((r, lo, hi))
             if not d < 200:
                 watches.pop((r, lo, hi), None)
-            elif dl is None:
+                quiet.discard((r, lo, hi))
+            elif dl is None and (r, lo, hi) not in quiet:
                 watches[(r, lo, hi)] = p["t"] + HOLD
     fired += [(r, lo, hi, dl) for (r, lo, hi), dl in watches.items() if dl <= horizon]
     out = []
@@ -62,8 +65,9 @@ def random_pings(rnd, n):
     return pings
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3, 4, 5, 6])
-def test_bunching_matches_bruteforce(spark, seed):
+@pytest.mark.parametrize("seed,once", [(1, False), (2, False), (3, False), (4, False), (5, False), (6, False),
+                                       (1, True), (8, True)])
+def test_bunching_matches_bruteforce(spark, seed, once):
     rnd = random.Random(seed)
     pings = random_pings(rnd, 60)
     rows = [{"sec": (p["t"] - EPOCH_MS) / 1000, "route_id": p["route"], "bus_id": p["bus"],
@@ -74,11 +78,12 @@ def test_bunching_matches_bruteforce(spark, seed):
     for p in pings:
         p["ts"] = by_seq[p["seq"]]
     got = sorted((r.entityId, r.t_ms, r.sourceTimestamp, round(r.distance, 3))
-                 for r in bus_bunching(df).collect())
-    assert got == simulate(pings)
+                 for r in bus_bunching(df, once_per_episode=once).collect())
+    assert got == simulate(pings, once)
 
 
-def test_bunching_stream_matches_bruteforce(spark, tmp_path):
+@pytest.mark.parametrize("once", [False, True])
+def test_bunching_stream_matches_bruteforce(spark, tmp_path, once):
     from civicflow.sources import telemetry as tv
     from civicflow.streaming import jobs
     from civicflow.streaming.io import read_records, run_to_completion, stage_records, write_stream
@@ -96,10 +101,11 @@ def test_bunching_stream_matches_bruteforce(spark, tmp_path):
     run = str(tmp_path / "bb")
     stage_records(tv.wire_records(df, "bus_gps"), f"{run}/in", slices=5)
     stream = read_records(spark, "files", path=f"{run}/in", options={"maxFilesPerTrigger": "1"})
-    q = write_stream(bunching_stream(jobs.typed(stream, "bus_gps")), "parquet", f"{run}/ck", path=f"{run}/out",
+    q = write_stream(bunching_stream(jobs.typed(stream, "bus_gps"), once_per_episode=once), "parquet",
+                     f"{run}/ck", path=f"{run}/out",
                      state_partitions=4)
     run_to_completion(q)
     got = sorted((r.entityId, r.t_ms, r.sourceTimestamp, round(float(r.description.split("within ")[1].split("m")[0]), 0))
                  for r in spark.read.parquet(f"{run}/out").collect())
-    exp = sorted((e, t, ts, round(d, 0)) for e, t, ts, d in simulate(pings))
+    exp = sorted((e, t, ts, round(d, 0)) for e, t, ts, d in simulate(pings, once))
     assert got == exp and len(exp) > 0
