@@ -46,3 +46,16 @@ def test_gridlock_description_rounds_half_up(spark):
     df = _traffic(spark, {"J": [210.25, 210.25, 210.25]})
     (r,) = incidents.gridlock(df).collect()
     assert "avg wait 210.3s" in r.description
+
+
+def test_gridlock_event_time_vs_arrival_order(spark):
+    # (t seconds, arrival seq, wait): the 100 s reading arrives late (seq 3, t 10)
+    rows = [(0, 1, 200.0), (30, 2, 200.0), (10, 3, 100.0), (20, 4, 200.0), (40, 5, 200.0)]
+    df = spark.createDataFrame(
+        [(s, 1704067200000 + t * 1000, f"t{t}", "J", "Z", w) for t, s, w in rows],
+        "seq long, t_ms long, timestamp string, junction_id string, zone string, avg_wait_sec double",
+    )
+    by_time = [r.seq for r in incidents.gridlock(df, order="event_time").collect()]
+    by_arrival = [r.seq for r in incidents.gridlock(df, order="arrival").collect()]
+    assert by_time == [5]   # event order: 200, 100, 200, 200, 200
+    assert by_arrival == []  # arrival order: 200, 200, 100, 200, 200
