@@ -30,11 +30,11 @@ from civicflow.operators.proximity import BUNCHING_HOLD_MS, BUNCHING_RADIUS_M
 from civicflow.operators.runs import GRIDLOCK_CYCLES, GRIDLOCK_WAIT_SEC, gridlock_breach
 
 
-def _sorted(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
+def _sorted(rows: Iterator[pd.DataFrame], by: tuple[str, ...] = ("t_ms", "seq")) -> pd.DataFrame:
     frames = [r for r in rows if len(r)]
     if not frames:
         return pd.DataFrame()
-    return pd.concat(frames, ignore_index=True).sort_values(["t_ms", "seq"], kind="stable")
+    return pd.concat(frames, ignore_index=True).sort_values(list(by), kind="stable")
 
 
 # -- consecutive runs (gridlock) -------------------------------------------------
@@ -44,14 +44,15 @@ class RunProcessor(StatefulProcessor):
     """Run length per key: +1 on a breaching row, reset otherwise; a row is
     emitted when the run reaches exactly ``n``."""
 
-    def __init__(self, n: int, columns: list[str], ttl_ms: int | None = None):
-        self.n, self.columns, self.ttl_ms = n, columns, ttl_ms
+    def __init__(self, n: int, columns: list[str], ttl_ms: int | None = None,
+                 order: tuple[str, ...] = ("t_ms", "seq")):
+        self.n, self.columns, self.ttl_ms, self.order = n, columns, ttl_ms, order
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.run = handle.getValueState("run", "n int", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows)
+        pdf = _sorted(rows, self.order)
         n = self.run.get()[0] if self.run.exists() else 0
         hit = []
         if len(pdf):
@@ -70,31 +71,33 @@ class RunProcessor(StatefulProcessor):
 
 
 def consecutive_runs_stream(df: DataFrame, key: str, breach: Column, n: int,
-                            keep: list[str], ttl_ms: int | None = None) -> DataFrame:
+                            keep: list[str], ttl_ms: int | None = None,
+                            order: str = "event_time") -> DataFrame:
     """Streaming form of ``operators.runs.consecutive_runs``: the rows that
     complete a run of exactly ``n`` breaches of their key (``breach`` null =
     no breach).  ``keep`` are the output columns (``t_ms`` and ``seq`` order
-    the rows of a micro-batch).  No watermark: late rows are not dropped."""
+    the rows of a micro-batch; ``order='arrival'`` uses ``seq`` alone).  No
+    watermark: late rows are not dropped."""
     cols = list(dict.fromkeys([key, *keep, "t_ms", "seq"]))
     usable = df.filter(F.col("t_ms").isNotNull() & F.col(key).isNotNull())
     src = usable.select(*cols, F.coalesce(breach, F.lit(False)).alias("breach_flag"))
     out_schema = T.StructType([src.schema[c] for c in cols])
     return src.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=RunProcessor(n, cols, ttl_ms),
+        statefulProcessor=RunProcessor(n, cols, ttl_ms, ("seq",) if order == "arrival" else ("t_ms", "seq")),
         outputStructType=out_schema, outputMode="Append", timeMode="None",
     )
 
 
 def gridlock_stream(traffic: DataFrame, threshold: float = GRIDLOCK_WAIT_SEC,
                     cycles: int = GRIDLOCK_CYCLES, detected_at: Column | None = None,
-                    ttl_ms: int | None = None) -> DataFrame:
+                    ttl_ms: int | None = None, order: str = "event_time") -> DataFrame:
     """Streaming gridlock alerts from a typed traffic stream.
 
     ``ttl_ms`` (processing time) bounds how long an idle junction's run
     length is kept; by default it never expires, as in the reference."""
     fired = consecutive_runs_stream(
         traffic, "junction_id", gridlock_breach("avg_wait_sec", threshold), cycles,
-        keep=["zone", "avg_wait_sec", "timestamp"], ttl_ms=ttl_ms,
+        keep=["zone", "avg_wait_sec", "timestamp"], ttl_ms=ttl_ms, order=order,
     )
     desc = F.format_string(A.GRIDLOCK_TEMPLATE, F.col("junction_id"), F.col("avg_wait_sec"),
                            F.lit(int(threshold)), F.lit(cycles), F.col("zone"))
