@@ -24,9 +24,11 @@ Plan (no route-wide pairing, no unbounded group):
    two buses' next pings (their segment ends); when it is not the pair's next
    near observation it is a far one.  Far observations therefore never have to
    be produced: the near set alone is the pair's complete event sequence;
-4. *scan*: near observations are hash-partitioned by pair and sorted; a
-   constant-memory scan per partition applies the rules (a hot route is
-   spread over its pairs);
+4. *scan*: near observations are tagged with their island (the stretch
+   between two far observations, after which a pair starts afresh),
+   hash-partitioned by (pair, island) and sorted; a constant-memory scan per
+   partition applies the rules (a hot route is spread over its pairs, a hot
+   pair over its episodes);
 5. *as-of lookup* of both buses' positions at each deadline.
 """
 
@@ -35,13 +37,13 @@ from __future__ import annotations
 from typing import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civicflow.functions import alerts as A
 from civicflow.functions.geo import chord_cell_size, haversine_m, unit_vector
-from civicflow.operators.sequence import floor_div, with_lookahead
+from civicflow.operators.sequence import floor_div, with_lookahead, with_lookback
 from civicflow.session import materialize
 
 # Bunching radius, hold time and the detectors' watermark delay.
@@ -178,6 +180,36 @@ def near_observations(
     )
 
 
+def with_islands(near: DataFrame, bucket_ms: int = 24 * 3_600_000) -> DataFrame:
+    """Tag each near observation with its island: the (t, seq) of the first
+    near observation after the pair's last far one.
+
+    A far observation resets a pair completely, so islands can be scanned
+    independently; a pair that is near for many separate episodes is spread
+    over tasks instead of being scanned in one.  The island start is the row
+    whose previous near observation's next observation is not this row (exact
+    skew-safe look-back), carried forward within (pair, day) and across days
+    through a small per-day table.
+    """
+    keys = ["route_id", "lo", "hi"]
+    prev = with_lookback(near, keys, "t_ms", "seq", ["next_t", "next_seq"], 1, bucket_ms, keep_bucket=True)
+    starts = ~F.col("_has_lag1") | (F.col("next_t_lag1") != F.col("t_ms")) | (F.col("next_seq_lag1") != F.col("seq"))
+    # _bkt (days) is the look-back's own partitioning: the windows and the
+    # join below reuse it.
+    tagged = prev.withColumn("_start", F.when(starts, F.struct(F.col("t_ms").alias("t"), F.col("seq").alias("s")))) \
+        .withColumnRenamed("_bkt", "_day")
+    upto = Window.partitionBy(*keys, "_day").orderBy("t_ms", "seq").rowsBetween(Window.unboundedPreceding, 0)
+    local = tagged.withColumn("_in_day", F.max("_start").over(upto))
+    days = tagged.groupBy(*keys, "_day").agg(F.max("_start").alias("_last"))
+    before = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    carry = days.select(*keys, "_day", F.max("_last").over(before).alias("_carry"))
+    island = F.coalesce(F.col("_in_day"), F.col("_carry"))
+    out = local.join(carry, [*keys, "_day"], "left").withColumn("_island", island)
+    return out.select(
+        *near.columns, F.col("_island.t").alias("island_t"), F.col("_island.s").alias("island_seq")
+    )
+
+
 SCAN_OUT = T.StructType([
     T.StructField("route_id", T.StringType()),
     T.StructField("lo", T.StringType()),
@@ -187,7 +219,7 @@ SCAN_OUT = T.StructType([
 
 
 def _scan_factory(hold_ms: int, horizon: int, once_per_episode: bool = False):
-    """Per-partition scan over near observations sorted by (route, lo, hi, t, seq).
+    """Per-partition scan over near observations sorted by (pair, island, t, seq).
 
     Between two near observations of a pair the state can only change at the
     observation right after the first one: if that is not the second near
@@ -199,6 +231,7 @@ def _scan_factory(hold_ms: int, horizon: int, once_per_episode: bool = False):
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out: list[tuple] = []
         cur, deadline, pending_far, quiet = None, None, None, False
+        cur_island = None
 
         def fire_before(key, t):
             nonlocal deadline, quiet
@@ -216,10 +249,12 @@ def _scan_factory(hold_ms: int, horizon: int, once_per_episode: bool = False):
                 out.append((*key, deadline))
 
         for pdf in batches:
-            cols = [pdf[c].tolist() for c in ("route_id", "lo", "hi", "t_ms", "seq", "next_t", "next_seq")]
-            for r, lo, hi, t, sq, nt, ns in zip(*cols):
+            cols = [pdf[c].tolist() for c in
+                    ("route_id", "lo", "hi", "island_t", "island_seq", "t_ms", "seq", "next_t", "next_seq")]
+            for r, lo, hi, it, isq, t, sq, nt, ns in zip(*cols):
                 key = (r, lo, hi)
-                if key != cur:
+                if (key, it, isq) != cur_island:
+                    cur_island = (key, it, isq)
                     if cur is not None:
                         close(cur)
                     cur, deadline, pending_far, quiet = key, None, None, False
@@ -248,6 +283,7 @@ def bunching_deadlines(
     delay_ms: int = WATERMARK_DELAY_MS,
     missing: str = "zero",
     once_per_episode: bool = False,
+    split_episodes: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """(deadlines as (route_id, lo, hi, deadline), segments, max event time)."""
     pings = prepare_pings(bus, missing)
@@ -262,7 +298,13 @@ def bunching_deadlines(
     # once and written under the shared checkpoint root.
     seg = materialize(segments(pings, hold_ms), "bunching-segments")
     near = near_observations(seg, radius_m, max_t)
-    keys = ["route_id", "lo", "hi"]
+    if split_episodes:
+        # Scan per (pair, island) so a hot pair is spread over its episodes.
+        # The near set feeds several branches of the tagging: written once.
+        near = with_islands(materialize(near, "bunching-near"))
+    else:
+        near = near.withColumn("island_t", F.lit(0).cast("long")).withColumn("island_seq", F.lit(0).cast("long"))
+    keys = ["route_id", "lo", "hi", "island_t", "island_seq"]
     ordered = near.repartition(*keys).sortWithinPartitions(*keys, "t_ms", "seq")
     fired = ordered.mapInPandas(_scan_factory(hold_ms, horizon, once_per_episode), SCAN_OUT)
     return fired, seg, max_t
@@ -275,14 +317,18 @@ def bus_bunching(
     delay_ms: int = WATERMARK_DELAY_MS,
     detected_at=None,
     once_per_episode: bool = False,
+    split_episodes: bool = True,
 ) -> DataFrame:
     """Bus-bunching incident alerts (batch form).
 
     By default a pair that stays near re-arms after each alert (an alert
     every 5 minutes, as in the reference); ``once_per_episode`` alerts once
-    until the buses have been seen apart."""
+    until the buses have been seen apart.  ``split_episodes`` scans each
+    near episode of a pair separately (skew safety for a pair that is often
+    near; costs a few shuffles of the near set, off = one scan per pair)."""
     fired, seg, max_t = bunching_deadlines(bus, radius_m, hold_ms, delay_ms,
-                                           once_per_episode=once_per_episode)
+                                           once_per_episode=once_per_episode,
+                                           split_episodes=split_episodes)
     at = _as_of(seg, fired, max_t)
     dist = haversine_m("a_lat", "a_lon", "b_lat", "b_lon")
     desc = F.format_string(A.BUNCHING_TEMPLATE, F.col("lo"), F.col("hi"), F.col("route_id"), dist)

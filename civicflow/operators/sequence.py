@@ -30,9 +30,13 @@ def with_lookback(
     cols: list[str],
     n: int,
     bucket_ms: int = DEFAULT_BUCKET_MS,
+    keep_bucket: bool = False,
 ) -> DataFrame:
     """Add ``{c}_lag{k}`` for ``k`` in 1..n and ``_has_lag{k}`` (row exists).
 
+    ``keep_bucket`` keeps the ``_bkt`` column: the result is partitioned by
+    (key, ``_bkt``), so a following window or join on it needs no shuffle.
+
     One shuffle of the input, by (key, bucket): in-bucket lags, position and
     bucket size come from one window pass.  Only the first ``n`` rows of a
     bucket reach back into earlier buckets; they take their values from a
@@ -91,7 +95,9 @@ def with_lookback(
                 v = F.col(f"_ctx_{c}_{k - p + 1}")
                 from_ctx = F.when(pos == p, v) if from_ctx is None else from_ctx.when(pos == p, v)
             fixed[f"{c}_lag{k}"] = F.when(pos > k, F.col(f"{c}_lag{k}")).otherwise(from_ctx)
-    drop = ["_bkt", "_pos", "_cnt", "_nctx"] + [f"_ctx_{c}_{r}" for r in range(1, n + 1) for c in cols]
+    drop = ([] if keep_bucket else ["_bkt"]) + ["_pos", "_cnt", "_nctx"] + [
+        f"_ctx_{c}_{r}" for r in range(1, n + 1) for c in cols
+    ]
     return out.withColumns(fixed).drop(*drop)
 
 

@@ -65,9 +65,10 @@ def random_pings(rnd, n):
     return pings
 
 
-@pytest.mark.parametrize("seed,once", [(1, False), (2, False), (3, False), (4, False), (5, False), (6, False),
-                                       (1, True), (8, True)])
-def test_bunching_matches_bruteforce(spark, seed, once):
+@pytest.mark.parametrize("seed,once,split", [(1, False, True), (2, False, True), (3, False, True),
+                                             (4, False, False), (5, False, True), (6, False, False),
+                                             (1, True, True), (8, True, False)])
+def test_bunching_matches_bruteforce(spark, seed, once, split):
     rnd = random.Random(seed)
     pings = random_pings(rnd, 60)
     rows = [{"sec": (p["t"] - EPOCH_MS) / 1000, "route_id": p["route"], "bus_id": p["bus"],
@@ -78,7 +79,7 @@ def test_bunching_matches_bruteforce(spark, seed, once):
     for p in pings:
         p["ts"] = by_seq[p["seq"]]
     got = sorted((r.entityId, r.t_ms, r.sourceTimestamp, round(r.distance, 3))
-                 for r in bus_bunching(df, once_per_episode=once).collect())
+                 for r in bus_bunching(df, once_per_episode=once, split_episodes=split).collect())
     assert got == simulate(pings, once)
 
 
