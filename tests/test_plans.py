@@ -1,0 +1,44 @@
+"""Plan properties the design relies on (read from ``explain`` output)."""
+
+import contextlib
+import io
+
+import pytest
+
+import __spark_entry__ as E
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan(spark, name):
+    df = E.queries()[name](spark, SF)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    return buf.getvalue()
+
+
+def test_ward_energy_prunes_columns_and_aggregates_partially(spark):
+    p = plan(spark, "ward_energy")
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,value:double>" in p
+    assert p.count("HashAggregate") >= 2  # partial before the shuffle, final after
+
+
+@pytest.mark.parametrize("name", ["health_advisory_df", "route_enrichment"])
+def test_lookups_are_broadcast(spark, name):
+    assert "BroadcastHashJoin" in plan(spark, name)
+
+
+def test_enrichment_reads_no_value_column(spark):
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>" in plan(spark, "route_enrichment")
+
+
+def test_ward_history_uses_partition_pruning(spark):
+    p = plan(spark, "ward_history_pruned")
+    line = next(x for x in p.splitlines() if x.startswith("PartitionFilters"))
+    assert "ward_id" in line and "date" in line
+
+
+def test_dead_letter_filter_does_not_reparse(spark):
+    p = plan(spark, "dlq_envelope")
+    assert p.count("from_json") <= 2  # one parse per topic branch
