@@ -70,7 +70,8 @@ def stage_records(
     ``max_rows_per_slice`` per range, so one file never grows with the table.
     Returns the number of slices written."""
     lo, hi = records.agg(F.min(order), F.max(order)).first()
-    if lo is None:
+    if lo is None:  # nothing to replay: still create the (empty) input folder
+        records.select("topic", "offset", "value").write.mode("append").json(path)
         return 0
     slices = max(slices, -(-(hi - lo + 1) // max_rows_per_slice))
     width = (hi - lo) // slices + 1

@@ -94,3 +94,12 @@ def test_stream_detectors_skip_records_without_event_time(spark, tmp_path):
     q2 = write_stream(bunching_stream(bus), "parquet", f"{run}/ck2", path=f"{run}/o2")
     run_to_completion(q1)
     run_to_completion(q2)
+
+
+def test_empty_replay_runs(spark, tmp_path):
+    run = _run_dir(tmp_path)
+    empty = spark.createDataFrame([], "topic string, offset long, value string")
+    assert stage_records(empty, f"{run}/in") == 0
+    stream = read_records(spark, "files", path=f"{run}/in")
+    run_to_completion(write_stream(jobs.typed(stream, "air_quality"), "parquet", f"{run}/ck", path=f"{run}/out"))
+    assert spark.read.schema("seq long").parquet(f"{run}/out").count() == 0
