@@ -6,11 +6,13 @@ arrives in time order they produce exactly the batch forms' alerts.
 
 * consecutive runs (gridlock): one integer per key (the current run length),
   no timers; late rows are not dropped (no watermark), as in the reference;
-* bunching: keyed by route like the reference; state = latest position per
-  bus, the open watch per pair, and watches already decided but not yet
-  emitted; one event-time timer per route at the earliest deadline + 1 emits
-  every watch the watermark (max event time - delay) has passed.  Rows
-  behind the watermark are dropped by Spark (documented difference).
+* bunching: keyed by route like the reference; state = rows not yet reached
+  by the watermark, latest position per bus, the open watch per pair, and
+  watches already decided but not yet emitted.  Rows are applied in event
+  order once the watermark reaches them, and alerts are emitted once the
+  watermark (max event time - delay) passes their deadline; one event-time
+  timer per route.  Rows behind the watermark are dropped by Spark
+  (documented difference).
 """
 
 from __future__ import annotations
@@ -129,6 +131,15 @@ def haversine(lat1: float, lon1: float, lat2: float, lon2: float) -> float:
 
 
 class BunchingProcessor(StatefulProcessor):
+    """Per-route state machine of the bunching detector.
+
+    Rows are buffered and applied in ``(t, seq)`` order once the watermark
+    has reached them: a later micro-batch can then only bring rows above the
+    watermark (Spark drops the rest), so out-of-order arrival within the
+    delay does not change the result.  One event-time timer per route wakes
+    the processor for the earliest buffered row or deadline.
+    """
+
     def __init__(self, radius_m: float = BUNCHING_RADIUS_M, hold_ms: int = BUNCHING_HOLD_MS,
                  position_ttl_ms: int | None = None, once_per_episode: bool = False):
         self.radius_m, self.hold_ms, self.position_ttl_ms = radius_m, hold_ms, position_ttl_ms
@@ -136,6 +147,8 @@ class BunchingProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
+        self.buffer = handle.getListState(
+            "buffer", "bus string, lat double, lon double, t long, seq long, ts string")
         self.positions = handle.getMapState(
             "positions", "bus string", "lat double, lon double, t long, seq long, ts string",
             self.position_ttl_ms)
@@ -144,11 +157,9 @@ class BunchingProcessor(StatefulProcessor):
             "decided", "lo string, hi string, deadline long", "ts string, dist double")
         # once_per_episode: pairs that alerted and have not been seen apart since.
         self.quiet = handle.getMapState("quiet", "lo string, hi string", "q boolean")
-        # One event-time timer per route, at the earliest pending deadline + 1.
         self.timer = handle.getValueState("timer", "expiry long")
 
-    def _reschedule(self, deadlines) -> None:
-        due = min(deadlines) + 1 if deadlines else None
+    def _reschedule(self, due) -> None:
         cur = self.timer.get()[0] if self.timer.exists() else None
         if due == cur:
             return
@@ -160,25 +171,19 @@ class BunchingProcessor(StatefulProcessor):
             self.handle.registerTimer(due)
             self.timer.update((due,))
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        # The route's state is read once per micro-batch, the rows are applied
-        # in memory, and only changed entries are written back: a few state
-        # calls per key and batch instead of several per row.
-        pdf = _sorted(rows)
+    def _apply(self, recs: list[tuple]) -> None:
+        """Apply pings (bus, lat, lon, t, seq, ts) in order.  The route's state
+        is read once and only changed entries are written back."""
         pos = {k[0]: tuple(v) for k, v in self.positions.iterator()}
         watches = {tuple(k): v[0] for k, v in self.watches.iterator()}
         orig_watches = dict(watches)
-        pending = [k[2] for k, _ in self.decided.iterator()]
         quiet = {tuple(k) for k, _ in self.quiet.iterator()} if self.once else set()
         orig_quiet = set(quiet)
         moved, decided = set(), {}
         radius, hold = self.radius_m, self.hold_ms
-        for rec in pdf.itertuples(index=False):
-            bus, t = rec.bus_id, int(rec.t_ms)
-            lat = 0.0 if rec.lat is None or rec.lat != rec.lat else float(rec.lat)
-            lon = 0.0 if rec.lon is None or rec.lon != rec.lon else float(rec.lon)
+        for bus, lat, lon, t, sq, ts in recs:
             prev = pos.get(bus)
-            pos[bus] = (lat, lon, t, int(rec.seq), rec.timestamp)
+            pos[bus] = (lat, lon, t, sq, ts)
             moved.add(bus)
             for other, (olat, olon, _ot, _os, ots) in pos.items():
                 if other == bus:
@@ -211,17 +216,13 @@ class BunchingProcessor(StatefulProcessor):
             self.quiet.removeKey(pair)
         for pair in quiet - orig_quiet:
             self.quiet.updateValue(pair, (True,))
-        self._reschedule(pending + [k[2] for k in decided] + list(watches.values()))
-        yield pd.DataFrame([], columns=BUNCHING_OUT.fieldNames())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        # Emit every watch whose deadline the watermark has passed (deadline + 1
-        # <= watermark), decided ones with their stored positions, open ones
-        # with the current positions (no observation of the pair came after
-        # the deadline, or it would have been decided).
-        (route,) = key
-        wm = timerValues.getCurrentWatermarkInMs()
-        self.timer.clear()
+    def _emit_due(self, route: str, wm: int) -> tuple[list, list]:
+        """Alerts whose deadline the watermark has passed (deadline + 1 <=
+        watermark): decided ones with their stored positions, open ones with
+        the current positions (no observation of the pair came after the
+        deadline, or it would have been decided).  Returns (alerts, remaining
+        deadlines)."""
         out, remaining = [], []
         for k, (ts, dist) in list(self.decided.iterator()):
             lo, hi, dl = k
@@ -243,8 +244,37 @@ class BunchingProcessor(StatefulProcessor):
                     self.quiet.updateValue((lo, hi), (True,))
             else:
                 remaining.append(dl)
-        self._reschedule(remaining)
-        yield pd.DataFrame(out, columns=BUNCHING_OUT.fieldNames())
+        return out, remaining
+
+    def _step(self, route: str, new: list[tuple], wm: int) -> pd.DataFrame:
+        rows = ([tuple(r) for r in self.buffer.get()] if self.buffer.exists() else []) + new
+        ready = sorted((r for r in rows if r[3] <= wm), key=lambda r: (r[3], r[4]))
+        keep = [r for r in rows if r[3] > wm]
+        if ready:
+            self._apply(ready)
+        if ready or new:
+            self.buffer.clear()
+            if keep:
+                self.buffer.put(keep)
+        out, remaining = self._emit_due(route, wm)
+        dues = [d + 1 for d in remaining] + ([min(r[3] for r in keep) + 1] if keep else [])
+        self._reschedule(min(dues) if dues else None)
+        return pd.DataFrame(out, columns=BUNCHING_OUT.fieldNames())
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        (route,) = key
+        pdf = _sorted(rows)
+        new = []
+        for rec in pdf.itertuples(index=False):
+            lat = 0.0 if rec.lat is None or rec.lat != rec.lat else float(rec.lat)
+            lon = 0.0 if rec.lon is None or rec.lon != rec.lon else float(rec.lon)
+            new.append((rec.bus_id, lat, lon, int(rec.t_ms), int(rec.seq), rec.timestamp))
+        yield self._step(route, new, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        (route,) = key
+        self.timer.clear()
+        yield self._step(route, [], timerValues.getCurrentWatermarkInMs())
 
     def close(self) -> None:
         pass
