@@ -83,8 +83,8 @@ def test_bunching_matches_bruteforce(spark, seed, once, split):
     assert got == simulate(pings, once)
 
 
-@pytest.mark.parametrize("once", [False, True])
-def test_bunching_stream_matches_bruteforce(spark, tmp_path, once):
+@pytest.mark.parametrize("once,buffered", [(False, True), (True, True), (False, False)])
+def test_bunching_stream_matches_bruteforce(spark, tmp_path, once, buffered):
     from civicflow.sources import telemetry as tv
     from civicflow.streaming import jobs
     from civicflow.streaming.io import read_records, run_to_completion, stage_records, write_stream
@@ -102,7 +102,8 @@ def test_bunching_stream_matches_bruteforce(spark, tmp_path, once):
     run = str(tmp_path / "bb")
     stage_records(tv.wire_records(df, "bus_gps"), f"{run}/in", slices=5)
     stream = read_records(spark, "files", path=f"{run}/in", options={"maxFilesPerTrigger": "1"})
-    q = write_stream(bunching_stream(jobs.typed(stream, "bus_gps"), once_per_episode=once), "parquet",
+    q = write_stream(bunching_stream(jobs.typed(stream, "bus_gps"), once_per_episode=once,
+                                     buffer_until_watermark=buffered), "parquet",
                      f"{run}/ck", path=f"{run}/out",
                      state_partitions=4)
     run_to_completion(q)
