@@ -1,0 +1,10 @@
+"""Sinks (defined with the stream sources in ``civicflow.streaming.io``):
+Kafka row shaping and batch publish, streaming writers (parquet, kafka,
+update log, console/memory) and the update-log reader."""
+
+from civicflow.streaming.io import (  # noqa: F401
+    kafka_rows,
+    latest_from_update_log,
+    publish,
+    write_stream,
+)
