@@ -20,6 +20,7 @@ replaced.
 from __future__ import annotations
 
 import json
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,10 @@ PRETOKEN = (
 PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
 #: Fragments kept by a worker process.
-MEMO_ENTRIES = 250_000
+MEMO_ENTRIES = 400_000
+#: Pre-tokens of more bytes are cut at their certain places too (in shorter
+#: ones the cuts would cost more than they save; the ids are the same).
+LONG_WORD = 48
 
 
 def byte_of_char() -> dict[str, int]:
@@ -61,7 +65,8 @@ class ByteVocabulary:
         if merged != sorted(merged):
             raise ValueError("ids of merged tokens must ascend with the rank of their merge")
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.bytes_of = {i: b for b, i in ranks.items()} | {i: s.encode() for s, i in self.specials.items()}
+        of = {i: b for b, i in ranks.items()} | {i: s.encode() for s, i in self.specials.items()}
+        self.bytes_of = [of.get(i, b"") for i in range(max(of) + 1)]
         self.never = self._never_inside(ranks)
         self.text_cuts = self.never & self._splits_alike()
         self._pieces = tiktoken.Encoding("fragments", pat_str=PRETOKEN, mergeable_ranks=ranks, special_tokens={})
@@ -94,12 +99,15 @@ class ByteVocabulary:
         return (space[None, :] | (visible[:, None] & begins[None, :])).ravel()
 
     def _encode_fragment(self, fragment: bytes) -> bytes:
+        if fragment.isalpha() or fragment[:1] == b" " and fragment[1:].isalpha():  # one pre-token
+            words = [fragment]
+        else:
+            words = [w.encode() for w in self._pretoken.findall(fragment.decode())]
         ids: list[int] = []
-        for word in self._pretoken.findall(fragment.decode()):
-            raw = word.encode()
-            for piece in split_at(raw, self.never):
+        for word in words:
+            for piece in split_at(word, self.never) if len(word) > LONG_WORD else [word]:
                 ids += self._pieces._encode_single_piece(piece)
-        return np.array(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _encode_plain(self, raw: bytes) -> bytes:
         return b"".join(map(self.fragment_ids, split_at(raw, self.text_cuts)))
@@ -117,8 +125,9 @@ class ByteVocabulary:
         return b"".join([*out, self._encode_plain(text[at:].encode())])
 
     def decode(self, ids: bytes | None) -> str:
-        known = self.bytes_of.get
-        return b"".join([known(i, b"") for i in np.frombuffer(ids or b"", "<u4").tolist()]).decode(errors="replace")
+        known = np.frombuffer(ids or b"", "<u4")
+        known = known[known < len(self.bytes_of)]
+        return b"".join(map(self.bytes_of.__getitem__, known.tolist())).decode(errors="replace")
 
 
 def split_at(raw: bytes, cuts: np.ndarray) -> list[bytes]:

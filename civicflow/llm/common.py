@@ -26,17 +26,22 @@ def per_process(key, build):
 
 
 class BoundedMemo(dict):
-    """Memo of a pure function.  It is emptied when ``limit`` entries are held
-    (memory bound only: a dropped entry is computed again)."""
+    """Memo of a pure function that holds at most ``limit`` entries in two
+    generations: when the young one is full it becomes the old one, so that
+    what is used often stays (a dropped entry is computed again)."""
 
     def __init__(self, compute, limit: int):
         super().__init__()
-        self.compute, self.limit = compute, limit
+        self.compute, self.half, self.old = compute, limit // 2 or 1, {}
 
     def __missing__(self, key):
-        if len(self) >= self.limit:
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.half:
+            self.old = dict(self)
             self.clear()
-        value = self[key] = self.compute(key)
+        self[key] = value
         return value
 
 

@@ -44,7 +44,7 @@ def test_fragments_restore_the_text_and_cut_only_certain_pairs():
     raw = " ".join(random.Random(1).choices(HARD, k=50)).encode()
     parts = bpe.split_at(raw, VOCABULARY.text_cuts)
     assert b"".join(parts) == raw and len(parts) > 50
-    tokens = set(VOCABULARY.bytes_of.values())
+    tokens = set(VOCABULARY.bytes_of)
     pairs = {t[i:i + 2] for t in tokens if t != b"<|endoftext|>" for i in range(len(t) - 1)}
     for a, b in zip(parts, parts[1:]):
         assert a[-1:] + b[:1] not in pairs
