@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civicflow.llm import bpe
+from civicflow.llm import bpe, token_files
 from civicflow.llm.common import read_table
 
 
@@ -22,4 +22,8 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(spark, read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
-QUERIES = {"op1_bpe": op1_bpe}
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.file_digests(spark, read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_token_files)}
