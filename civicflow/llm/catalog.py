@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civicflow.llm import bpe, token_files
+from civicflow.llm import bpe, licenses, quality, sharding, token_files
 from civicflow.llm.common import read_table
 
 
@@ -26,4 +26,16 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.file_digests(spark, read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_token_files)}
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(read_table(spark, sf_dir, "documents"))
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents"))
+
+
+def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_token_files, op3_quality, op6_licenses, op9_shards)}

@@ -1,0 +1,51 @@
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from civicflow.llm import sharding
+
+
+def check(rows, texts, n_shards):
+    assert Counter((r["doc_id"], r["text_crc32"], r["size"]) for r in rows) == Counter(
+        (i, zlib.crc32((t or "").encode()), len((t or "").encode()) + 8) for i, t in texts)
+    by = defaultdict(list)
+    for r in rows:
+        by[r["shard"]].append(r)
+    total, largest = sum(r["size"] for r in rows), max(r["size"] for r in rows)
+    for s, found in by.items():
+        assert 0 <= s < n_shards
+        assert sorted(r["slot"] for r in found) == list(range(len(found)))
+    for s in range(n_shards):
+        assert abs(sum(r["size"] for r in by[s]) - total / n_shards) <= largest
+    return by
+
+
+@pytest.mark.parametrize("hot", [0, 400])
+def test_equal_bytes_gapless_slots_groups_together(spark, docs, hot):
+    rng = random.Random(3)
+    texts = ["x" * rng.randint(0, 400) + str(i) for i in range(600)] + ["same text"] * hot + [None, "", "é日"]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)] + [(None, "same text", None, None, None)] * 30
+    out = sharding.shard_documents(docs(rows)).collect()
+    by = check(out, [(r[0], r[1]) for r in rows], 24)
+    shards = defaultdict(set)
+    for s, found in by.items():
+        for r in found:
+            shards[r["text_crc32"]].add(s)
+    for crc, found in shards.items():  # a group is only cut where a shard ends
+        assert sorted(found) == list(range(min(found), max(found) + 1))
+    assert {r["law"] for r in out} == {"bytes"} and {r["grown_shard"] for r in out} == {None}
+
+
+def test_one_key_for_all_rows_is_subdivided(spark, docs):
+    rows = [(5, "twin", "en", "s", 4)] * 3000
+    by = check(sharding.shard_documents(docs(rows)).collect(), [(5, "twin")] * 3000, 24)
+    assert {len(found) for found in by.values()} == {125}
+
+
+def test_empty_one_row_and_plan_without_python(spark, docs):
+    assert sharding.shard_documents(docs([])).count() == 0
+    one = sharding.shard_documents(docs(["a"]))
+    assert [(r["slot"], r["size"]) for r in one.collect()] == [(0, 9)]
+    assert "Python" not in one._jdf.queryExecution().toString()
