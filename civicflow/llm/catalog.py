@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civicflow.llm import bpe, licenses, quality, sharding, token_files
+from civicflow.llm import bpe, licenses, mixing, near_dedup, quality, secrets, sharding, token_files, topk, warc
 from civicflow.llm.common import read_table
 
 
@@ -38,4 +38,27 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_token_files, op3_quality, op6_licenses, op9_shards)}
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(read_table(spark, sf_dir, "embeddings"))
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.span_digests(read_table(spark, sf_dir, "documents"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(read_table(spark, sf_dir, "pages"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A budget of the corpus's own size, no source shown more than four times."""
+    mixed = mixing.mix(read_table(spark, sf_dir, "documents"), budget_ratio=1.0, max_passes=4.0)
+    return mixed.select("doc_id", "source", "tokens", "epoch", "mix_key")
+
+
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(read_table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_bpe, op2_token_files, op3_quality, op4_topk, op5_warc, op6_licenses, op7_secrets, op8_mixing, op9_shards, op10_near_dedup)}

@@ -63,7 +63,7 @@ def write_file(uri: str, data_parts) -> int:
     store, path = open_store(uri)
     store.create_dir(path.rsplit("/", 1)[0], recursive=True)
     n = 0
-    with store.open_output_stream(path) as out:
+    with store.open_output_stream(path, compression=None) as out:
         for part in data_parts:
             out.write(part)
             n += len(part)
