@@ -14,12 +14,15 @@ wide as the threshold allows, so no link is lost by it.
 
 Work.  Equal word sequences are first collapsed to one representative.  In
 every bucket (a table's value) the members are checked against one of them,
-the smallest; linked texts form components.  Members of a bucket that are
-then still in different components are checked against each other pair by
-pair, so every pair of candidates is either checked or already in one class:
-nothing is capped, and a group of many copies costs a line per copy, not a
-pair.  Components come from label propagation with pointer jumping, in written
-tables; nothing but counts is collected.
+the smallest; linked texts form components.  A bucket whose members are then
+still in different components is compared in full: its members are dealt into
+blocks of bounded size, every pair of blocks is one unit of work, and a unit
+counts the common k-mers of all its pairs by matrix products and aligns those
+that could be similar, unless they got linked meanwhile.  It emits links, not
+pairs.  So every pair of candidates is either compared or already in one
+class, nothing is capped, and copies of one text cost a row each.  Components
+come from label propagation with pointer jumping, in written tables; nothing
+but counts is collected.
 
 Defined results: texts without words (also null) are classes of their own;
 texts of fewer than five words have one k-mer, of all their words; the class
@@ -53,6 +56,8 @@ SHORT, LONG, SHORT_PICKED, SHORT_TABLES = 32, 25, 2, 16
 MEMO_ENTRIES = 300_000
 #: Hashes in memory at once when a long text is sketched.
 CHUNK = 1 << 20
+#: Members and k-mers of a block, and columns of an incidence slice.
+UNIT_ROWS, UNIT_KMERS, SLICE = 512, 1_000_000, 8192
 
 SKETCH_SCHEMA = "doc_id long, uid long, text_key string, digest binary, n long, words binary, sketch array<long>"
 
@@ -223,6 +228,87 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(check, "a long, b long")
 
 
+def common_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Number of common elements of each pair of sets, by products of slices of
+    their incidence matrix (elements of one set only are left out)."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, element, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times[element] > 1
+    owner, element = owner[shared], element[shared]
+    element = np.unique(element, return_inverse=True)[1]
+    counts = np.zeros((len(sets), len(sets)), np.float32)
+    order = np.argsort(element, kind="stable")
+    owner, element = owner[order], element[order]
+    for a in range(0, int(element[-1]) + 1 if len(element) else 0, SLICE):
+        at, to = np.searchsorted(element, (a, a + SLICE))
+        x = np.zeros((len(sets), min(SLICE, int(element[-1]) + 1 - a)), np.float32)
+        x[owner[at:to], element[at:to] - a] = 1
+        counts += x @ x.T
+    return counts
+
+
+def unit_links(bucket: int, i: int, j: int, rows: list[tuple]) -> list[tuple[int, int]]:
+    """Links among the members of a unit, rows (block, uid, label, words, sketch),
+    that join different components; a spanning set of them.  A pair that shares
+    several buckets is compared in the first."""
+    block = np.array([r[0] for r in rows])
+    label = np.array([r[2] for r in rows])
+    words = [np.frombuffer(r[3], np.uint32) for r in rows]
+    found = [kmers(w) for w in words]
+    n = np.array([len(x) for x in found])
+    open_pairs = (label[:, None] != label[None, :]) & np.triu(np.ones((len(rows), len(rows)), bool), 1)
+    if i != j:
+        open_pairs &= block[:, None] != block[None, :]
+    a, b = SIMILARITY
+    open_pairs &= np.minimum.outer(n, n) * b >= np.maximum.outer(n, n) * a
+    need = -(-a * np.add.outer(n, n) // (a + b))
+    if open_pairs.any():
+        open_pairs &= common_counts([labelled(x) for x in found]) >= need
+    parent = {int(x): int(x) for x in label}
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    links = []
+    for x, y in zip(*map(np.ndarray.tolist, np.nonzero(open_pairs))):
+        one, two = root(int(label[x])), root(int(label[y]))
+        if one != two and first_common(rows[x][4], rows[y][4]) == bucket and similar(words[x], words[y]):
+            parent[one] = two
+            links.append((rows[x][1], rows[y][1]))
+    return links
+
+
+def first_common(one, two) -> int | None:
+    other = set(two)
+    return next((v for v in one if v in other), None)
+
+
+def compared(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) among the members (bucket, uid, n, label) of open buckets."""
+    stats = members.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("k"), F.sum("n").alias("s"))
+    stats = stats.where("x <> y").select("bucket", F.ceil(F.greatest(F.col("k") / UNIT_ROWS, F.col("s") / UNIT_KMERS)).alias("blocks"))
+    dealt = members.join(stats, "bucket").withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks")))
+    sent = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+        "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "uid", "label")
+    units = sent.join(texts.select("uid", "words", "sketch"), "uid").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+
+    def run(batches):
+        key, held, out = None, [], []
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("bucket", "i", "j", "block", "uid", "label", "words", "sketch")]
+            for bucket, i, j, *row in zip(*columns):
+                if (bucket, i, j) != key:
+                    out += unit_links(*key, held) if held else []
+                    key, held = (bucket, i, j), []
+                held.append(tuple(row))
+        out += unit_links(*key, held) if held else []
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return units.select("bucket", "i", "j", "block", "uid", "label", "words", "sketch").mapInArrow(run, "a long, b long")
+
+
 # ---------------------------------------------------------------- components
 
 def components(edges: DataFrame) -> DataFrame:
@@ -247,25 +333,19 @@ def in_length(n: str, m: str):
     return F.least(n, m) * b >= F.greatest(n, m) * a
 
 
-def links(texts: DataFrame) -> DataFrame:
-    """Component of every text (uid, n, words, sketch) that has a link: (node, label)."""
-    members = materialize(texts.select("uid", "n", F.explode("sketch").alias("bucket")), "near-buckets")
+def links(rows: DataFrame, representatives: DataFrame) -> DataFrame:
+    """Component of every representative (uid) that has a link: (node, label)."""
+    distinct = rows.select("uid", "n", "sketch").join(representatives, "uid", "left_semi")
+    members = materialize(distinct.select("uid", "n", F.explode("sketch").alias("bucket")), "near-buckets")
     hubs = members.groupBy("bucket").agg(F.min(F.struct("uid", "n")).alias("hub"), F.count("*").alias("size")).where("size > 1")
     shared = materialize(members.join(hubs, "bucket").select("bucket", "uid", "n", F.col("hub.uid").alias("hub"), F.col("hub.n").alias("hub_n")), "near-shared")
-    first = shared.where((F.col("uid") != F.col("hub")) & in_length("n", "hub_n")).select(F.col("hub").alias("a"), F.col("uid").alias("b")).distinct()
-    first = materialize(first, "near-pairs")
-    found = materialize(verified(first, texts), "near-found")
-    labels = components(found)
-
-    # Members that share a bucket but not yet a component, pair by pair.
-    labelled = shared.join(labels.withColumnRenamed("node", "uid"), "uid", "left").select("bucket", "uid", "n", F.coalesce("label", "uid").alias("label"))
-    open_buckets = labelled.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
-    left = materialize(labelled.join(open_buckets, "bucket"), "near-left")
-    one, two = (left.select("bucket", *[F.col(c).alias(f"{c}{i}") for c in ("uid", "n", "label")]) for i in (1, 2))
-    rest = one.join(two, "bucket").where((F.col("uid1") < F.col("uid2")) & (F.col("label1") != F.col("label2")) & in_length("n1", "n2"))
-    rest = rest.select(F.col("uid1").alias("a"), F.col("uid2").alias("b")).distinct()
-    rest = rest.join(first, ["a", "b"], "left_anti")
-    return components(found.union(materialize(verified(rest, texts), "near-found")))
+    # The words and sketches of texts that share a bucket, from here on the only ones in use.
+    texts = materialize(rows.select("uid", "words", "sketch").join(shared.select("uid").distinct(), "uid", "left_semi"), "near-texts")
+    pairs = shared.where((F.col("uid") != F.col("hub")) & in_length("n", "hub_n")).select(F.col("hub").alias("a"), F.col("uid").alias("b")).distinct()
+    found = materialize(verified(pairs, texts), "near-found")
+    labels = components(found).withColumnRenamed("node", "uid")
+    members = shared.join(labels, "uid", "left").select("bucket", "uid", "n", F.coalesce("label", "uid").alias("label"))
+    return components(found.union(materialize(compared(members, texts), "near-found")))
 
 
 def classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -275,8 +355,7 @@ def classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "uid"))
     same = materialize(rows.where("digest IS NOT NULL").groupBy("digest").agg(first.alias("first")), "near-same")
     representatives = same.select(F.col("first.uid").alias("uid"))
-    texts = materialize(rows.join(representatives, "uid", "left_semi").select("uid", "n", "words", "sketch"), "near-texts")
-    labels = links(texts).withColumnRenamed("node", "uid")
+    labels = links(rows, representatives).withColumnRenamed("node", "uid")
     # One row per distinct text, then one per row of the input.
     labelled = same.select("digest", "first", F.col("first.uid").alias("uid")).join(labels, "uid", "left").withColumn("label", F.coalesce("label", "uid"))
     heads = labelled.groupBy("label").agg(F.min("first").alias("head"))
