@@ -28,20 +28,30 @@ table gives an empty manifest; further columns are ignored.
 from __future__ import annotations
 
 import heapq
+import json
 import struct
+import unicodedata
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from civicflow.llm.bpe import byte_of_char
 from civicflow.llm.common import BoundedMemo, per_process, read_range, write_file
 from civicflow.session import scratch_path
 
+#: Fixed values of the word tokenizer's format: what a pre-token is, and the
+#: normaliser for which words are split here.
+PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+
 MAGIC = b"CFHUF1\n"
 MAX_BITS = 16
 CHECKPOINT = 128
@@ -49,7 +59,7 @@ CHECKPOINT = 128
 BLOCK_IDS = 65_536
 #: Ids in a file; their number follows the data.
 FILE_IDS = 4_000_000
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 600_000
 #: White space for str.split but not in Unicode's White_Space.
 SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 
@@ -60,23 +70,48 @@ MANIFEST_SCHEMA = "file string, file_no int, offset long, length long, n_docs lo
 
 class WordEncoder:
     """A tokenizer whose pre-tokens never contain white space, memoised by the
-    words of ``str.split``.  Texts in which that split is not the tokenizer's
-    go to it whole."""
+    words of ``str.split`` and by pre-token.
+
+    Words of letters below U+0250 are lower-cased and split here and their
+    pre-tokens given to the tokenizer's BPE model; all other words, and texts
+    in which ``str.split`` is not the tokenizer's own, go to it whole.
+    """
 
     def __init__(self, text: str):
         self.tokenizer = Tokenizer.from_str(text)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.word_ids = BoundedMemo(self._encode, MEMO_ENTRIES).__getitem__
-
-    def _encode(self, text: str) -> bytes:
+        self.model = self.tokenizer.model
+        stand_in = {b: c for c, b in byte_of_char().items()}
+        self.stand_in = {b: stand_in[b] for b in range(256)}
+        self.pretoken = regex.compile(PRETOKEN)
+        self.known = json.loads(text)["normalizer"] == NORMALIZER
+        self.piece_ids = BoundedMemo(self._piece, MEMO_ENTRIES // 4).__getitem__
+        self.word_ids = BoundedMemo(self._word, MEMO_ENTRIES).__getitem__
+
+    def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _piece(self, piece: str) -> bytes:
+        raw = piece if piece.isascii() else piece.encode().decode("latin-1")
+        ids = [t.id for t in self.model.tokenize(raw.translate(self.stand_in))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _word(self, word: str) -> bytes:
+        if not self.known or "<|" in word or max(word) >= "\u0250":
+            return self._whole(word)
+        if not word.isascii():
+            word = unicodedata.normalize("NFC", word)
+        word = word.lower()
+        if word.isascii() and word.isalpha():
+            return self.piece_ids(word)
+        return b"".join(map(self.piece_ids, self.pretoken.findall(word)))
+
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         if any(s in text for s in SEPARATORS):
-            return self._encode(text)
+            return self._whole(text)
         return b"".join(map(self.word_ids, text.split()))
 
 

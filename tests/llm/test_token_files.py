@@ -3,6 +3,8 @@ import zlib
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 from tokenizers import Tokenizer  # noqa: E402
@@ -12,6 +14,7 @@ from civicflow.session import scratch_path  # noqa: E402
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 LIBRARY = Tokenizer.from_file(PATH)
+ENCODER = tf.WordEncoder(open(PATH, encoding="utf-8").read())
 HARD = ["", " ", "It's  <|endoftext|> don't", "É́ é ñ", "ΟΔΟΣ ΣΑΣ", "a\x1cb\x1d c", "x" * 4000, "word " * 3000, "日本 語",
         " 　 a\x85b", "1234 a1b2", "İstanbul ŒUVRE", "<|startoftext|>a"]
 
@@ -26,6 +29,12 @@ def test_words_as_the_library():
         assert np.frombuffer(enc.encode(text), "<u4").tolist() == library_ids(text)[:-1]
 
 
+@settings(max_examples=500, deadline=None)
+@given(st.text(st.sampled_from(list("aTs're'dvmlß ÉéñİŸ\u0301\u0300Ως 0129.,#$²½\n\u00a0日\x07\x85'\"-<|>")), max_size=30))
+def test_random_texts_as_the_library(text):
+    assert np.frombuffer(ENCODER.encode(text), "<u4").tolist() == library_ids(text)[:-1]
+
+
 def huffman_cost(counts):
     heap, total = [int(c) for c in counts if c], 0
     heapq.heapify(heap)
