@@ -1,8 +1,8 @@
 """JSON wire format: parse typed records out of message values, serialize rows.
 
 Parse modes
-  ``strict``      Spark FAILFAST: a malformed record fails the job (the
-                  reference's behaviour for its Java detectors).
+  ``strict``      Spark FAILFAST: a malformed record or a bad or missing event
+                  time fails the job; unknown fields are accepted.
   ``permissive``  malformed records give null fields (the reference's Spark jobs).
   ``quarantine``  permissive plus an ``_error`` column naming why a record is
                   unusable (null value, malformed JSON or wrong types, bad event
@@ -11,6 +11,9 @@ Parse modes
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,6 +55,9 @@ def parse_records(
         typed = parse_records(df, _lenient(schema), value_col, mode, time_field, keep)
         casts = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields
                  if isinstance(f.dataType, NUMERIC)}
+        if mode == "quarantine":  # a string that is no number
+            lost = [F.col(n).isNotNull() & c.isNull() for n, c in casts.items()]
+            typed = typed.withColumn("_error", F.coalesce("_error", F.when(reduce(or_, lost, F.lit(False)), F.lit("malformed record"))))
         return typed.withColumns(casts)
     names = [f.name for f in schema.fields]
     if mode == "strict":
@@ -67,6 +73,9 @@ def parse_records(
         )
     if time_field:
         out = event_time_from_iso(out, time_field)
+        if mode == "strict":
+            bad = F.raise_error(F.concat(F.lit("bad event time: "), F.coalesce(F.col(time_field).cast("string"), F.lit("null"))))
+            out = out.withColumn("event_time", F.when(F.col("event_time").isNull(), bad.cast("timestamp")).otherwise(F.col("event_time")))
     if mode == "quarantine":
         reason = (
             F.when(F.col("_raw").isNull(), F.lit("null record"))
@@ -90,9 +99,3 @@ def to_json_value(cols: list[str | Column] | None = None, keep_nulls: bool = Tru
     body = F.struct(*(cols or ["*"]))
     opts = {"ignoreNullFields": "false"} if keep_nulls else {}
     return F.to_json(body, opts)
-
-
-def json_field(value: str | Column, path: str) -> Column:
-    """Schemaless field access with a default of null (dict ``get``)."""
-    v = F.col(value) if isinstance(value, str) else value
-    return F.get_json_object(v, path)

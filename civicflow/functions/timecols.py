@@ -18,12 +18,5 @@ def event_time_from_iso(df: DataFrame, field: str = "timestamp") -> DataFrame:
     )
 
 
-def with_event_time(df: DataFrame, ts_col: str) -> DataFrame:
-    """Normalise an existing time column (TIMESTAMP_NTZ included) for watermarks."""
-    return df.withColumn("event_time", F.col(ts_col).cast("timestamp")).withColumn(
-        "t_ms", F.unix_millis("event_time")
-    )
-
-
 def now_millis() -> Column:
     return F.unix_millis(F.current_timestamp())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from civicflow.operators.lookup import dedupe_last, sized_broadcast
+from civicflow.operators.lookup import dedupe_last
 
 
 def enrich(
@@ -26,4 +26,4 @@ def enrich(
         lookup = dedupe_last(lookup, on, order)
     extra = [c for c in lookup.columns if c != on]
     left = df.drop(*[c for c in extra if c in df.columns])
-    return left.join(sized_broadcast(lookup), on, how)
+    return left.join(lookup, on, how)

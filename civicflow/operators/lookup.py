@@ -1,27 +1,14 @@
-"""Static lookups: last-wins de-duplication and size-checked broadcast joins."""
+"""Static lookups: last-wins de-duplication and file line order.
+
+Joins with a lookup carry no broadcast hint: the planner decides by the bytes
+it knows (``spark.sql.autoBroadcastJoinThreshold``) and AQE by those it sees.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup is broadcast only when it provably has at most this many rows;
-# larger lookups go through a shuffle join (AQE may still pick broadcast from
-# runtime statistics).
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def fits_broadcast(lookup: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``lookup`` has at most ``max_rows`` rows (bounded count)."""
-    if lookup.isStreaming:
-        return False
-    return lookup.limit(max_rows + 1).count() <= max_rows
-
-
-def sized_broadcast(lookup: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(lookup) if fits_broadcast(lookup, max_rows) else lookup
-
-
 def dedupe_last(lookup: DataFrame, key: str | list[str], order: str) -> DataFrame:
     """One row per key: the one with the greatest ``order`` (the last line wins).
 

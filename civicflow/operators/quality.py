@@ -14,10 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civicflow.functions.jsonio import to_json_value
-
 # Fixed values of the dead-letter contract: reasons in rule order, the
 # report's fallback reason and total label, and the range limits.
+MALFORMED = "Malformed Record"
 NULL_AQI = "Null AQI"
 AQI_OUT_OF_RANGE = "AQI Out of Range"
 MISSING_COORDINATES = "Missing Coordinates"
@@ -60,20 +59,29 @@ def default_rules(aqi_topic: str = "air_quality", bus_topic: str = "bus_gps") ->
 
 # Fields the rules read from each JSON value (as doubles; JSON null -> null).
 RULE_FIELDS = ("aqi", "lat", "lon")
-RULE_SCHEMA = T.StructType([T.StructField(n, T.DoubleType(), True) for n in RULE_FIELDS])
+CORRUPT = "_corrupt_record"
+RULE_SCHEMA = T.StructType([T.StructField(n, T.DoubleType(), True) for n in RULE_FIELDS] + [T.StructField(CORRUPT, T.StringType(), True)])
+
+
+def malformed(value_col: str = "value") -> Column:
+    """No value, or text that is not JSON.  Only records the narrow parse could
+    not read are parsed again (a quoted number is JSON, so it is not malformed)."""
+    value = F.col(value_col)
+    return value.isNull() | (F.col(CORRUPT).isNotNull() & F.try_parse_json(value).isNull())
 
 
-def reason_column(rules: list[Rule], topic_col: str = "topic") -> Column:
-    expr = None
+def reason_column(rules: list[Rule], topic_col: str = "topic", value_col: str = "value") -> Column:
+    expr = F.when(malformed(value_col), F.lit(MALFORMED))
     for r in rules:
         cond = (F.col(topic_col) == F.lit(r.topic)) & F.coalesce(r.predicate, F.lit(False))
-        expr = F.when(cond, F.lit(r.reason)) if expr is None else expr.when(cond, F.lit(r.reason))
-    return expr if expr is not None else F.lit(None).cast("string")
+        expr = expr.when(cond, F.lit(r.reason))
+    return expr
 
 
 def classify(records: DataFrame, rules: list[Rule] | None = None, value_col: str = "value",
              topic_col: str = "topic") -> DataFrame:
     """Add ``error_reason`` (null = clean) to Kafka-shaped rows with JSON values.
+    A record without a JSON value is malformed, whatever its topic.
 
     The rule fields are parsed once per record with a narrow schema (numbers
     only: a quoted number reads as missing, ``NaN`` is accepted).  The parse
@@ -81,9 +89,9 @@ def classify(records: DataFrame, rules: list[Rule] | None = None, value_col: str
     filter from being pushed below it and re-parsing the JSON once per rule.
     """
     rules = rules or default_rules()
-    parsed = F.inline(F.array(F.from_json(F.col(value_col), RULE_SCHEMA)))
+    parsed = F.inline(F.array(F.from_json(F.col(value_col), RULE_SCHEMA, {"columnNameOfCorruptRecord": CORRUPT})))
     typed = records.select(*[F.col(c) for c in records.columns], parsed)
-    out = typed.withColumn("error_reason", reason_column(rules, topic_col))
+    out = typed.withColumn("error_reason", reason_column(rules, topic_col, value_col))
     return out.select(*records.columns, "error_reason")
 
 
@@ -100,12 +108,13 @@ def envelope(dead: DataFrame, value_col: str = "value", topic_col: str = "topic"
     """Dead-letter message: ``{source_topic, error_reason, original_record}``.
 
     The original record is carried as a VARIANT, so it is re-emitted as the
-    same JSON object (inner nulls included), not as an escaped string.
+    same JSON object (inner nulls included), not as an escaped string; the text
+    of a malformed record is carried as it is.
     """
     body = F.struct(
         F.col(topic_col).alias("source_topic"),
         F.col("error_reason"),
-        F.parse_json(F.col(value_col)).alias("original_record"),
+        F.coalesce(F.try_parse_json(F.col(value_col)), F.col(value_col).cast("variant")).alias("original_record"),
     )
     return dead.select("*", F.to_json(body).alias("dlq_value"))
 
@@ -130,9 +139,3 @@ def report_from_messages(messages: DataFrame, value_col: str = "value") -> DataF
     """Report over raw DLQ messages (JSON), reading ``error_reason`` by name."""
     reason = F.get_json_object(F.col(value_col), "$.error_reason")
     return report(messages.select(reason.alias("error_reason")))
-
-
-def keyed_json(df: DataFrame, key: str | None, cols: list[str] | None = None) -> DataFrame:
-    """Kafka sink row shape ``(key, value)``; value = JSON with nulls kept."""
-    k = F.col(key).cast("string") if key else F.lit(None).cast("string")
-    return df.select(k.alias("key"), to_json_value(cols).alias("value"))

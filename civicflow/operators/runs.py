@@ -33,7 +33,8 @@ def consecutive_runs(
     ``breach`` null counts as no breach (a missing wait reads as 0 in the
     reference).  Order is (t, seq); pass ``t=seq`` for arrival order.
     """
-    flagged = df.withColumn("_breach", F.coalesce(breach, F.lit(False)))
+    usable = df.filter(F.col("t_ms").isNotNull() & F.col(key).isNotNull())  # as the stream form
+    flagged = usable.withColumn("_breach", F.coalesce(breach, F.lit(False)))
     looked = with_lookback(flagged, key, t, seq, ["_breach"], n, bucket_ms)
     fire = F.col("_breach")
     for k in range(1, n):

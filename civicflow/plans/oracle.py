@@ -109,13 +109,12 @@ aqi_w AS (
 )"""
 
 HEALTH_ADVISORY = _q(f""", {_AQI_WINDOWS.strip()}
-SELECT a.zone,
-       strftime(make_timestamp(a.window_end_ms * 1000), {TS}) AS window_end,
-       round(avg(a.aqi), 6) AS rolling_avg_aqi,
-       z.population, z.num_schools
-FROM aqi_w a JOIN zone_profile z ON a.zone = z.zone
-GROUP BY a.zone, a.window_end_ms, z.population, z.num_schools
-HAVING avg(a.aqi) > 150
+, rolled AS (
+  SELECT zone, window_end_ms, avg(aqi) AS level FROM aqi_w GROUP BY ALL
+)
+SELECT zone, strftime(make_timestamp(window_end_ms * 1000), {TS}) AS window_end,
+       round(level, 6) AS rolling_avg_aqi, population, num_schools
+FROM (FROM rolled WHERE level > 150) JOIN zone_profile USING (zone)
 """)
 
 ROUTE_ENRICHMENT = _q("""
@@ -371,7 +370,7 @@ ORACLE.update({
 })
 
 
-# Late rows: slices of the offset range, every 50th record one slice late; a
+# Late rows: slices of the offset range, every 50th record three slices late; a
 # row is dropped when behind the late-event watermark of its batch, which in
 # Spark lags one batch (max event time up to two batches back - 10 s); windows
 # closed by the final watermark.
@@ -379,7 +378,7 @@ LATE_ROWS = _q(f"""
 , bounds AS (SELECT min(seq) AS lo, max(seq) AS hi FROM traffic_signals
 ), staged AS (
   SELECT t.t_ms,
-         (t.seq - b.lo) // ((b.hi - b.lo) // 4 + 1) + CASE WHEN t.seq % 50 = 7 THEN 1 ELSE 0 END AS batch
+         (t.seq - b.lo) // ((b.hi - b.lo) // 4 + 1) + CASE WHEN t.seq % 50 = 7 THEN 3 ELSE 0 END AS batch
   FROM traffic_signals t, bounds b
 ), batch_max AS (
   SELECT batch, max(t_ms) AS mx FROM staged GROUP BY batch

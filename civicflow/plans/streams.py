@@ -191,18 +191,20 @@ def q_priority_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outs[0].unionByName(outs[1])
 
 
-LATE_EVERY, LATE_PHASE = 50, 7
+#: Every 50th record comes three slices late: the watermark of a batch stems from
+#: the batches up to the second before it.
+LATE_EVERY, LATE_PHASE, LATE_BY = 50, 7, 3
 
 
 def q_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Late data: every 50th traffic record is delivered one replay slice late.
+    """Late data: every 50th traffic record is delivered three replay slices late.
     A 1-minute count with a 10-second watermark drops the rows that are behind
-    the previous micro-batch's watermark; closed windows are emitted once."""
+    the watermark; closed windows are emitted once."""
     run = new_run_dir(spark, "late-rows")
     (traffic,) = _views(spark, sf_dir, "traffic_signals")
     recs = tv.wire_records(traffic, "traffic_signals")
     lo, hi = recs.agg(F.min("offset"), F.max("offset")).first()
-    late = (F.col("offset") % LATE_EVERY == LATE_PHASE).cast("long")
+    late = (F.col("offset") % LATE_EVERY == LATE_PHASE).cast("long") * LATE_BY
     staged = recs.withColumn("_slice", slice_of("offset", lo, hi, REPLAY_SLICES) + late)
     stage_slices(staged, f"{run}/input", "_slice")
     stream = read_records(spark, "files", path=f"{run}/input", options={"maxFilesPerTrigger": "1"})

@@ -80,9 +80,10 @@ def ensure_session_conf(spark: SparkSession) -> None:
 def shared_root(spark: SparkSession) -> str:
     """The cluster-shared folder for checkpoints and materialised tables.
 
-    Read from ``spark.checkpoint.dir``.  Only when the session has none (local
-    tests) a private folder is created and registered, so that later calls and
-    ``DataFrame.checkpoint()`` use the same place.
+    Read from ``spark.checkpoint.dir``.  Only when a session with a local master
+    has none (as in tests) a private folder is created and registered, so that
+    later calls and ``DataFrame.checkpoint()`` use the same place; on a cluster
+    executors would not share it, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
@@ -93,6 +94,8 @@ def shared_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="civicflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc is not None and not sc.getCheckpointDir():
@@ -105,6 +108,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/civicflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def release(spark: SparkSession) -> None:
+    """Remove everything this package has written under the shared root; call it
+    when no result that reads such a table is needed any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/civicflow")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df, name: str):
     """Write ``df`` as a Parquet table under the shared root and read it back.
 

@@ -31,17 +31,21 @@ def read_records(
     topics: list[str] | None = None,
     bounded: bool = False,
     options: dict | None = None,
+    starting: str = "earliest",
 ) -> DataFrame:
-    """Kafka-shaped records from ``source`` (stream, or batch when ``bounded``)."""
+    """Kafka-shaped records from ``source`` (stream, or batch when ``bounded``);
+    ``starting``: where a topic is read from without a checkpoint (``earliest``
+    for replays, ``latest`` for live detectors)."""
     opts = dict(options or {})
     if source == "kafka":
+        # (partition, offset) is the total arrival order of a topic.
         reader = spark.read if bounded else spark.readStream
         opts.setdefault("subscribe", ",".join(topics or []))
-        opts.setdefault("startingOffsets", "earliest")
+        opts.setdefault("startingOffsets", starting)
         if bounded:
             opts.setdefault("endingOffsets", "latest")
         raw = reader.format("kafka").options(**opts).load()
-        return raw.select("topic", "offset", F.col("value").cast("string").alias("value"))
+        return raw.select("topic", "partition", "offset", "timestamp", F.col("value").cast("string").alias("value"))
     if source == "files":
         if path is None:
             raise ValueError("files source needs a path")
@@ -60,20 +64,18 @@ def stage_records(
     path: str,
     slices: int = 4,
     order: str = "offset",
-    max_rows_per_slice: int = 250_000,
 ) -> int:
     """Write Kafka-shaped rows as JSON-lines files: consecutive ranges of
     ``order``, one file per range, written one after the other (file times
     follow the order, so a file stream replays the ranges in sequence).
 
-    At least ``slices`` ranges; more when the ``order`` span exceeds
-    ``max_rows_per_slice`` per range, so one file never grows with the table.
+    The number of slices is the caller's: it decides the micro-batches, and
+    with them what update mode publishes, so it never follows the table's size.
     Returns the number of slices written."""
     lo, hi = records.agg(F.min(order), F.max(order)).first()
     if lo is None:  # nothing to replay: still create the (empty) input folder
         records.select("topic", "offset", "value").write.mode("append").json(path)
         return 0
-    slices = max(slices, -(-(hi - lo + 1) // max_rows_per_slice))
     width = (hi - lo) // slices + 1
     for i in range(slices):
         part = records.filter((F.col(order) >= lo + i * width) & (F.col(order) < lo + (i + 1) * width))
@@ -178,9 +180,10 @@ def latest_from_update_log(spark: SparkSession, path: str, keys: list[str]) -> D
     return log.groupBy(*keys).agg(best).select(*keys, *[F.col("_b")[c].alias(c) for c in cols])
 
 
-def run_to_completion(query, timeout_s: int = 600) -> None:
-    """Wait for an ``availableNow`` query; raise its error if it failed."""
-    finished = query.awaitTermination(timeout_s)
+def run_to_completion(query, timeout_s: int | None = None) -> None:
+    """Wait for an ``availableNow`` query, without a time limit unless one is
+    given; raise its error if it failed."""
+    finished = query.awaitTermination(timeout_s) if timeout_s else (query.awaitTermination() or True)
     if not finished:
         query.stop()
         raise TimeoutError(f"stream {query.name or query.id} did not finish in {timeout_s}s")

@@ -35,7 +35,8 @@ def ward_energy_job(records: DataFrame, history_path: str, ckpt: str, live_path:
     (each window written once, when the 45-minute watermark closes it)."""
     meters = typed(records, "smart_meters")
     windowed = windows.ward_energy(meters, watermark=windows.WARD_WATERMARK)
-    hist = write_stream(windows.with_window_date(windowed), "parquet", f"{ckpt}/history", mode="append",
+    counted = windows.ward_energy_with_counts(meters, watermark=windows.WARD_WATERMARK)  # for roll-ups
+    hist = write_stream(windows.with_window_date(counted), "parquet", f"{ckpt}/history", mode="append",
                         path=history_path, partition_by=["ward_id", "date"], trigger=trigger,
                         state_partitions=state_partitions)
     live_df = kafka_rows(windowed) if live_sink == "kafka" else windowed

@@ -1,5 +1,4 @@
 from civicflow.operators.enrich import enrich
-from civicflow.operators.lookup import fits_broadcast
 
 
 def test_last_duplicate_wins_and_misses_drop(spark):
@@ -14,12 +13,6 @@ def test_last_duplicate_wins_and_misses_drop(spark):
     assert rows == [{"route_id": "R-1", "bus_id": "B1", "route_name": "second", "terminal": "T3"}]
 
 
-def test_broadcast_only_below_bound(spark):
-    small = spark.range(10)
-    assert fits_broadcast(small, 10)
-    assert not fits_broadcast(small, 9)
-
-
 def test_lookup_csv_last_line_wins(spark, tmp_path):
     from civicflow import schemas
     from civicflow.sources.files import read_lookup_csv

@@ -32,7 +32,14 @@ def test_query_matches_oracle(spark, con, name):
     assert digest(df.columns, rows)[0] == digest(ocols, orows)[0]
 
 
-def test_entry_smoke(spark):
+def test_late_rows_drops_rows(spark, con):
+    kept = sum(r["n_rows"] for r in E.queries()["late_rows"](spark, SF).collect())
+    closed = E.oracle_sql()["late_rows"].replace("wm.wm_before IS NULL OR", "true OR")
+    undropped = sum(r[-1] for r in con.execute(closed).fetchall())
+    assert 0 < kept < undropped
+
+
+def test_entry_smoke(spark, con):
     df = E.entry(spark)
-    assert df.count() >= 0
+    assert df.count() == con.execute(f"SELECT count(*) FROM ({E.oracle_sql()['incidents']})").fetchone()[0]
     assert "incidentType" in df.columns

@@ -49,3 +49,24 @@ def test_quoted_numbers_can_be_coerced(spark):
     got = {r.offset: (r.aqi, r._error) for r in out.collect()}
     assert got[1] == (310, None)
     assert got[2] == (None, "malformed record")
+
+
+def test_quoted_text_that_is_no_number_is_quarantined(spark):
+    from civicflow import schemas
+    from civicflow.functions.jsonio import parse_records
+
+    at = '"timestamp": "2024-01-01T00:00:00.000Z"'
+    df = spark.createDataFrame([('{"aqi": "abc", %s}' % at,), ('{"aqi": "310", %s}' % at,), ('{"aqi": null, %s}' % at,)], "value string")
+    rows = parse_records(df, schemas.BY_KIND["air_quality"], mode="quarantine", coerce_quoted_numbers=True).collect()
+    assert [(r["aqi"], r["_error"]) for r in rows] == [(None, "malformed record"), (310, None), (None, None)]
+
+
+def test_strict_refuses_a_bad_event_time(spark):
+    import pytest
+
+    from civicflow import schemas
+    from civicflow.functions.jsonio import parse_records
+
+    df = spark.createDataFrame([('{"aqi": 1}',)], "value string")
+    with pytest.raises(Exception, match="bad event time"):
+        parse_records(df, schemas.BY_KIND["air_quality"], mode="strict").collect()

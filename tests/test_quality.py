@@ -64,3 +64,18 @@ def test_bounded_report_over_a_dead_letter_topic(spark, tmp_path):
     spark.createDataFrame(rows, "topic string, offset long, value string").write.json(str(tmp_path / "t"))
     got = {(r.error_type, r.message_count) for r in dead_letter_report(spark, "files", "dlq", str(tmp_path / "t")).collect()}
     assert got == {("Null AQI", 2), ("Invalid Latitude", 1), ("Total DLQ Messages", 3)}
+
+
+def test_text_that_is_not_json_is_malformed_and_survives(spark):
+    rows = [("air_quality", 0, "not json"), ("air_quality", 1, '{"aqi": "310"}'), ("bus_gps", 2, '{"lat": 1,'),
+            ("bus_gps", 3, None), ("bus_gps", 4, '{"lat": 1, "lon": 2}')]
+    df = spark.createDataFrame(rows, "topic string, offset long, value string")
+    classified = quality.classify(df)
+    got = {r["offset"]: r["error_reason"] for r in classified.collect()}
+    assert got == {0: quality.MALFORMED, 1: quality.NULL_AQI, 2: quality.MALFORMED, 3: quality.MALFORMED, 4: None}
+    env = {r["offset"]: json.loads(r["dlq_value"]) for r in quality.envelope(quality.dead_letters(classified)).collect()}
+    assert env[0]["original_record"] == "not json" and env[2]["original_record"] == '{"lat": 1,'
+    assert env[1]["original_record"] == {"aqi": "310"}
+    messages = quality.envelope(quality.dead_letters(classified)).selectExpr("dlq_value AS value")
+    report = {r["error_type"]: r["message_count"] for r in quality.report_from_messages(messages).collect()}
+    assert report == {quality.MALFORMED: 3, quality.NULL_AQI: 1, "Total DLQ Messages": 4}
