@@ -17,10 +17,12 @@ def per_process(key, build):
     """``build()`` once for each Python worker process and ``key``.
 
     Functions are pickled by value, so module globals start afresh in every
-    task; reused workers keep what is stored here.
+    task; reused workers keep what is stored here.  Only the last ``key`` is
+    kept: a worker that goes on to another operator frees what it held.
     """
     kept = sys.__dict__.setdefault("_civicflow_llm_kept", {})
     if key not in kept:
+        kept.clear()
         kept[key] = build()
     return kept[key]
 
