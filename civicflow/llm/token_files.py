@@ -363,7 +363,9 @@ def read(manifest: DataFrame) -> DataFrame:
                 ], ["doc_id", "start", "n_tokens", "ids"])
 
     blocks = manifest.join(bases, "file").select("file", "base", "offset", "length")
-    return blocks.repartition("file").sortWithinPartitions("file", "offset").mapInArrow(
+    # The rows are narrow, so by their bytes all would go to one task.
+    n_files = max(1, manifest.select("file").distinct().count())
+    return blocks.repartition(n_files, "file").sortWithinPartitions("file", "offset").mapInArrow(
         decode, "doc_id long, start long, n_tokens long, ids binary")
 
 
