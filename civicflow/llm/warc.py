@@ -212,8 +212,10 @@ def normalise(records: DataFrame, folder: str) -> DataFrame:
         write_file(f"{stem}.index.jsonl", ((json.dumps(dict(zip(names[1:], row[1:]))) + "\n").encode() for row in index))
         return pa.Table.from_batches([batch(index, INDEX_SCHEMA)])
 
-    # One group per archive: a gzip stream can't be divided, and its size is bounded.
-    records.groupBy("file").applyInArrow(rewrite, INDEX_SCHEMA).write.parquet(f"{folder}/index")
+    # One group per archive: a gzip stream can't be divided, and its size is
+    # bounded.  The rows are narrow, so by their bytes all would go to one task.
+    n_archives = max(1, records.select("file").distinct().count())
+    records.repartition(n_archives, "file").groupBy("file").applyInArrow(rewrite, INDEX_SCHEMA).write.parquet(f"{folder}/index")
     return records.sparkSession.read.parquet(f"{folder}/index")
 
 
