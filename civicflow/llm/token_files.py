@@ -86,7 +86,7 @@ class WordEncoder:
         self.stand_in = {b: stand_in[b] for b in range(256)}
         self.pretoken = regex.compile(PRETOKEN)
         self.known = json.loads(text)["normalizer"] == NORMALIZER
-        self.piece_ids = BoundedMemo(self._piece, MEMO_ENTRIES // 4).__getitem__
+        self.piece_ids = BoundedMemo(self._piece, MEMO_ENTRIES // 2).__getitem__
         self.word_ids = BoundedMemo(self._word, MEMO_ENTRIES).__getitem__
 
     def _whole(self, text: str) -> bytes:
@@ -98,13 +98,17 @@ class WordEncoder:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _word(self, word: str) -> bytes:
-        if not self.known or "<|" in word or max(word) >= "\u0250":
+        if not self.known or "<|" in word:
             return self._whole(word)
         if not word.isascii():
+            if max(word) >= "\u0250":
+                return self._whole(word)
             word = unicodedata.normalize("NFC", word)
         word = word.lower()
-        if word.isascii() and word.isalpha():
+        if word.isalpha():  # letters only: one pre-token
             return self.piece_ids(word)
+        if word[:-1].isalpha() and word[-1].isascii() and not word[-1].isalnum():  # and a sign at the end: two
+            return self.piece_ids(word[:-1]) + self.piece_ids(word[-1])
         return b"".join(map(self.piece_ids, self.pretoken.findall(word)))
 
     def encode(self, text: str | None) -> bytes:
