@@ -1,3 +1,65 @@
-"""DuckDB SQL of the queries that SQL can express."""
+"""DuckDB SQL of the queries that SQL can express.
 
-ORACLE: dict[str, str] = {}
+The others (token ids and files, diagonals of edited licences, decoded keys,
+mixtures, shards with checksums, sketches) are held against brute-force
+versions in ``tests/llm``.
+"""
+
+from civicflow.llm.quality import MEASURES, POLICIES, RULES, mask
+
+_BITS = " + ".join(f"CASE WHEN {r.fails} THEN {1 << r.bit} ELSE 0 END" for r in RULES)
+
+QUALITY = rf"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents
+), w AS (
+  SELECT doc_id, x, regexp_extract_all(x, '[^\x20\x09-\x0D]+') AS ws,
+         list_filter(string_split(x, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls
+  FROM t
+), placed AS (SELECT doc_id, unnest(ws) AS a, generate_subscripts(ws, 1) AS i FROM w
+), three AS (
+  SELECT doc_id, i, a, lead(a) OVER p AS b, lead(a, 2) OVER p AS c
+  FROM placed WINDOW p AS (PARTITION BY doc_id ORDER BY i)
+), repeated AS (
+  SELECT doc_id, i FROM three WHERE c IS NOT NULL
+  QUALIFY count(*) OVER (PARTITION BY doc_id, a, b, c) > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT i + d) AS n FROM repeated, (VALUES (0), (1), (2)) AS v(d) GROUP BY doc_id
+), m AS (
+  SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+         length(x) - length(regexp_replace(x, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, len(ls) AS n_lines,
+         length(x) - length(regexp_replace(x, '[A-Z]', '', 'g')) AS n_upper, length(x) - length(replace(x, '!', '')) AS n_exclaim
+  FROM w LEFT JOIN covered USING (doc_id)
+), ledger AS (SELECT *, {_BITS} AS fail_bits FROM m)
+SELECT doc_id, {', '.join(MEASURES)}, fail_bits, fail_bits & {mask('base')} <> 0 AS base_failed, fail_bits & {mask('v2')} = 0 AS kept
+FROM ledger
+"""
+assert set(POLICIES["base"]) <= set(POLICIES["v2"])
+
+TOPK = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+WARC = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), d AS (
+  SELECT *, array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         CAST(1 + ((CAST('0x' || substr(h, 1 + 5 * (k // 4), 5) AS BIGINT) >> (15 - 5 * (k % 4))) & 31) AS BIGINT), 1)), '') AS payload_digest,
+         min(page_id) OVER (PARTITION BY h) AS first_id
+  FROM p
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM d
+"""
+
+ORACLE: dict[str, str] = {"op3_quality": QUALITY, "op4_topk": TOPK, "op5_warc": WARC}
