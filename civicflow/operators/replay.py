@@ -23,9 +23,9 @@ def replay(
     The limit is the feature (the reference replays the first 300 lines); it
     plans as a top-k (per-partition heaps, no global sort).
     """
-    src = records.orderBy(order).limit(limit) if limit else records
-    return src.select(
+    rows = records.select(
         F.col(key).cast("string").alias("key"),
         to_json_value(fields).alias("value"),
         F.col(order).alias("offset"),
     )
+    return rows.orderBy("offset").limit(limit) if limit else rows

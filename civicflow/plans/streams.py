@@ -36,17 +36,23 @@ def _state_partitions(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _replay(spark: SparkSession, sf_dir: str, kinds: list[str], name: str, per_trigger: int = 1):
-    """Stage the given streams (merged in offset order) and open a file stream."""
+def _files_per_slice(spark: SparkSession) -> int:
+    """Files (and writing tasks) of a replay slice: one per core of the cluster."""
+    return _state_partitions(spark)
+
+
+def _replay(spark: SparkSession, sf_dir: str, kinds: list[str], name: str):
+    """Stage the given streams (merged in offset order) and open a file stream
+    that reads one slice per micro-batch."""
     run = new_run_dir(spark, name)
     views = _views(spark, sf_dir, *kinds)
     recs = None
     for kind, v in zip(kinds, views):
         r = tv.wire_records(v, kind)
         recs = r if recs is None else recs.unionByName(r)
-    stage_records(recs, f"{run}/input", slices=REPLAY_SLICES)
-    stream = read_records(spark, "files", path=f"{run}/input",
-                          options={"maxFilesPerTrigger": str(per_trigger)})
+    files = _files_per_slice(spark)
+    stage_records(recs, f"{run}/input", slices=REPLAY_SLICES, files_per_slice=files)
+    stream = read_records(spark, "files", path=f"{run}/input", options={"maxFilesPerTrigger": str(files)})
     return run, stream
 
 
@@ -166,10 +172,11 @@ def q_incidents_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The incident feed from three streaming detectors (one query each)."""
     run = new_run_dir(spark, "incidents")
     aqi, traffic, bus = _views(spark, sf_dir, "air_quality", "traffic_signals", "bus_gps")
-    streams = []
+    streams, files = [], _files_per_slice(spark)
     for kind, v in (("air_quality", aqi), ("traffic_signals", traffic), ("bus_gps", bus)):
-        stage_records(tv.wire_records(v, kind), f"{run}/in-{kind}", slices=REPLAY_SLICES)
-        streams.append(read_records(spark, "files", path=f"{run}/in-{kind}", options={"maxFilesPerTrigger": "1"}))
+        stage_records(tv.wire_records(v, kind), f"{run}/in-{kind}", slices=REPLAY_SLICES, files_per_slice=files)
+        streams.append(read_records(spark, "files", path=f"{run}/in-{kind}",
+                                    options={"maxFilesPerTrigger": str(files)}))
     for q in jobs.incident_jobs(*streams, ckpt=f"{run}/ckpt", path=f"{run}/out",
                                 state_partitions=_state_partitions(spark)):
         run_to_completion(q)
@@ -178,12 +185,13 @@ def q_incidents_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_priority_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two independent subscribers of the traffic topic; the standard one is
-    throttled to one file per trigger.  Both see every record."""
-    run = new_run_dir(spark, "fanout")
+    throttled to one slice per trigger.  Both see every record."""
+    run, files = new_run_dir(spark, "fanout"), _files_per_slice(spark)
     (traffic,) = _views(spark, sf_dir, "traffic_signals")
-    stage_records(tv.wire_records(traffic, "traffic_signals"), f"{run}/input", slices=REPLAY_SLICES)
+    stage_records(tv.wire_records(traffic, "traffic_signals"), f"{run}/input", slices=REPLAY_SLICES,
+                  files_per_slice=files)
     outs = []
-    for name, per_trigger in ((HIGH_PRIORITY, None), (STANDARD_PRIORITY, 1)):
+    for name, per_trigger in ((HIGH_PRIORITY, None), (STANDARD_PRIORITY, files)):
         opts = {"maxFilesPerTrigger": str(per_trigger)} if per_trigger else {}
         stream = read_records(spark, "files", path=f"{run}/input", options=opts)
         run_to_completion(jobs.subscriber_job(stream, name, f"{run}/{name}", f"{run}/ckpt-{name}"))
@@ -206,8 +214,9 @@ def q_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     lo, hi = recs.agg(F.min("offset"), F.max("offset")).first()
     late = (F.col("offset") % LATE_EVERY == LATE_PHASE).cast("long") * LATE_BY
     staged = recs.withColumn("_slice", slice_of("offset", lo, hi, REPLAY_SLICES) + late)
-    stage_slices(staged, f"{run}/input", "_slice")
-    stream = read_records(spark, "files", path=f"{run}/input", options={"maxFilesPerTrigger": "1"})
+    files = _files_per_slice(spark)
+    stage_slices(staged, f"{run}/input", "_slice", REPLAY_SLICES + LATE_BY, files)
+    stream = read_records(spark, "files", path=f"{run}/input", options={"maxFilesPerTrigger": str(files)})
     counts = (
         jobs.typed(stream, "traffic_signals")
         .withWatermark("event_time", jobs.DETECTOR_DELAY)

@@ -50,8 +50,9 @@ def read_records(
         if path is None:
             raise ValueError("files source needs a path")
         if bounded:
-            df = spark.read.schema(RECORD_SCHEMA).json(path)
+            df = spark.read.schema(RECORD_SCHEMA).option("recursiveFileLookup", "true").json(path)
         else:
+            opts.setdefault("recursiveFileLookup", "true")  # staged slices are folders
             df = spark.readStream.schema(RECORD_SCHEMA).options(**opts).json(path)
         if topics:
             df = df.filter(F.col("topic").isin(topics))
@@ -64,41 +65,68 @@ def stage_records(
     path: str,
     slices: int = 4,
     order: str = "offset",
+    files_per_slice: int = 1,
 ) -> int:
     """Write Kafka-shaped rows as JSON-lines files: consecutive ranges of
-    ``order``, one file per range, written one after the other (file times
-    follow the order, so a file stream replays the ranges in sequence).
+    ``order``, ``files_per_slice`` files per range, file times in the order of
+    the ranges, so a file stream with ``maxFilesPerTrigger = files_per_slice``
+    replays one range per micro-batch.
 
     The number of slices is the caller's: it decides the micro-batches, and
     with them what update mode publishes, so it never follows the table's size.
+    ``files_per_slice`` is how many tasks share a range; it changes no result.
     Returns the number of slices written."""
     lo, hi = records.agg(F.min(order), F.max(order)).first()
     if lo is None:  # nothing to replay: still create the (empty) input folder
         records.select("topic", "offset", "value").write.mode("append").json(path)
         return 0
-    width = (hi - lo) // slices + 1
-    for i in range(slices):
-        part = records.filter((F.col(order) >= lo + i * width) & (F.col(order) < lo + (i + 1) * width))
-        part.select("topic", "offset", "value").coalesce(1).write.mode("append").json(path)
-    return slices
+    staged = records.withColumn("_slice", slice_of(order, lo, hi, slices))
+    return stage_slices(staged, path, "_slice", slices, files_per_slice)
 
 
 def slice_of(order: str, lo: int, hi: int, slices: int):
     """The slice index ``stage_records`` gives a row (for delayed replays)."""
     width = (hi - lo) // slices + 1
-    return ((F.col(order) - F.lit(lo)) / F.lit(width)).cast("long")
+    return F.expr(f"({order} - {lo}) div {width}")
+
+
+def stage_slices(records: DataFrame, path: str, slice_col: str, slices: int, files_per_slice: int = 1) -> int:
+    """Write explicit slices (``slice_col`` from 0 to ``slices`` - 1) in one job,
+    every slice as exactly ``files_per_slice`` files; lets a replay deliver
+    chosen records late.
+
+    Rows are dealt to the files of their slice by a hash of topic and offset.
+    Each file also gets an empty line (no record to a JSON reader), so that a
+    slice with few rows or none has its full number of files."""
+    spark = records.sparkSession
+    rows = records.select(
+        F.col(slice_col).cast("long").alias("slice"),
+        F.pmod(F.xxhash64("topic", "offset"), F.lit(files_per_slice)).alias("part"),
+        F.to_json(F.struct("topic", "offset", "value")).alias("value"),
+    )
+    blank = spark.range(slices * files_per_slice).select(
+        F.expr(f"id div {files_per_slice}").alias("slice"),
+        (F.col("id") % files_per_slice).alias("part"),
+        F.lit("").alias("value"),
+    )
+    (rows.unionByName(blank)
+     .repartition(slices * files_per_slice, "slice", "part")
+     .write.mode("append").partitionBy("slice", "part").text(path))
+    _date_slices(spark, path, slices)
+    return slices
 
 
-def stage_slices(records: DataFrame, path: str, slice_col: str) -> int:
-    """Write explicit slices (ascending ``slice_col``), one file each, in order;
-    lets a replay deliver chosen records late."""
-    n = records.agg(F.max(slice_col)).first()[0]
-    if n is None:
-        return 0
-    for i in range(int(n) + 1):
-        part = records.filter(F.col(slice_col) == i)
-        part.select("topic", "offset", "value").coalesce(1).write.mode("append").json(path)
-    return int(n) + 1
+def _date_slices(spark: SparkSession, path: str, slices: int) -> None:
+    """Give the files of slice i a modification time i seconds after those of
+    slice 0: file streams read by modification time.  Touches names only."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    first = jvm.System.currentTimeMillis() - slices * 1000
+    for i in range(slices):
+        files = fs.listFiles(jvm.org.apache.hadoop.fs.Path(root, f"slice={i}"), True)
+        while files.hasNext():
+            fs.setTimes(files.next().getPath(), first + i * 1000, -1)
 
 
 def kafka_rows(df: DataFrame, key: str | None = None, cols: list[str] | None = None) -> DataFrame:

@@ -42,3 +42,8 @@ def test_ward_history_uses_partition_pruning(spark):
 def test_dead_letter_filter_does_not_reparse(spark):
     p = plan(spark, "dlq_envelope")
     assert p.count("from_json") <= 2  # one parse per topic branch
+
+
+def test_replay_is_a_top_k(spark):
+    p = plan(spark, "keyed_replay")
+    assert "TakeOrderedAndProject" in p and "rangepartitioning" not in p

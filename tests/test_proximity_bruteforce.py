@@ -137,7 +137,7 @@ def test_bunching_stream_handles_out_of_order_arrival(spark, tmp_path):
     slice_col = F.element_at(F.create_map(*[x for kv in batch_of.items() for x in (F.lit(kv[0]), F.lit(kv[1]))]),
                              F.col("offset"))
     run = str(tmp_path / "ooo")
-    stage_slices(recs.withColumn("_slice", slice_col), f"{run}/in", "_slice")
+    stage_slices(recs.withColumn("_slice", slice_col), f"{run}/in", "_slice", slices=4)
     stream = read_records(spark, "files", path=f"{run}/in", options={"maxFilesPerTrigger": "1"})
     q = write_stream(bunching_stream(jobs.typed(stream, "bus_gps")), "parquet", f"{run}/ck", path=f"{run}/out",
                      state_partitions=2)
