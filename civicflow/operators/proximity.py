@@ -52,15 +52,20 @@ BUNCHING_HOLD_MS = 5 * 60 * 1000
 WATERMARK_DELAY_MS = 10_000
 OPEN_END = 2**62  # end of the last segment of a bus: positions never expire
 # Time granularity of the segment index.  A ping meets the segments of its
-# bucket only, so the bucket should be a few ping intervals long; a segment is
-# copied into every bucket it spans (a silent bus costs span / bucket copies).
+# bucket only, so the finest bucket should be a few ping intervals long.  Longer
+# segments are indexed on coarser levels, each LEVEL_FACTOR times the one below,
+# so a segment has LEVEL_FACTOR + 1 copies at most, whatever time it spans.
 LOOKUP_BUCKET_MS = 30_000
+LEVEL_FACTOR = 16
+LEVELS = 12  # 30 s * 16^12 is beyond the range of a long in milliseconds
 
 
 def prepare_pings(bus: DataFrame, missing: str = "zero") -> DataFrame:
     """(route_id, bus_id, t_ms, seq, lat, lon, timestamp) with the reference's
     null handling: a missing coordinate reads as 0.0 (``missing='zero'``) or
     the ping is dropped (``missing='drop'``)."""
+    if missing not in ("zero", "drop"):
+        raise ValueError(f"missing is 'zero' or 'drop', not {missing!r}")
     cols = ["route_id", "bus_id", "t_ms", "seq", "lat", "lon", "timestamp"]
     p = bus.select(*cols).filter(F.col("t_ms").isNotNull() & F.col("bus_id").isNotNull())
     if missing == "zero":
@@ -107,13 +112,47 @@ def _probe_cells(lat: str, lon: str, cell: float):
     return F.array(*cells)
 
 
-def _replicate_by_bucket(seg: DataFrame, bucket_ms: int, max_t: int,
+def _level(s_t: str, e_t: str, max_t: int, bucket_ms: int):
+    """Index level of a segment: the finest whose buckets it spans at most
+    LEVEL_FACTOR of (open ends stop at the end of the data)."""
+    span = F.least(F.col(e_t), F.lit(int(max_t))) - F.col(s_t)
+    level = F.lit(LEVELS - 1)
+    for k in reversed(range(LEVELS - 1)):
+        level = F.when(span <= F.lit(bucket_ms * LEVEL_FACTOR ** (k + 1)), F.lit(k)).otherwise(level)
+    return level
+
+
+def used_levels(seg: DataFrame, max_t: int, bucket_ms: int = LOOKUP_BUCKET_MS) -> list[int]:
+    """Levels that hold a segment (one number is collected)."""
+    bits = seg.agg(F.bit_or(F.call_function("shiftleft", F.lit(1), _level("s_t", "e_t", max_t, bucket_ms)))).first()[0] or 0
+    return [k for k in range(LEVELS) if bits >> k & 1]
+
+
+def _bucket_of(t, level: int, bucket_ms: int):
+    return floor_div(t, bucket_ms * LEVEL_FACTOR ** level)
+
+
+def _replicate_by_bucket(seg: DataFrame, bucket_ms: int, max_t: int, levels: list[int],
                          s_t: str = "o_s_t", e_t: str = "o_e_t") -> DataFrame:
-    """One copy of each segment per time bucket it overlaps (open ends stop at
-    the last bucket of the data, so copies grow with time covered, not pairs)."""
-    b0 = floor_div(F.col(s_t), bucket_ms)
-    b1 = F.least(floor_div(F.col(e_t), bucket_ms), F.lit(int(max_t) // bucket_ms))
-    return seg.withColumn("tb", F.explode(F.sequence(b0, F.greatest(b0, b1))))
+    """One copy of each segment per bucket of its level that it overlaps, as (lv, tb)."""
+    end = F.least(F.col(e_t), F.lit(int(max_t)))
+
+    def buckets(k: int):
+        b0, b1 = (_bucket_of(c, k, bucket_ms) for c in (F.col(s_t), end))
+        return F.sequence(b0, F.greatest(b0, b1))
+
+    placed = seg.withColumn("lv", _level(s_t, e_t, max_t, bucket_ms))
+    covered = F.lit(None).cast("array<bigint>")
+    for k in levels:
+        covered = F.when(F.col("lv") == k, buckets(k)).otherwise(covered)
+    return placed.withColumn("tb", F.explode(covered))
+
+
+def _probe_buckets(t: str, levels: list[int], bucket_ms: int):
+    """The bucket of an instant on every level in use, to be inlined as (lv, tb)."""
+    return F.inline(F.array(*[
+        F.struct(F.lit(k).alias("lv"), _bucket_of(F.col(t), k, bucket_ms).alias("tb")) for k in levels or [0]
+    ]))
 
 
 def _other_side(seg: DataFrame, *extra) -> DataFrame:
@@ -149,22 +188,22 @@ def near_observations(
     each with the pair's *next* observation ``(next_t, next_seq)``.
 
     Every ping (= the start of its own segment) probes 8 cells of its
-    neighbourhood; the other buses' segments are indexed in their cell and in
-    every time bucket they overlap.  Exact: the grid edge is twice the chord
+    neighbourhood on every time level in use; the other buses' segments are
+    indexed in their cell and in every bucket of their level they overlap.  Exact: the grid edge is twice the chord
     bound of ``radius`` (see ``_probe_cells``).  The next observation of the
     pair is the earlier of the two buses' next pings (segment ends).
     """
     cell = 2 * chord_cell_size(radius_m)
+    levels = used_levels(seg, max_t, bucket_ms)
     probe = seg.select(
         "route_id", "bus_id", F.col("s_t").alias("t_ms"), F.col("s_seq").alias("seq"),
         "e_t", "e_seq", "lat", "lon",
-        floor_div(F.col("s_t"), bucket_ms).alias("tb"),
         F.inline(_probe_cells("lat", "lon", cell)),
-    )
-    idx = _replicate_by_bucket(_other_side(seg, *_cell_cols("lat", "lon", cell)), bucket_ms, max_t)
+    ).select("*", _probe_buckets("t_ms", levels, bucket_ms))
+    idx = _replicate_by_bucket(_other_side(seg, *_cell_cols("lat", "lon", cell)), bucket_ms, max_t, levels)
     # Both sides are replicated (8 cells / time buckets), which the planner's
     # size estimate does not see: never let it broadcast them.
-    j = probe.hint("merge").join(idx.hint("merge"), ["route_id", "cx", "cy", "cz", "tb"]).filter(
+    j = probe.hint("merge").join(idx.hint("merge"), ["route_id", "cx", "cy", "cz", "lv", "tb"]).filter(
         F.col("bus_id") != F.col("o_bus")
     )
     j = j.filter(_covers("o_", "t_ms", "seq"))
@@ -192,12 +231,10 @@ def with_islands(near: DataFrame, bucket_ms: int = 24 * 3_600_000) -> DataFrame:
     through a small per-day table.
     """
     keys = ["route_id", "lo", "hi"]
-    prev = with_lookback(near, keys, "t_ms", "seq", ["next_t", "next_seq"], 1, bucket_ms, keep_bucket=True)
+    prev = with_lookback(near, keys, "t_ms", "seq", ["next_t", "next_seq"], 1, bucket_ms)
     starts = ~F.col("_has_lag1") | (F.col("next_t_lag1") != F.col("t_ms")) | (F.col("next_seq_lag1") != F.col("seq"))
-    # _bkt (days) is the look-back's own partitioning: the windows and the
-    # join below reuse it.
     tagged = prev.withColumn("_start", F.when(starts, F.struct(F.col("t_ms").alias("t"), F.col("seq").alias("s")))) \
-        .withColumnRenamed("_bkt", "_day")
+        .withColumn("_day", floor_div(F.col("t_ms"), bucket_ms))
     upto = Window.partitionBy(*keys, "_day").orderBy("t_ms", "seq").rowsBetween(Window.unboundedPreceding, 0)
     local = tagged.withColumn("_in_day", F.max("_start").over(upto))
     days = tagged.groupBy(*keys, "_day").agg(F.max("_start").alias("_last"))
@@ -318,15 +355,20 @@ def bus_bunching(
     detected_at=None,
     once_per_episode: bool = False,
     split_episodes: bool = True,
+    missing: str = "zero",
 ) -> DataFrame:
     """Bus-bunching incident alerts (batch form).
 
+    ``missing``: pings without coordinates read as (0, 0), as in the reference,
+    and so meet each other there; ``drop`` leaves them out, and a bus keeps its
+    last known position (or has none).
+
     By default a pair that stays near re-arms after each alert (an alert
     every 5 minutes, as in the reference); ``once_per_episode`` alerts once
     until the buses have been seen apart.  ``split_episodes`` scans each
     near episode of a pair separately (skew safety for a pair that is often
     near; costs a few shuffles of the near set, off = one scan per pair)."""
-    fired, seg, max_t = bunching_deadlines(bus, radius_m, hold_ms, delay_ms,
+    fired, seg, max_t = bunching_deadlines(bus, radius_m, hold_ms, delay_ms, missing,
                                            once_per_episode=once_per_episode,
                                            split_episodes=split_episodes)
     at = _as_of(seg, fired, max_t)
@@ -344,16 +386,17 @@ def bus_bunching(
 def _as_of(seg: DataFrame, fired: DataFrame, max_t: int, bucket_ms: int = LOOKUP_BUCKET_MS) -> DataFrame:
     """Positions of both buses at each deadline (latest ping with ``t <= deadline``):
     one bucketed interval join for both sides, folded back to one row."""
+    levels = used_levels(seg, max_t, bucket_ms)
     rep = _replicate_by_bucket(
         seg.select("route_id", "bus_id", "s_t", "e_t", "lat", "lon", "timestamp"),
-        bucket_ms, max_t, s_t="s_t", e_t="e_t",
+        bucket_ms, max_t, levels, s_t="s_t", e_t="e_t",
     )
     sides = F.array(F.struct(F.lit("a").alias("side"), F.col("lo").alias("bus_id")),
                     F.struct(F.lit("b").alias("side"), F.col("hi").alias("bus_id")))
-    probe = fired.select("route_id", "lo", "hi", "deadline", F.inline(sides)).withColumn(
-        "tb", floor_div(F.col("deadline"), bucket_ms)
+    probe = fired.select("route_id", "lo", "hi", "deadline", F.inline(sides)).select(
+        "*", _probe_buckets("deadline", levels, bucket_ms)
     )
-    hit = probe.join(rep, ["route_id", "bus_id", "tb"]).filter(
+    hit = probe.join(rep, ["route_id", "bus_id", "lv", "tb"]).filter(
         (F.col("s_t") <= F.col("deadline")) & (F.col("deadline") < F.col("e_t"))
     )
     pick = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c)))

@@ -1,12 +1,15 @@
 """Exact per-key look-back that does not put a hot key in one task.
 
 ``lag(c, k) OVER (PARTITION BY key ORDER BY t, seq)`` sends every row of a key
-to one task.  Here the key's rows are split into event-time buckets and the
-lags are computed inside ``(key, bucket)``; the first rows of a bucket take
-their look-back from the last ``n`` rows of each of the ``n`` preceding
-non-empty buckets (at least ``n`` rows in total, and always the ``n`` rows
-just before the bucket).  Work per task is bounded by the bucket, not by the
-key, and the input is shuffled once.
+to one task.  Here the key's rows are split into event-time buckets.  From the
+``n``-th row of a bucket on, all looked-at rows lie in the bucket, so a window
+over ``(key, bucket)`` is enough.  The first ``n`` rows of a bucket look back
+at each other and at last rows of earlier buckets: a second window, over the
+key, holds the first and the last ``n`` rows of every bucket only.  Its rows
+grow with the time covered, not with the number of rows.
+
+Both windows read the same exchange of the input by (key, bucket), which the
+planner reuses: one scan and one full shuffle.
 """
 
 from __future__ import annotations
@@ -30,75 +33,29 @@ def with_lookback(
     cols: list[str],
     n: int,
     bucket_ms: int = DEFAULT_BUCKET_MS,
-    keep_bucket: bool = False,
 ) -> DataFrame:
     """Add ``{c}_lag{k}`` for ``k`` in 1..n and ``_has_lag{k}`` (row exists).
 
-    ``keep_bucket`` keeps the ``_bkt`` column: the result is partitioned by
-    (key, ``_bkt``), so a following window or join on it needs no shuffle.
-
-    One shuffle of the input, by (key, bucket): in-bucket lags, position and
-    bucket size come from one window pass.  Only the first ``n`` rows of a
-    bucket reach back into earlier buckets; they take their values from a
-    small per-bucket context (the last ``n`` rows of each of the ``n``
-    preceding non-empty buckets, ranked newest first), which is joined back
-    on (key, bucket) so only the small side moves.
+    Order is (t, seq), nulls first as in any window; rows with a null key form
+    a key of their own.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    b = df.withColumn("_bkt", floor_div(F.col(t), bucket_ms))
-    w = Window.partitionBy(*keys, "_bkt").orderBy(F.col(t), F.col(seq))
-    whole = Window.partitionBy(*keys, "_bkt")
-    lags = [F.lag(c, k).over(w).alias(f"{c}_lag{k}") for k in range(1, n + 1) for c in cols]
-    a = b.select("*", F.row_number().over(w).alias("_pos"), F.count(F.lit(1)).over(whole).alias("_cnt"), *lags)
+    names = df.columns
 
-    if n == 1:
-        # A one-row tail is a max_by aggregate: combined map-side, no second
-        # full shuffle of the input.
-        fields = list(dict.fromkeys((t, seq, *cols)))
-        last = F.max_by(F.struct(*fields), F.struct(t, seq)).alias("_last")
-        tails = b.groupBy(*keys, "_bkt").agg(last).select(
-            *keys, F.col("_bkt").alias("_src"), *[F.col("_last")[c].alias(c) for c in fields]
-        )
-    else:
-        tails = a.filter(F.col("_pos") > F.col("_cnt") - n).select(
-            *keys, F.col("_bkt").alias("_src"), t, seq, *cols
-        )
-    by_bucket = Window.partitionBy(*keys).orderBy("_bkt")
-    # The bucket list is a map-side-combined distinct (one row per key and
-    # bucket leaves each input partition), not another pass over the rows.
-    sources = (
-        b.select(*keys, "_bkt").distinct()
-        .select(*keys, "_bkt", F.array(*[F.lag("_bkt", j).over(by_bucket) for j in range(1, n + 1)]).alias("_prev"))
-        .select(*keys, "_bkt", F.explode("_prev").alias("_src"))
-        .filter(F.col("_src").isNotNull())
-    )
-    newest = Window.partitionBy(*keys, "_bkt").orderBy(F.col(t).desc(), F.col(seq).desc())
-    ranked = (
-        sources.join(tails, [*keys, "_src"])
-        .withColumn("_r", F.row_number().over(newest))
-        .filter(F.col("_r") <= n)
-    )
-    context = ranked.groupBy(*keys, "_bkt").agg(
-        F.max("_r").alias("_nctx"),
-        *[F.max(F.when(F.col("_r") == r, F.col(c))).alias(f"_ctx_{c}_{r}") for r in range(1, n + 1) for c in cols],
-    )
-    out = a.join(context, [*keys, "_bkt"], "left")
+    def lags(w):
+        found = [F.lag(c, k).over(w).alias(f"{c}_lag{k}") for k in range(1, n + 1) for c in cols]
+        return found + [F.lag(F.lit(True), k, False).over(w).alias(f"_has_lag{k}") for k in range(1, n + 1)]
 
-    pos = F.col("_pos")
-    fixed = {}
-    for k in range(1, n + 1):
-        # lag k of the row at position p <= k is the (k - p + 1)-th newest context row
-        fixed[f"_has_lag{k}"] = (pos > k) | (F.coalesce(F.col("_nctx"), F.lit(0)) >= F.lit(k + 1) - pos)
-        for c in cols:
-            from_ctx = None
-            for p in range(1, k + 1):
-                v = F.col(f"_ctx_{c}_{k - p + 1}")
-                from_ctx = F.when(pos == p, v) if from_ctx is None else from_ctx.when(pos == p, v)
-            fixed[f"{c}_lag{k}"] = F.when(pos > k, F.col(f"{c}_lag{k}")).otherwise(from_ctx)
-    drop = ([] if keep_bucket else ["_bkt"]) + ["_pos", "_cnt", "_nctx"] + [
-        f"_ctx_{c}_{r}" for r in range(1, n + 1) for c in cols
-    ]
-    return out.withColumns(fixed).drop(*drop)
+    in_bucket = Window.partitionBy(*keys, "_bkt").orderBy(F.col(t), F.col(seq))
+    placed = df.withColumn("_bkt", floor_div(F.col(t), bucket_ms)).select(
+        *names, "_bkt", F.row_number().over(in_bucket).alias("_pos"),
+        F.lead(F.lit(False), n, True).over(in_bucket).alias("_tail"),
+    )
+    inner = placed.select(*names, "_pos", *lags(in_bucket)).filter(F.col("_pos") > n)
+    edges = placed.filter((F.col("_pos") <= n) | F.col("_tail"))
+    in_key = Window.partitionBy(*keys).orderBy(F.col(t), F.col(seq))
+    first = edges.select(*names, "_pos", *lags(in_key)).filter(F.col("_pos") <= n)
+    return inner.unionByName(first).drop("_pos")
 
 
 def with_lookahead(

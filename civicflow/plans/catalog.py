@@ -18,7 +18,10 @@ from civicflow.operators import incidents, quality, windows
 from civicflow.operators.enrich import enrich
 from civicflow.operators.latest import latest_per_key
 from civicflow.operators.replay import replay
+from civicflow.session import materialize, scratch_path
+from civicflow.sources import files
 from civicflow.sources import telemetry as tv
+from civicflow.streaming import io, jobs
 
 TS_FMT = "yyyy-MM-dd HH:mm:ss"
 
@@ -166,6 +169,58 @@ def q_dlq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report_from_messages(messages)
 
 
+def q_dlq_malformed_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged records -> envelopes in a topic folder -> bounded report of it."""
+    (aqi,) = _views(spark, sf_dir, "air_quality")
+    dead = quality.dead_letters(quality.classify(corrupt_wire(tv.wire_records(aqi, "air_quality"))))
+    topic = scratch_path(spark, "dlq-topic")
+    quality.envelope(dead).select(F.lit("dlq").alias("topic"), "offset", F.col("dlq_value").alias("value")).write.json(topic)
+    return jobs.dead_letter_report(spark, "files", "dlq", topic)
+
+
+# -- file sources and sink rows ---------------------------------------------------
+
+def q_jsonl_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Meter records written as JSON lines and read with the declared schema."""
+    (meters,) = _views(spark, sf_dir, "smart_meters")
+    path = scratch_path(spark, "jsonl")
+    tv.wire_records(meters, "smart_meters").select("value").write.text(path)
+    return files.read_jsonl(spark, path, schemas.SMART_METER).select(
+        "meter_id", "ward_id", _r6("kwh_reading").alias("kwh_reading"), _r6("voltage").alias("voltage"),
+        _r6("power_factor").alias("power_factor"), "timestamp", "t_ms")
+
+
+def q_csv_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers with a CSV lookup whose keys repeat: its last line wins.  The
+    lookup is one file of the nation table's fixed rows."""
+    path = scratch_path(spark, "lookup")
+    nation = tv.read_table(spark, sf_dir, "nation")
+    nation.orderBy("n_nationkey").coalesce(1).select("n_regionkey", "n_name").write.option("header", "true").csv(path)
+    lookup = files.read_lookup_csv(spark, path, "n_regionkey int, n_name string", key="n_regionkey")
+    suppliers = tv.read_table(spark, sf_dir, "supplier").select(
+        "s_suppkey", F.expr("CAST(s_nationkey % 7 AS INT)").alias("n_regionkey"))
+    return enrich(suppliers, lookup, on="n_regionkey").select("s_suppkey", "n_regionkey", "n_name")
+
+
+def q_ward_energy_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sink rows of the ward summary: JSON with the nested window, no key."""
+    (meters,) = _views(spark, sf_dir, "smart_meters")
+    rows = io.kafka_rows(windows.ward_energy(meters))
+    j = lambda path: F.get_json_object("value", path)
+    return rows.select("key", j("$.ward_id").alias("ward_id"), j("$.window.start").alias("window_start"),
+                       j("$.window.end").alias("window_end"), _r6(j("$.peak_voltage").cast("double")).alias("peak_voltage"))
+
+
+def q_advisory_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sink rows of the advisories, keyed by zone."""
+    (aqi,) = _views(spark, sf_dir, "air_quality")
+    rows = io.kafka_rows(windows.health_advisories(aqi, tv.zone_profile(spark)), key="zone")
+    j = lambda path: F.get_json_object("value", path)
+    return rows.select("key", j("$.zone").alias("zone"), j("$.window_end").alias("window_end"),
+                       _r6(j("$.rolling_avg_aqi").cast("double")).alias("rolling_avg_aqi"),
+                       j("$.population").cast("int").alias("population"))
+
+
 def q_keyed_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     (bus,) = _views(spark, sf_dir, "bus_gps")
     fields = [f.name for f in schemas.BUS_GPS.fields]
@@ -203,6 +258,11 @@ QUERIES = {
     "dlq_classified": q_dlq_classified,
     "dlq_envelope": q_dlq_envelope,
     "dlq_report": q_dlq_report,
+    "dlq_malformed_report": q_dlq_malformed_report,
+    "jsonl_records": q_jsonl_records,
+    "csv_lookup": q_csv_lookup,
+    "ward_energy_rows": q_ward_energy_rows,
+    "advisory_rows": q_advisory_rows,
     "keyed_replay": q_keyed_replay,
     "gridlock": q_gridlock,
     "latest_positions": q_latest_positions,
@@ -217,7 +277,7 @@ def q_near_pair_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     (bus,) = _views(spark, sf_dir, "bus_gps")
     pings = P.prepare_pings(bus)
     max_t = pings.agg(F.max("t_ms")).first()[0]
-    seg = P.segments(pings)
+    seg = materialize(P.segments(pings), "near-segments")
     near = P.near_observations(seg, max_t=int(max_t))
     return near.select("route_id", "lo", "hi", "t_ms", "seq", F.round("distance", 3).alias("distance"))
 

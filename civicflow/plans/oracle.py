@@ -165,6 +165,50 @@ FROM (SELECT coalesce(error_reason, 'Unknown Error') AS error_type
 GROUP BY ROLLUP (error_type)
 """)
 
+_DAMAGED = """
+damaged AS (
+  SELECT seq,
+         CASE WHEN seq % 37 = 5 THEN 'Malformed Record'
+              WHEN aqi IS NULL OR seq % 41 = 7 THEN 'Null AQI'
+              WHEN aqi > 500 THEN 'AQI Out of Range' END AS error_reason
+  FROM air_quality
+)"""
+
+DLQ_MALFORMED_REPORT = _q(f""", {_DAMAGED.strip()}
+SELECT coalesce(error_reason, 'Total DLQ Messages') AS error_type, count(*) AS message_count,
+       grouping(error_reason) = 1 AS is_total
+FROM damaged WHERE error_reason IS NOT NULL
+GROUP BY ROLLUP (error_reason)
+""")
+
+DLQ_MALFORMED = _q(f""", {_DAMAGED.strip()}
+SELECT 'air_quality' AS source_topic, error_reason, seq AS "offset" FROM damaged WHERE error_reason IS NOT NULL
+""")
+
+JSONL_RECORDS = _q("""
+SELECT meter_id, ward_id, round(kwh_reading, 6) AS kwh_reading, round(voltage, 6) AS voltage,
+       round(power_factor, 6) AS power_factor, ts_iso AS "timestamp", t_ms
+FROM smart_meters
+""")
+
+CSV_LOOKUP = """
+SELECT s.s_suppkey, CAST(s.s_nationkey % 7 AS INTEGER) AS n_regionkey, n.n_name
+FROM supplier s
+JOIN (SELECT n_regionkey, arg_max(n_name, n_nationkey) AS n_name FROM nation GROUP BY n_regionkey) n
+  ON n.n_regionkey = s.s_nationkey % 7
+"""
+
+WARD_ENERGY_ROWS = f"""
+SELECT CAST(NULL AS VARCHAR) AS key, ward_id, replace(window_start, ' ', 'T') || '.000Z' AS window_start,
+       replace(window_end, ' ', 'T') || '.000Z' AS window_end, peak_voltage
+FROM ({WARD_ENERGY}) w
+"""
+
+ADVISORY_ROWS = f"""
+SELECT zone AS key, zone, replace(window_end, ' ', 'T') || '.000Z' AS window_end, rolling_avg_aqi, population
+FROM ({HEALTH_ADVISORY}) a
+"""
+
 KEYED_REPLAY = _q("""
 SELECT route_id AS key, seq AS "offset", bus_id, ts_iso AS "timestamp"
 FROM bus_gps ORDER BY seq LIMIT 300
@@ -207,6 +251,11 @@ ORACLE = {
     "dlq_classified": DLQ_CLASSIFIED,
     "dlq_envelope": DLQ_ENVELOPE,
     "dlq_report": DLQ_REPORT,
+    "dlq_malformed_report": DLQ_MALFORMED_REPORT,
+    "jsonl_records": JSONL_RECORDS,
+    "csv_lookup": CSV_LOOKUP,
+    "ward_energy_rows": WARD_ENERGY_ROWS,
+    "advisory_rows": ADVISORY_ROWS,
     "keyed_replay": KEYED_REPLAY,
     "gridlock": GRIDLOCK,
     "latest_positions": LATEST_POSITIONS,
@@ -340,8 +389,24 @@ FROM traffic_signals, (VALUES ('HIGH_PRIORITY'), ('STANDARD_PRIORITY')) s(subscr
 """)
 
 
+# Several months of readings (30 days of events, stretched fourfold), without a
+# power factor in every 13th; the history holds the closed 15-minute windows.
+_HISTORY = """
+WITH months AS (
+  SELECT 'WARD-' || CAST(user_id % 5 + 1 AS VARCHAR) AS ward_id,
+         CAST(1704067200000 + (epoch_us(ts) // 1000 - 1704067200000) * 4 AS BIGINT) AS t_ms,
+         value / CAST(100 AS DOUBLE) AS kwh_reading,
+         CAST(220 AS DOUBLE) + (event_id % 201) / CAST(10 AS DOUBLE) AS voltage,
+         CASE WHEN event_id % 13 <> 0 THEN CAST(0.7 AS DOUBLE) + (event_id % 31) / CAST(100 AS DOUBLE) END AS power_factor
+  FROM events
+), smart_meters AS (
+  SELECT * FROM months WHERE (t_ms // 900000 + 1) * 900000 <= (SELECT max(t_ms) FROM months) - 2700000
+)
+"""
+
+
 def _rollup_sql(unit: str) -> str:
-    return _q(f"""
+    return _HISTORY + (f"""
 SELECT ward_id,
        strftime(date_trunc('{unit}', make_timestamp(t_ms * 1000)), {TS}) AS period_start,
        round(sum(kwh_reading), 6) AS total_kwh_consumed,
@@ -356,12 +421,13 @@ GROUP BY ward_id, date_trunc('{unit}', make_timestamp(t_ms * 1000))
 ORACLE.update({
     "ward_energy_stream_append": _closed(WARD_ENERGY, 45 * 60 * 1000),
     "ward_energy_stream_update": WARD_ENERGY,
-    "ward_history_pruned": _closed(WARD_ENERGY, 45 * 60 * 1000,
-                                   " AND ward_id = 'WARD-3' AND date >= '2024-01-01'"),
+    "ward_history_pruned": WARD_ENERGY.replace(PRELUDE, _HISTORY).replace(
+        "FROM smart_meters", "FROM smart_meters WHERE ward_id = 'WARD-3' AND t_ms >= epoch_ms(TIMESTAMP '2024-03-01')"),
     "health_advisory_stream": _closed(HEALTH_ADVISORY, 5 * 60 * 1000),
     "aqi_emergency_stream": AQI_EMERGENCY,
     "route_enrichment_stream": ROUTE_ENRICHMENT,
     "dlq_stream": DLQ_ENVELOPE,
+    "dlq_malformed_stream": DLQ_MALFORMED,
     "gridlock_stream": GRIDLOCK,
     "bus_bunching_stream": BUS_BUNCHING,
     "priority_fanout": FANOUT,

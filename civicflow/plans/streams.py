@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicflow.operators import windows
-from civicflow.plans.catalog import ALERT_OUT, _r6, _r6_mean, _ts, _views
+from civicflow.plans.catalog import ALERT_OUT, _r6, _r6_mean, _ts, _views, corrupt_wire
 from civicflow.sources import telemetry as tv
 from civicflow.streaming import jobs
 from civicflow.streaming.io import (
@@ -44,12 +44,15 @@ def _files_per_slice(spark: SparkSession) -> int:
 def _replay(spark: SparkSession, sf_dir: str, kinds: list[str], name: str):
     """Stage the given streams (merged in offset order) and open a file stream
     that reads one slice per micro-batch."""
-    run = new_run_dir(spark, name)
-    views = _views(spark, sf_dir, *kinds)
     recs = None
-    for kind, v in zip(kinds, views):
+    for kind, v in zip(kinds, _views(spark, sf_dir, *kinds)):
         r = tv.wire_records(v, kind)
         recs = r if recs is None else recs.unionByName(r)
+    return _replay_records(spark, recs, name)
+
+
+def _replay_records(spark: SparkSession, recs: DataFrame, name: str):
+    run = new_run_dir(spark, name)
     files = _files_per_slice(spark)
     stage_records(recs, f"{run}/input", slices=REPLAY_SLICES, files_per_slice=files)
     stream = read_records(spark, "files", path=f"{run}/input", options={"maxFilesPerTrigger": str(files)})
@@ -68,7 +71,17 @@ def _ward_out(df: DataFrame) -> DataFrame:
 
 
 def _run_ward_energy(spark: SparkSession, sf_dir: str, name: str) -> str:
-    run, stream = _replay(spark, sf_dir, ["smart_meters"], name)
+    return _run_ward_job(spark, *_replay(spark, sf_dir, ["smart_meters"], name))
+
+
+def _months_of_history(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The history table the ward job writes from several months of readings."""
+    meters = tv.smart_meters_history(tv.read_table(spark, sf_dir, "events"))
+    run = _run_ward_job(spark, *_replay_records(spark, tv.wire_records(meters, "smart_meters"), name))
+    return spark.read.parquet(f"{run}/history")
+
+
+def _run_ward_job(spark: SparkSession, run: str, stream: DataFrame) -> str:
     hist, live = jobs.ward_energy_job(stream, f"{run}/history", f"{run}/ckpt", live_path=f"{run}/live",
                                       state_partitions=_state_partitions(spark))
     run_to_completion(hist)
@@ -92,9 +105,8 @@ def q_ward_energy_stream_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_ward_history_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A ward officer's view of the history: partition filters on ward_id and
     date reach the Parquet listing (PartitionFilters), not a row scan."""
-    run = _run_ward_energy(spark, sf_dir, "ward-history")
-    hist = spark.read.parquet(f"{run}/history")
-    scoped = hist.filter((F.col("ward_id") == "WARD-3") & (F.col("date") >= F.lit("2024-01-01").cast("date")))
+    hist = _months_of_history(spark, sf_dir, "ward-history")
+    scoped = hist.filter((F.col("ward_id") == "WARD-3") & (F.col("date") >= F.lit("2024-03-01").cast("date")))
     return _ward_out(scoped)
 
 
@@ -152,6 +164,16 @@ def q_dlq_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_dlq_malformed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged records through the streaming dead-letter job."""
+    (aqi,) = _views(spark, sf_dir, "air_quality")
+    run, stream = _replay_records(spark, corrupt_wire(tv.wire_records(aqi, "air_quality")), "dlq-malformed")
+    run_to_completion(jobs.dead_letter_job(stream, f"{run}/out", f"{run}/ckpt"))
+    return spark.read.parquet(f"{run}/out").select(
+        F.get_json_object("dlq_value", "$.source_topic").alias("source_topic"),
+        F.get_json_object("dlq_value", "$.error_reason").alias("error_reason"), "offset")
+
+
 def q_gridlock_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     run, stream = _replay(spark, sf_dir, ["traffic_signals"], "gridlock")
     alerts = gridlock_stream(jobs.typed(stream, "traffic_signals"))
@@ -258,8 +280,7 @@ def q_ward_energy_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rollup(spark: SparkSession, sf_dir: str, unit: str) -> DataFrame:
-    (meters,) = _views(spark, sf_dir, "smart_meters")
-    rolled = windows.rollup_history(windows.ward_energy_with_counts(meters), unit)
+    rolled = windows.rollup_history(_months_of_history(spark, sf_dir, f"ward-{unit}"), unit)
     return rolled.select(
         "ward_id", _ts("period_start").alias("period_start"),
         _r6("total_kwh_consumed").alias("total_kwh_consumed"),
@@ -277,6 +298,7 @@ STREAM_QUERIES = {
     "aqi_emergency_stream": q_aqi_emergency_stream,
     "route_enrichment_stream": q_route_enrichment_stream,
     "dlq_stream": q_dlq_stream,
+    "dlq_malformed_stream": q_dlq_malformed_stream,
     "gridlock_stream": q_gridlock_stream,
     "bus_bunching_stream": q_bus_bunching_stream,
     "incidents_stream": q_incidents_stream,

@@ -23,6 +23,7 @@ from civicflow import schemas
 # Fixed values of the derived views (shared with the DuckDB oracle text).
 EPOCH_MS = 1704067200000          # 2024-01-01T00:00:00Z
 TIME_COMPRESSION = 60             # 30 days of events become 12 hours
+HISTORY_STRETCH = 4               # for long histories they become 120 days
 SIGNAL_PHASES = ("RED", "GREEN", "YELLOW")
 ISO_MS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
@@ -54,10 +55,8 @@ def _dbl(x: float) -> Column:
     return F.lit(float(x)).cast("double")
 
 
-def _base(events: DataFrame) -> DataFrame:
-    t_ms = F.lit(EPOCH_MS) + F.expr(
-        f"(unix_millis(cast(ts AS timestamp)) - {EPOCH_MS}) div {TIME_COMPRESSION}"
-    )
+def _base(events: DataFrame, time_scale: str = f"div {TIME_COMPRESSION}") -> DataFrame:
+    t_ms = F.lit(EPOCH_MS) + F.expr(f"(unix_millis(cast(ts AS timestamp)) - {EPOCH_MS}) {time_scale}")
     return (
         events.select(
             F.col("event_id").alias("seq"),
@@ -87,6 +86,20 @@ def smart_meters(events: DataFrame) -> DataFrame:
     )
 
 
+def smart_meters_history(events: DataFrame) -> DataFrame:
+    """Meter readings over several months, every 13th without a power factor."""
+    b = _base(events, f"* {HISTORY_STRETCH}")
+    e, u, v = F.col("seq"), F.col("_u"), F.col("_v")
+    return b.select(
+        "seq", "t_ms", "event_time", "timestamp",
+        _tag("SM-", 1000 + u).alias("meter_id"),
+        _tag("WARD-", u % 5 + 1).alias("ward_id"),
+        (v / _dbl(100)).alias("kwh_reading"),
+        (_dbl(220) + (e % 201) / _dbl(10)).alias("voltage"),
+        F.when(e % 13 != 0, _dbl(0.7) + (e % 31) / _dbl(100)).alias("power_factor"),
+    )
+
+
 def air_quality(events: DataFrame) -> DataFrame:
     b = _base(events)
     e, u, v = F.col("seq"), F.col("_u"), F.col("_v")

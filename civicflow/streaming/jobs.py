@@ -32,11 +32,13 @@ def ward_energy_job(records: DataFrame, history_path: str, ckpt: str, live_path:
                     state_partitions: int | None = None):
     """Two sinks from one aggregation: a live feed in update mode and the
     15-minute history as Parquet partitioned by (ward_id, date), append mode
-    (each window written once, when the 45-minute watermark closes it)."""
+    (each window written once, when the 45-minute watermark closes it; the closed
+    windows of a ward and day go to one file per micro-batch)."""
     meters = typed(records, "smart_meters")
     windowed = windows.ward_energy(meters, watermark=windows.WARD_WATERMARK)
     counted = windows.ward_energy_with_counts(meters, watermark=windows.WARD_WATERMARK)  # for roll-ups
-    hist = write_stream(windows.with_window_date(counted), "parquet", f"{ckpt}/history", mode="append",
+    daily = windows.with_window_date(counted).repartition("ward_id", "date")
+    hist = write_stream(daily, "parquet", f"{ckpt}/history", mode="append",
                         path=history_path, partition_by=["ward_id", "date"], trigger=trigger,
                         state_partitions=state_partitions)
     live_df = kafka_rows(windowed) if live_sink == "kafka" else windowed

@@ -47,3 +47,11 @@ def test_dead_letter_filter_does_not_reparse(spark):
 def test_replay_is_a_top_k(spark):
     p = plan(spark, "keyed_replay")
     assert "TakeOrderedAndProject" in p and "rangepartitioning" not in p
+
+
+def test_gridlock_scans_and_shuffles_its_input_once(spark):
+    df = E.queries()["gridlock"](spark, SF)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+    assert final.count("FileScan parquet") == 1

@@ -108,3 +108,38 @@ def test_distance_helpers(spark):
     assert abs(got[0].h - 111.195) < 0.01 and abs(got[0].f - 111.32) < 0.01
     assert abs(got[1].f - 111.32 * 0.88) < 0.01  # the helper's fixed longitude factor
     assert abs(got[1].h - 97.8) < 0.1
+
+
+YEAR = 365 * 86_400
+
+
+def _index_rows(spark, pings):
+    from civicflow.operators import proximity as P
+
+    prepared = P.prepare_pings(_pings(spark, pings))
+    max_t = max(r.t_ms for r in prepared.collect())
+    seg = P.segments(prepared)
+    levels = P.used_levels(seg, max_t)
+    return P._replicate_by_bucket(P._other_side(seg), P.LOOKUP_BUCKET_MS, max_t, levels).count()
+
+
+def test_index_is_bounded_by_pings_not_by_time(spark):
+    from civicflow.operators.proximity import LEVEL_FACTOR
+
+    pings = [p("A", 0, BASE), p("B", 10, NEAR), p("A", YEAR, BASE)]
+    assert _index_rows(spark, pings) <= len(pings) * (LEVEL_FACTOR + 1)
+    epoch_zero = [p("A", -EPOCH_MS / 1000, BASE), *pings]
+    assert _index_rows(spark, epoch_zero) <= len(epoch_zero) * (LEVEL_FACTOR + 1)
+
+
+def test_a_bus_silent_for_a_year_still_pairs(spark):
+    got = _alerts(spark, [p("A", 0, BASE), p("B", YEAR, NEAR), p("B", YEAR + 100, NEAR), p("Z", YEAR + 2000, BASE, "R-9")])
+    assert [g[:2] for g in got] == [("A:B", YEAR + 300.0)]
+
+
+def test_pings_without_coordinates_may_be_left_out(spark):
+    nowhere = [p(b, s, (None, None)) for s in range(0, 2000, 100) for b in ("A", "B", "C")]
+    assert bus_bunching(_pings(spark, nowhere)).count() > 0  # all at (0, 0)
+    assert bus_bunching(_pings(spark, nowhere), missing="drop").count() == 0
+    with pytest.raises(ValueError):
+        bus_bunching(_pings(spark, nowhere), missing="other")

@@ -119,3 +119,20 @@ def test_staged_slices_have_exact_file_counts_and_keep_their_order(spark, tmp_pa
     log = spark.read.parquet(str(tmp_path / "log")).groupBy("batch_id").agg(
         F.min("offset").alias("lo"), F.max("offset").alias("hi"))
     assert sorted(map(tuple, log.collect())) == [(0, 1, 38), (2, 39, 40)]
+
+
+def test_throttled_subscriber_takes_one_slice_per_batch(spark, tmp_path):
+    from civicflow.streaming import jobs
+    from civicflow.streaming.io import read_records, run_to_completion, stage_records
+
+    rows = [("traffic_signals", i, '{"junction_id":"J","vehicle_count":1}') for i in range(40)]
+    recs = spark.createDataFrame(rows, "topic string, offset long, value string")
+    stage_records(recs, str(tmp_path / "in"), slices=4, files_per_slice=2)
+    batches = {}
+    for name, options in (("fast", {}), ("slow", {"maxFilesPerTrigger": "2"})):
+        stream = read_records(spark, "files", path=str(tmp_path / "in"), options=options)
+        query = jobs.subscriber_job(stream, name, str(tmp_path / name), str(tmp_path / f"ckpt-{name}"))
+        run_to_completion(query)
+        batches[name] = sum(q.numInputRows > 0 for q in query.recentProgress)
+        assert spark.read.parquet(str(tmp_path / name)).count() == 40
+    assert batches == {"fast": 1, "slow": 4}
