@@ -140,6 +140,12 @@ def split_at(raw: bytes, cuts: np.ndarray) -> list[bytes]:
     return [raw[i:j] for i, j in zip([0, *ends], [*ends, len(raw)])]
 
 
+def few_at_once(texts: pa.Array, n: int = 256):
+    """The texts of a batch, of which only ``n`` are Python strings at a time."""
+    for a in range(0, len(texts), n):
+        yield from texts.slice(a, n).to_pylist()
+
+
 def vocabulary(shared) -> ByteVocabulary:
     return per_process(("byte bpe", hash(shared.value)), lambda: ByteVocabulary(shared.value))
 
@@ -157,17 +163,24 @@ class ByteBPE:
 
         def encode(texts: pa.Array) -> pa.Array:
             v = vocabulary(shared)
-            return pa.array([v.encode(t) for t in texts.to_pylist()], pa.binary())
+            return pa.array([v.encode(t) for t in few_at_once(texts)], pa.binary())
 
         def decode(ids: pa.Array) -> pa.Array:
             v = vocabulary(shared)
             return pa.array([v.decode(i) for i in ids.to_pylist()], pa.string())
 
+        def round_trip(texts: pa.Array) -> pa.Array:
+            v = vocabulary(shared)
+            ids = [v.encode(t) for t in few_at_once(texts)]
+            decoded = pa.array(map(v.decode, ids), pa.string())
+            return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), decoded], ["ids", "decoded"])
+
         def unpack(ids: pa.Array) -> pa.Array:
             return pa.array([np.frombuffer(i or b"", "<u4").astype(np.int32) for i in ids.to_pylist()], pa.list_(pa.int32()))
 
         self.encode_column = F.arrow_udf(encode, "binary").asNondeterministic()
         self.decode_column = F.arrow_udf(decode, "string").asNondeterministic()
+        self.round_trip_column = F.arrow_udf(round_trip, "ids binary, decoded string").asNondeterministic()
         self.unpack_column = F.arrow_udf(unpack, "array<int>").asNondeterministic()
 
     def encode(self, df: DataFrame, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -178,6 +191,13 @@ class ByteBPE:
         """``df`` with the text of ``ids``; ids outside the vocabulary are skipped."""
         return df.withColumn(text, self.decode_column(F.col(ids)))
 
+    def round_trip(self, df: DataFrame, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+        """``encode`` and ``decode`` in one pass: the columns of both from one
+        Python worker a task, where two UDFs one after the other hold two, each
+        with its own vocabulary and memo."""
+        both = df.withColumn("__round_trip", self.round_trip_column(F.col(text)))
+        return both.withColumns({ids: F.col("__round_trip.ids"), decoded: F.col("__round_trip.decoded")}).drop("__round_trip")
+
     def unpack(self, df: DataFrame, ids: str = "ids", into: str = "token_ids") -> DataFrame:
         """``df`` with the ids as an array of integers."""
         return df.withColumn(into, self.unpack_column(F.col(ids)))
@@ -190,7 +210,7 @@ def n_tokens(ids: Column) -> Column:
 def token_digests(spark: SparkSession, documents: DataFrame, path: str) -> DataFrame:
     """Digest columns of the round trip: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     bpe = ByteBPE(spark, path)
-    tokens = bpe.decode(bpe.encode(documents.select("doc_id", "text")))
+    tokens = bpe.round_trip(documents.select("doc_id", "text"))
     return tokens.select(
         "doc_id",
         n_tokens(F.col("ids")).cast("long").alias("n_tokens"),

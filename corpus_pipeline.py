@@ -40,7 +40,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (little-endian unsigned 32-bit integers) of every document."""
     encoder = bpe.ByteBPE(spark, tokenizer_path("byte_bpe_50k.json"))
-    tokens = encoder.decode(encoder.encode(docs.select("doc_id", "source", "text")))
+    tokens = encoder.round_trip(docs.select("doc_id", "source", "text"))
     return tokens.select(
         "doc_id", "source", bpe.n_tokens(F.col("ids")).cast("long").alias("n_tokens"), "ids",
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

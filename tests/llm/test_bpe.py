@@ -84,3 +84,12 @@ def test_query_against_the_library(spark, sf):
 
 def test_empty_table(spark, docs):
     assert bpe.token_digests(spark, docs([]), PATH).count() == 0
+
+
+def test_round_trip_is_encode_and_decode_in_one_worker(spark, docs):
+    df = docs([*HARD, None, "same", "same"]).withColumn("ids", F.lit("clash"))
+    op = bpe.ByteBPE(spark, PATH)
+    both = op.round_trip(df)
+    assert sorted(map(tuple, both.collect()), key=repr) == sorted(map(tuple, op.decode(op.encode(df)).collect()), key=repr)
+    plan = bpe.token_digests(spark, df, PATH)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("round_trip(") == 1
