@@ -120,14 +120,15 @@ def matrix_of(row) -> np.ndarray:
 def select_best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Per row the columns of the k highest scores, first column first among
     equals, and which of these are real (-inf marks what takes no part)."""
-    left, best = scores.copy(), []
+    left, best, real, rows = scores.copy(), [], [], np.arange(len(scores))
     for _ in range(min(k, scores.shape[1])):
         at = left.argmax(axis=1)
         best.append(at)
-        left[np.arange(len(left)), at] = -np.inf
-    cols = np.stack(best, axis=1) if best else np.empty((len(scores), 0), np.int64)
-    real = np.take_along_axis(scores, cols, axis=1) != -np.inf
-    return cols, real
+        real.append(left[rows, at] != -np.inf)  # else nothing is left, and ``at`` is any column
+        left[rows, at] = -np.inf
+    if not best:
+        return np.empty((len(scores), 0), np.int64), np.empty((len(scores), 0), bool)
+    return np.stack(best, axis=1), np.stack(real, axis=1)
 
 
 def search_unit(queries: list, candidates: list, k: int) -> pd.DataFrame:

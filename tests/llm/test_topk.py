@@ -34,6 +34,13 @@ def test_against_brute_force(spark, sizes):
     assert run(df, **sizes) == brute(rows, 50, 5)
 
 
+@pytest.mark.parametrize("tile_rows", [2, 3, 4, 5])
+def test_fewer_candidates_in_a_tile_than_k(spark, tile_rows):
+    for ids in ([1, 50], [50, 51], [1, 2, 50], [1, 50, 100], list(range(40, 58)) + [50]):
+        rows = [(i, [0.5, 0.25 * (i % 3)], 1) for i in ids]
+        assert run(spark.createDataFrame(rows, SCHEMA).coalesce(1), tile_rows=tile_rows) == brute(rows, 50, 5)
+
+
 def test_exact_beyond_doubles():
     a = np.array([[3.0e9, 2.0**31, 1.0]])
     b = np.array([[3.0e9, 2.0**31, 1.0], [3.0e9, 2.0**31, 2.0], [1e300, 0, 0]])
