@@ -42,7 +42,9 @@ LEAST_VALUE, LEAST_ACCESS = 6, 20
 
 #: The assigned names, as the letters that one scan looks for first.
 PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----(.*?)-----END \1-----", re.DOTALL)
-JWT = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{4,})\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_-])")
+#: A JSON object begins with "e" in base64.  Looked ahead only, so that a word
+#: and a dot before a token do not use up its parts.
+JWT = re.compile(r"(?<![A-Za-z0-9_-])(?=(e[A-Za-z0-9_-]{7,})\.([A-Za-z0-9_-]{4,})\.([A-Za-z0-9_-]*))")
 ENCODED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{44,}={0,2}")
 HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Fa-f])")
 
@@ -146,7 +148,7 @@ def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
             if key_kind(data) or "ENCRYPTED" in m[2] and len(data) >= 32:
                 out.append(("pem", *m.span()))
     if "." in text:
-        out += [("jwt", *m.span()) for m in JWT.finditer(text) if m[1].startswith("e") and is_signed_token(m[1], m[2])]
+        out += [("jwt", m.start(), m.end(3)) for m in JWT.finditer(text) if is_signed_token(m[1], m[2])]
     covered = [(a, b) for _, a, b in out]
 
     def free(m) -> bool:

@@ -62,6 +62,12 @@ def test_structures_are_confirmed_and_likes_are_not():
         assert kinds(clean) == [], clean[:40]
 
 
+def test_tokens_behind_a_word_and_a_dot():
+    for before in ("authorization.", "example1.", "e2345678.e2345678.", "a.b.", "."):
+        t = f"x {before}{JWT} y"
+        assert [t[a:b] for k, a, b in secrets.find_spans(t) if k == "jwt"] == [JWT], before
+
+
 def test_redaction():
     t = "a password=hunter22 b 0123456789abcdef01234567 c"
     assert secrets.redacted(t, secrets.find_spans(t)) == "a [assign] b [hex] c"
