@@ -4,13 +4,21 @@ Patterns find the base spans (assigned values, access ids, long hex).  Runs
 that could be base64 or hex are decoded and only reported if what they decode
 to has the structure of a secret:
 
-* ``pem``: an armoured private key whose body decodes to a key structure;
+* ``pem``: an armoured private key whose body decodes to a key structure, or
+  base64 of text that holds one; without its END line (or with another's) it
+  goes as far as the key, or if that is cut off, as its base64 lines;
 * ``der``: base64 or hex of a DER key: nested lengths that fill their parents
   exactly, with the integers, octet strings or identifiers of a private key;
 * ``ssh``: the length-prefixed fields of an OpenSSH private key;
 * ``jwt``: three base64url parts whose header is a JSON object with ``alg``
   and whose payload is a JSON object.
 
+Candidates may be wrapped: lines of the alphabet, indented or not and with line
+ends that may be escaped, are joined, and a key may begin at any of them and
+ends with a line's part.  Not seen are lines with other prefixes (quotes,
+comment signs), DER keys that are cut off without armour, and coded armour not
+at the start of its lines and in lines of less than 20 symbols.
+
 Spans are (kind, start, end) in code points, end exclusive; a text's spans are
 ordered by start, then by kind as listed in ``KINDS``.
 
@@ -25,6 +33,7 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,13 +49,22 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 LEAST_VALUE, LEAST_ACCESS = 6, 20
 
-#: The assigned names, as the letters that one scan looks for first.
-PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----(.*?)-----END \1-----", re.DOTALL)
+BEGIN = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----")
 #: A JSON object begins with "e" in base64.  Looked ahead only, so that a word
 #: and a dot before a token do not use up its parts.
 JWT = re.compile(r"(?<![A-Za-z0-9_-])(?=(e[A-Za-z0-9_-]{7,})\.([A-Za-z0-9_-]{4,})\.([A-Za-z0-9_-]*))")
-ENCODED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{44,}={0,2}")
-HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Fa-f])")
+
+#: Runs of the base64 and hex alphabets over any number of lines (line ends also
+#: escaped, as in JSON), and where such a run could begin with a key or armour.
+NEWLINE = r"[ \t]*+(?:\r\n?|\n|\\r\\n|\\n)[ \t]*+"
+LINES = re.compile(rf"[A-Za-z0-9+/_-]++(?:{NEWLINE}[A-Za-z0-9+/_-]++)*+={{0,2}}")
+HEX_LINES = re.compile(rf"[0-9A-Fa-f]++(?:{NEWLINE}[0-9A-Fa-f]++)*+")
+RUN, HEX_RUN = re.compile(r"[A-Za-z0-9+/_-]+"), re.compile(r"[0-9A-Fa-f]+")
+BEGINS = re.compile(r"M[A-P]|b3Bl|LS0t|[A-Za-z0-9+/_-]{20}")
+HEX_BEGINS = re.compile(r"30[0-9A-Fa-f]{2}|6[fF]70656[eE]")
+LINE_ENDS = re.compile(r"""[ \t]*+(?:[\r\n\\"'<]|\Z)""")
+ARMOUR_HEADERS = re.compile(rf"(?:{NEWLINE}[A-Za-z-]+:[^\r\n\\]*+)*+(?:{NEWLINE})*+[ \t]*+")
+LEAST_CODED, LEAST_HEX = 44, 48
 
 SPAN_TYPE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 SPAN_SCHEMA = T.ArrayType(T.StructType().add("kind", T.StringType()).add("start", T.LongType()).add("end", T.LongType()))
@@ -107,16 +125,57 @@ def is_der_key(data: bytes) -> bool:
     return tags[:3] == [INTEGER, SEQUENCE, OCTETS] or tags == [SEQUENCE, OCTETS]  # PKCS #8, plain and encrypted
 
 
-def is_ssh_key(data: bytes) -> bool:
-    magic = b"openssh-key-v1\0"
-    if not data.startswith(magic):
+def der_size(head: bytes) -> int | None:
+    """Bytes of the sequence that begins with ``head`` (six bytes, or all there are)."""
+    if len(head) < 2 or head[0] != SEQUENCE:
+        return None
+    n = head[1] & 0x7F
+    if not head[1] & 0x80:
+        return 2 + n
+    return 2 + n + int.from_bytes(head[2:2 + n], "big") if 1 <= n <= 4 and len(head) >= 2 + n else None
+
+
+def begins_der_key(data: bytes) -> bool:
+    """A DER key that was cut off: longer than ``data``, which has the start of one."""
+    size = der_size(data[:6])
+    if size is None or size <= len(data) or len(data) < 24:
         return False
-    at = len(magic)
-    for _ in range(3):  # cipher, KDF, KDF options
+    inner = data[2 + (data[1] & 0x7F if data[1] & 0x80 else 0):]
+    if inner[:2] == b"\x02\x01":  # version, then a number, an octet string or the algorithm
+        return inner[3] in (INTEGER, OCTETS, SEQUENCE)
+    return inner[0] == SEQUENCE and der_size(inner[:6]) is not None and inner[2] == OBJECT_ID
+
+
+SSH_MAGIC = b"openssh-key-v1\0"
+
+
+def ssh_fields(data: bytes) -> int | None:
+    """Where the cipher, KDF and KDF options of an OpenSSH key end."""
+    if not data.startswith(SSH_MAGIC):
+        return None
+    at = len(SSH_MAGIC)
+    for _ in range(3):
         if at + 4 > len(data):
-            return False
+            return None
         at += 4 + int.from_bytes(data[at:at + 4], "big")
-    return at + 4 <= len(data)
+    return at if at + 4 <= len(data) else None
+
+
+def is_ssh_key(data: bytes) -> bool:
+    return ssh_fields(data) is not None
+
+
+def ssh_size(data: bytes) -> int | None:
+    """Bytes of the OpenSSH key at the start of ``data``; None if its private part is empty or cut off."""
+    at = ssh_fields(data)
+    fields = 1 + int.from_bytes(data[at:at + 4], "big")  # public keys and the private part
+    at += 4
+    for _ in range(fields):
+        if at + 4 > len(data):
+            return None
+        size = int.from_bytes(data[at:at + 4], "big")
+        at += 4 + size
+    return at if size and at <= len(data) else None
 
 
 def is_signed_token(header: str, payload: str) -> bool:
@@ -138,29 +197,148 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out + [("hex", *m.span()) for m in HEX.finditer(text)]
 
 
+class Lines:
+    """A run over lines that begins at ``start``: its symbols without line ends,
+    and where in these and in the text every line's part ends."""
+
+    def __init__(self, text: str, start: int, lines: re.Pattern, run: re.Pattern):
+        self.text, self.stop = text, lines.match(text, start).end()
+        parts, self.starts, self.ends, self.at = [], [], [], [0]
+        while start < self.stop:
+            if text[start] == "\\":  # an escaped line end
+                start += 2
+            elif m := run.match(text, start, self.stop):
+                parts.append(m[0])
+                self.starts.append(start)
+                self.ends.append(start := m.end())
+                self.at.append(self.at[-1] + len(m[0]))
+            else:
+                start += 1
+        self.symbols = "".join(parts)
+
+    def offset(self, place: int) -> int | None:
+        """Number of symbols before ``place``, the start of a line's part."""
+        i = bisect_left(self.starts, place)
+        return self.at[i] if i < len(self.starts) and self.starts[i] == place else None
+
+    def end(self, symbols: int, exact: bool) -> int | None:
+        """End in the text of the line's part that holds the last of so many symbols
+        (exact: ends with it), with the padding."""
+        i = bisect_left(self.at, symbols, 1)
+        if i == len(self.at) or exact and self.at[i] != symbols:
+            return None
+        return padded(self.text, self.ends[i - 1])
+
+    def whole(self, first: int) -> int:
+        """Number of symbols up to the end of the last line that has nothing else,
+        at least those of the line's part that begins after ``first`` symbols."""
+        last = padded(self.text, self.ends[-1])
+        return self.at[-1] if LINE_ENDS.match(self.text, last) or self.at[-2] <= first else self.at[-2]
+
+
+def padded(text: str, end: int) -> int:
+    return end + len(text[end:end + 2]) - len(text[end:end + 2].lstrip("="))
+
+
+def key_in_lines(lines: Lines, first: int, decode, bytes_to_symbols, least: int) -> tuple[str, int] | None:
+    """Kind and end in the text of the key that begins after ``first`` symbols."""
+    symbols = lines.symbols
+    size = der_size(decode(symbols[first:first + 16])[:6])
+    if size is not None:
+        n = bytes_to_symbols(size)
+        if n >= least and (end := lines.end(first + n, exact=least > 0)) and is_der_key(decode(symbols[first:first + n])):
+            return "der", end
+        return None
+    if not decode(symbols[first:first + 32]).startswith(SSH_MAGIC):
+        return None
+    rest = symbols[first:]
+    data = decode(whole_symbols(rest))
+    if not is_ssh_key(data):
+        return None
+    size = ssh_size(data)
+    return "ssh", lines.end(lines.whole(first) if size is None else first + bytes_to_symbols(size), False)
+
+
+def boundary(text: str, at: int, run: re.Pattern) -> bool:
+    """No symbol of ``run`` is before ``at``, but for the letter of an escaped line end."""
+    return at == 0 or not run.match(text[at - 1]) or at > 1 and text[at - 2] == "\\" and text[at - 1] in "nr"
+
+
+def armoured(text: str) -> list[tuple[int, int]]:
+    """Armoured keys; without its END line one goes as far as its base64 lines."""
+    out = []
+    for m in BEGIN.finditer(text):
+        stop, closing = text.find("-----", m.end()), f"-----END {m[1]}-----"
+        if stop >= 0 and text.startswith(closing, stop):
+            within = text[m.end():stop]
+            body = re.sub(r"(?m)^[A-Za-z-]+:.*$", "", within)  # headers of an encrypted key
+            data = unbase64(re.sub(r"\s|\\n|\\r", "", body))
+            if key_kind(data) or "ENCRYPTED" in within and len(data) >= 32:
+                out.append((m.start(), stop + len(closing)))
+            continue
+        headers = ARMOUR_HEADERS.match(text, m.end())
+        if not RUN.match(text, headers.end()):
+            continue
+        lines = Lines(text, headers.end(), LINES, RUN)
+        if found := key_in_lines(lines, 0, unbase64, coded_length, 0):
+            out.append((m.start(), found[1]))
+            continue
+        n = lines.whole(0)
+        data = unbase64(whole_symbols(lines.symbols[:n]))
+        if begins_der_key(data) or data.startswith(SSH_MAGIC) or "ENCRYPTED" in headers[0] and len(data) >= 32:
+            out.append((m.start(), lines.end(n, False)))
+    return out
+
+
+def coded_length(size: int) -> int:
+    return -(-4 * size // 3)
+
+
+def whole_symbols(run: str) -> str:
+    """Without a last symbol that is no whole byte."""
+    return run[:-1] if len(run) % 4 == 1 else run
+
+
+def unhex(run: str) -> bytes:
+    return bytes.fromhex(run[:len(run) - len(run) % 2])
+
+
 def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
     """What the structure of the decoded candidates confirms."""
     out = []
     if "PRIVATE KEY-----" in text:
-        for m in PEM.finditer(text):
-            body = re.sub(r"(?m)^[A-Za-z-]+:.*$", "", m[2])  # headers of an encrypted key
-            data = unbase64(re.sub(r"\s|\\n|\\r", "", body))
-            if key_kind(data) or "ENCRYPTED" in m[2] and len(data) >= 32:
-                out.append(("pem", *m.span()))
+        out += [("pem", *s) for s in armoured(text)]
     if "." in text:
         out += [("jwt", m.start(), m.end(3)) for m in JWT.finditer(text) if is_signed_token(m[1], m[2])]
     covered = [(a, b) for _, a, b in out]
-
-    def free(m) -> bool:
-        return not any(a <= m.start() and m.end() <= b for a, b in covered)
-
-    for m in ENCODED.finditer(text):
-        # DER begins with the tag of a sequence (base64 "M"), SSH keys with "b3Bl".
-        if m[0][0] in "Mb" and free(m) and (kind := key_kind(unbase64(m[0]))):
-            out.append((kind, *m.span()))
-    for m in HEX_KEY.finditer(text):
-        if m[0][:2] in ("30", "6f", "6F") and free(m) and (kind := key_kind(bytes.fromhex(m[0]))):
-            out.append((kind, *m.span()))
+    for begins, pattern, run, decode, length, least in (
+            (BEGINS, LINES, RUN, unbase64, coded_length, LEAST_CODED), (HEX_BEGINS, HEX_LINES, HEX_RUN, unhex, lambda n: 2 * n, LEAST_HEX)):
+        lines, at = None, 0
+        while m := begins.search(text, at):
+            start = m.start()
+            if start and text[start - 1] == "\\" and m[0][0] in "nr":  # the letter of an escaped line end
+                at = start + 1
+                continue
+            at = run.match(text, start).end()
+            if not boundary(text, start, run) or any(a <= start and at <= b for a, b in covered):
+                continue
+            fresh = lines is None or lines.offset(start) is None
+            if fresh:
+                lines = Lines(text, start, pattern, run)
+            first = lines.offset(start)
+            if lines.at[-1] - first < least:
+                continue
+            if begins is HEX_BEGINS or m[0][0] in "Mb":
+                # DER begins with the tag of a sequence (base64 "M"), SSH keys with "b3Bl".
+                if found := key_in_lines(lines, first, decode, length, least):
+                    out.append((found[0], start, found[1]))
+                    at = max(at, found[1])
+                    continue
+            if begins is BEGINS and (fresh or m[0] == "LS0t"):
+                data = unbase64(whole_symbols(lines.symbols[first:]))
+                if b"PRIVATE KEY-----" in data and (inside := armoured(data.decode("latin-1"))):
+                    out.append(("pem", start, end := lines.end(first + coded_length(inside[-1][1]), False)))
+                    at = max(at, end)
     return out
 
 

@@ -68,6 +68,49 @@ def test_tokens_behind_a_word_and_a_dot():
         assert [t[a:b] for k, a, b in secrets.find_spans(t) if k == "jwt"] == [JWT], before
 
 
+FULL_SSH = b"openssh-key-v1\0" + b"\0\0\0\4none" * 2 + b"\0\0\0\0" + b"\0\0\0\1" + b"\0\0\0\x33" + b"p" * 51 + b"\0\0\0\x88" + b"q" * 136
+
+
+def wrapped(data, width, end="\n"):
+    return end.join(re.findall(".{1,%d}" % width, data))
+
+
+def test_wrapped_keys_without_armour():
+    for data, kind in ((RSA, "der"), (PKCS8, "der"), (EC, "der"), (SSH, "ssh"), (FULL_SSH, "ssh")):
+        for coded in (b64(data), url(data), data.hex(), data.hex().upper()):
+            for width in (16, 33, 64, 76):
+                for end in ("\n", "\r\n", "\n    ", "\\n"):
+                    key = wrapped(coded, width, end)
+                    for before, after in (("", ""), ("Key\n", "\nDone and more"), ("aVeryLongWordOfTwentySymbols\n", "\n"), ("k: ", "\nabc."), ('"\\n', '"')):
+                        t = before + key + after
+                        found = [(k, t[a:b]) for k, a, b in secrets.find_spans(t) if k not in secrets.BASE_KINDS]
+                        assert found == [(kind, key)], (kind, width, t)
+    two = wrapped(b64(RSA), 64) + "\n" + wrapped(b64(EC), 64)
+    assert secrets.redacted(two, secrets.find_spans(two)) == "[der]\n[der]"
+    for clean in (RSA[:-1], RSA[:10] + b"\xff" + RSA[11:] + b"\0", RSA.replace(b"\x02\x40", b"\x02\x41", 1), b"M" * 300):
+        for coded in (b64(clean), clean.hex()):
+            assert [s for s in secrets.find_spans(wrapped(coded, 64)) if s[0] not in secrets.BASE_KINDS] == []
+
+
+def test_armour_without_end_and_coded_armour():
+    opened = PEM[:PEM.index("\n-----END")]
+    cut = opened[:-90]
+    ssh = "-----BEGIN OPENSSH PRIVATE KEY-----\n" + wrapped(b64(FULL_SSH), 70)
+    locked = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00FF\n\n" + wrapped(b64(bytes(range(7, 207))), 64)
+    for key in (opened, cut, ssh, ssh[:120], locked, opened.replace("\n", "\\n"), cut.replace("\n", "\r\n")):
+        for after in ("", "\n", "\n\nlorem ipsum", "\nlorem ipsum", '"'):
+            t = "x " + key + after
+            assert secrets.redacted(t, [s for s in secrets.find_spans(t) if s[0] == "pem"]) == "x [pem]" + after, t
+    t = opened + "\n" + PEM
+    assert secrets.redacted(t, secrets.find_spans(t)) == "[pem]\n[pem]"
+    for plain in (PEM, opened, "Bag Attributes: none\n" + PEM + "\n"):
+        for key in (b64(plain.encode()), wrapped(b64(plain.encode()), 76), wrapped(b64(plain.encode()), 64, "\r\n  ")):
+            t = f"data: {key}\n\nnext"
+            assert secrets.redacted(t, secrets.find_spans(t)) == "data: [pem]\n\nnext"
+    for clean in (opened.replace("MI", "AA"), "-----BEGIN PRIVATE KEY-----", "-----BEGIN PRIVATE KEY-----\nMIIB is how one begins", b64(opened.replace("MI", "AA").encode())):
+        assert [s for s in secrets.find_spans(clean) if s[0] not in secrets.BASE_KINDS] == [], clean
+
+
 def test_redaction():
     t = "a password=hunter22 b 0123456789abcdef01234567 c"
     assert secrets.redacted(t, secrets.find_spans(t)) == "a [assign] b [hex] c"
