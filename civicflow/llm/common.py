@@ -13,6 +13,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """``names`` for working columns, each with underscores before it until no
+    input column has it (whatever the case)."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def per_process(key, build):
     """``build()`` once for each Python worker process and ``key``.
 

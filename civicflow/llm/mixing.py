@@ -91,25 +91,26 @@ def mix(documents: DataFrame, budget_ratio: float | None = None, target_entropy:
     ``budget_ratio``: token budget as a multiple of the corpus; without it the
     least budget under which every document is shown.
     """
-    names = [c for c in documents.columns if c not in ("tokens", "epoch", "mix_key")]
-    sized = documents.select(*names, token_count(F.col(text)).alias("tokens"))
-    totals = sized.groupBy(source).agg(F.sum("tokens").alias("n")).collect()  # one row per source
+    names = [c for c in documents.columns if c.lower() not in ("tokens", "epoch", "mix_key")]
+    # The caller's columns in one struct, so that none has the name of a working column.
+    sized = documents.select(
+        F.struct(*names).alias("row"), token_count(F.col(text)).alias("tokens"), F.col(source).cast("string").alias("own"),
+        F.xxhash64(F.lit(seed + 1), F.col(doc_id), F.col(text)).alias("_doc"))
+    totals = sized.groupBy("own").agg(F.sum("tokens").alias("n")).collect()  # one row per source
     if not totals:
-        return sized.select(*names, "tokens", F.lit(0).alias("epoch"), F.lit(0.0).alias("mix_key"))
+        return sized.select("row.*", "tokens", F.lit(0).alias("epoch"), F.lit(0.0).alias("mix_key"))
     tokens = [r["n"] for r in totals]
     budget = None if budget_ratio is None else budget_ratio * sum(tokens)
     exponent = bisect_exponent(tokens, budget, target_entropy, max_passes)
     passes = passes_of(tokens, temperature_weights(tokens, exponent), budget)
-    plan = [(r[source], p, int(p + 1e-9), max(0.0, p - int(p + 1e-9)) * r["n"], -(-r["n"] // block_tokens)) for r, p in zip(totals, passes)]
+    plan = [(r["own"], p, int(p + 1e-9), max(0.0, p - int(p + 1e-9)) * r["n"], -(-r["n"] // block_tokens)) for r, p in zip(totals, passes)]
     spark = documents.sparkSession
     sources = spark.createDataFrame(plan, "src string, passes double, whole int, part_tokens double, n_blocks long")
 
     def located(df: DataFrame) -> DataFrame:
         """``df`` with its source's plan, its block and the hashes of both."""
-        joined = df.join(F.broadcast(sources), F.col(source).cast("string").eqNullSafe(F.col("src")))
-        doc_hash = F.xxhash64(F.lit(seed + 1), F.col(doc_id), F.col(text))
-        block = F.pmod(F.xxhash64(F.lit(seed), doc_hash), F.col("n_blocks"))
-        return joined.withColumns({"_doc": doc_hash, "_block": block}).withColumn("_at", _uniform(seed, "src", "_block", F.col("whole")))
+        joined = df.join(F.broadcast(sources), F.col("own").eqNullSafe(F.col("src")))
+        return joined.withColumn("_block", F.pmod(F.xxhash64(F.lit(seed), "_doc"), F.col("n_blocks"))).withColumn("_at", _uniform(seed, "src", "_block", F.col("whole")))
 
     # Blocks of the part pass: one row per block, then one per source.
     by_block = located(sized).groupBy("src", "_block", "_at", "part_tokens").agg(F.sum("tokens").alias("n"))
@@ -130,4 +131,4 @@ def mix(documents: DataFrame, budget_ratio: float | None = None, target_entropy:
     n_shown = F.col("whole") + F.when(F.coalesce(in_part, F.lit(False)), 1).otherwise(0)
     shown = located(sized).withColumn("_n", n_shown).where("_n > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     position = (F.col("epoch") + _uniform(seed, "src", "_block", F.col("epoch"))) / F.col("passes")
-    return shown.select(*names, "tokens", F.col("epoch").cast("int").alias("epoch"), F.least(position, F.lit(1.0 - 2.0**-52)).alias("mix_key"))
+    return shown.select("row.*", "tokens", F.col("epoch").cast("int").alias("epoch"), F.least(position, F.lit(1.0 - 2.0**-52)).alias("mix_key"))

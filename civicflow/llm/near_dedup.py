@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicflow.llm.common import BoundedMemo, per_process
+from civicflow.llm.common import BoundedMemo, per_process, unused
 from civicflow.session import materialize
 
 WORDS = 5
@@ -369,8 +369,9 @@ def classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 def one_of_each(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The first document (smallest id) of every class, with all its columns;
     of rows with that id and text, one."""
+    kept_id, kept_key, own_key = unused(documents.columns, "_id", "_key", "_text_key")
     kept = materialize(classes(documents, doc_id, text).where("uid = class_uid").select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct(), "near-kept")
-    keyed = documents.withColumn("_text_key", text_key(text))
-    same = F.col(doc_id).cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
-    return keyed.join(kept, same).dropDuplicates(["_id", "_key"]).select(*documents.columns)
+        F.col("doc_id").alias(kept_id), F.col("text_key").alias(kept_key)).distinct(), "near-kept")
+    keyed = documents.withColumn(own_key, text_key(text))
+    same = F.col(doc_id).cast("long").eqNullSafe(F.col(kept_id)) & (F.col(own_key) == F.col(kept_key))
+    return keyed.join(kept, same).dropDuplicates([kept_id, kept_key]).select(*documents.columns)

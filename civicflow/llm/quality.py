@@ -22,6 +22,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from civicflow.llm.common import unused
+
 #: Fixed values of the measurements.
 SPACES = r"[ \t-\r]+"
 SYMBOLS = r"[#*$%&|<>]"
@@ -70,6 +72,7 @@ def _repeated_positions(hashes: Column) -> Column:
 def measure(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with the measurements of ``text`` (all long)."""
     whole = F.coalesce(F.col(text), F.lit(""))
+    of_words, of_lines = unused([*df.columns, *MEASURES], "_w", "_l")
     per_words = _let(_words(whole), lambda w: F.struct(
         F.size(w).alias("n_words"),
         F.length(F.array_join(w, "")).alias("word_chars"),
@@ -78,14 +81,14 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
     per_lines = _let(_lines(whole), lambda x: F.struct(
         F.size(x).alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).alias("n_dup_lines")))
     found = df.withColumns({
-        "_w": per_words, "_l": per_lines,
+        of_words: per_words, of_lines: per_lines,
         "n_symbols": F.regexp_count(whole, F.lit(SYMBOLS)),
         "n_upper": F.length(whole) - F.length(F.regexp_replace(whole, "[A-Z]+", "")),
         "n_exclaim": F.regexp_count(whole, F.lit("!")),
     })
     found = found.withColumns({f: F.col(f"{s}.{f}") for s, f in (
-        ("_w", "n_words"), ("_w", "word_chars"), ("_w", "n_repeat_words"), ("_l", "n_lines"), ("_l", "n_dup_lines"))})
-    return found.withColumns({m: F.col(m).cast("long") for m in MEASURES}).drop("_w", "_l")
+        (of_words, "n_words"), (of_words, "word_chars"), (of_words, "n_repeat_words"), (of_lines, "n_lines"), (of_lines, "n_dup_lines"))})
+    return found.withColumns({m: F.col(m).cast("long") for m in MEASURES}).drop(of_words, of_lines)
 
 
 @dataclass(frozen=True)

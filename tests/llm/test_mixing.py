@@ -74,3 +74,18 @@ def test_empty_table_and_clashes(spark, docs):
 
     out = mixing.mix(docs(["a b"]).withColumn("epoch", F.lit("x")).withColumn("tokens", F.lit(None)), max_passes=2.0).collect()
     assert [(r["epoch"], r["tokens"]) for r in out] == [(0, 2)]
+
+
+def test_input_columns_with_the_names_of_working_columns(spark, docs):
+    from pyspark.sql import functions as F
+
+    names = ["src", "passes", "whole", "part_tokens", "n_blocks", "limit", "last", "row", "own", "end", "start", "n", "room", "e_src", "p_src", "Whole2",
+             "_doc", "_block", "_at", "_n", "_w", "_l", "_id", "_key", "_text_key"]
+    plain = docs(corpus())
+    more = plain.select("*", *[F.concat(F.lit(c), F.coalesce("doc_id", F.lit(-1))).alias(c) for c in names])
+    out = [mixing.mix(df, budget_ratio=1.0, max_passes=3.0, block_tokens=50) for df in (plain, more)]
+    assert out[1].columns == [*more.columns, "tokens", "epoch", "mix_key"]
+    rows = [sorted(map(str, o.select("doc_id", "source", "tokens", "epoch", "mix_key").collect())) for o in out]
+    assert rows[0] == rows[1]
+    for r in out[1].collect():
+        assert all(r[c] == c + str(-1 if r["doc_id"] is None else r["doc_id"]) for c in names)

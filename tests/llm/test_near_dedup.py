@@ -122,3 +122,14 @@ def test_sketch_chunks_do_not_matter(monkeypatch):
     whole = nd.sketch(words)
     monkeypatch.setattr(nd, "CHUNK", 5000)
     assert (nd.sketch(words) == whole).all() and len(whole) == nd.TABLES
+
+
+def test_input_columns_with_the_names_of_working_columns_stay(spark, docs):
+    from pyspark.sql import functions as F
+
+    names = ["_id", "_key", "_text_key", "__id", "uid", "class_uid", "words"]
+    df = docs(["one text of some words here", "one text of some words here", "another one"]).withColumns({c: F.lit(c) for c in names})
+    out = nd.one_of_each(df)
+    assert out.columns == df.columns
+    rows = out.collect()
+    assert sorted(r["doc_id"] for r in rows) == [0, 2] and all(r[c] == c for r in rows for c in names)

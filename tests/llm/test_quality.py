@@ -62,3 +62,13 @@ def test_empty_table_and_plan_without_python(spark, docs):
     out = quality.verdicts(docs([]))
     assert out.count() == 0
     assert "Python" not in out._jdf.queryExecution().toString() and "Arrow" not in out._jdf.queryExecution().toString()
+
+
+def test_input_columns_with_the_names_of_working_columns_stay(spark, docs):
+    from pyspark.sql import functions as F
+
+    df = docs(["a b c\nd", None]).withColumns({c: F.lit(c) for c in ("_w", "_l", "__w")})
+    out = quality.ledger(df)
+    assert out.columns == [*df.columns, *[c for c in out.columns if c not in df.columns]]
+    for r in out.select(*df.columns, "n_words").collect():
+        assert (r["_w"], r["_l"], r["__w"]) == ("_w", "_l", "__w") and r["n_words"] == (4 if r["text"] else 0)
