@@ -14,8 +14,11 @@ in the part pass exactly if its block's hash is below its source's limit (or
 equal and its own hash within the cut).  Per source that is a few numbers, and
 the documents themselves are never shuffled.
 
-The driver holds one row per source (the mixture's definition, not a function
-of the corpus size).  A very frequent source adds blocks, not larger ones.
+The plan, a row per source, is a table and joined as such, however many
+sources there are.  The driver holds a row per distinct token count of a source
+(with the number of such sources) to find the exponent: at most the square root
+of twice the corpus's tokens, and no more than there are sources.  A very
+frequent source adds blocks, not larger ones.
 
 Defined results: a null source is a source; a text without words, or null,
 counts one token; documents with equal id and equal text (repeated rows) go
@@ -32,6 +35,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from civicflow.session import materialize
+
 BLOCK_TOKENS = 1 << 20
 STEPS = 60
 
@@ -41,14 +46,16 @@ def token_count(text: Column) -> Column:
     return F.greatest(F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^ \t-\r]+")), F.lit(1)).cast("long")
 
 
-def temperature_weights(tokens: list[int], exponent: float) -> list[float]:
+def temperature_weights(tokens: list[int], exponent: float, counts: list[int] | None = None) -> list[float]:
+    """Weight of one source of each size; ``counts``: how many sources have it (one if not given)."""
     top = max(tokens)
     raised = [(t / top) ** exponent for t in tokens]
-    return [r / math.fsum(raised) for r in raised]
+    total = math.fsum(n * r for n, r in zip(counts or [1] * len(raised), raised))
+    return [r / total for r in raised]
 
 
-def entropy(weights: list[float]) -> float:
-    return -math.fsum(w * math.log(w) for w in weights if w > 0)
+def entropy(weights: list[float], counts: list[int] | None = None) -> float:
+    return -math.fsum(n * w * math.log(w) for n, w in zip(counts or [1] * len(weights), weights) if w > 0)
 
 
 def passes_of(tokens: list[int], weights: list[float], budget: float | None) -> list[float]:
@@ -58,16 +65,17 @@ def passes_of(tokens: list[int], weights: list[float], budget: float | None) ->
     return [w * budget / t for t, w in zip(tokens, weights)]
 
 
-def bisect_exponent(tokens: list[int], budget: float | None = None, target_entropy: float | None = None, max_passes: float | None = None) -> float:
+def bisect_exponent(tokens: list[int], budget: float | None = None, target_entropy: float | None = None, max_passes: float | None = None,
+                    counts: list[int] | None = None) -> float:
     """The exponent in [0, 1] that meets the target: entropy falls as it grows,
     and so does the number of passes over the smallest source."""
     if (target_entropy is None) == (max_passes is None):
         raise ValueError("give a target entropy or a limit of passes")
 
     def too_flat(exponent: float) -> bool:
-        weights = temperature_weights(tokens, exponent)
+        weights = temperature_weights(tokens, exponent, counts)
         if target_entropy is not None:
-            return entropy(weights) > target_entropy
+            return entropy(weights, counts) > target_entropy
         return max(passes_of(tokens, weights, budget)) > max_passes
 
     low, high = 0.0, 1.0
@@ -96,36 +104,36 @@ def mix(documents: DataFrame, budget_ratio: float | None = None, target_entropy:
     sized = documents.select(
         F.struct(*names).alias("row"), token_count(F.col(text)).alias("tokens"), F.col(source).cast("string").alias("own"),
         F.xxhash64(F.lit(seed + 1), F.col(doc_id), F.col(text)).alias("_doc"))
-    totals = sized.groupBy("own").agg(F.sum("tokens").alias("n")).collect()  # one row per source
-    if not totals:
+    totals = materialize(sized.groupBy(F.col("own").alias("src")).agg(F.sum("tokens").alias("n")), "mix-totals")  # one row per source
+    sizes = totals.groupBy("n").agg(F.count("*").alias("sources")).orderBy("n").collect()  # one row per token count
+    if not sizes:
         return sized.select("row.*", "tokens", F.lit(0).alias("epoch"), F.lit(0.0).alias("mix_key"))
-    tokens = [r["n"] for r in totals]
-    budget = None if budget_ratio is None else budget_ratio * sum(tokens)
-    exponent = bisect_exponent(tokens, budget, target_entropy, max_passes)
-    passes = passes_of(tokens, temperature_weights(tokens, exponent), budget)
-    plan = [(r["own"], p, int(p + 1e-9), max(0.0, p - int(p + 1e-9)) * r["n"], -(-r["n"] // block_tokens)) for r, p in zip(totals, passes)]
-    spark = documents.sparkSession
-    sources = spark.createDataFrame(plan, "src string, passes double, whole int, part_tokens double, n_blocks long")
+    tokens, counts = [r["n"] for r in sizes], [r["sources"] for r in sizes]
+    budget = None if budget_ratio is None else budget_ratio * sum(n * t for n, t in zip(counts, tokens))
+    exponent = bisect_exponent(tokens, budget, target_entropy, max_passes, counts)
+    passes = passes_of(tokens, temperature_weights(tokens, exponent, counts), budget)
+    plan = [(n, p, int(p + 1e-9), max(0.0, p - int(p + 1e-9)) * n, -(-n // block_tokens)) for n, p in zip(tokens, passes)]
+    by_size = documents.sparkSession.createDataFrame(plan, "n long, passes double, whole int, part_tokens double, n_blocks long")
+    sources = materialize(totals.join(by_size, "n").drop("n"), "mix-plan")
 
     def located(df: DataFrame) -> DataFrame:
         """``df`` with its source's plan, its block and the hashes of both."""
-        joined = df.join(F.broadcast(sources), F.col("own").eqNullSafe(F.col("src")))
+        joined = df.join(sources, F.col("own").eqNullSafe(F.col("src")))
         return joined.withColumn("_block", F.pmod(F.xxhash64(F.lit(seed), "_doc"), F.col("n_blocks"))).withColumn("_at", _uniform(seed, "src", "_block", F.col("whole")))
 
     # Blocks of the part pass: one row per block, then one per source.
     by_block = located(sized).groupBy("src", "_block", "_at", "part_tokens").agg(F.sum("tokens").alias("n"))
     in_order = W.partitionBy("src").orderBy("_at", "_block")
     run = by_block.withColumn("end", F.sum("n").over(in_order)).withColumn("start", F.col("end") - F.col("n"))
-    edge = run.where((F.col("start") < F.col("part_tokens")) & (F.col("end") >= F.col("part_tokens"))).select(
-        F.col("src").alias("e_src"), F.col("_at").alias("e_at"), F.col("_block").alias("e_block"), (F.col("part_tokens") - F.col("start")).alias("room"))
+    edge = materialize(run.where((F.col("start") < F.col("part_tokens")) & (F.col("end") >= F.col("part_tokens"))).select(
+        F.col("src").alias("e_src"), F.col("_at").alias("e_at"), F.col("_block").alias("e_block"), (F.col("part_tokens") - F.col("start")).alias("room")), "mix-edge")  # one row per source
     # Documents of the block that is cut.
     same = F.col("src").eqNullSafe(F.col("e_src")) & (F.col("_block") == F.col("e_block"))
-    inside = located(sized).join(F.broadcast(edge), same).groupBy("src", "_doc", "room", "e_at").agg(F.sum("tokens").alias("n"))
+    inside = located(sized).join(edge, same).groupBy("src", "_doc", "room", "e_at").agg(F.sum("tokens").alias("n"))
     by_hash = W.partitionBy("src").orderBy("_doc")
     cut = inside.withColumn("start", F.sum("n").over(by_hash) - F.col("n")).where(F.col("start") < F.col("room"))
-    limits = {r["src"]: (r["e_at"], r["last"]) for r in cut.groupBy("src", "e_at").agg(F.max("_doc").alias("last")).collect()}  # one row per source
-    plan = [(s, p, whole, part, n, *limits.get(s, (None, None))) for s, p, whole, part, n in plan]
-    sources = spark.createDataFrame(plan, "src string, passes double, whole int, part_tokens double, n_blocks long, limit double, last long")
+    limits = cut.groupBy(F.col("src").alias("l_src"), F.col("e_at").alias("limit")).agg(F.max("_doc").alias("last"))
+    sources = materialize(sources.join(limits, F.col("src").eqNullSafe(F.col("l_src")), "left").drop("l_src"), "mix-plan")
 
     in_part = (F.col("_at") < F.col("limit")) | ((F.col("_at") == F.col("limit")) & (F.col("_doc") <= F.col("last")))
     n_shown = F.col("whole") + F.when(F.coalesce(in_part, F.lit(False)), 1).otherwise(0)

@@ -89,3 +89,23 @@ def test_input_columns_with_the_names_of_working_columns(spark, docs):
     assert rows[0] == rows[1]
     for r in out[1].collect():
         assert all(r[c] == c + str(-1 if r["doc_id"] is None else r["doc_id"]) for c in names)
+
+
+def test_many_sources_are_not_collected(spark, docs, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    rows = [(i, "w " * (1 + i % 7), "en", f"host{i}" if i else None, 0) for i in range(3000)]
+    collected, collect = [], DataFrame.collect
+    df = docs(rows)
+    monkeypatch.setattr(DataFrame, "collect", lambda self: collected.append(collect(self)) or collected[-1])
+    mixed = mixing.mix(df, budget_ratio=1.0, max_passes=1.5)
+    assert max(map(len, collected), default=0) <= 7
+    plan = mixed._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in plan
+    monkeypatch.undo()
+    shown = Counter(r["source"] for r in mixed.collect())
+    assert max(shown.values()) <= 2
+    tokens = [1 + i % 7 for i in range(3000)]
+    passes = mixing.passes_of(tokens, mixing.temperature_weights(tokens, mixing.bisect_exponent(tokens, sum(tokens), max_passes=1.5)), sum(tokens))
+    for i, p in enumerate(passes):  # a source of one document: whole passes, and the part pass shows it if it is not empty
+        assert abs(shown[f"host{i}" if i else None] - math.ceil(p - 1e-6)) <= (1 if abs(p - round(p)) < 1e-6 else 0)
