@@ -214,10 +214,24 @@ def common_bound(x: np.ndarray, y: np.ndarray) -> int:
     return int(np.minimum(nu[i], nv[j]).sum())
 
 
+def hub_blocks(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The pairs (hub a, member b) dealt into blocks of about UNIT_ROWS members of a
+    hub, and the blocks (a, block) of every hub; hubs of one block need no count."""
+    large = pairs.groupBy("a").agg(F.count("*").alias("k")).where(F.col("k") > UNIT_ROWS)
+    large = materialize(large.select("a", F.ceil(F.col("k") / UNIT_ROWS).alias("blocks")), "near-hubs")  # few rows: one per UNIT_ROWS pairs at most
+    n = F.coalesce("blocks", F.lit(1).cast("long"))
+    dealt = pairs.join(large, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), n).alias("block"))
+    hubs = pairs.select("a").distinct().join(large, "a", "left").select("a", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("block"))
+    return dealt, hubs
+
+
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose texts (uid, words) are similar."""
-    both = (pairs.join(texts.select(F.col("uid").alias("a"), F.col("words").alias("wa")), "a")
-            .join(texts.select(F.col("uid").alias("b"), F.col("words").alias("wb")), "b").select("a", "b", "wa", "wb"))
+    """The pairs (a, b) whose texts (uid, words) are similar.  A hub's words are
+    sent once for each block of its members, not to every member."""
+    dealt, hubs = hub_blocks(materialize(pairs, "near-pairs"))
+    members = dealt.join(texts.select(F.col("uid").alias("b"), F.col("words").alias("wb")), "b")
+    heads = hubs.join(texts.select(F.col("uid").alias("a"), F.col("words").alias("wa")), "a")
+    both = members.join(heads, ["a", "block"]).select("a", "b", "wa", "wb")
 
     def check(batches):
         for batch in batches:

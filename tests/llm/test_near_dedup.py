@@ -133,3 +133,18 @@ def test_input_columns_with_the_names_of_working_columns_stay(spark, docs):
     assert out.columns == df.columns
     rows = out.collect()
     assert sorted(r["doc_id"] for r in rows) == [0, 2] and all(r[c] == c for r in rows for c in names)
+
+
+def test_a_hub_sends_its_words_once_a_block(spark, monkeypatch):
+    monkeypatch.setattr(nd, "UNIT_ROWS", 50)
+    rng = random.Random(2)
+    base = ["w%d" % rng.randrange(10**6) for _ in range(60)]
+    texts = [edited(rng, base, i % 12) for i in range(1000)]
+    words = spark.createDataFrame([(i, nd.word_hashes(" ".join(t)).astype(np.uint32).tobytes()) for i, t in enumerate(texts)], "uid long, words binary")
+    pairs = spark.createDataFrame([(0, i) for i in range(1, 1000)] + [(i, i + 1) for i in range(1, 40)], "a long, b long")
+    dealt, hubs = nd.hub_blocks(pairs)
+    assert hubs.where("a = 0").count() == 20 and hubs.count() == 20 + 39
+    assert sorted(map(tuple, dealt.select("a", "b").collect())) == sorted(map(tuple, pairs.collect()))
+    assert dealt.groupBy("a", "block").count().agg({"count": "max"}).first()[0] < 100
+    want = [(r["a"], r["b"]) for r in pairs.collect() if brute_similar(normal(" ".join(texts[r["a"]])), normal(" ".join(texts[r["b"]])))]
+    assert sorted((r["a"], r["b"]) for r in nd.verified(pairs, words).collect()) == sorted(want) and 0 < len(want) < 1038
