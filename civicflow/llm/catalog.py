@@ -7,7 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civicflow.llm import bpe, licenses, mixing, near_dedup, quality, secrets, sharding, token_files, topk, warc
+from civicflow.llm import (
+    bpe, exact_dedup, lexical, licenses, mixing, near_dedup, periodic, quality, secrets, sharding, token_files, topk, warc,
+)
 from civicflow.llm.common import read_table
 
 
@@ -60,5 +62,18 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(read_table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
+def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digests(periodic.with_planted_runs(read_table(spark, sf_dir, "documents")))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.deduplicated(read_table(spark, sf_dir, "documents"))
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_bpe, op2_token_files, op3_quality, op4_topk, op5_warc, op6_licenses, op7_secrets, op8_mixing, op9_shards, op10_near_dedup)}
+    op1_bpe, op2_token_files, op3_quality, op4_topk, op5_warc, op6_licenses, op7_secrets, op8_mixing, op9_shards, op10_near_dedup,
+    op11_periodic, op12_exact_dedup, op13_lexical)}

@@ -62,4 +62,39 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first_id THEN
 FROM d
 """
 
-ORACLE: dict[str, str] = {"op3_quality": QUALITY, "op4_topk": TOPK, "op5_warc": WARC}
+EXACT = r"""
+WITH t AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents
+), g AS (
+  SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id NULLS LAST) AS keep_id,
+         row_number() OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id NULLS LAST) = 1 AS kept,
+         count(*) OVER (PARTITION BY text_sha256) AS group_size
+  FROM t
+)
+SELECT doc_id, keep_id, group_size, kept, text_sha256 FROM g
+"""
+
+_TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+LEXICAL = f"""
+WITH asked AS (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark
+), q AS (SELECT item_id, term, count(*) AS times FROM asked GROUP BY ALL
+), d AS (SELECT row_number() OVER () AS uid, doc_id, {_TERMS} AS ts FROM documents
+), size AS (SELECT count(*) AS docs, CAST(sum(len(ts)) AS BIGINT) AS total FROM d WHERE len(ts) > 0
+), said AS (SELECT uid, unnest(ts) AS term FROM d
+), p AS (SELECT uid, term, count(*) AS tf FROM said WHERE term IN (SELECT term FROM q) GROUP BY ALL
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
+  FROM p, size GROUP BY term
+), m AS (SELECT uid, doc_id, 75 + (25 * len(ts) * docs) // total AS m FROM d, size WHERE len(ts) > 0
+), scored AS (
+  SELECT item_id, uid, doc_id, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM q JOIN p USING (term) JOIN w USING (term) JOIN m USING (uid) GROUP BY ALL
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST, uid) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 20
+"""
+
+ORACLE: dict[str, str] = {
+    "op3_quality": QUALITY, "op4_topk": TOPK, "op5_warc": WARC, "op12_exact_dedup": EXACT, "op13_lexical": LEXICAL}
