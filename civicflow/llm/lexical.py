@@ -178,7 +178,7 @@ class Block:
         dense[list(weights)] = list(weights.values())
         at, next_group, step = 0, 0, FIRST_SCORED
         while next_group < len(by_bound) and bound[by_bound[next_group]] >= best.floor():
-            next_group = min(int(np.searchsorted(ends, at + step)) + 1, len(by_bound))  # whole groups, ``step`` documents or more
+            next_group = max(next_group + 1, int(np.searchsorted(ends, at + step, "right")))  # whole groups, about ``step`` documents
             some, at, step = docs[at:ends[next_group - 1]], int(ends[next_group - 1]), step * 2
             best.add(np.stack([self.scores(some, dense), self.no_id[some], self.doc_id[some], self.uid[some]]))
         dense[list(weights)] = 0
