@@ -24,12 +24,21 @@ Plan (no route-wide pairing, no unbounded group):
    two buses' next pings (their segment ends); when it is not the pair's next
    near observation it is a far one.  Far observations therefore never have to
    be produced: the near set alone is the pair's complete event sequence;
-4. *scan*: near observations are tagged with their island (the stretch
-   between two far observations, after which a pair starts afresh),
-   hash-partitioned by (pair, island) and sorted; a constant-memory scan per
-   partition applies the rules (a hot route is spread over its pairs, a hot
-   pair over its episodes);
+4. *chains*: near observations are tagged with their island (the stretch
+   between two far observations, after which a pair starts afresh); the watch
+   starts of an island are a chain of deadlines, split over blocks of time
+   (``chains``): a hot route is spread over its pairs, a hot pair over its
+   episodes and an endless episode over its blocks;
 5. *as-of lookup* of both buses' positions at each deadline.
+
+``order="arrival"`` follows the reference to the letter: rows are applied in
+arrival order, and a watch fires at the arrival whose event time lets the
+watermark (greatest event time so far - delay - 1) reach its deadline.  Until
+and including that row a far ping cancels, later near pings start the next
+watch, and the alert carries the positions as of that row.  The steps above run
+on the axis of arrival numbers then; the row that a deadline waits for is
+looked up in ``arrival``.  A watch whose deadline the watermark has passed
+already when it starts (a ping later than hold and delay) fires with its own row.
 """
 
 from __future__ import annotations
@@ -43,6 +52,8 @@ from pyspark.sql import types as T
 
 from civicflow.functions import alerts as A
 from civicflow.functions.geo import chord_cell_size, haversine_m, unit_vector
+from civicflow.operators.arrival import passing_arrivals
+from civicflow.operators.chains import NEVER, chain_starts
 from civicflow.operators.sequence import floor_div, with_lookahead, with_lookback
 from civicflow.session import materialize
 
@@ -252,6 +263,7 @@ SCAN_OUT = T.StructType([
     T.StructField("lo", T.StringType()),
     T.StructField("hi", T.StringType()),
     T.StructField("deadline", T.LongType()),
+    T.StructField("due", T.LongType()),
 ])
 
 
@@ -273,7 +285,7 @@ def _scan_factory(hold_ms: int, horizon: int, once_per_episode: bool = False):
         def fire_before(key, t):
             nonlocal deadline, quiet
             if deadline is not None and t > deadline and deadline <= horizon:
-                out.append((*key, deadline))
+                out.append((*key, deadline, deadline))
                 deadline = None
                 quiet = once_per_episode
 
@@ -283,7 +295,7 @@ def _scan_factory(hold_ms: int, horizon: int, once_per_episode: bool = False):
                 fire_before(key, pending_far[0])
                 deadline = None
             if deadline is not None and deadline <= horizon:
-                out.append((*key, deadline))
+                out.append((*key, deadline, deadline))
 
         for pdf in batches:
             cols = [pdf[c].tolist() for c in
@@ -313,6 +325,34 @@ def _scan_factory(hold_ms: int, horizon: int, once_per_episode: bool = False):
     return scan
 
 
+def with_dues(near: DataFrame, pings: DataFrame, order: str, hold_ms: int, delay_ms: int, max_t: int) -> DataFrame:
+    """Near observations with the event-time ``deadline`` of a watch they start and
+    the position ``due`` up to which it lasts (``NEVER``: the input ends before)."""
+    deadline = F.col("t_ms") + hold_ms
+    if order == "event_time":
+        never = deadline > max_t - delay_ms - 1
+        return near.withColumns({"deadline": deadline, "due": F.when(never, F.lit(NEVER)).otherwise(deadline)})
+    passed = pings.join(passing_arrivals(pings, hold_ms + delay_ms + 1), "t_ms")
+    due = F.when(F.col("passed").isNull(), F.lit(NEVER)).otherwise(F.greatest("passed", "seq"))
+    return near.join(passed.select("route_id", "seq", deadline.alias("deadline"), due.alias("due")), ["route_id", "seq"])
+
+
+def fired_watches(near: DataFrame, once_per_episode: bool) -> DataFrame:
+    """Watches that reach their deadline: (route_id, lo, hi, deadline, due), from
+    near observations with their island, ``deadline`` and ``due``."""
+    keys = ["route_id", "lo", "hi", "island_t", "island_seq"]
+    rows = near.select(*keys, F.col("t_ms").alias("at"), "seq", "due", F.col("deadline").alias("mark"), F.col("next_t").alias("next_at"))
+    if once_per_episode:  # only the first watch of an island counts
+        first = rows.where((F.col("at") == F.col("island_t")) & (F.col("seq") == F.col("island_seq")))
+        tails = rows.groupBy(*keys).agg(F.max(F.struct("at", "seq", "next_at")).alias("tail"))
+        starts = first.join(tails, keys).select(*keys, "due", "mark", F.lit(True).alias("last"), F.col("tail.next_at").alias("tail_next"))
+    else:
+        starts = chain_starts(materialize(rows, "bunching-watches"), keys)
+    # A far observation closes the island after its last row; it cancels what is not due before it.
+    fires = (F.col("due") < NEVER) & (~F.col("last") | (F.col("tail_next") > F.col("due")))
+    return starts.where(fires).select("route_id", "lo", "hi", F.col("mark").alias("deadline"), "due")
+
+
 def bunching_deadlines(
     bus: DataFrame,
     radius_m: float = BUNCHING_RADIUS_M,
@@ -321,30 +361,44 @@ def bunching_deadlines(
     missing: str = "zero",
     once_per_episode: bool = False,
     split_episodes: bool = True,
-) -> tuple[DataFrame, DataFrame]:
-    """(deadlines as (route_id, lo, hi, deadline), segments, max event time)."""
+    order: str = "event_time",
+) -> tuple[DataFrame, DataFrame, int, int]:
+    """(deadlines as (route_id, lo, hi, deadline, due), segments, last position,
+    width of the index buckets).  Positions are event times, or arrival numbers
+    with ``order="arrival"``."""
+    if order not in ("event_time", "arrival"):
+        raise ValueError(f"order is 'event_time' or 'arrival', not {order!r}")
     pings = prepare_pings(bus, missing)
-    bounds = pings.agg(F.max("t_ms").alias("mx")).first()
-    max_t = bounds["mx"]
+    max_t, max_seq = pings.agg(F.max("t_ms"), F.max("seq")).first()
     if max_t is None:
         empty = bus.sparkSession.createDataFrame([], SCAN_OUT)
-        return empty, segments(pings), 0
+        return empty, segments(pings), 0, LOOKUP_BUCKET_MS
     max_t = int(max_t)
-    horizon = max_t - delay_ms - 1
+    if order == "arrival":
+        pings = pings.where(F.col("seq").isNotNull())
     # Segments feed the grid join (both sides) and the as-of lookup: computed
     # once and written under the shared checkpoint root.
-    seg = materialize(segments(pings, hold_ms), "bunching-segments")
-    near = near_observations(seg, radius_m, max_t)
-    if split_episodes:
-        # Scan per (pair, island) so a hot pair is spread over its episodes.
-        # The near set feeds several branches of the tagging: written once.
-        near = with_islands(materialize(near, "bunching-near"))
-    else:
+    end = max_t if order == "event_time" else int(max_seq)
+    ordered = pings if order == "event_time" else pings.withColumn("t_ms", F.col("seq"))
+    seg = materialize(segments(ordered, hold_ms), "bunching-segments")
+    bucket = LOOKUP_BUCKET_MS if order == "event_time" else arrival_bucket(seg)
+    near = near_observations(seg, radius_m, end, bucket)
+    if not split_episodes and order == "event_time":
         near = near.withColumn("island_t", F.lit(0).cast("long")).withColumn("island_seq", F.lit(0).cast("long"))
-    keys = ["route_id", "lo", "hi", "island_t", "island_seq"]
-    ordered = near.repartition(*keys).sortWithinPartitions(*keys, "t_ms", "seq")
-    fired = ordered.mapInPandas(_scan_factory(hold_ms, horizon, once_per_episode), SCAN_OUT)
-    return fired, seg, max_t
+        keys = ["route_id", "lo", "hi", "island_t", "island_seq"]
+        sorted_rows = near.repartition(*keys).sortWithinPartitions(*keys, "t_ms", "seq")
+        fired = sorted_rows.mapInPandas(_scan_factory(hold_ms, max_t - delay_ms - 1, once_per_episode), SCAN_OUT)
+        return fired, seg, end, bucket
+    # The near set feeds several branches of the tagging: written once.
+    day = 24 * 3_600_000 if order == "event_time" else 4096 * bucket
+    near = with_islands(materialize(near, "bunching-near"), day)
+    return fired_watches(with_dues(near, pings, order, hold_ms, delay_ms, max_t), once_per_episode), seg, end, bucket
+
+
+def arrival_bucket(seg: DataFrame) -> int:
+    """Width of the finest index bucket in arrival numbers: a few rows of one bus."""
+    span = seg.where(F.col("e_t") < OPEN_END).agg(F.avg(F.col("e_t") - F.col("s_t"))).first()[0]
+    return max(1, int(4 * (span or 1)))
 
 
 def bus_bunching(
@@ -356,22 +410,27 @@ def bus_bunching(
     once_per_episode: bool = False,
     split_episodes: bool = True,
     missing: str = "zero",
+    order: str = "event_time",
 ) -> DataFrame:
     """Bus-bunching incident alerts (batch form).
 
+    ``order``: rows in (event time, seq) order with canonical deadlines, or in
+    ``arrival`` order (``seq``) with alerts when the watermark passes the
+    deadline, as the reference processes them (see the module's text).
+
     ``missing``: pings without coordinates read as (0, 0), as in the reference,
     and so meet each other there; ``drop`` leaves them out, and a bus keeps its
     last known position (or has none).
 
     By default a pair that stays near re-arms after each alert (an alert
     every 5 minutes, as in the reference); ``once_per_episode`` alerts once
-    until the buses have been seen apart.  ``split_episodes`` scans each
-    near episode of a pair separately (skew safety for a pair that is often
-    near; costs a few shuffles of the near set, off = one scan per pair)."""
-    fired, seg, max_t = bunching_deadlines(bus, radius_m, hold_ms, delay_ms, missing,
-                                           once_per_episode=once_per_episode,
-                                           split_episodes=split_episodes)
-    at = _as_of(seg, fired, max_t)
+    until the buses have been seen apart.  ``split_episodes`` spreads the
+    episodes of a pair, and each episode, over tasks (costs a few shuffles of
+    the near set, off = one scan per pair in event-time order)."""
+    fired, seg, end, bucket = bunching_deadlines(bus, radius_m, hold_ms, delay_ms, missing,
+                                                 once_per_episode=once_per_episode,
+                                                 split_episodes=split_episodes, order=order)
+    at = _as_of(seg, fired, end, bucket)
     dist = haversine_m("a_lat", "a_lon", "b_lat", "b_lon")
     desc = F.format_string(A.BUNCHING_TEMPLATE, F.col("lo"), F.col("hi"), F.col("route_id"), dist)
     return at.select(
@@ -384,7 +443,7 @@ def bus_bunching(
 
 
 def _as_of(seg: DataFrame, fired: DataFrame, max_t: int, bucket_ms: int = LOOKUP_BUCKET_MS) -> DataFrame:
-    """Positions of both buses at each deadline (latest ping with ``t <= deadline``):
+    """Positions of both buses when a watch fires (latest ping up to ``due``):
     one bucketed interval join for both sides, folded back to one row."""
     levels = used_levels(seg, max_t, bucket_ms)
     rep = _replicate_by_bucket(
@@ -393,14 +452,14 @@ def _as_of(seg: DataFrame, fired: DataFrame, max_t: int, bucket_ms: int = LOOKUP
     )
     sides = F.array(F.struct(F.lit("a").alias("side"), F.col("lo").alias("bus_id")),
                     F.struct(F.lit("b").alias("side"), F.col("hi").alias("bus_id")))
-    probe = fired.select("route_id", "lo", "hi", "deadline", F.inline(sides)).select(
-        "*", _probe_buckets("deadline", levels, bucket_ms)
+    probe = fired.select("route_id", "lo", "hi", "deadline", "due", F.inline(sides)).select(
+        "*", _probe_buckets("due", levels, bucket_ms)
     )
     hit = probe.join(rep, ["route_id", "bus_id", "lv", "tb"]).filter(
-        (F.col("s_t") <= F.col("deadline")) & (F.col("deadline") < F.col("e_t"))
+        (F.col("s_t") <= F.col("due")) & (F.col("due") < F.col("e_t"))
     )
     pick = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c)))
-    return hit.groupBy("route_id", "lo", "hi", "deadline").agg(
+    return hit.groupBy("route_id", "lo", "hi", "deadline", "due").agg(
         pick("a", "lat").alias("a_lat"), pick("a", "lon").alias("a_lon"),
         pick("a", "timestamp").alias("a_timestamp"),
         pick("b", "lat").alias("b_lat"), pick("b", "lon").alias("b_lon"),

@@ -144,3 +144,89 @@ def test_bunching_stream_handles_out_of_order_arrival(spark, tmp_path):
     run_to_completion(q)
     assert bus_bunching(df).count() == 0
     assert spark.read.parquet(f"{run}/out").count() == 0
+
+
+def simulate_arrival(pings, once=False):
+    """The reference's processing: rows in arrival order, timers when the watermark passes."""
+    latest, watches, quiet, out, top = {}, {}, set(), [], None
+    for p in sorted(pings, key=lambda p: p["seq"]):
+        r, b = p["route"], p["bus"]
+        latest[(r, b)] = p
+        for (r2, o), q in latest.items():
+            if r2 != r or o == b:
+                continue
+            pair = (r, *sorted((b, o)))
+            if not haversine(p["lat"], p["lon"], q["lat"], q["lon"]) < 200:
+                watches.pop(pair, None)
+                quiet.discard(pair)
+            elif pair not in watches and pair not in quiet:
+                watches[pair] = p["t"] + HOLD
+        top = p["t"] if top is None else max(top, p["t"])
+        for pair, due in list(watches.items()):
+            if due <= top - DELAY - 1:
+                a, c = latest[pair[0], pair[1]], latest[pair[0], pair[2]]
+                out.append((f"{pair[1]}:{pair[2]}", due, a["ts"], round(haversine(a["lat"], a["lon"], c["lat"], c["lon"]), 3)))
+                del watches[pair]
+                if once:
+                    quiet.add(pair)
+    return sorted(out)
+
+
+def arrival_frame(spark, pings):
+    rows = [{"sec": (p["t"] - EPOCH_MS) / 1000, "route_id": p["route"], "bus_id": p["bus"],
+             "lat": p["lat"], "lon": p["lon"]} for p in sorted(pings, key=lambda p: p["seq"])]
+    df = frame(spark, rows, "route_id string, bus_id string, lat double, lon double")
+    by_seq = {r.seq: r.timestamp for r in df.select("seq", "timestamp").collect()}
+    for p in pings:
+        p["ts"] = by_seq[p["seq"]]
+    return df
+
+
+@pytest.mark.parametrize("seed,once,delay_s", [(1, False, 0), (2, False, 30), (3, False, 400), (4, True, 30), (5, False, 900)])
+def test_arrival_order_matches_bruteforce(spark, monkeypatch, seed, once, delay_s):
+    """Shuffled arrival: event time and arrival order disagree by up to ``delay_s``."""
+    from civicflow.operators import chains
+
+    monkeypatch.setattr(chains, "BLOCK_REACHES", 1 + seed % 3)
+    rnd = random.Random(seed)
+    pings = random_pings(rnd, 90)
+    for p in pings:
+        if rnd.random() < 0.8:
+            p["lat"], p["lon"] = SPOTS[rnd.randrange(2)]
+    pings.sort(key=lambda p: p["t"] + rnd.randint(0, delay_s) * 1000)
+    for i, p in enumerate(pings):
+        p["seq"] = i + 1
+    df = arrival_frame(spark, pings)
+    got = sorted((r.entityId, r.t_ms, r.sourceTimestamp, round(r.distance, 3))
+                 for r in bus_bunching(df, once_per_episode=once, order="arrival").collect())
+    assert got == simulate_arrival(pings, once) and len(got) > 0
+
+
+def test_a_far_ping_before_the_watermark_cancels(spark):
+    """Due at 300 s, seen apart at 305 s: the watermark passes 300 s only with the
+    row at 310.001 s, so the watch is cancelled; the canonical deadline fires."""
+    at = lambda t, b, spot: {"route": "R1", "bus": b, "lat": SPOTS[spot][0], "lon": SPOTS[spot][1], "t": EPOCH_MS + t}
+    pings = [at(0, "A", 0), at(0, "B", 1), at(305_000, "B", 4), at(311_000, "A", 0), at(900_000, "A", 0)]
+    for i, p in enumerate(pings):
+        p["seq"] = i + 1
+    df = arrival_frame(spark, pings)
+    assert bus_bunching(df, order="arrival").count() == 0 == len(simulate_arrival(pings))
+    assert [r.t_ms for r in bus_bunching(df).collect()] == [EPOCH_MS + 300_000]
+    pings[2]["t"] = EPOCH_MS + 310_001  # the row that moves the watermark is applied before the watch fires
+    assert bus_bunching(arrival_frame(spark, pings), order="arrival").count() == 0 == len(simulate_arrival(pings))
+    pings[2]["t"], pings[2]["lat"], pings[2]["lon"] = EPOCH_MS + 310_001, *SPOTS[1]
+    got = bus_bunching(arrival_frame(spark, pings), order="arrival").collect()
+    assert [(r.entityId, r.t_ms) for r in got] == [x[:2] for x in simulate_arrival(pings)] != []
+
+
+@pytest.mark.parametrize("reaches", [1, 16])
+def test_endless_episode_matches_bruteforce(spark, monkeypatch, reaches):
+    from civicflow.operators import chains
+
+    monkeypatch.setattr(chains, "BLOCK_REACHES", reaches)
+    rnd = random.Random(3)
+    pings = [{"route": "R1", "bus": rnd.choice("AB"), "lat": SPOTS[i % 2][0], "lon": SPOTS[i % 2][1],
+              "t": EPOCH_MS + 17_000 * i, "seq": i + 1} for i in range(900)]
+    df = arrival_frame(spark, pings)
+    got = sorted((r.entityId, r.t_ms, r.sourceTimestamp, round(r.distance, 3)) for r in bus_bunching(df).collect())
+    assert got == simulate(pings) and len(got) > 40
