@@ -67,9 +67,8 @@ def _scan(keys: list[str], reach: int, block: int):
     columns = [*keys, "block", "e_at", "e_seq", "exit_due", "tail_at", "tail_seq", "tail_next", "starts"]
 
     def close(key, parts) -> list[tuple]:
-        rows = pd.concat(parts)
-        at, seq, due, mark = (rows[c].to_numpy(np.int64) for c in ("at", "seq", "due", "mark"))
-        tail = (int(at[-1]), int(seq[-1]), int(rows["next_at"].iloc[-1]))
+        at, seq, due, mark, next_at = (np.concatenate(x) for x in zip(*parts))
+        tail = (int(at[-1]), int(seq[-1]), int(next_at[-1]))
         found = block_entries(at, seq, due, mark, key[-1] * block + reach)
         return [(*key, a, s, d, *tail, starts) for a, s, d, starts in found]
 
@@ -79,15 +78,15 @@ def _scan(keys: list[str], reach: int, block: int):
             if not len(pdf):
                 continue
             ids = [pdf[c].to_numpy() for c in (*keys, "block")]
+            values = [pdf[c].to_numpy(np.int64) for c in ("at", "seq", "due", "mark", "next_at")]
             changed = np.any([x[1:] != x[:-1] for x in ids], axis=0)
             bounds = [0, *np.flatnonzero(changed) + 1, len(pdf)]
             for a, b in zip(bounds, bounds[1:]):
-                part = pdf.iloc[a:b]
-                own = tuple(part[c].iloc[0] for c in keys) + (int(part["block"].iloc[0]),)
+                own = tuple(x[a] for x in ids)
                 if own != key:
                     out += close(key, held) if held else []
                     key, held = own, []
-                held.append(part)
+                held.append([x[a:b] for x in values])
             if len(out) > 5_000:
                 yield pd.DataFrame(out, columns=columns)
                 out = []
@@ -131,17 +130,19 @@ def _reached(links: DataFrame, heads: DataFrame, keys: list[str], most_blocks: i
     return marked
 
 
-def chain_starts(rows: DataFrame, keys: list[str]) -> DataFrame:
+def chain_starts(rows: DataFrame, keys: list[str], reach: int | None = None) -> DataFrame:
     """The watch starts of every group.
 
     ``rows``: ``keys``, the position ``at`` and ``seq`` that order a group, the
     position ``due`` up to which a watch started there lasts (``NEVER``: to the
-    end; at least ``at``), a number ``mark`` carried along, and ``next_at``, the
+    end; at least ``at``, and at most ``reach`` more, which is looked up if it is
+    not given), a number ``mark`` carried along, and ``next_at``, the
     position of the observation after the row.  Result: keys, at, seq, due, mark
     of the starts, ``last`` (no start follows in the group) and ``tail_next``, the
     ``next_at`` of the group's last row.
     """
-    reach = rows.where(F.col("due") < NEVER).agg(F.max(F.col("due") - F.col("at"))).first()[0]
+    if reach is None:
+        reach = rows.where(F.col("due") < NEVER).agg(F.max(F.col("due") - F.col("at"))).first()[0]
     reach = max(int(reach or 0), 1)
     block = BLOCK_REACHES * reach
     schema = _entry_schema([rows.schema[k] for k in keys])

@@ -337,7 +337,7 @@ def with_dues(near: DataFrame, pings: DataFrame, order: str, hold_ms: int, delay
     return near.join(passed.select("route_id", "seq", deadline.alias("deadline"), due.alias("due")), ["route_id", "seq"])
 
 
-def fired_watches(near: DataFrame, once_per_episode: bool) -> DataFrame:
+def fired_watches(near: DataFrame, once_per_episode: bool, reach: int | None) -> DataFrame:
     """Watches that reach their deadline: (route_id, lo, hi, deadline, due), from
     near observations with their island, ``deadline`` and ``due``."""
     keys = ["route_id", "lo", "hi", "island_t", "island_seq"]
@@ -347,7 +347,7 @@ def fired_watches(near: DataFrame, once_per_episode: bool) -> DataFrame:
         tails = rows.groupBy(*keys).agg(F.max(F.struct("at", "seq", "next_at")).alias("tail"))
         starts = first.join(tails, keys).select(*keys, "due", "mark", F.lit(True).alias("last"), F.col("tail.next_at").alias("tail_next"))
     else:
-        starts = chain_starts(materialize(rows, "bunching-watches"), keys)
+        starts = chain_starts(rows if reach else materialize(rows, "bunching-watches"), keys, reach)
     # A far observation closes the island after its last row; it cancels what is not due before it.
     fires = (F.col("due") < NEVER) & (~F.col("last") | (F.col("tail_next") > F.col("due")))
     return starts.where(fires).select("route_id", "lo", "hi", F.col("mark").alias("deadline"), "due")
@@ -392,7 +392,8 @@ def bunching_deadlines(
     # The near set feeds several branches of the tagging: written once.
     day = 24 * 3_600_000 if order == "event_time" else 4096 * bucket
     near = with_islands(materialize(near, "bunching-near"), day)
-    return fired_watches(with_dues(near, pings, order, hold_ms, delay_ms, max_t), once_per_episode), seg, end, bucket
+    reach = hold_ms if order == "event_time" else None
+    return fired_watches(with_dues(near, pings, order, hold_ms, delay_ms, max_t), once_per_episode, reach), seg, end, bucket
 
 
 def arrival_bucket(seg: DataFrame) -> int:

@@ -290,7 +290,18 @@ def q_bus_bunching(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["near_pair_observations"] = q_near_pair_observations
+def q_bus_bunching_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bunching in arrival order, alerts when the watermark passes a deadline.
+    Every ninth ping arrives 40 rows late."""
+    from civicflow.operators import proximity as P
+
+    (bus,) = _views(spark, sf_dir, "bus_gps")
+    late = F.when(F.col("seq") % 9 == 4, 81).otherwise(0)
+    return P.bus_bunching(bus.withColumn("seq", 2 * F.col("seq") + late), order="arrival").select(*ALERT_OUT)
+
+
 QUERIES["bus_bunching"] = q_bus_bunching
+QUERIES["bus_bunching_arrival"] = q_bus_bunching_arrival
 
 
 # -- flagship: the incident feed --------------------------------------------------

@@ -358,6 +358,56 @@ ORACLE["near_pair_observations"] = NEAR_PAIR_OBSERVATIONS
 ORACLE["bus_bunching"] = BUS_BUNCHING
 
 
+# Every ninth ping arrives 40 rows late; rows are applied in order of arrival, and
+# a watch fires at the row whose event time lets the watermark reach its deadline.
+BUS_BUNCHING_ARRIVAL = _q(f""", {_BUS_OBS.strip().replace("seq, t_ms, coalesce", "2 * seq + CASE WHEN seq % 9 = 4 THEN 81 ELSE 0 END AS seq, 2 * seq + CASE WHEN seq % 9 = 4 THEN 81 ELSE 0 END AS t_ms, t_ms AS ev_t, coalesce", 1)}
+, isl AS (
+  SELECT o.*, p.ev_t, coalesce(distance < 200, false) AS near,
+         sum(CASE WHEN coalesce(distance < 200, false) THEN 0 ELSE 1 END)
+           OVER (PARTITION BY o.route_id, lo, hi ORDER BY o.seq ROWS UNBOUNDED PRECEDING) AS island
+  FROM obs o JOIN pings p ON p.seq = o.seq
+), closes AS (
+  SELECT route_id, lo, hi, island - 1 AS island, min(seq) AS close_at FROM isl WHERE NOT near GROUP BY ALL
+), passes AS (
+  SELECT ev_t, min(min(seq)) OVER (ORDER BY ev_t DESC ROWS UNBOUNDED PRECEDING) AS pos FROM pings GROUP BY ev_t
+), nearobs AS (
+  SELECT n.route_id, lo, hi, island, n.seq, n.ev_t + 300000 AS deadline, greatest(pos, n.seq) AS due, pos
+  FROM (SELECT *, ev_t + 310001 AS need FROM isl WHERE near) n ASOF LEFT JOIN passes ON n.need <= passes.ev_t
+), nxt AS (
+  SELECT x.*, y.seq AS next_seq
+  FROM (SELECT *, CASE WHEN pos IS NOT NULL THEN due END AS fires_at FROM nearobs) x
+  ASOF LEFT JOIN nearobs y
+    ON x.route_id = y.route_id AND x.lo = y.lo AND x.hi = y.hi AND x.island = y.island AND x.fires_at < y.seq
+), chain AS (
+  SELECT route_id, lo, hi, island, min(seq) AS s FROM nearobs GROUP BY ALL
+  UNION ALL
+  SELECT c.route_id, c.lo, c.hi, c.island, n.next_seq
+  FROM chain c JOIN nxt n ON n.route_id = c.route_id AND n.lo = c.lo AND n.hi = c.hi AND n.island = c.island AND n.seq = c.s
+  WHERE n.next_seq IS NOT NULL
+), fired AS (
+  SELECT n.route_id, n.lo, n.hi, n.deadline, n.fires_at
+  FROM chain c JOIN nxt n ON n.route_id = c.route_id AND n.lo = c.lo AND n.hi = c.hi AND n.island = c.island AND n.seq = c.s
+  LEFT JOIN closes k ON k.route_id = c.route_id AND k.lo = c.lo AND k.hi = c.hi AND k.island = c.island
+  WHERE n.fires_at IS NOT NULL AND (k.close_at IS NULL OR k.close_at > n.fires_at)
+), placed AS (
+  SELECT f.*, a.ts_iso AS a_ts, a.lat AS a_lat, a.lon AS a_lon, b.lat AS b_lat, b.lon AS b_lon
+  FROM fired f
+  ASOF JOIN pings a ON a.route_id = f.route_id AND a.bus_id = f.lo AND f.fires_at >= a.seq
+  ASOF JOIN pings b ON b.route_id = f.route_id AND b.bus_id = f.hi AND f.fires_at >= b.seq
+), measured AS (
+  SELECT *, pow(sin(radians(b_lat - a_lat) / 2), 2)
+            + cos(radians(a_lat)) * cos(radians(b_lat)) * pow(sin(radians(b_lon - a_lon) / 2), 2) AS h
+  FROM placed
+)
+SELECT 'BUS_BUNCHING' AS "incidentType", lo || ':' || hi AS "entityId", '' AS zone,
+       printf('Buses %s and %s on route %s within %.0fm for over 5 minutes', lo, hi, route_id,
+              6371000.0 * 2 * atan2(sqrt(h), sqrt(1 - h))) AS description,
+       a_ts AS "sourceTimestamp", deadline AS t_ms
+FROM measured
+""", recursive=True)
+ORACLE["bus_bunching_arrival"] = BUS_BUNCHING_ARRIVAL
+
+
 # The feed: the three detector queries (each with its own CTEs) unioned.
 INCIDENTS = "\nUNION ALL\n".join(
     f"SELECT * FROM ({q}) d{i}" for i, q in enumerate((AQI_EMERGENCY, GRIDLOCK, BUS_BUNCHING))

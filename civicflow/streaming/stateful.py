@@ -6,13 +6,13 @@ arrives in time order they produce exactly the batch forms' alerts.
 
 * consecutive runs (gridlock): one integer per key (the current run length),
   no timers; late rows are not dropped (no watermark), as in the reference;
-* bunching: keyed by route like the reference; state = rows not yet reached
-  by the watermark, latest position per bus, the open watch per pair, and
-  watches already decided but not yet emitted.  Rows are applied in event
-  order once the watermark reaches them, and alerts are emitted once the
-  watermark (max event time - delay) passes their deadline; one event-time
-  timer per route.  Rows behind the watermark are dropped by Spark
-  (documented difference).
+* bunching: rows are applied in event order once the watermark reaches them,
+  and alerts are emitted once the watermark (max event time - delay) passes
+  their deadline.  Rows behind the watermark are dropped by Spark (documented
+  difference).  By default it runs by grid cell (``cells``), so a hot route is
+  many tasks; ``keyed_by="route"`` is the reference's keying, one processor
+  with all state of a route, which position expiry and unbuffered processing
+  need.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from civicflow.functions import alerts as A
 from civicflow.functions.geo import EARTH_RADIUS_M
 from civicflow.operators.proximity import BUNCHING_HOLD_MS, BUNCHING_RADIUS_M
 from civicflow.operators.runs import GRIDLOCK_CYCLES, GRIDLOCK_WAIT_SEC, gridlock_breach
+from civicflow.streaming.cells import watches_by_cell
 
 
 def _sorted(rows: Iterator[pd.DataFrame], by: tuple[str, ...] = ("t_ms", "seq")) -> pd.DataFrame:
@@ -285,9 +286,12 @@ class BunchingProcessor(StatefulProcessor):
 def bunching_stream(bus: DataFrame, radius_m: float = BUNCHING_RADIUS_M, hold_ms: int = BUNCHING_HOLD_MS,
                     delay: str = "10 seconds", detected_at: Column | None = None,
                     position_ttl_ms: int | None = None, once_per_episode: bool = False,
-                    buffer_until_watermark: bool = True) -> DataFrame:
+                    buffer_until_watermark: bool = True, keyed_by: str | None = None) -> DataFrame:
     """Streaming bus-bunching alerts from a typed bus stream (event-time timers).
 
+    ``keyed_by``: ``cell`` (default) or ``route``; the two options below need
+    ``route`` and choose it.
+
     ``position_ttl_ms`` (processing time) forgets buses that stopped
     reporting; by default positions never expire, as in the reference.
     ``buffer_until_watermark=False`` applies each micro-batch's rows at once
@@ -295,11 +299,18 @@ def bunching_stream(bus: DataFrame, radius_m: float = BUNCHING_RADIUS_M, hold_ms
     src = bus.select("route_id", "bus_id", "lat", "lon", "timestamp", "t_ms", "seq", "event_time").filter(
         F.col("t_ms").isNotNull() & F.col("bus_id").isNotNull()
     )
-    fired = src.withWatermark("event_time", delay).groupBy("route_id").transformWithStateInPandas(
-        statefulProcessor=BunchingProcessor(radius_m, hold_ms, position_ttl_ms, once_per_episode,
-                                            buffer_until_watermark),
-        outputStructType=BUNCHING_OUT, outputMode="Append", timeMode="EventTime",
-    )
+    needs_route = position_ttl_ms is not None or not buffer_until_watermark
+    keyed_by = keyed_by or ("route" if needs_route else "cell")
+    if keyed_by not in ("cell", "route") or (keyed_by == "cell" and needs_route):
+        raise ValueError("keyed_by is 'cell' or 'route'; position_ttl_ms and buffer_until_watermark=False need 'route'")
+    if keyed_by == "cell":
+        fired = watches_by_cell(src, BUNCHING_OUT, radius_m, hold_ms, delay, once_per_episode)
+    else:
+        fired = src.withWatermark("event_time", delay).groupBy("route_id").transformWithStateInPandas(
+            statefulProcessor=BunchingProcessor(radius_m, hold_ms, position_ttl_ms, once_per_episode,
+                                                buffer_until_watermark),
+            outputStructType=BUNCHING_OUT, outputMode="Append", timeMode="EventTime",
+        )
     desc = F.format_string(A.BUNCHING_TEMPLATE, F.col("lo"), F.col("hi"), F.col("route_id"), F.col("distance"))
     return fired.select(
         *A.alert_columns(A.BUS_BUNCHING, F.concat_ws(":", "lo", "hi"), F.lit(""), desc,
