@@ -514,12 +514,29 @@ HAVING (t_ms // 60000 + 1) * 60000 <= (SELECT max(t_ms) FROM traffic_signals) -
 """)
 ORACLE["late_rows"] = LATE_ROWS
 
-ORACLE["stream_batch_diff"] = (
-    "SELECT CAST(NULL AS VARCHAR) AS ward_id, CAST(NULL AS VARCHAR) AS window_start, "
-    "CAST(NULL AS VARCHAR) AS window_end, CAST(NULL AS VARCHAR) AS date, "
-    "CAST(NULL AS DOUBLE) AS total_kwh_consumed, CAST(NULL AS DOUBLE) AS avg_power_factor, "
-    "CAST(NULL AS DOUBLE) AS peak_voltage, CAST(NULL AS VARCHAR) AS side WHERE false"
+_CLOSED_WARDS = _closed(WARD_ENERGY, 45 * 60 * 1000)
+ORACLE["stream_batch_diff"] = f"""
+SELECT side, count(*) AS n_rows, 0 AS n_unmatched
+FROM ({_CLOSED_WARDS}) w, (VALUES ('stream_only'), ('batch_only')) AS s(side) GROUP BY side
+"""
+ORACLE["ward_history_corrected"] = _CLOSED_WARDS
+ORACLE["ward_rollup_corrected"] = _q(f"""
+, closed AS (
+  SELECT *, date_trunc('week', make_timestamp(t_ms // 900000 * 900000 * 1000)) AS period FROM smart_meters
+  WHERE (t_ms // 900000 + 1) * 900000 <= (SELECT max(t_ms) FROM smart_meters) - 2700000
+)
+SELECT ward_id, strftime(period, {TS}) AS period_start, round(sum(kwh_reading), 6) AS total_kwh_consumed,
+       round(avg(power_factor) + 1e-9, 6) AS avg_power_factor, round(max(voltage), 6) AS peak_voltage, count(*) AS n_readings
+FROM closed GROUP BY ward_id, period
+""")
+ORACLE["signal_silence"] = _q("""
+, heard AS (
+  SELECT junction_id, t_ms, lead(t_ms) OVER (PARTITION BY junction_id ORDER BY t_ms, seq) AS next_t FROM traffic_signals
 )
+SELECT junction_id, t_ms AS last_t_ms, t_ms + 1800000 AS due_t_ms FROM heard
+WHERE (next_t IS NULL OR next_t > t_ms + 1800000) AND t_ms + 1800000 < (SELECT max(t_ms) FROM traffic_signals) - 10000
+""")
+ORACLE["signal_silence_stream"] = ORACLE["signal_silence"]
 
 
 # Update-mode advisories: per micro-batch (offset slice) the cumulative mean of

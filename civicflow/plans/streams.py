@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicflow.operators import windows
+from civicflow.operators.history import History, WardRollup
 from civicflow.plans.catalog import ALERT_OUT, _r6, _r6_mean, _ts, _views, corrupt_wire
 from civicflow.sources import telemetry as tv
 from civicflow.streaming import jobs
@@ -21,6 +22,7 @@ from civicflow.streaming.io import (
     latest_from_update_log, new_run_dir, read_records, run_to_completion, slice_of, stage_records,
     stage_slices, write_stream,
 )
+from civicflow.streaming.process import Silence, process_batch, process_stream
 from civicflow.streaming.stateful import bunching_stream, gridlock_stream
 
 REPLAY_SLICES = 4
@@ -258,17 +260,78 @@ def reconcile(stream_rows: DataFrame, batch_rows: DataFrame) -> DataFrame:
     )
 
 
+def _closed_windows(meters: DataFrame) -> DataFrame:
+    """The batch form of what the stream has written: windows the watermark has closed."""
+    max_t = meters.agg(F.max("t_ms")).first()[0]
+    summary = windows.with_window_date(windows.ward_energy_with_counts(meters))
+    return summary.filter(F.unix_millis(F.col("window.end")) <= F.lit(max_t - 45 * 60 * 1000))
+
+
 def q_stream_batch_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch layer check: the stream's ward history against the batch form over
-    the same input, restricted to the windows the stream has closed."""
+    the same input.  Per side its rows and those the other side does not have."""
     run = _run_ward_energy(spark, sf_dir, "reconcile")
     streamed = _ward_out(spark.read.parquet(f"{run}/history"))
     (meters,) = _views(spark, sf_dir, "smart_meters")
-    max_t = meters.agg(F.max("t_ms")).first()[0]
-    closed = windows.ward_energy(meters).filter(
-        F.unix_millis(F.col("window.end")) <= F.lit(max_t - 45 * 60 * 1000)
-    )
-    return reconcile(streamed, _ward_out(closed))
+    closed = _ward_out(_closed_windows(meters))
+    found = reconcile(streamed, closed).groupBy("side").agg(F.count("*").alias("n_unmatched"))
+    sides = streamed.agg(F.count("*").alias("n_rows")).withColumn("side", F.lit("stream_only")).unionByName(
+        closed.agg(F.count("*").alias("n_rows")).withColumn("side", F.lit("batch_only")))
+    return sides.join(found, "side", "left").select("side", "n_rows", F.coalesce("n_unmatched", F.lit(0)).alias("n_unmatched"))
+
+
+def _damaged_history(spark: SparkSession, sf_dir: str, name: str) -> tuple[History, DataFrame]:
+    """A versioned history from a stream's output that lost and doubled windows,
+    and the batch result for the same input."""
+    run = _run_ward_energy(spark, sf_dir, name)
+    lost = (F.col("ward_id") == "WARD-2") & (F.hour("window.start") % 5 == 0)
+    twice = F.when((F.col("ward_id") == "WARD-3") & (F.hour("window.start") % 7 == 1), 2.0).otherwise(1.0)
+    bad = spark.read.parquet(f"{run}/history").where(~lost).withColumn("total_kwh_consumed", F.col("total_kwh_consumed") * twice)
+    (meters,) = _views(spark, sf_dir, "smart_meters")
+    return History.create(bad, f"{run}/versions", ["ward_id", "date"]), _closed_windows(meters)
+
+
+def q_ward_history_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch layer rewrites the partitions that differ from its own result."""
+    history, truth = _damaged_history(spark, sf_dir, "corrected")
+    history.correct(truth, ["ward_id", "window"])
+    return _ward_out(history.read())
+
+
+def q_ward_rollup_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly totals kept beside the history: made from the damaged version, then
+    brought up to date from the corrected partitions alone."""
+    history, truth = _damaged_history(spark, sf_dir, "rollup")
+    rollup = WardRollup(history, f"{history.root}-sums")
+    rollup.refresh()
+    history.correct(truth, ["ward_id", "window"])
+    rollup.refresh()
+    return rollup.totals("week").select(
+        "ward_id", _ts("period_start").alias("period_start"), _r6("total_kwh_consumed").alias("total_kwh_consumed"),
+        _r6_mean("avg_power_factor").alias("avg_power_factor"), _r6("peak_voltage").alias("peak_voltage"), "n_readings")
+
+
+#: A signal that says nothing for half an hour.
+QUIET_MS = 30 * 60 * 1000
+
+
+def _silence_out(found: DataFrame) -> DataFrame:
+    return found.select("junction_id", "last_t_ms", "due_t_ms")
+
+
+def q_signal_silence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silent junctions by a keyed process function with one timer a junction, over
+    the table: what a stream with a 10-second watermark has found."""
+    (traffic,) = _views(spark, sf_dir, "traffic_signals")
+    return _silence_out(process_batch(traffic, ["junction_id"], Silence(QUIET_MS), [], delay_ms=10_000, end="open"))
+
+
+def q_signal_silence_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same process function over a stream."""
+    run, stream = _replay(spark, sf_dir, ["traffic_signals"], "silence")
+    found = process_stream(jobs.typed(stream, "traffic_signals"), ["junction_id"], Silence(QUIET_MS), [], delay=jobs.DETECTOR_DELAY)
+    run_to_completion(write_stream(found, "parquet", f"{run}/ckpt", path=f"{run}/out", state_partitions=_state_partitions(spark)))
+    return _silence_out(spark.read.parquet(f"{run}/out"))
 
 
 def q_ward_energy_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -305,6 +368,10 @@ STREAM_QUERIES = {
     "priority_fanout": q_priority_fanout,
     "late_rows": q_late_rows,
     "stream_batch_diff": q_stream_batch_diff,
+    "ward_history_corrected": q_ward_history_corrected,
+    "ward_rollup_corrected": q_ward_rollup_corrected,
+    "signal_silence": q_signal_silence,
+    "signal_silence_stream": q_signal_silence_stream,
     "ward_energy_weekly": q_ward_energy_weekly,
     "ward_energy_monthly": q_ward_energy_monthly,
 }
