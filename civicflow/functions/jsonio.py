@@ -1,12 +1,16 @@
 """JSON wire format: parse typed records out of message values, serialize rows.
 
 Parse modes
-  ``strict``      Spark FAILFAST: a malformed record or a bad or missing event
-                  time fails the job; unknown fields are accepted.
+  ``strict``      Spark FAILFAST: a malformed record, a field the schema does not
+                  have, or a bad or missing event time fails the job.
   ``permissive``  malformed records give null fields (the reference's Spark jobs).
   ``quarantine``  permissive plus an ``_error`` column naming why a record is
-                  unusable (null value, malformed JSON or wrong types, bad event
-                  time); ``split_quarantine`` separates the two flows.
+                  unusable (null value, malformed JSON or wrong types, unknown
+                  fields with their names, bad event time); ``split_quarantine``
+                  separates the two flows.
+
+Unknown fields are looked for at the top level, by the key set of the record;
+``unknown="ignore"`` accepts them in every mode.
 """
 
 from __future__ import annotations
@@ -24,6 +28,14 @@ CORRUPT = "_corrupt_record"
 MODES = ("strict", "permissive", "quarantine")
 
 
+def unknown_fields(value: str | Column, schema: T.StructType) -> Column:
+    """Names of a JSON object's fields that the schema does not have, comma-joined in
+    their order (null: none, or no object)."""
+    keys = F.json_object_keys(F.col(value) if isinstance(value, str) else value)
+    other = F.array_except(keys, F.array(*[F.lit(f.name) for f in schema.fields]))
+    return F.when(F.size(other) > 0, F.array_join(other, ","))
+
+
 NUMERIC = (T.IntegerType, T.LongType, T.DoubleType, T.FloatType, T.ShortType, T.DecimalType)
 
 
@@ -43,6 +55,7 @@ def parse_records(
     time_field: str | None = "timestamp",
     keep: tuple[str, ...] = (),
     coerce_quoted_numbers: bool = False,
+    unknown: str = "reject",
 ) -> DataFrame:
     """``value`` JSON string -> flattened typed columns (+ ``event_time``, ``t_ms``).
 
@@ -51,8 +64,10 @@ def parse_records(
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
+    if unknown not in ("reject", "ignore"):
+        raise ValueError(f"unknown is 'reject' or 'ignore', not {unknown!r}")
     if coerce_quoted_numbers:
-        typed = parse_records(df, _lenient(schema), value_col, mode, time_field, keep)
+        typed = parse_records(df, _lenient(schema), value_col, mode, time_field, keep, unknown=unknown)
         casts = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields
                  if isinstance(f.dataType, NUMERIC)}
         if mode == "quarantine":  # a string that is no number
@@ -61,7 +76,11 @@ def parse_records(
         return typed.withColumns(casts)
     names = [f.name for f in schema.fields]
     if mode == "strict":
-        parsed = F.from_json(F.col(value_col), schema, {"mode": "FAILFAST"})
+        value = F.col(value_col)
+        if unknown == "reject":
+            other = unknown_fields(value_col, schema)
+            value = F.when(other.isNotNull(), F.raise_error(F.concat(F.lit("unknown fields: "), other)).cast("string")).otherwise(value)
+        parsed = F.from_json(value, schema, {"mode": "FAILFAST"})
         out = df.select(*keep, parsed.alias("_r")).select(*keep, *[F.col("_r")[n].alias(n) for n in names])
     else:
         wide = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType(), True)])
@@ -81,6 +100,9 @@ def parse_records(
             F.when(F.col("_raw").isNull(), F.lit("null record"))
             .when(F.col(CORRUPT).isNotNull(), F.lit("malformed record"))
         )
+        if unknown == "reject":
+            other = unknown_fields("_raw", schema)
+            reason = reason.when(other.isNotNull(), F.concat(F.lit("unknown fields: "), other))
         if time_field:
             reason = reason.when(F.col("event_time").isNull(), F.lit("bad event time"))
         out = out.withColumn("_error", reason)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+
 def dedupe_last(lookup: DataFrame, key: str | list[str], order: str) -> DataFrame:
     """One row per key: the one with the greatest ``order`` (the last line wins).
 
@@ -22,5 +23,9 @@ def dedupe_last(lookup: DataFrame, key: str | list[str], order: str) -> DataFram
 
 
 def with_line_order(df: DataFrame, name: str = "_line") -> DataFrame:
-    """File line order for a single-file read (ids grow with partition and row)."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+    """Order of the lines of a file read, also of several files and of files read
+    in several splits: files by name, splits by their place in the file, and
+    within a split (which one task reads from its beginning) row after row."""
+    return df.select("*", F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("row")).alias(name))

@@ -64,10 +64,12 @@ RULE_SCHEMA = T.StructType([T.StructField(n, T.DoubleType(), True) for n in RULE
 
 
 def malformed(value_col: str = "value") -> Column:
-    """No value, or text that is not JSON.  Only records the narrow parse could
-    not read are parsed again (a quoted number is JSON, so it is not malformed)."""
+    """No value, or text that is no JSON object (empty, a bare ``null``, number,
+    string or list).  Only records the narrow parse could not read are parsed
+    again (a quoted number is JSON, so it is not malformed)."""
     value = F.col(value_col)
-    return value.isNull() | (F.col(CORRUPT).isNotNull() & F.try_parse_json(value).isNull())
+    no_object = ~value.rlike(r"^[ \t\r\n]*\{")
+    return value.isNull() | no_object | (F.col(CORRUPT).isNotNull() & F.try_parse_json(value).isNull())
 
 
 def reason_column(rules: list[Rule], topic_col: str = "topic", value_col: str = "value") -> Column:
@@ -81,7 +83,7 @@ def reason_column(rules: list[Rule], topic_col: str = "topic", value_col: str =
 def classify(records: DataFrame, rules: list[Rule] | None = None, value_col: str = "value",
              topic_col: str = "topic") -> DataFrame:
     """Add ``error_reason`` (null = clean) to Kafka-shaped rows with JSON values.
-    A record without a JSON value is malformed, whatever its topic.
+    A record whose value is no JSON object is malformed, whatever its topic.
 
     The rule fields are parsed once per record with a narrow schema (numbers
     only: a quoted number reads as missing, ``NaN`` is accepted).  The parse

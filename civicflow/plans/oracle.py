@@ -101,6 +101,12 @@ SELECT seq,
 FROM (SELECT *, seq % 37 = 5 OR (seq % 41 = 7 AND aqi IS NOT NULL) AS bad FROM air_quality) a
 """)
 
+PARSE_UNKNOWN_FIELDS = _q("""
+SELECT seq, CASE WHEN seq % 57 = 4 THEN 'unknown fields: unit,v' WHEN seq % 19 = 4 THEN 'unknown fields: unit' END AS parse_error,
+       sensor_id, aqi
+FROM air_quality
+""")
+
 _AQI_WINDOWS = """
 aqi_w AS (
   SELECT zone, aqi, (t_ms // 300000) * 300000 + 300000 AS window_end_ms FROM air_quality
@@ -168,7 +174,7 @@ GROUP BY ROLLUP (error_type)
 _DAMAGED = """
 damaged AS (
   SELECT seq,
-         CASE WHEN seq % 37 = 5 THEN 'Malformed Record'
+         CASE WHEN seq % 37 = 5 OR seq % 31 = 9 THEN 'Malformed Record'
               WHEN aqi IS NULL OR seq % 41 = 7 THEN 'Null AQI'
               WHEN aqi > 500 THEN 'AQI Out of Range' END AS error_reason
   FROM air_quality
@@ -244,6 +250,7 @@ ORACLE = {
     "ward_energy": WARD_ENERGY,
     "meters_json_roundtrip": METERS_JSON_ROUNDTRIP,
     "parse_quarantine": PARSE_QUARANTINE,
+    "parse_unknown_fields": PARSE_UNKNOWN_FIELDS,
     "health_advisory_df": HEALTH_ADVISORY,
     "health_advisory_sql": HEALTH_ADVISORY,
     "route_enrichment": ROUTE_ENRICHMENT,
@@ -514,6 +521,24 @@ HAVING (t_ms // 60000 + 1) * 60000 <= (SELECT max(t_ms) FROM traffic_signals) -
 """)
 ORACLE["late_rows"] = LATE_ROWS
 
+# The own bound of a batch: the greatest event time of all batches before it - 10 s.
+ORACLE["late_feed"] = _q(f"""
+, bounds AS (SELECT min(seq) AS lo, max(seq) AS hi FROM traffic_signals
+), staged AS (
+  SELECT t.t_ms, (t.seq - b.lo) // ((b.hi - b.lo) // 4 + 1) + CASE WHEN t.seq % 50 = 7 THEN 3 ELSE 0 END AS batch
+  FROM traffic_signals t, bounds b
+), tops AS (SELECT batch, max(t_ms) AS top FROM staged GROUP BY batch
+), bounded AS (SELECT batch, max(top) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 10000 AS bound FROM tops
+), split AS (
+  SELECT t_ms // 60000 AS minute, coalesce(t_ms <= bound, false) AS late, coalesce((t_ms // 60000 + 1) * 60000 <= bound, false) AS closed
+  FROM staged JOIN bounded USING (batch)
+)
+SELECT strftime(make_timestamp(minute * 60000 * 1000), {TS}) AS window_start,
+       count(*) FILTER (NOT late) AS n_on_time, count(*) FILTER (late) AS n_late,
+       count(*) FILTER (late AND closed) AS n_after_close, count(*) AS n_rows
+FROM split GROUP BY minute HAVING count(*) FILTER (late) > 0
+""")
+
 _CLOSED_WARDS = _closed(WARD_ENERGY, 45 * 60 * 1000)
 ORACLE["stream_batch_diff"] = f"""
 SELECT side, count(*) AS n_rows, 0 AS n_unmatched

@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 
 from civicflow.operators import windows
 from civicflow.operators.history import History, WardRollup
-from civicflow.plans.catalog import ALERT_OUT, _r6, _r6_mean, _ts, _views, corrupt_wire
+from civicflow.plans.catalog import ALERT_OUT, _r6, _r6_mean, _ts, _views, corrupt_wire, no_object_wire
 from civicflow.sources import telemetry as tv
 from civicflow.streaming import jobs
 from civicflow.streaming.io import (
     latest_from_update_log, new_run_dir, read_records, run_to_completion, slice_of, stage_records,
     stage_slices, write_stream,
 )
+from civicflow.streaming.late import late_feed_job, read_feeds, window_amendments
 from civicflow.streaming.process import Silence, process_batch, process_stream
 from civicflow.streaming.stateful import bunching_stream, gridlock_stream
 
@@ -169,7 +170,7 @@ def q_dlq_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_dlq_malformed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Damaged records through the streaming dead-letter job."""
     (aqi,) = _views(spark, sf_dir, "air_quality")
-    run, stream = _replay_records(spark, corrupt_wire(tv.wire_records(aqi, "air_quality")), "dlq-malformed")
+    run, stream = _replay_records(spark, no_object_wire(corrupt_wire(tv.wire_records(aqi, "air_quality"))), "dlq-malformed")
     run_to_completion(jobs.dead_letter_job(stream, f"{run}/out", f"{run}/ckpt"))
     return spark.read.parquet(f"{run}/out").select(
         F.get_json_object("dlq_value", "$.source_topic").alias("source_topic"),
@@ -253,6 +254,22 @@ def q_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(_ts("window.start").alias("window_start"), _ts("window.end").alias("window_end"), "n_rows")
 
 
+def q_late_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same late delivery with the late rows kept: per minute the rows on time,
+    the late ones, those that came after the minute was closed, and all."""
+    run = new_run_dir(spark, "late-feed")
+    (traffic,) = _views(spark, sf_dir, "traffic_signals")
+    recs = tv.wire_records(traffic, "traffic_signals")
+    lo, hi = recs.agg(F.min("offset"), F.max("offset")).first()
+    late = (F.col("offset") % LATE_EVERY == LATE_PHASE).cast("long") * LATE_BY
+    files = _files_per_slice(spark)
+    stage_slices(recs.withColumn("_slice", slice_of("offset", lo, hi, REPLAY_SLICES) + late), f"{run}/input", "_slice", REPLAY_SLICES + LATE_BY, files)
+    stream = read_records(spark, "files", path=f"{run}/input", options={"maxFilesPerTrigger": str(files)})
+    run_to_completion(late_feed_job(jobs.typed(stream, "traffic_signals"), f"{run}/feeds", f"{run}/ckpt", 10_000))
+    amended = window_amendments(*read_feeds(spark, f"{run}/feeds"), "1 minute")
+    return amended.select(_ts("window.start").alias("window_start"), "n_on_time", "n_late", "n_after_close", "n_rows")
+
+
 def reconcile(stream_rows: DataFrame, batch_rows: DataFrame) -> DataFrame:
     """Rows only one side has (bag semantics, both directions), tagged by side."""
     return stream_rows.exceptAll(batch_rows).withColumn("side", F.lit("stream_only")).unionByName(
@@ -367,6 +384,7 @@ STREAM_QUERIES = {
     "incidents_stream": q_incidents_stream,
     "priority_fanout": q_priority_fanout,
     "late_rows": q_late_rows,
+    "late_feed": q_late_feed,
     "stream_batch_diff": q_stream_batch_diff,
     "ward_history_corrected": q_ward_history_corrected,
     "ward_rollup_corrected": q_ward_rollup_corrected,

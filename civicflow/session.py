@@ -104,15 +104,22 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared root (never reused between runs)."""
-    return f"{shared_root(spark)}/civicflow/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared root (never reused between runs), in
+    the folder of this application."""
+    return f"{application_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def application_root(spark: SparkSession) -> str:
+    """What this application writes under the shared root, which others may share."""
+    return f"{shared_root(spark)}/civicflow/{spark.conf.get('spark.app.id', 'application')}"
 
 
 def release(spark: SparkSession) -> None:
-    """Remove everything this package has written under the shared root; call it
-    when no result that reads such a table is needed any more."""
+    """Remove everything this application has written under the shared root with
+    this package; call it when no result that reads such a table is needed any
+    more.  Other applications under the same root keep theirs."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/civicflow")
+    path = jvm.org.apache.hadoop.fs.Path(application_root(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 

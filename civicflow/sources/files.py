@@ -36,10 +36,11 @@ def read_lookup_csv(
     schema: T.StructType,
     key: str | None = None,
 ) -> DataFrame:
-    """A static lookup from a CSV file with a header and a declared schema.
+    """A static lookup from CSV files with a header and a declared schema.
 
     With ``key``, a key repeated on several lines keeps its *last* line, as a
-    dictionary built line by line would (a plain join would multiply rows).
+    dictionary built line by line would (a plain join would multiply rows);
+    of several files the one with the last name comes last.
     """
     df = spark.read.option("header", "true").schema(schema).csv(path)
     if key is None:

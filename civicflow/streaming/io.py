@@ -156,6 +156,7 @@ def write_stream(
     query_name: str | None = None,
     options: dict | None = None,
     state_partitions: int | None = None,
+    writer=None,
 ):
     """Start one streaming query with its own checkpoint.
 
@@ -168,7 +169,7 @@ def write_stream(
         conf.set("spark.sql.shuffle.partitions", str(state_partitions))
         try:
             return write_stream(df, sink, checkpoint, mode, path, topic, partition_by, trigger,
-                                query_name, options)
+                                query_name, options, writer=writer)
         finally:
             conf.set("spark.sql.shuffle.partitions", old)
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
@@ -185,6 +186,8 @@ def write_stream(
         return w.format("kafka").option("topic", topic).start()
     if sink == "update_log":
         return w.foreachBatch(_update_log_writer(path)).start()
+    if sink == "foreach_batch":
+        return w.foreachBatch(writer).start()
     if sink in ("console", "memory", "noop"):
         return w.format(sink).start()
     raise ValueError(f"unknown sink {sink!r}")

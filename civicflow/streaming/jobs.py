@@ -22,9 +22,25 @@ DETECTOR_DELAY = "10 seconds"
 
 
 def typed(records: DataFrame, kind: str, mode: str = "permissive") -> DataFrame:
-    """Parse one topic's JSON values; ``seq`` = the record offset (arrival order)."""
-    parsed = parse_records(records, schemas.BY_KIND[kind], mode=mode, keep=("offset",))
-    return parsed.withColumnRenamed("offset", "seq")
+    """Parse one topic's JSON values; ``seq`` = arrival order (``arrival_seq``)."""
+    numbered = records.withColumn("seq", arrival_seq(records.columns))
+    return parse_records(numbered, schemas.BY_KIND[kind], mode=mode, keep=("seq",))
+
+
+#: Partitions of a topic that ``arrival_seq`` tells apart.
+PARTITION_BITS = 16
+
+
+def arrival_seq(columns: list[str]):
+    """A number that is unique in a topic and grows with the offset in each of its
+    partitions: offset and partition in one long (a topic has fewer than 2^16
+    partitions, a partition fewer than 2^47 records; more is an error).  Records
+    without a partition (files) are numbered by their offset alone."""
+    if "partition" not in columns:
+        return F.col("offset")
+    fits = (F.col("partition") < 1 << PARTITION_BITS) & (F.col("offset") < 1 << (63 - PARTITION_BITS))
+    seq = F.shiftleft(F.col("offset").cast("long"), PARTITION_BITS).bitwiseOR(F.col("partition").cast("long"))
+    return F.when(fits, seq).otherwise(F.raise_error(F.lit("partition or offset too large for arrival_seq")).cast("long"))
 
 
 def ward_energy_job(records: DataFrame, history_path: str, ckpt: str, live_path: str | None = None,
@@ -68,7 +84,7 @@ def aqi_emergency_job(records: DataFrame, path: str, ckpt: str, sink: str = "par
 
 def route_enrichment_job(records: DataFrame, routes: DataFrame, path: str, ckpt: str,
                          sink: str = "parquet", topic: str | None = None, trigger: dict | None = None):
-    """Stream x static lookup (broadcast after a size check); misses dropped."""
+    """Stream x static lookup (joined as the planner sees fit); misses dropped."""
     bus = typed(records, "bus_gps")
     out = enrich(bus, routes, on="route_id")
     if sink == "kafka":

@@ -42,3 +42,23 @@ def test_jsonl_batch_and_stream_agree(spark, tmp_path):
     out = str(tmp_path / "out")
     run_to_completion(write_stream(stream, "parquet", str(tmp_path / "ck"), path=out))
     assert sorted(r.t_ms for r in spark.read.parquet(out).collect()) == sorted(r.t_ms for r in batch.collect())
+
+
+def test_the_last_line_of_the_last_file_wins(spark, tmp_path):
+    """Several files, one of them read in several splits."""
+    from civicflow.sources.files import read_lookup_csv
+
+    rows = {"a.csv": [(i % 50, f"a{i}") for i in range(400)], "b.csv": [(i % 40, f"b{i}") for i in range(3000)], "c.csv": [(7, "c0"), (7, "c1")]}
+    for name, lines in rows.items():
+        (tmp_path / name).write_text("k,v\n" + "".join(f"{k},{v}\n" for k, v in lines))
+    want = {}
+    for name in sorted(rows):
+        want.update(rows[name])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        lookup = read_lookup_csv(spark, str(tmp_path), "k int, v string", key="k")
+        assert spark.read.option("header", "true").schema("k int, v string").csv(str(tmp_path)).rdd.getNumPartitions() > 5
+        assert dict(map(tuple, lookup.collect())) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)

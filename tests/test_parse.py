@@ -70,3 +70,33 @@ def test_strict_refuses_a_bad_event_time(spark):
     df = spark.createDataFrame([('{"aqi": 1}',)], "value string")
     with pytest.raises(Exception, match="bad event time"):
         parse_records(df, schemas.BY_KIND["air_quality"], mode="strict").collect()
+
+
+def test_unknown_fields(spark):
+    values = ['{"aqi":1,"timestamp":"2026-07-31T10:30:00Z","unit":"ug","x":null}', '{"aqi":1,"timestamp":"2026-07-31T10:30:00Z"}', "not json", None, '{"b":1,"aqi":"x"}']
+    df = spark.createDataFrame(list(enumerate(values)), "offset long, value string")
+    got = {r.offset: r._error for r in parse_records(df, SCHEMA, mode="quarantine", keep=("offset",)).collect()}
+    assert got == {0: "unknown fields: unit,x", 1: None, 2: "malformed record", 3: "null record", 4: "malformed record"}
+    got = parse_records(df, SCHEMA, mode="quarantine", keep=("offset",), unknown="ignore")
+    assert got.where("offset = 0 AND _error IS NULL AND aqi = 1").count() == 1
+    one = df.where("offset = 0")
+    with pytest.raises(Exception, match="unknown fields: unit,x"):
+        parse_records(one, SCHEMA, mode="strict").collect()
+    assert parse_records(one, SCHEMA, mode="strict", unknown="ignore").collect()[0].aqi == 1
+    assert parse_records(df.where("offset = 1"), SCHEMA, mode="strict").collect()[0].aqi == 1
+    assert parse_records(one, SCHEMA, coerce_quoted_numbers=True, mode="quarantine").collect()[0]._error == "unknown fields: unit,x"
+
+
+def test_arrival_numbers_over_partitions(spark):
+    from civicflow.streaming.jobs import arrival_seq, typed
+
+    value = '{"sensor_id":"s","zone":"z","pm25":1.0,"pm10":1.0,"aqi":5,"timestamp":"2026-07-31T10:30:00Z"}'
+    rows = [("t", p, o, value) for p in range(3) for o in (0, 1, 7, 1 << 40)]
+    df = spark.createDataFrame(rows, "topic string, partition int, offset long, value string")
+    got = typed(df, "air_quality")
+    assert got.select("seq").distinct().count() == len(rows)
+    placed = df.withColumn("seq", arrival_seq(df.columns)).collect()
+    assert all((a.seq < b.seq) == (a.offset < b.offset) for a in placed for b in placed if a.partition == b.partition)
+    assert [r.seq for r in typed(df.drop("partition").limit(1), "air_quality").collect()] == [0]
+    with pytest.raises(Exception, match="too large"):
+        typed(spark.createDataFrame([("t", 1 << 16, 1, value)], df.schema), "air_quality").collect()

@@ -79,3 +79,13 @@ def test_text_that_is_not_json_is_malformed_and_survives(spark):
     messages = quality.envelope(quality.dead_letters(classified)).selectExpr("dlq_value AS value")
     report = {r["error_type"]: r["message_count"] for r in quality.report_from_messages(messages).collect()}
     assert report == {quality.MALFORMED: 3, quality.NULL_AQI: 1, "Total DLQ Messages": 4}
+
+
+def test_values_that_are_no_object_are_malformed(spark):
+    from civicflow.operators import quality as q
+
+    values = ["", " ", "null", "5", "[1]", '"x"', "{", None, ' \n{"aqi": 5}', '{"aqi": null}', '[{"aqi": 5}]', "true"]
+    df = spark.createDataFrame([("air_quality", i, v) for i, v in enumerate(values)], "topic string, offset long, value string")
+    got = {r.offset: r.error_reason for r in q.classify(df).collect()}
+    assert got == {i: {8: None, 9: q.NULL_AQI}.get(i, q.MALFORMED) for i in range(len(values))}
+    assert q.envelope(q.dead_letters(q.classify(df))).where("dlq_value IS NULL").count() == 0
