@@ -7,17 +7,22 @@ told apart by their occurrence number.  Each of the sketch's tables picks the
 the text*; two texts are candidates if a table has the same ordered picks in
 both, which is the likelier the fewer edits lie between them.
 
-Similarity.  Two texts are aligned within a band: the longest common
-subsequence of their k-mers, L of n and m, gives L / (n + m - L), an ordered
-form of the share of common k-mers.  0.8 or more is a link.  The band is as
-wide as the threshold allows, so no link is lost by it.
+Similarity.  Two texts are aligned word by word within a band: the longest
+common subsequence of their words, L of n and m, gives L / (n + m - L), an
+ordered form of the share of common words that counts every edit once (a share
+of k-mers counts one changed word five times).  0.8 or more is a link.  The
+band is as wide as the threshold allows, so no link is lost by it.
+
+Recall.  A pair is found if a table has the same picks in both.  On the given
+documents 97 % of the pairs with 90 % of their words in common order are
+candidates (tests/llm/test_near_dedup.py holds it at 0.9 or more).
 
 Work.  Equal word sequences are first collapsed to one representative.  In
 every bucket (a table's value) the members are checked against one of them,
 the smallest; linked texts form components.  A bucket whose members are then
 still in different components is compared in full: its members are dealt into
 blocks of bounded size, every pair of blocks is one unit of work, and a unit
-counts the common k-mers of all its pairs by matrix products and aligns those
+counts the common words of all its pairs by matrix products and aligns those
 that could be similar, unless they got linked meanwhile.  It emits links, not
 pairs.  So every pair of candidates is either compared or already in one
 class, nothing is capped, and copies of one text cost a row each.  Components
@@ -46,9 +51,10 @@ from civicflow.session import materialize
 
 WORDS = 5
 SIMILARITY = (4, 5)
-#: Tables, and picks of each.  A pair at the threshold is missed by all tables
-#: with probability (1 - 0.8^6)^32 = 6e-5.
-TABLES, PICKED = 32, 6
+#: Tables, and picks of each.  One word in twenty changed leaves about 0.7 of the
+#: k-mers: such a pair is missed by all tables with probability (1 - 0.7^4)^24 = 0.2 %;
+#: at 0.5 it is 21 %.
+TABLES, PICKED = 24, 4
 #: Texts with fewer k-mers than SHORT pick few in tables of their own; those
 #: with LONG and more pick PICKED.  Between the two they do both, and LONG is
 #: at most 0.8 SHORT, so similar texts always have tables in common.
@@ -56,8 +62,8 @@ SHORT, LONG, SHORT_PICKED, SHORT_TABLES = 32, 25, 2, 16
 MEMO_ENTRIES = 300_000
 #: Hashes in memory at once when a long text is sketched.
 CHUNK = 1 << 20
-#: Members and k-mers of a block, and columns of an incidence slice.
-UNIT_ROWS, UNIT_KMERS, SLICE = 512, 1_000_000, 8192
+#: Members and words of a block, and columns of an incidence slice.
+UNIT_ROWS, UNIT_WORDS, SLICE = 512, 1_000_000, 8192
 
 SKETCH_SCHEMA = "doc_id long, uid long, text_key string, digest binary, n long, words binary, sketch array<long>"
 
@@ -143,7 +149,7 @@ def text_key(text: str):
 
 
 def sketches(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, uid (a row number), text_key, digest of the words (null: none), n (k-mers),
+    """doc_id, uid (a row number), text_key, digest of the words (null: none), n (words),
     words (32-bit hashes) and sketch of every row."""
 
     def run(batches):
@@ -155,7 +161,7 @@ def sketches(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), part.column(1), part.column(3),
                     pa.array([hashlib.md5(h.tobytes()).digest() if len(h) else None for h in hashes], pa.binary()),
-                    pa.array([max(len(h) - WORDS + 1, min(len(h), 1)) for h in hashes], pa.int64()),
+                    pa.array([len(h) for h in hashes], pa.int64()),
                     pa.array([h.astype(np.uint32).tobytes() for h in hashes], pa.binary()),
                     pa.array([sketch(h) for h in hashes], pa.list_(pa.int64())),
                 ], ["doc_id", "uid", "text_key", "digest", "n", "words", "sketch"])
@@ -172,9 +178,8 @@ def least_common(n: int, m: int) -> int:
     return -(-a * (n + m) // (a + b))
 
 
-def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    """Banded alignment of the k-mers of two word sequences."""
-    x, y = kmers(a), kmers(b)
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Banded alignment of two word sequences."""
     need = least_common(len(x), len(y))
     if not len(x) or not len(y) or min(len(x), len(y)) < need:
         return False
@@ -190,7 +195,7 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
         return True
     x, y = x[head:len(x) - tail], y[head:len(y) - tail]
     need -= head + tail
-    extra = len(y) - need  # k-mers of either side that may stay unmatched
+    extra = len(y) - need  # words of either side that may stay unmatched
     row = np.zeros(len(y) + 1, np.int32)
     for i in range(len(x)):
         lo, hi = max(0, i - skip), min(len(y), i + extra + 1)
@@ -207,7 +212,7 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def common_bound(x: np.ndarray, y: np.ndarray) -> int:
-    """k-mers in common whatever their order: no alignment has more."""
+    """Words in common whatever their order: no alignment has more."""
     u, nu = np.unique(x, return_counts=True)
     v, nv = np.unique(y, return_counts=True)
     _, i, j = np.intersect1d(u, v, assume_unique=True, return_indices=True)
@@ -268,8 +273,7 @@ def unit_links(bucket: int, i: int, j: int, rows: list[tuple]) -> list[tuple[int
     block = np.array([r[0] for r in rows])
     label = np.array([r[2] for r in rows])
     words = [np.frombuffer(r[3], np.uint32) for r in rows]
-    found = [kmers(w) for w in words]
-    n = np.array([len(x) for x in found])
+    n = np.array([len(w) for w in words])
     open_pairs = (label[:, None] != label[None, :]) & np.triu(np.ones((len(rows), len(rows)), bool), 1)
     if i != j:
         open_pairs &= block[:, None] != block[None, :]
@@ -277,7 +281,7 @@ def unit_links(bucket: int, i: int, j: int, rows: list[tuple]) -> list[tuple[int
     open_pairs &= np.minimum.outer(n, n) * b >= np.maximum.outer(n, n) * a
     need = -(-a * np.add.outer(n, n) // (a + b))
     if open_pairs.any():
-        open_pairs &= common_counts([labelled(x) for x in found]) >= need
+        open_pairs &= common_counts([labelled(w.astype(np.uint64)) for w in words]) >= need
     parent = {int(x): int(x) for x in label}
 
     def root(x: int) -> int:
@@ -302,7 +306,7 @@ def first_common(one, two) -> int | None:
 def compared(members: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) among the members (bucket, uid, n, label) of open buckets."""
     stats = members.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("k"), F.sum("n").alias("s"))
-    stats = stats.where("x <> y").select("bucket", F.ceil(F.greatest(F.col("k") / UNIT_ROWS, F.col("s") / UNIT_KMERS)).alias("blocks"))
+    stats = stats.where("x <> y").select("bucket", F.ceil(F.greatest(F.col("k") / UNIT_ROWS, F.col("s") / UNIT_WORDS)).alias("blocks"))
     dealt = members.join(stats, "bucket").withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks")))
     sent = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
         "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "uid", "label")
@@ -342,7 +346,7 @@ def components(edges: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- classes
 
 def in_length(n: str, m: str):
-    """Texts of n and m k-mers can be similar."""
+    """Texts of n and m words can be similar."""
     a, b = SIMILARITY
     return F.least(n, m) * b >= F.greatest(n, m) * a
 
