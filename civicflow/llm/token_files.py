@@ -6,7 +6,8 @@ ascending document order and ``read`` decodes the files again.
 Code.  Global counts of all ids (one row per id, so at most the vocabulary)
 give code lengths by the package-merge method under a limit; the canonical
 code follows from the lengths alone, so a file stores only these.  With the
-limit of 16 bits one table of 65,536 entries decodes any symbol.
+limit of 16 bits one table of 65,536 entries decodes any symbol; more than
+65,536 ids in use raise the limit to what their number needs.
 
 File.  Magic, zlib-compressed code lengths, blocks, and nothing else: the
 manifest (a Parquet table) lists each block's place.  A block holds whole
@@ -32,17 +33,19 @@ import json
 import struct
 import unicodedata
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from civicflow.llm.bpe import byte_of_char
+from civicflow.llm.bpe import byte_of_char, few_at_once
 from civicflow.llm.common import BoundedMemo, per_process, read_range, write_file
 from civicflow.session import scratch_path
 
@@ -59,7 +62,8 @@ CHECKPOINT = 128
 BLOCK_IDS = 65_536
 #: Ids in a file; their number follows the data.
 FILE_IDS = 4_000_000
-MEMO_ENTRIES = 600_000
+#: Words kept by a worker process (some 200 bytes each).
+MEMO_ENTRIES = 1_200_000
 #: White space for str.split but not in Unicode's White_Space.
 SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 
@@ -68,34 +72,70 @@ MANIFEST_SCHEMA = "file string, file_no int, offset long, length long, n_docs lo
 
 # ---------------------------------------------------------------- tokens
 
+class MarkedPieces:
+    """Byte-level BPE whose last symbol carries a suffix, on a ranked byte-pair merger.
+
+    The merger knows bytes only, so a piece is closed with the byte 0xFF, which
+    UTF-8 never has: the pairs (byte, 0xFF) have the lowest ranks and are joined
+    first, and the tokens with the suffix are the byte strings that end with it.
+    """
+
+    def __init__(self, model: dict, extra_ids: int):
+        to_byte, suffix, vocab = byte_of_char(), model["end_of_word_suffix"], model["vocab"]
+        stand_in = {b: c for c, b in to_byte.items()}
+
+        def raw(token: str) -> bytes:
+            end = b"\xff" if token.endswith(suffix) else b""
+            return bytes(to_byte[c] for c in token[:len(token) - len(suffix) * len(end)]) + end
+
+        symbols = [stand_in[b] for b in range(256)] + [stand_in[b] + suffix for b in range(256)] + [a + b for a, b in model["merges"]]
+        ranks = {bytes([b]): b for b in range(256)} | {bytes([b, 255]): 256 + b for b in range(256)}
+        ranks |= {raw(s): 512 + i for i, s in enumerate(symbols[512:])}
+        if len(ranks) != len(symbols):
+            raise ValueError("two merges give the same token")
+        #: Id of every rank; ids that no merge makes (special tokens) follow.
+        made = [vocab[s] for s in symbols]
+        self.ids = np.array(made + sorted(set(range(max(made) + extra_ids + 1)) - set(made)), "<u4")
+        self.rank_of = np.argsort(self.ids).astype(np.uint32)
+        self._merge = tiktoken.Encoding("pieces", pat_str=".", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+
+    @staticmethod
+    def fits(model: dict) -> bool:
+        plain = not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges"))
+        return model.get("type") == "BPE" and plain and bool(model.get("end_of_word_suffix"))
+
+    def ranks(self, piece: bytes) -> bytes:
+        """Ranks (unsigned 32-bit integers) of the tokens of a piece."""
+        return array("I", self._merge(piece + b"\xff")).tobytes()
+
+
 class WordEncoder:
     """A tokenizer whose pre-tokens never contain white space, memoised by the
-    words of ``str.split`` and by pre-token.
+    words of ``str.split``.
 
     Words of letters below U+0250 are lower-cased and split here and their
-    pre-tokens given to the tokenizer's BPE model; all other words, and texts
-    in which ``str.split`` is not the tokenizer's own, go to it whole.
+    pre-tokens merged here (``MarkedPieces``; tests hold it to the library); all
+    other words, and texts in which ``str.split`` is not the tokenizer's own, go to
+    the tokenizer whole.
     """
 
     def __init__(self, text: str):
         self.tokenizer = Tokenizer.from_str(text)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.model = self.tokenizer.model
-        stand_in = {b: c for c, b in byte_of_char().items()}
-        self.stand_in = {b: stand_in[b] for b in range(256)}
+        spec = json.loads(text)
         self.pretoken = regex.compile(PRETOKEN)
-        self.known = json.loads(text)["normalizer"] == NORMALIZER
-        self.piece_ids = BoundedMemo(self._piece, MEMO_ENTRIES // 2).__getitem__
+        self.known = spec["normalizer"] == NORMALIZER and MarkedPieces.fits(spec["model"])
+        # What the memos hold are ranks then, which become ids text by text.
+        self.pieces = MarkedPieces(spec["model"], len(spec["added_tokens"])) if self.known else None
         self.word_ids = BoundedMemo(self._word, MEMO_ENTRIES).__getitem__
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        return (self.pieces.rank_of[ids] if self.known else ids).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        raw = piece if piece.isascii() else piece.encode().decode("latin-1")
-        ids = [t.id for t in self.model.tokenize(raw.translate(self.stand_in))]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return self.pieces.ranks(piece.encode())
 
     def _word(self, word: str) -> bytes:
         if not self.known or "<|" in word:
@@ -106,17 +146,20 @@ class WordEncoder:
             word = unicodedata.normalize("NFC", word)
         word = word.lower()
         if word.isalpha():  # letters only: one pre-token
-            return self.piece_ids(word)
+            return self._piece(word)
         if word[:-1].isalpha() and word[-1].isascii() and not word[-1].isalnum():  # and a sign at the end: two
-            return self.piece_ids(word[:-1]) + self.piece_ids(word[-1])
-        return b"".join(map(self.piece_ids, self.pretoken.findall(word)))
+            return self._piece(word[:-1]) + self._piece(word[-1])
+        return b"".join(map(self._piece, self.pretoken.findall(word)))
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         if any(s in text for s in SEPARATORS):
-            return self._whole(text)
-        return b"".join(map(self.word_ids, text.split()))
+            found = self._whole(text)
+        else:
+            found = b"".join(map(self.word_ids, text.split()))
+        found = np.frombuffer(found, np.uint32)
+        return (self.pieces.ids[found] if self.known else found.astype("<u4")).tobytes()
 
 
 def encode_words(documents: DataFrame, path: str, end_id: int, narrow: bool) -> DataFrame:
@@ -129,7 +172,7 @@ def encode_words(documents: DataFrame, path: str, end_id: int, narrow: bool) ->
 
     def encode(texts: pa.Array) -> pa.Array:
         words = per_process(("words", hash(shared.value)), lambda: WordEncoder(shared.value))
-        ids = (words.encode(t) + end for t in texts.to_pylist())
+        ids = (words.encode(t) + end for t in few_at_once(texts))
         if narrow:
             ids = (np.frombuffer(i, "<u4").astype("<u2").tobytes() for i in ids)
         return pa.array(ids, pa.binary())
@@ -141,11 +184,11 @@ def encode_words(documents: DataFrame, path: str, end_id: int, narrow: bool) ->
 # ---------------------------------------------------------------- code
 
 def code_lengths(counts: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
-    """Length-limited Huffman code lengths by package-merge; 0 for unused ids."""
+    """Length-limited Huffman code lengths by package-merge; 0 for unused ids.  The
+    limit is ``max_bits``, or what the number of ids in use needs."""
     used = np.flatnonzero(counts)
     lengths = np.zeros(len(counts), np.uint8)
-    if len(used) > 1 << max_bits:
-        raise ValueError(f"{len(used)} symbols need more than {max_bits} bits")
+    max_bits = max(max_bits, (len(used) - 1).bit_length())
     if len(used) == 1:
         lengths[used] = 1
     if len(used) < 2:
@@ -181,8 +224,9 @@ def canonical_codes(lengths: np.ndarray) -> np.ndarray:
     return codes
 
 
-def decode_table(lengths: np.ndarray, max_bits: int = MAX_BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Symbol and length for every window of ``max_bits`` bits."""
+def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Symbol and length for every window of as many bits as the longest code has."""
+    max_bits = max(MAX_BITS, int(lengths.max(initial=0)))
     symbols, widths = np.zeros(1 << max_bits, np.uint32), np.zeros(1 << max_bits, np.uint8)
     codes = canonical_codes(lengths)
     for i in np.flatnonzero(lengths).tolist():
@@ -208,9 +252,10 @@ def pack(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes
     return joined.astype(np.uint64).astype(">u4").tobytes()[: (bits + 7) // 8], bits
 
 
-def unpack(data: bytes, starts: np.ndarray, counts: np.ndarray, table, max_bits: int = MAX_BITS) -> np.ndarray:
+def unpack(data: bytes, starts: np.ndarray, counts: np.ndarray, table) -> np.ndarray:
     """Ids of all lanes in order; lane k begins at bit ``starts[k]`` and has ``counts[k]`` ids."""
     symbols, widths = table
+    max_bits = len(symbols).bit_length() - 1
     raw = np.frombuffer(data + b"\0" * 8, np.uint8).astype(np.uint32)
     windows = raw[:-3] << 24 | raw[1:-2] << 16 | raw[2:-1] << 8 | raw[3:]  # 32 bits from each byte on
     out = np.empty(int(counts.sum()), np.uint32)

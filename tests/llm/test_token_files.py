@@ -110,3 +110,33 @@ def test_empty_table_and_damage(spark, docs):
     block, _ = tf.block_bytes([(1, np.array([0, 1, 2]))], 0, tf.canonical_codes(lengths), lengths)
     with pytest.raises(ValueError):
         list(tf.read_block(block[:40] + b"\xff" + block[41:], tf.decode_table(lengths)))
+
+
+def test_every_token_and_its_neighbours_as_the_library():
+    """Words that are tokens, tokens without an end, and pairs of tokens joined."""
+    import random
+
+    to_byte = tf.byte_of_char()
+    words = set()
+    for token in LIBRARY.get_vocab():
+        raw = bytes(to_byte.get(c, 0) for c in token.removesuffix("</w>")).decode(errors="ignore").lower()
+        if raw.isalpha():
+            words.add(raw)
+    rng = random.Random(3)
+    words = sorted(words)
+    some = words + ["".join(rng.choice(words) for _ in range(rng.randint(2, 5))) for _ in range(20_000)]
+    some += ["".join(rng.choice("etaoinshrdluéñß") for _ in range(rng.randint(1, 14))) for _ in range(20_000)]
+    for a in range(0, len(some), 500):
+        text = " ".join(some[a:a + 500])
+        assert np.frombuffer(ENCODER.encode(text), "<u4").tolist() == library_ids(text)[:-1]
+
+
+def test_more_ids_than_sixteen_bits_can_tell_apart():
+    rng = np.random.default_rng(1)
+    counts = rng.integers(1, 9, 70_001)
+    lengths = tf.code_lengths(counts)
+    assert 16 < lengths.max() <= 17 and np.sum(2.0 ** -lengths.astype(float)) == 1
+    ids = rng.integers(0, 70_001, 5000)
+    data, _ = tf.pack(ids, tf.canonical_codes(lengths), lengths)
+    starts = np.concatenate([[0], np.cumsum(lengths[ids].astype(np.int64))])[:-1]
+    assert (tf.unpack(data, starts[::100], np.full(50, 100), tf.decode_table(lengths)) == ids).all()
