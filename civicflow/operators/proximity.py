@@ -39,6 +39,11 @@ watch, and the alert carries the positions as of that row.  The steps above run
 on the axis of arrival numbers then; the row that a deadline waits for is
 looked up in ``arrival``.  A watch whose deadline the watermark has passed
 already when it starts (a ping later than hold and delay) fires with its own row.
+
+``expire_ms`` (event time) forgets a bus so long after its last ping: its segment
+ends there, and for its pairs this counts as an observation apart (it ends their
+watches, a deadline at that very instant included).  A ping of the same instant
+comes after the expiry.
 """
 
 from __future__ import annotations
@@ -61,7 +66,8 @@ from civicflow.session import materialize
 BUNCHING_RADIUS_M = 200.0
 BUNCHING_HOLD_MS = 5 * 60 * 1000
 WATERMARK_DELAY_MS = 10_000
-OPEN_END = 2**62  # end of the last segment of a bus: positions never expire
+OPEN_END = 2**62  # end of the last segment of a bus, unless positions expire
+EXPIRY_SEQ = -(2**62)  # a position expires before any ping of that instant is applied
 # Time granularity of the segment index.  A ping meets the segments of its
 # bucket only, so the finest bucket should be a few ping intervals long.  Longer
 # segments are indexed on coarser levels, each LEVEL_FACTOR times the one below,
@@ -84,16 +90,19 @@ def prepare_pings(bus: DataFrame, missing: str = "zero") -> DataFrame:
     return p.dropna(subset=["lat", "lon"])
 
 
-def segments(pings: DataFrame, bucket_ms: int = BUNCHING_HOLD_MS) -> DataFrame:
+def segments(pings: DataFrame, bucket_ms: int = BUNCHING_HOLD_MS, expire_ms: int | None = None) -> DataFrame:
     """One row per ping: the interval ``[(t, seq), (t_next, seq_next))`` in which it
-    is the latest position of its bus on its route."""
+    is the latest position of its bus on its route, cut ``expire_ms`` after it."""
     nxt = with_lookahead(pings, ["route_id", "bus_id"], "t_ms", "seq", ["t_ms", "seq"],
                          bucket_ms=bucket_ms * 12)
+    e_t = F.coalesce(F.col("t_ms_next"), F.lit(OPEN_END))
+    e_seq = F.coalesce(F.col("seq_next"), F.lit(OPEN_END))
+    if expire_ms is not None:
+        expiry = F.col("t_ms") + F.lit(int(expire_ms))
+        e_t, e_seq = F.least(e_t, expiry), F.when(expiry <= e_t, F.lit(EXPIRY_SEQ)).otherwise(e_seq)
     return nxt.select(
         "route_id", "bus_id", "lat", "lon", "timestamp",
-        F.col("t_ms").alias("s_t"), F.col("seq").alias("s_seq"),
-        F.coalesce(F.col("t_ms_next"), F.lit(OPEN_END)).alias("e_t"),
-        F.coalesce(F.col("seq_next"), F.lit(OPEN_END)).alias("e_seq"),
+        F.col("t_ms").alias("s_t"), F.col("seq").alias("s_seq"), e_t.alias("e_t"), e_seq.alias("e_seq"),
     )
 
 
@@ -362,12 +371,15 @@ def bunching_deadlines(
     once_per_episode: bool = False,
     split_episodes: bool = True,
     order: str = "event_time",
+    expire_ms: int | None = None,
 ) -> tuple[DataFrame, DataFrame, int, int]:
     """(deadlines as (route_id, lo, hi, deadline, due), segments, last position,
     width of the index buckets).  Positions are event times, or arrival numbers
     with ``order="arrival"``."""
     if order not in ("event_time", "arrival"):
         raise ValueError(f"order is 'event_time' or 'arrival', not {order!r}")
+    if expire_ms is not None and (order == "arrival" or expire_ms <= 0):
+        raise ValueError("expire_ms is a positive time and needs order='event_time'")
     pings = prepare_pings(bus, missing)
     max_t, max_seq = pings.agg(F.max("t_ms"), F.max("seq")).first()
     if max_t is None:
@@ -380,7 +392,7 @@ def bunching_deadlines(
     # once and written under the shared checkpoint root.
     end = max_t if order == "event_time" else int(max_seq)
     ordered = pings if order == "event_time" else pings.withColumn("t_ms", F.col("seq"))
-    seg = materialize(segments(ordered, hold_ms), "bunching-segments")
+    seg = materialize(segments(ordered, hold_ms, expire_ms), "bunching-segments")
     bucket = LOOKUP_BUCKET_MS if order == "event_time" else arrival_bucket(seg)
     near = near_observations(seg, radius_m, end, bucket)
     if not split_episodes and order == "event_time":
@@ -412,6 +424,7 @@ def bus_bunching(
     split_episodes: bool = True,
     missing: str = "zero",
     order: str = "event_time",
+    expire_ms: int | None = None,
 ) -> DataFrame:
     """Bus-bunching incident alerts (batch form).
 
@@ -423,6 +436,10 @@ def bus_bunching(
     and so meet each other there; ``drop`` leaves them out, and a bus keeps its
     last known position (or has none).
 
+    ``expire_ms``: a bus that has not reported for so long (event time) is
+    forgotten until its next ping; by default positions never expire, as in the
+    reference.
+
     By default a pair that stays near re-arms after each alert (an alert
     every 5 minutes, as in the reference); ``once_per_episode`` alerts once
     until the buses have been seen apart.  ``split_episodes`` spreads the
@@ -430,7 +447,7 @@ def bus_bunching(
     the near set, off = one scan per pair in event-time order)."""
     fired, seg, end, bucket = bunching_deadlines(bus, radius_m, hold_ms, delay_ms, missing,
                                                  once_per_episode=once_per_episode,
-                                                 split_episodes=split_episodes, order=order)
+                                                 split_episodes=split_episodes, order=order, expire_ms=expire_ms)
     at = _as_of(seg, fired, end, bucket)
     dist = haversine_m("a_lat", "a_lon", "b_lat", "b_lon")
     desc = F.format_string(A.BUNCHING_TEMPLATE, F.col("lo"), F.col("hi"), F.col("route_id"), dist)

@@ -24,6 +24,7 @@ from civicflow.sources import telemetry as tv
 from civicflow.streaming import io, jobs
 
 TS_FMT = "yyyy-MM-dd HH:mm:ss"
+BUNCHING_EXPIRY_MS = 180_000
 
 
 def _r6(c: str | Column) -> Column:
@@ -323,8 +324,17 @@ def q_bus_bunching_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.bus_bunching(bus.withColumn("seq", 2 * F.col("seq") + late), order="arrival").select(*ALERT_OUT)
 
 
+def q_bus_bunching_expiring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bunching where a bus is forgotten three minutes (event time) after its last ping."""
+    from civicflow.operators import proximity as P
+
+    (bus,) = _views(spark, sf_dir, "bus_gps")
+    return P.bus_bunching(bus, expire_ms=BUNCHING_EXPIRY_MS).select(*ALERT_OUT)
+
+
 QUERIES["bus_bunching"] = q_bus_bunching
 QUERIES["bus_bunching_arrival"] = q_bus_bunching_arrival
+QUERIES["bus_bunching_expiring"] = q_bus_bunching_expiring
 
 
 # -- flagship: the incident feed --------------------------------------------------

@@ -364,6 +364,21 @@ FROM fired
 ORACLE["near_pair_observations"] = NEAR_PAIR_OBSERVATIONS
 ORACLE["bus_bunching"] = BUS_BUNCHING
 
+# A position expires three minutes after it, unless a ping came before: from then
+# on the bus is nowhere (not a number), which is far from everything.
+_EXPIRING = """, known AS (
+  SELECT route_id, bus_id, seq, t_ms, coalesce(lat, 0.0) AS lat, coalesce(lon, 0.0) AS lon, ts_iso,
+         lead(t_ms) OVER (PARTITION BY route_id, bus_id ORDER BY t_ms, seq) AS next_t
+  FROM bus_gps
+), pings AS (
+  SELECT route_id, bus_id, seq, t_ms, lat, lon, ts_iso FROM known
+  UNION ALL
+  SELECT route_id, bus_id, -1, t_ms + 180000, CAST('NaN' AS DOUBLE), CAST('NaN' AS DOUBLE), NULL
+  FROM known WHERE next_t IS NULL OR next_t >= t_ms + 180000
+), pairs AS ("""
+BUS_BUNCHING_EXPIRING = BUS_BUNCHING[:BUS_BUNCHING.index(", pings AS (")] + _EXPIRING + BUS_BUNCHING.split("), pairs AS (", 1)[1]
+ORACLE["bus_bunching_expiring"] = BUS_BUNCHING_EXPIRING
+
 
 # Every ninth ping arrives 40 rows late; rows are applied in order of arrival, and
 # a watch fires at the row whose event time lets the watermark reach its deadline.
@@ -487,6 +502,7 @@ ORACLE.update({
     "dlq_malformed_stream": DLQ_MALFORMED,
     "gridlock_stream": GRIDLOCK,
     "bus_bunching_stream": BUS_BUNCHING,
+    "bus_bunching_expiring_stream": BUS_BUNCHING_EXPIRING,
     "priority_fanout": FANOUT,
     "ward_energy_weekly": _rollup_sql("week"),
     "ward_energy_monthly": _rollup_sql("month"),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from civicflow.operators import windows
 from civicflow.operators.history import History, WardRollup
-from civicflow.plans.catalog import ALERT_OUT, _r6, _r6_mean, _ts, _views, corrupt_wire, no_object_wire
+from civicflow.plans.catalog import ALERT_OUT, BUNCHING_EXPIRY_MS, _r6, _r6_mean, _ts, _views, corrupt_wire, no_object_wire
 from civicflow.sources import telemetry as tv
 from civicflow.streaming import jobs
 from civicflow.streaming.io import (
@@ -185,14 +185,19 @@ def q_gridlock_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{run}/out").select(*ALERT_OUT)
 
 
-def q_bus_bunching_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_bus_bunching_stream(spark: SparkSession, sf_dir: str, expire_ms: int | None = None) -> DataFrame:
     run, stream = _replay(spark, sf_dir, ["bus_gps"], "bunching")
-    alerts = bunching_stream(jobs.typed(stream, "bus_gps"))
+    alerts = bunching_stream(jobs.typed(stream, "bus_gps"), expire_ms=expire_ms)
     run_to_completion(write_stream(alerts, "parquet", f"{run}/ckpt", path=f"{run}/out",
                                    state_partitions=_state_partitions(spark)))
     return spark.read.parquet(f"{run}/out").select(*ALERT_OUT)
 
 
+def q_bus_bunching_expiring_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``bus_bunching_expiring`` with expiry timers in the stream's state."""
+    return q_bus_bunching_stream(spark, sf_dir, BUNCHING_EXPIRY_MS)
+
+
 def q_incidents_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The incident feed from three streaming detectors (one query each)."""
     run = new_run_dir(spark, "incidents")
@@ -381,6 +386,7 @@ STREAM_QUERIES = {
     "dlq_malformed_stream": q_dlq_malformed_stream,
     "gridlock_stream": q_gridlock_stream,
     "bus_bunching_stream": q_bus_bunching_stream,
+    "bus_bunching_expiring_stream": q_bus_bunching_expiring_stream,
     "incidents_stream": q_incidents_stream,
     "priority_fanout": q_priority_fanout,
     "late_rows": q_late_rows,

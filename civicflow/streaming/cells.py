@@ -6,7 +6,7 @@ is one task:
 1. by bus: pings are applied in event order once the watermark reaches them;
    each one is sent to the cell it lies in (its home) and to the seven cells
    from which a bus could be within the radius of it; cells that the bus leaves
-   get a row that says so;
+   get a row that says so, as do all of them when its position expires;
 2. by (route, cell): the buses in and around the cell.  The home cell of a
    pair's first bus owns the pair: it sends an observation for every ping of
    either bus while they are near, and one when they no longer are (also when
@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from civicflow.functions.geo import EARTH_RADIUS_M, chord_cell_size
+from civicflow.operators.proximity import EXPIRY_SEQ
 
 CELL_ROWS = T.StructType([
     T.StructField("route_id", T.StringType()), T.StructField("cx", T.LongType()), T.StructField("cy", T.LongType()),
@@ -78,13 +79,13 @@ def cells_of(lat: float, lon: float, edge: float) -> list[tuple[int, int, int]]:
 class BusCells(StatefulProcessor):
     """Pings of one bus -> rows for the cells in and around which it is."""
 
-    def __init__(self, edge: float):
-        self.edge = edge
+    def __init__(self, edge: float, expire_ms: int | None = None):
+        self.edge, self.expire_ms = edge, expire_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.waiting = handle.getListState("waiting", "lat double, lon double, t long, seq long, ts string")
-        self.last = handle.getValueState("last", "lat double, lon double")
+        self.last = handle.getValueState("last", "lat double, lon double, t long")
         self.timer = handle.getValueState("timer", "expiry long")
 
     def _step(self, key, new: list[tuple], wm: int) -> pd.DataFrame:
@@ -94,7 +95,15 @@ class BusCells(StatefulProcessor):
         self.waiting.clear()
         if keep:
             self.waiting.put(keep)
-        due = min(r[2] for r in keep) + 1 if keep else None
+        out = []
+        if ready or self.last.exists():
+            out = self._moves(*key, ready, wm)
+        dues = [min(r[2] for r in keep)] if keep else []
+        if self.expire_ms is not None and self.last.exists():
+            dues.append(self.last.get()[2] + self.expire_ms)
+        # Timers below the watermark fire, and what is due at the watermark must
+        # leave now: with the next one it would be late for the operators behind.
+        due = min(dues) - 1 if dues else None
         before = self.timer.get()[0] if self.timer.exists() else None
         if due != before:
             if before is not None:
@@ -103,18 +112,34 @@ class BusCells(StatefulProcessor):
             if due is not None:
                 self.handle.registerTimer(due)
                 self.timer.update((due,))
-        out = []
-        if ready:
-            route, bus = key
-            held = cells_of(*self.last.get(), self.edge) if self.last.exists() else []
-            for lat, lon, t, seq, ts in ready:
-                cells = cells_of(lat, lon, self.edge)
-                out += [(route, *c, bus, LEFT, None, None, t, seq, ts) for c in held if c not in cells]
-                out += [(route, *c, bus, AROUND if i else HOME, lat, lon, t, seq, ts) for i, c in enumerate(cells)]
-                held = cells
-            self.last.update(ready[-1][:2])
         return frame(out, CELL_ROWS)
 
+    def _moves(self, route: str, bus: str, ready: list[tuple], wm: int) -> list[tuple]:
+        """Rows for the cells of the pings in ``ready``, and of positions that expire up to ``wm``."""
+        out, held, expiry = [], [], None
+
+        def forget_at(t):
+            nonlocal held
+            if expiry is not None and held and expiry <= t:
+                out.extend((route, *c, bus, LEFT, None, None, expiry, EXPIRY_SEQ, None) for c in held)
+                held = []
+
+        if self.last.exists():
+            lat, lon, t = self.last.get()
+            held, expiry = cells_of(lat, lon, self.edge), t + self.expire_ms if self.expire_ms is not None else None
+        for lat, lon, t, seq, ts in ready:
+            forget_at(t)
+            cells = cells_of(lat, lon, self.edge)
+            out += [(route, *c, bus, LEFT, None, None, t, seq, ts) for c in held if c not in cells]
+            out += [(route, *c, bus, AROUND if i else HOME, lat, lon, t, seq, ts) for i, c in enumerate(cells)]
+            held, expiry = cells, t + self.expire_ms if self.expire_ms is not None else None
+        forget_at(wm)
+        if not held:
+            self.last.clear()
+        elif ready:
+            self.last.update(ready[-1][:3])
+        return out
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         new = [(lat, lon, int(t), int(seq), ts) for lat, lon, t, seq, ts in in_order(rows, ["lat", "lon", "t_ms", "seq", "timestamp"], ["t_ms", "seq"])]
         yield self._step(key, new, timerValues.getCurrentWatermarkInMs())
@@ -271,9 +296,9 @@ class PairWatch(StatefulProcessor):
             deadline, quiet = None, self.once
         if deadline != was[0]:
             if was[0] is not None:
-                self.handle.deleteTimer(was[0] + 1)
+                self.handle.deleteTimer(was[0])
             if deadline is not None:
-                self.handle.registerTimer(deadline + 1)
+                self.handle.registerTimer(deadline)
         if deadline is None and not quiet:
             self.watch.clear()
         else:
@@ -293,12 +318,13 @@ class PairWatch(StatefulProcessor):
         pass
 
 
-def watches_by_cell(pings: DataFrame, out: T.StructType, radius_m: float, hold_ms: int, delay: str, once: bool) -> DataFrame:
+def watches_by_cell(pings: DataFrame, out: T.StructType, radius_m: float, hold_ms: int, delay: str, once: bool,
+                    expire_ms: int | None = None) -> DataFrame:
     """Fired watches (``out``: route_id, lo, hi, deadline, source_ts, distance) of a
     stream of pings (route_id, bus_id, lat, lon, timestamp, t_ms, seq, event_time)."""
     edge = 2 * chord_cell_size(radius_m)
     placed = pings.fillna(0.0, subset=["lat", "lon"]).withWatermark("event_time", delay).groupBy("route_id", "bus_id").transformWithStateInPandas(
-        statefulProcessor=BusCells(edge), outputStructType=CELL_ROWS, outputMode="Append", timeMode="EventTime", eventTimeColumnName="event_time")
+        statefulProcessor=BusCells(edge, expire_ms), outputStructType=CELL_ROWS, outputMode="Append", timeMode="EventTime", eventTimeColumnName="event_time")
     seen = placed.groupBy("route_id", "cx", "cy", "cz").transformWithStateInPandas(
         statefulProcessor=CellPairs(radius_m), outputStructType=PAIR_ROWS, outputMode="Append", timeMode="EventTime", eventTimeColumnName="event_time")
     return seen.groupBy("route_id", "lo", "hi").transformWithStateInPandas(

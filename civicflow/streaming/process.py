@@ -119,8 +119,9 @@ class _Runner(StatefulProcessor):
         if self.timed:
             advance(self.process, ctx, wm)
             self._keep(later, sorted(ctx.timers), was)
-            due = min([r[at] for r in later[:1]] + sorted(ctx.timers)[:1], default=None)
-            self._wake(None if due is None else due + 1)
+            # Timers below the watermark fire: a row is due when the watermark
+            # reaches it, a timer of the user when it is passed.
+            self._wake(min([r[at] - 1 for r in later[:1]] + sorted(ctx.timers)[:1], default=None))
         self.record.update(tuple(ctx.state[n] for n in self.state_names))
         return pd.DataFrame(ctx.emitted, columns=self.out)
 

@@ -260,7 +260,7 @@ class BunchingProcessor(StatefulProcessor):
             if keep:
                 self.buffer.put(keep)
         out, remaining = self._emit_due(route, wm)
-        dues = [d + 1 for d in remaining] + ([min(r[3] for r in keep) + 1] if keep else [])
+        dues = remaining + ([min(r[3] for r in keep) - 1] if keep else [])  # timers below the watermark fire
         self._reschedule(min(dues) if dues else None)
         return pd.DataFrame(out, columns=BUNCHING_OUT.fieldNames())
 
@@ -286,11 +286,15 @@ class BunchingProcessor(StatefulProcessor):
 def bunching_stream(bus: DataFrame, radius_m: float = BUNCHING_RADIUS_M, hold_ms: int = BUNCHING_HOLD_MS,
                     delay: str = "10 seconds", detected_at: Column | None = None,
                     position_ttl_ms: int | None = None, once_per_episode: bool = False,
-                    buffer_until_watermark: bool = True, keyed_by: str | None = None) -> DataFrame:
+                    buffer_until_watermark: bool = True, keyed_by: str | None = None,
+                    expire_ms: int | None = None) -> DataFrame:
     """Streaming bus-bunching alerts from a typed bus stream (event-time timers).
 
-    ``keyed_by``: ``cell`` (default) or ``route``; the two options below need
-    ``route`` and choose it.
+    ``keyed_by``: ``cell`` (default) or ``route``; ``position_ttl_ms`` and
+    ``buffer_until_watermark=False`` need ``route`` and choose it.
+
+    ``expire_ms`` (event time, with ``cell``) forgets a bus so long after its
+    last ping, as the option of the batch form does.
 
     ``position_ttl_ms`` (processing time) forgets buses that stopped
     reporting; by default positions never expire, as in the reference.
@@ -303,8 +307,10 @@ def bunching_stream(bus: DataFrame, radius_m: float = BUNCHING_RADIUS_M, hold_ms
     keyed_by = keyed_by or ("route" if needs_route else "cell")
     if keyed_by not in ("cell", "route") or (keyed_by == "cell" and needs_route):
         raise ValueError("keyed_by is 'cell' or 'route'; position_ttl_ms and buffer_until_watermark=False need 'route'")
+    if expire_ms is not None and (keyed_by == "route" or expire_ms <= 0):
+        raise ValueError("expire_ms is a positive time and needs keyed_by='cell'")
     if keyed_by == "cell":
-        fired = watches_by_cell(src, BUNCHING_OUT, radius_m, hold_ms, delay, once_per_episode)
+        fired = watches_by_cell(src, BUNCHING_OUT, radius_m, hold_ms, delay, once_per_episode, expire_ms)
     else:
         fired = src.withWatermark("event_time", delay).groupBy("route_id").transformWithStateInPandas(
             statefulProcessor=BunchingProcessor(radius_m, hold_ms, position_ttl_ms, once_per_episode,

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 from conftest import EPOCH_MS
-from test_proximity_bruteforce import SPOTS, arrival_frame, random_pings, simulate
+from test_proximity_bruteforce import SPOTS, arrival_frame, random_pings, simulate, simulate_expiring
 
 from civicflow.functions.geo import chord_cell_size
 from civicflow.operators.proximity import bus_bunching
@@ -101,3 +101,30 @@ def test_one_route_is_spread_over_state_partitions(spark, tmp_path):
     state = spark.read.format("statestore").option("operatorId", 1).option("stateVarName", "buses").load(f"{tmp_path}/w/ck")
     spread = state.groupBy("partition_id").count().collect()
     assert len(spread) == 4 and max(r["count"] for r in spread) < sum(r["count"] for r in spread) / 2
+
+
+@pytest.mark.parametrize("seed,once,expire", [(1, False, 120_000), (2, True, 200_000)])
+def test_expiry_timers_match_bruteforce_and_batch(spark, tmp_path, seed, once, expire):
+    pings = moving_pings(random.Random(seed), 400, "ABCD")
+    df = arrival_frame(spark, pings)
+    want = sorted((e, t, ts) for e, t, ts, _ in simulate_expiring(pings, expire, once))
+    got, _ = run_stream(spark, df, str(tmp_path / "e"), slices=8, once_per_episode=once, expire_ms=expire)
+    assert [g[:3] for g in got] == want and len(want) > 3
+    batch = bus_bunching(df, once_per_episode=once, expire_ms=expire).collect()
+    assert got == sorted((r.entityId, r.t_ms, r.sourceTimestamp, r.description) for r in batch)
+    with pytest.raises(ValueError):
+        bunching_stream(df, keyed_by="route", expire_ms=expire)
+
+
+def test_rows_at_the_very_watermark_are_not_late(spark, tmp_path):
+    """A ping at exactly the watermark of its micro-batch reaches the operators
+    behind with that batch; with the next one it would be dropped as late.  The
+    ping of B apart at 290 s is the watermark after Z's of 300 s."""
+    at = lambda t, b, spot: {"route": "R1" if b != "Z" else "R9", "bus": b, "lat": SPOTS[spot][0], "lon": SPOTS[spot][1], "t": EPOCH_MS + t}
+    pings = [at(0, "A", 0), at(0, "B", 1), at(290_000, "B", 4), at(300_000, "Z", 0), at(302_000, "Z", 0), at(304_000, "Z", 0),
+             at(500_000, "Z", 0), at(600_000, "Z", 0), at(900_000, "Z", 0), at(900_001, "Z", 0)]
+    for i, p in enumerate(pings):
+        p["seq"] = i + 1
+    df = arrival_frame(spark, pings)
+    got, _ = run_stream(spark, df, str(tmp_path / "w"), slices=5)
+    assert got == [] == simulate(pings)

@@ -230,3 +230,76 @@ def test_endless_episode_matches_bruteforce(spark, monkeypatch, reaches):
     df = arrival_frame(spark, pings)
     got = sorted((r.entityId, r.t_ms, r.sourceTimestamp, round(r.distance, 3)) for r in bus_bunching(df).collect())
     assert got == simulate(pings) and len(got) > 40
+
+
+def simulate_expiring(pings, expire, once=False):
+    """``simulate`` with an event a position that expires: the bus is unknown from then on."""
+    horizon = max(p["t"] for p in pings) - DELAY - 1
+    ordered = sorted(pings, key=lambda p: (p["t"], p["seq"]))
+    events = [(p["t"], 1, p["seq"], p) for p in ordered] + [(p["t"] + expire, 0, p["seq"], p) for p in ordered]
+    known, hist, watches, quiet, fired = {}, {}, {}, set(), []
+    for t, is_ping, _, p in sorted(events, key=lambda e: e[:3]):
+        r, b = p["route"], p["bus"]
+        if not is_ping and known.get((r, b)) is not p:
+            continue
+        for pair, dl in list(watches.items()):
+            if dl < t:
+                fired.append((*pair, dl))
+                del watches[pair]
+                if once:
+                    quiet.add(pair)
+        if not is_ping:
+            del known[r, b]
+            for kept in (watches, quiet):
+                for pair in [x for x in kept if x[0] == r and b in x[1:]]:
+                    kept.pop(pair) if kept is watches else kept.discard(pair)
+            continue
+        known[r, b] = p
+        hist.setdefault((r, b), []).append(p)
+        for (r2, o), q in known.items():
+            if r2 != r or o == b:
+                continue
+            pair = (r, *sorted((b, o)))
+            if not haversine(p["lat"], p["lon"], q["lat"], q["lon"]) < 200:
+                watches.pop(pair, None)
+                quiet.discard(pair)
+            elif pair not in watches and pair not in quiet:
+                watches[pair] = t + HOLD
+    fired += [(*pair, dl) for pair, dl in watches.items()]
+    out = []
+    for r, lo, hi, dl in fired:
+        if dl <= horizon:
+            a, c = ([x for x in hist[r, b] if x["t"] <= dl][-1] for b in (lo, hi))
+            out.append((f"{lo}:{hi}", dl, a["ts"], round(haversine(a["lat"], a["lon"], c["lat"], c["lon"]), 3)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed,once,split,expire", [(1, False, True, 120_000), (2, False, False, 120_000), (3, True, True, 200_000),
+                                                    (4, True, False, 150_000), (5, False, True, 300_000), (6, False, True, 10**9)])
+def test_expiring_positions_match_bruteforce(spark, seed, once, split, expire):
+    rnd = random.Random(seed)
+    pings = random_pings(rnd, 130)
+    for p in pings:
+        if rnd.random() < 0.85:
+            p["lat"], p["lon"] = SPOTS[rnd.randrange(2)]
+    df = arrival_frame(spark, pings)
+    want = simulate_expiring(pings, expire, once)
+    got = bus_bunching(df, once_per_episode=once, split_episodes=split, expire_ms=expire).collect()
+    assert sorted((r.entityId, r.t_ms, r.sourceTimestamp, round(r.distance, 3)) for r in got) == want and len(want) > 0
+    assert (want == simulate(pings, once)) == (expire == 10**9)
+
+
+def test_expiry_at_the_deadline_and_at_a_ping(spark):
+    """Both buses report until 200 s: the position of 200 s expires at the deadline
+    (300 s) after 100 s and cancels; a limit one ms longer lets the alert through."""
+    at = lambda t, b: {"route": "R1", "bus": b, "lat": SPOTS[0][0], "lon": SPOTS[0][1], "t": EPOCH_MS + t}
+    pings = [at(t, b) for t in (0, 90_000, 150_000, 200_000) for b in "AB"] + [at(900_000, "Z")]
+    for i, p in enumerate(pings):
+        p["seq"] = i + 1
+    df = arrival_frame(spark, pings)
+    assert bus_bunching(df, expire_ms=100_000).count() == 0 == len(simulate_expiring(pings, 100_000))
+    assert [r.t_ms for r in bus_bunching(df, expire_ms=100_001).collect()] == [EPOCH_MS + 300_000]
+    assert bus_bunching(df, expire_ms=90_000).count() == 0  # expires at the very instant of the next ping
+    for wrong in ({"expire_ms": 0}, {"expire_ms": 5, "order": "arrival"}):
+        with pytest.raises(ValueError):
+            bus_bunching(df, **wrong)
