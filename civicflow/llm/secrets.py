@@ -22,6 +22,9 @@ at the start of its lines and in lines of less than 20 symbols.
 Spans are (kind, start, end) in code points, end exclusive; a text's spans are
 ordered by start, then by kind as listed in ``KINDS``.
 
+Of a run every alignment is decoded once, however many beginnings of keys it
+has, so a text costs about its length.
+
 Defined results: a null text is an empty one, without spans; repeated rows
 give repeated results; other columns are kept and an input column with the
 name of a result column is replaced.
@@ -33,7 +36,8 @@ import base64
 import binascii
 import json
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -149,11 +153,11 @@ def begins_der_key(data: bytes) -> bool:
 SSH_MAGIC = b"openssh-key-v1\0"
 
 
-def ssh_fields(data: bytes) -> int | None:
-    """Where the cipher, KDF and KDF options of an OpenSSH key end."""
-    if not data.startswith(SSH_MAGIC):
+def ssh_fields(data: bytes, start: int = 0) -> int | None:
+    """Where the cipher, KDF and KDF options of the OpenSSH key at ``start`` end."""
+    if not data.startswith(SSH_MAGIC, start):
         return None
-    at = len(SSH_MAGIC)
+    at = start + len(SSH_MAGIC)
     for _ in range(3):
         if at + 4 > len(data):
             return None
@@ -165,9 +169,9 @@ def is_ssh_key(data: bytes) -> bool:
     return ssh_fields(data) is not None
 
 
-def ssh_size(data: bytes) -> int | None:
-    """Bytes of the OpenSSH key at the start of ``data``; None if its private part is empty or cut off."""
-    at = ssh_fields(data)
+def ssh_size(data: bytes, start: int = 0) -> int | None:
+    """Bytes of the OpenSSH key at ``start``; None if its private part is empty or cut off."""
+    at = ssh_fields(data, start)
     fields = 1 + int.from_bytes(data[at:at + 4], "big")  # public keys and the private part
     at += 4
     for _ in range(fields):
@@ -175,7 +179,7 @@ def ssh_size(data: bytes) -> int | None:
             return None
         size = int.from_bytes(data[at:at + 4], "big")
         at += 4 + size
-    return at if size and at <= len(data) else None
+    return at - start if size and at <= len(data) else None
 
 
 def is_signed_token(header: str, payload: str) -> bool:
@@ -215,6 +219,25 @@ class Lines:
             else:
                 start += 1
         self.symbols = "".join(parts)
+        self.read, self.armour = {}, {}
+
+    def decoded(self, first: int, decode) -> tuple[bytes, int]:
+        """What the symbols decode to, each alignment once, and where those after ``first`` begin in it."""
+        symbols, size = (4, 3) if decode is unbase64 else (2, 1)
+        lead = first % symbols
+        if lead not in self.read:
+            self.read[lead] = decode(whole_symbols(self.symbols[lead:]))
+        return self.read[lead], (first - lead) // symbols * size
+
+    def armour_end(self, first: int) -> int | None:
+        """Bytes from the first symbol after ``first`` to the end of the last armoured key in what they decode to."""
+        data, start = self.decoded(first, unbase64)
+        lead = first % 4
+        if lead not in self.armour:
+            self.armour[lead] = last_keys(data.decode("latin-1")) if b"PRIVATE KEY-----" in data else ([], [])
+        begins, lasts = self.armour[lead]
+        i = bisect_left(begins, start)
+        return lasts[i] - start if i < len(begins) and lasts[i] is not None else None
 
     def offset(self, place: int) -> int | None:
         """Number of symbols before ``place``, the start of a line's part."""
@@ -246,16 +269,17 @@ def key_in_lines(lines: Lines, first: int, decode, bytes_to_symbols, least: int)
     size = der_size(decode(symbols[first:first + 16])[:6])
     if size is not None:
         n = bytes_to_symbols(size)
-        if n >= least and (end := lines.end(first + n, exact=least > 0)) and is_der_key(decode(symbols[first:first + n])):
-            return "der", end
+        if n >= least and (end := lines.end(first + n, exact=least > 0)):
+            data, start = lines.decoded(first, decode)
+            if is_der_key(memoryview(data)[start:start + size]):
+                return "der", end
         return None
     if not decode(symbols[first:first + 32]).startswith(SSH_MAGIC):
         return None
-    rest = symbols[first:]
-    data = decode(whole_symbols(rest))
-    if not is_ssh_key(data):
+    data, start = lines.decoded(first, decode)
+    if ssh_fields(data, start) is None:
         return None
-    size = ssh_size(data)
+    size = ssh_size(data, start)
     return "ssh", lines.end(lines.whole(first) if size is None else first + bytes_to_symbols(size), False)
 
 
@@ -266,28 +290,44 @@ def boundary(text: str, at: int, run: re.Pattern) -> bool:
 
 def armoured(text: str) -> list[tuple[int, int]]:
     """Armoured keys; without its END line one goes as far as its base64 lines."""
-    out = []
-    for m in BEGIN.finditer(text):
-        stop, closing = text.find("-----", m.end()), f"-----END {m[1]}-----"
-        if stop >= 0 and text.startswith(closing, stop):
-            within = text[m.end():stop]
-            body = re.sub(r"(?m)^[A-Za-z-]+:.*$", "", within)  # headers of an encrypted key
-            data = unbase64(re.sub(r"\s|\\n|\\r", "", body))
-            if key_kind(data) or "ENCRYPTED" in within and len(data) >= 32:
-                out.append((m.start(), stop + len(closing)))
-            continue
-        headers = ARMOUR_HEADERS.match(text, m.end())
-        if not RUN.match(text, headers.end()):
-            continue
-        lines = Lines(text, headers.end(), LINES, RUN)
-        if found := key_in_lines(lines, 0, unbase64, coded_length, 0):
-            out.append((m.start(), found[1]))
-            continue
-        n = lines.whole(0)
-        data = unbase64(whole_symbols(lines.symbols[:n]))
-        if begins_der_key(data) or data.startswith(SSH_MAGIC) or "ENCRYPTED" in headers[0] and len(data) >= 32:
-            out.append((m.start(), lines.end(n, False)))
-    return out
+    return [(m.start(), end) for m in BEGIN.finditer(text) if (end := armoured_end(text, m)) is not None]
+
+
+def armoured_end(text: str, begin: re.Match) -> int | None:
+    """End of the armoured key with this BEGIN line, None if it holds none."""
+    stop, closing = text.find("-----", begin.end()), f"-----END {begin[1]}-----"
+    if stop >= 0 and text.startswith(closing, stop):
+        within = text[begin.end():stop]
+        body = re.sub(r"(?m)^[A-Za-z-]+:.*$", "", within)  # headers of an encrypted key
+        data = unbase64(re.sub(r"\s|\\n|\\r", "", body))
+        return stop + len(closing) if key_kind(data) or "ENCRYPTED" in within and len(data) >= 32 else None
+    headers = ARMOUR_HEADERS.match(text, begin.end())
+    if not RUN.match(text, headers.end()):
+        return None
+    lines = Lines(text, headers.end(), LINES, RUN)
+    if found := key_in_lines(lines, 0, unbase64, coded_length, 0):
+        return found[1]
+    n = lines.whole(0)
+    data = unbase64(whole_symbols(lines.symbols[:n]))
+    if begins_der_key(data) or data.startswith(SSH_MAGIC) or "ENCRYPTED" in headers[0] and len(data) >= 32:
+        return lines.end(n, False)
+    return None
+
+
+def last_keys(text: str) -> tuple[list[int], list[int | None]]:
+    """Every BEGIN line of ``text`` and, for each, the end of the last of the keys
+    that ``armoured`` finds from there on."""
+    begins, found, at = [], [], 0
+    while m := BEGIN.search(text, at):
+        begins.append(m.start())
+        found.append((m.end(), armoured_end(text, m)))
+        at = m.start() + 1
+    lasts = [None] * len(begins)
+    for i in reversed(range(len(begins))):
+        behind = bisect_left(begins, found[i][0])
+        later = lasts[behind] if behind < len(begins) else None
+        lasts[i] = found[i][1] if later is None else later
+    return begins, lasts
 
 
 def coded_length(size: int) -> int:
@@ -310,7 +350,8 @@ def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
         out += [("pem", *s) for s in armoured(text)]
     if "." in text:
         out += [("jwt", m.start(), m.end(3)) for m in JWT.finditer(text) if is_signed_token(m[1], m[2])]
-    covered = [(a, b) for _, a, b in out]
+    covered = sorted((a, b) for _, a, b in out)
+    starts, furthest = [a for a, _ in covered], list(accumulate((b for _, b in covered), max))
     for begins, pattern, run, decode, length, least in (
             (BEGINS, LINES, RUN, unbase64, coded_length, LEAST_CODED), (HEX_BEGINS, HEX_LINES, HEX_RUN, unhex, lambda n: 2 * n, LEAST_HEX)):
         lines, at = None, 0
@@ -320,7 +361,8 @@ def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
                 at = start + 1
                 continue
             at = run.match(text, start).end()
-            if not boundary(text, start, run) or any(a <= start and at <= b for a, b in covered):
+            before = bisect_right(starts, start)
+            if not boundary(text, start, run) or before and at <= furthest[before - 1]:
                 continue
             fresh = lines is None or lines.offset(start) is None
             if fresh:
@@ -335,9 +377,8 @@ def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
                     at = max(at, found[1])
                     continue
             if begins is BEGINS and (fresh or m[0] == "LS0t"):
-                data = unbase64(whole_symbols(lines.symbols[first:]))
-                if b"PRIVATE KEY-----" in data and (inside := armoured(data.decode("latin-1"))):
-                    out.append(("pem", start, end := lines.end(first + coded_length(inside[-1][1]), False)))
+                if (size := lines.armour_end(first)) is not None:
+                    out.append(("pem", start, end := lines.end(first + coded_length(size), False)))
                     at = max(at, end)
     return out
 

@@ -143,3 +143,28 @@ def test_query_against_brute_force(spark, sf):
         assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
         assert (r["n_assign"], r["n_access"], r["n_hex"]) == tuple(sum(s[0] == k for s in want) for k in secrets.BASE_KINDS)
         assert r["spans"] == joined
+
+
+def test_long_runs_of_beginnings_are_decoded_once(monkeypatch):
+    """Work in the length of the text: bytes decoded stay below a multiple of it."""
+    decoded, decode = [0], secrets.unbase64
+
+    def counting(run):
+        decoded[0] += len(run)
+        return decode(run)
+
+    monkeypatch.setattr(secrets, "unbase64", counting)
+    for line in ("LS0t" + "Ab0/" * 15, "b3BlbnNzaC1rZXktdjEA" + "/" * 40, "MIIC" + "Ab0/" * 15, b64(b"-----BEGIN PRIVATE KEY-----abcdefgh"), PEM.splitlines()[0]):
+        text = "\n".join([line] * 3000)
+        decoded[0] = 0
+        secrets.find_spans(text)
+        assert decoded[0] < 12 * len(text)
+
+
+def test_armour_behind_many_beginnings_is_found():
+    """The last key of a coded run ends the span, whichever line it begins at."""
+    lines = [b64(b"-----BEGIN PRIVATE KEY-----no key in it.")] * 40 + re.findall(".{1,64}", b64(PEM.encode()))
+    text = "\n".join(lines)
+    spans = [s for s in secrets.confirmed_spans(text) if s[0] == "pem"]
+    assert spans and spans[0][1] <= text.index(lines[40]) and spans[-1][2] >= len(text) - 4
+    assert secrets.last_keys("x " + PEM + PEM) == ([2, 2 + len(PEM)], [2 + 2 * len(PEM)] * 2)
