@@ -23,8 +23,8 @@ frequent source adds blocks, not larger ones.
 Defined results: a null source is a source; a text without words, or null,
 counts one token; documents with equal id and equal text (repeated rows) go
 together, so a budget may be passed by their tokens as by any last document;
-an empty table gives an empty mixture; input columns with the name of a result
-column are replaced.
+a target out of reach is an error; an empty table gives an empty mixture; input
+columns with the name of a result column are replaced.
 """
 
 from __future__ import annotations
@@ -39,6 +39,8 @@ from civicflow.session import materialize
 
 BLOCK_TOKENS = 1 << 20
 STEPS = 60
+#: Rounding of targets at an end of the range of exponents.
+TOLERANCE = 1e-9
 
 
 def token_count(text: Column) -> Column:
@@ -68,22 +70,30 @@ def passes_of(tokens: list[int], weights: list[float], budget: float | None) ->
 def bisect_exponent(tokens: list[int], budget: float | None = None, target_entropy: float | None = None, max_passes: float | None = None,
                     counts: list[int] | None = None) -> float:
     """The exponent in [0, 1] that meets the target: entropy falls as it grows,
-    and so does the number of passes over the smallest source."""
+    and so does the number of passes over the smallest source.
+
+    Both ends are tested; a target that no exponent meets is an error: an
+    entropy below that of the shares or above that of equal weights, or a limit
+    of passes that the budget exceeds even in proportion to the shares."""
     if (target_entropy is None) == (max_passes is None):
         raise ValueError("give a target entropy or a limit of passes")
 
-    def too_flat(exponent: float) -> bool:
+    def reached(exponent: float) -> float:
         weights = temperature_weights(tokens, exponent, counts)
-        if target_entropy is not None:
-            return entropy(weights, counts) > target_entropy
-        return max(passes_of(tokens, weights, budget)) > max_passes
-
+        return entropy(weights, counts) if target_entropy is not None else max(passes_of(tokens, weights, budget))
+
+    target = max_passes if target_entropy is None else target_entropy
+    slack = TOLERANCE * max(1.0, abs(target))
+    flat, proportional = reached(0.0), reached(1.0)
+    if proportional > target + slack or target_entropy is not None and flat < target - slack:
+        what = "passes" if target_entropy is None else "entropy"
+        raise ValueError(f"{what} of {target:g} can't be met: {proportional:g} in proportion to the shares, {flat:g} with equal weights")
     low, high = 0.0, 1.0
-    if not too_flat(low):
+    if flat <= target:
         return low
     for _ in range(STEPS):
         middle = (low + high) / 2
-        low, high = (middle, high) if too_flat(middle) else (low, middle)
+        low, high = (middle, high) if reached(middle) > target else (low, middle)
     return high
 
 
@@ -104,7 +114,8 @@ def mix(documents: DataFrame, budget_ratio: float | None = None, target_entropy:
     sized = documents.select(
         F.struct(*names).alias("row"), token_count(F.col(text)).alias("tokens"), F.col(source).cast("string").alias("own"),
         F.xxhash64(F.lit(seed + 1), F.col(doc_id), F.col(text)).alias("_doc"))
-    totals = materialize(sized.groupBy(F.col("own").alias("src")).agg(F.sum("tokens").alias("n")), "mix-totals")  # one row per source
+    narrow = materialize(sized.select("own", "_doc", "tokens"), "mix-sizes")  # what planning needs; the texts are read once more at the end
+    totals = materialize(narrow.groupBy(F.col("own").alias("src")).agg(F.sum("tokens").alias("n")), "mix-totals")  # one row per source
     sizes = totals.groupBy("n").agg(F.count("*").alias("sources")).orderBy("n").collect()  # one row per token count
     if not sizes:
         return sized.select("row.*", "tokens", F.lit(0).alias("epoch"), F.lit(0.0).alias("mix_key"))
@@ -122,14 +133,14 @@ def mix(documents: DataFrame, budget_ratio: float | None = None, target_entropy:
         return joined.withColumn("_block", F.pmod(F.xxhash64(F.lit(seed), "_doc"), F.col("n_blocks"))).withColumn("_at", _uniform(seed, "src", "_block", F.col("whole")))
 
     # Blocks of the part pass: one row per block, then one per source.
-    by_block = located(sized).groupBy("src", "_block", "_at", "part_tokens").agg(F.sum("tokens").alias("n"))
+    by_block = located(narrow).groupBy("src", "_block", "_at", "part_tokens").agg(F.sum("tokens").alias("n"))
     in_order = W.partitionBy("src").orderBy("_at", "_block")
     run = by_block.withColumn("end", F.sum("n").over(in_order)).withColumn("start", F.col("end") - F.col("n"))
     edge = materialize(run.where((F.col("start") < F.col("part_tokens")) & (F.col("end") >= F.col("part_tokens"))).select(
         F.col("src").alias("e_src"), F.col("_at").alias("e_at"), F.col("_block").alias("e_block"), (F.col("part_tokens") - F.col("start")).alias("room")), "mix-edge")  # one row per source
     # Documents of the block that is cut.
     same = F.col("src").eqNullSafe(F.col("e_src")) & (F.col("_block") == F.col("e_block"))
-    inside = located(sized).join(edge, same).groupBy("src", "_doc", "room", "e_at").agg(F.sum("tokens").alias("n"))
+    inside = located(narrow).join(edge, same).groupBy("src", "_doc", "room", "e_at").agg(F.sum("tokens").alias("n"))
     by_hash = W.partitionBy("src").orderBy("_doc")
     cut = inside.withColumn("start", F.sum("n").over(by_hash) - F.col("n")).where(F.col("start") < F.col("room"))
     limits = cut.groupBy(F.col("src").alias("l_src"), F.col("e_at").alias("limit")).agg(F.max("_doc").alias("last"))

@@ -3,6 +3,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 
 from civicflow.llm import mixing
 
@@ -109,3 +110,70 @@ def test_many_sources_are_not_collected(spark, docs, monkeypatch):
     passes = mixing.passes_of(tokens, mixing.temperature_weights(tokens, mixing.bisect_exponent(tokens, sum(tokens), max_passes=1.5)), sum(tokens))
     for i, p in enumerate(passes):  # a source of one document: whole passes, and the part pass shows it if it is not empty
         assert abs(shown[f"host{i}" if i else None] - math.ceil(p - 1e-6)) <= (1 if abs(p - round(p)) < 1e-6 else 0)
+
+
+def test_targets_out_of_reach_are_errors(spark, docs):
+    tokens = [10_000, 3_000, 500, 20]
+    natural = mixing.entropy([t / sum(tokens) for t in tokens])
+    for wrong in ({"target_entropy": natural - 0.01}, {"target_entropy": math.log(4) + 0.01}, {"budget": 5 * sum(tokens), "max_passes": 4}, {"max_passes": 0.9}):
+        with pytest.raises(ValueError, match="can't be met"):
+            mixing.bisect_exponent(tokens, **wrong)
+    assert mixing.bisect_exponent(tokens, target_entropy=math.log(4)) < 1e-6
+    assert mixing.bisect_exponent(tokens, target_entropy=natural) > 1 - 1e-6
+    with pytest.raises(ValueError, match="can't be met"):
+        mixing.mix(docs(corpus()), budget_ratio=5, max_passes=4)
+
+
+def spark_hash(*values):
+    """xxhash64 over columns: each value is hashed with the hash before it as seed."""
+    import struct
+
+    h = 42
+    for v in values:
+        if v is None:
+            continue
+        data = v.encode() if isinstance(v, str) else struct.pack("<i" if isinstance(v, Int) else "<q", v)
+        h = xxhash.xxh64_intdigest(data, h)
+    return h - (h >> 63 << 64)
+
+
+class Int(int):
+    """A value of Spark's type int."""
+
+
+def brute_mix(rows, block_tokens, seed, budget_ratio=None, target_entropy=None, max_passes=None):
+    """All passes of all sources, a document at a time."""
+    sources = defaultdict(list)
+    for r in rows:
+        sources[r[3]].append((spark_hash(Int(seed + 1), r[0], r[1]), words(r[1]), r))
+    total = {s: sum(d[1] for d in own) for s, own in sources.items()}
+    tokens = list(total.values())
+    budget = None if budget_ratio is None else budget_ratio * sum(tokens)
+    exponent = mixing.bisect_exponent(tokens, budget, target_entropy, max_passes)
+    passes = dict(zip(total, mixing.passes_of(tokens, mixing.temperature_weights(tokens, exponent), budget)))
+    uniform = lambda *v: (spark_hash(Int(seed), *v) & ((1 << 52) - 1)) / float(1 << 52)
+    out = Counter()
+    for source, own in sources.items():
+        n_blocks = -(-total[source] // block_tokens)
+        whole = int(passes[source] + 1e-9)
+        room = max(0.0, passes[source] - whole) * total[source]
+        placed = [(uniform(source, spark_hash(Int(seed), h) % n_blocks, Int(whole)), spark_hash(Int(seed), h) % n_blocks, h, n, r) for h, n, r in own]
+        shown, before = [], 0
+        for at, block, h in sorted({p[:3] for p in placed}):  # the part pass: documents in order until the room is used up
+            same = [p for p in placed if p[:3] == (at, block, h)]
+            if before < room:
+                shown += same
+            before += sum(p[3] for p in same)
+        for epoch in range(whole + 1):
+            for _, block, _, _, r in placed if epoch < whole else shown:
+                key = min((epoch + uniform(source, block, Int(epoch))) / passes[source], 1 - 2.0**-52)
+                out[r[0], r[1], r[3], epoch, round(key, 9)] += 1
+    return out
+
+
+@pytest.mark.parametrize("more", [{"budget_ratio": 1.0, "max_passes": 4.0}, {"max_passes": 2.5}, {"budget_ratio": 0.5, "target_entropy": 1.2}])
+@pytest.mark.parametrize("block_tokens", [40, 700, 1 << 20])
+def test_whole_mixture_against_brute_force(spark, docs, more, block_tokens):
+    rows = corpus()
+    out = mixing.mix(docs(rows), block_tokens=block_tokens, seed=5, **more).collect()
+    assert Counter((r["doc_id"], r["text"], r["source"], r["epoch"], round(r["mix_key"], 9)) for r in out) == brute_mix(rows, block_tokens, 5, **more)
