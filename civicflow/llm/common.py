@@ -60,13 +60,33 @@ class BoundedMemo(dict):
         return value
 
 
+def shared_uri(spark: SparkSession, folder: str) -> str:
+    """``folder`` with the scheme that Spark's own readers and writers take for it
+    (without one: that of ``fs.defaultFS``), so that tasks open the same file
+    system.  One that they can't open is an error here, before any job."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    store_uri(uri)
+    return uri
+
+
+#: Schemes of Hadoop and those under which the same store is opened in tasks.
+STORES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
+
+
+def store_uri(uri: str) -> str:
+    scheme, colon, rest = uri.partition(":")
+    if not colon or "/" in scheme:
+        raise ValueError(f"{uri} has no scheme: give file:, hdfs:, s3a: or the like")
+    if scheme not in STORES:
+        raise ValueError(f"files under {scheme}: can't be opened in tasks; known are {', '.join(STORES)}")
+    return f"{STORES[scheme]}:{rest if rest.startswith('//') else '//' + rest}"
+
+
 def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
-    """The file system and inner path of a shared folder (file:, hdfs:, s3:, ...)."""
-    if "://" not in uri and not uri.startswith("file:"):
-        return pafs.LocalFileSystem(), uri
-    if uri.startswith("file:/") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
-    return pafs.FileSystem.from_uri(uri)
+    """The file system and inner path of a shared folder (file:, hdfs:, s3a:, ...).
+    Without a scheme that is an error: it would be the disk of one machine."""
+    return pafs.FileSystem.from_uri(store_uri(uri))
 
 
 def write_file(uri: str, data_parts) -> int:

@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from civicflow.llm.bpe import byte_of_char, few_at_once
-from civicflow.llm.common import BoundedMemo, per_process, read_range, write_file
+from civicflow.llm.common import BoundedMemo, per_process, read_range, shared_uri, write_file
 from civicflow.session import scratch_path
 
 #: Fixed values of the word tokenizer's format: what a pre-token is, and the
@@ -325,6 +325,7 @@ def write(documents: DataFrame, path: str, folder: str, end_id: int = 1, file_id
         n_symbols = max(Tokenizer.from_str(f.read()).get_vocab_size(), end_id + 1)
     narrow = n_symbols <= 65_536
     kind = "<u2" if narrow else "<u4"
+    folder = shared_uri(spark, folder)
     staged = f"{folder}/ids"
     encode_words(documents, path, end_id, narrow).write.option("compression", "zstd").parquet(staged)
     tokens = spark.read.parquet(staged)

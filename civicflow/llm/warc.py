@@ -17,7 +17,8 @@ An archive is streamed through a task with one record in memory at a time.
 File names have the task attempt in them and count only once a written
 table names them, so repeated or lost attempts change nothing.
 
-Defined results: a null payload is an empty one; a null address gives a record
+Defined results: an archive that is cut, also within the checksum at its end, is
+an error; a null payload is an empty one; a null address gives a record
 without a target; control characters and spaces in an address are
 percent-encoded; a null id is written as an empty one and comes after all
 others; among rows with equal id and payload the first written is the
@@ -37,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicflow.llm.common import open_store, write_file
+from civicflow.llm.common import open_store, shared_uri, write_file
 from civicflow.session import scratch_path
 
 ARCHIVE_BYTES = 64 << 20
@@ -120,16 +121,19 @@ def records_of(chunks):
 
 
 def inflate(stream, size: int = 1 << 20):
-    """Inflated pieces of a gzip file, of one member or several."""
-    d = zlib.decompressobj(31)
+    """Inflated pieces of a gzip file, of one member or several.  A member that
+    ends before its checksum and length is an error: the file was cut."""
+    d, within = zlib.decompressobj(31), False
     while raw := stream.read(size):
         while raw:
-            piece = d.decompress(raw)
+            piece, within = d.decompress(raw), True
             if piece:
                 yield piece
             raw = d.unused_data if d.eof else b""
             if d.eof:
-                d = zlib.decompressobj(31)
+                d, within = zlib.decompressobj(31), False
+    if within:
+        raise ValueError("the archive ends within a gzip member")
 
 
 def batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -142,6 +146,7 @@ def write_monolithic(pages: DataFrame, folder: str, page_id: str = "page_id", ur
                      archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write ``pages`` as responses into archives of one gzip stream each; the
     table of written records."""
+    folder = shared_uri(pages.sparkSession, folder)
 
     def write(batches):
         task, n_files, n_rows = TaskContext.get(), 0, 0
@@ -185,6 +190,7 @@ def normalise(records: DataFrame, folder: str) -> DataFrame:
     """Rewrite each archive named in ``records`` (file, row, refers_id,
     refers_row) with a member per record; the index of all new archives, which
     stands beside each of them too.  Rows that refer become revisits."""
+    folder = shared_uri(records.sparkSession, folder)
 
     def rewrite(table: pa.Table) -> pa.Table:
         source = table.column("file")[0].as_py()

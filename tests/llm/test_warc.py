@@ -95,3 +95,35 @@ def test_query_against_brute_force(spark, sf):
     rows = [(r["page_id"], r["url"], r["html"]) for r in spark.read.parquet(f"{sf}/pages.parquet").collect()]
     got = QUERIES["op5_warc"](spark, sf).collect()
     assert sorted(str(tuple(r)) for r in got) == expected(rows)
+
+
+def test_cut_archives_are_errors():
+    """A stream without its checksum, without its end or cut between two of its
+    members is found; whole members end anywhere."""
+    record = warc.response_bytes(1, 1, "u", b"x" * 500)
+    one = gzip.compress(record * 3)
+    both = one + gzip.compress(record)
+    count = lambda data, size=64: len(list(warc.records_of(warc.inflate(io.BytesIO(data), size))))
+    assert [count(one), count(both), count(both, 1), count(b"")] == [3, 4, 4, 0]
+    for cut in [1, 4, 8, 9, 12, len(one) - 5]:
+        for data in (one[:-cut], one + one[:-cut]):
+            with pytest.raises(ValueError, match="ends within"):
+                count(data)
+
+
+def test_folders_get_the_scheme_spark_takes_for_them(spark, tmp_path):
+    from civicflow.llm import common
+
+    assert common.shared_uri(spark, str(tmp_path)) == f"file:{tmp_path}" == common.shared_uri(spark, f"file://{tmp_path}")
+    assert common.store_uri("s3a://b/x") == "s3://b/x" and common.store_uri("file:/x") == "file:///x"
+    for wrong in (str(tmp_path), "x/y:z", "dbfs:/x", "wasbs://c@a/x"):
+        with pytest.raises(ValueError):
+            common.open_store(wrong)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.defaultFS", "viewfs:///")
+    try:
+        with pytest.raises(Exception):  # no such store here: refused on the driver, nothing goes to the local disk
+            warc.write_monolithic(spark.createDataFrame(ROWS, SCHEMA), str(tmp_path / "archives"))
+    finally:
+        conf.set("fs.defaultFS", "file:///")
+    assert not (tmp_path / "archives").exists()
