@@ -102,7 +102,7 @@ class BusCells(StatefulProcessor):
         if self.expire_ms is not None and self.last.exists():
             dues.append(self.last.get()[2] + self.expire_ms)
         # Timers below the watermark fire, and what is due at the watermark must
-        # leave now: with the next one it would be late for the operators behind.
+        # leave now: with the next one it may be late for the operators behind.
         due = min(dues) - 1 if dues else None
         before = self.timer.get()[0] if self.timer.exists() else None
         if due != before:

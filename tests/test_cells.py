@@ -118,7 +118,7 @@ def test_expiry_timers_match_bruteforce_and_batch(spark, tmp_path, seed, once, e
 
 def test_rows_at_the_very_watermark_are_not_late(spark, tmp_path):
     """A ping at exactly the watermark of its micro-batch reaches the operators
-    behind with that batch; with the next one it would be dropped as late.  The
+    behind and counts there (holds for timers one ms later as well).  The
     ping of B apart at 290 s is the watermark after Z's of 300 s."""
     at = lambda t, b, spot: {"route": "R1" if b != "Z" else "R9", "bus": b, "lat": SPOTS[spot][0], "lon": SPOTS[spot][1], "t": EPOCH_MS + t}
     pings = [at(0, "A", 0), at(0, "B", 1), at(290_000, "B", 4), at(300_000, "Z", 0), at(302_000, "Z", 0), at(304_000, "Z", 0),
