@@ -60,3 +60,26 @@ def test_query_against_brute_force(spark, sf):
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     got = QUERIES["op4_topk"](spark, sf).collect()
     assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == brute(rows, 50, 5)
+
+
+def test_only_the_places_of_tiles_are_shuffled_and_lists_follow_the_queries(spark):
+    """Ten times the candidates: no vector in a unit, and as many list rows a query."""
+    a_query = {}
+    for n in (400, 4000):
+        rows = [(i, [float((i * p) % 101) / 101 for p in (3, 7, 11, 13)], 1) for i in range(1, n + 1)]
+        df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+        lists = topk.shard_lists(df, query_every=100, tile_rows=8, query_tiles=2, shard_tiles=2, max_shards=5)
+        assert lists.agg({"shard": "max"}).first()[0] == 4
+        a_query[n] = lists.count() / (n // 100)
+        assert run(df, query_every=100, tile_rows=8, query_tiles=2, shard_tiles=2, max_shards=5, fan_in=2) == brute(rows, 100, 5)
+    assert a_query[400] == a_query[4000] == 25
+    manifest = spark.createDataFrame([], topk.TILE_SCHEMA)
+    assert "binary" not in topk.units(manifest).schema.simpleString()
+
+
+def test_groups_take_the_bytes_of_a_task(spark):
+    one = [(dim, kind, 0, s, "f", 0, 0, 1024, False) for dim in (64, 1 << 16) for kind in (True, False) for s in range(300)]
+    found = topk.units(spark.createDataFrame(one, topk.TILE_SCHEMA)).selectExpr("dim", "grp", "shard", "size(q) q", "size(c) c").collect()
+    assert max(r["q"] for r in found if r["dim"] == 64) == 128 and max(r["q"] for r in found if r["dim"] > 64) == 1
+    assert {(r["grp"], r["shard"]) for r in found if r["dim"] == 64} == {(g, s) for g in range(3) for s in range(19)}
+    assert sum(r["q"] * r["c"] for r in found if r["dim"] == 64) == 300 * 300
