@@ -29,7 +29,10 @@ Plan (no route-wide pairing, no unbounded group):
    starts of an island are a chain of deadlines, split over blocks of time
    (``chains``): a hot route is spread over its pairs, a hot pair over its
    episodes and an endless episode over its blocks;
-5. *as-of lookup* of both buses' positions at each deadline.
+5. *positions*: a watch that fires has no far observation up to its deadline,
+   so the pair's last near observation until then carries both positions.  It is
+   at most ``hold`` old, hence found by (pair, bucket of ``hold``), and the pings
+   are not searched again.
 
 ``order="arrival"`` follows the reference to the letter: rows are applied in
 arrival order, and a watch fires at the arrival whose event time lets the
@@ -37,7 +40,8 @@ watermark (greatest event time so far - delay - 1) reach its deadline.  Until
 and including that row a far ping cancels, later near pings start the next
 watch, and the alert carries the positions as of that row.  The steps above run
 on the axis of arrival numbers then; the row that a deadline waits for is
-looked up in ``arrival``.  A watch whose deadline the watermark has passed
+looked up in ``arrival``, and as it may be any number of rows later, positions are
+looked up in the segments.  A watch whose deadline the watermark has passed
 already when it starts (a ping later than hold and delay) fires with its own row.
 
 ``expire_ms`` (event time) forgets a bus so long after its last ping: its segment
@@ -211,7 +215,8 @@ def near_observations(
     neighbourhood on every time level in use; the other buses' segments are
     indexed in their cell and in every bucket of their level they overlap.  Exact: the grid edge is twice the chord
     bound of ``radius`` (see ``_probe_cells``).  The next observation of the
-    pair is the earlier of the two buses' next pings (segment ends).
+    pair is the earlier of the two buses' next pings (segment ends).  Rows carry
+    the positions of both buses, and when that of ``lo`` was reported (``lo_t``).
     """
     cell = 2 * chord_cell_size(radius_m)
     levels = used_levels(seg, max_t, bucket_ms)
@@ -228,6 +233,7 @@ def near_observations(
     )
     j = j.filter(_covers("o_", "t_ms", "seq"))
     own_first = (F.col("e_t") < F.col("o_e_t")) | ((F.col("e_t") == F.col("o_e_t")) & (F.col("e_seq") < F.col("o_e_seq")))
+    own_is_lo = F.col("bus_id") < F.col("o_bus")
     return (
         j.withColumn("distance", haversine_m("lat", "lon", "o_lat", "o_lon"))
         .filter(F.col("distance") < F.lit(radius_m))
@@ -235,6 +241,9 @@ def near_observations(
             "route_id", *_pair_cols("bus_id", "o_bus"), "t_ms", "seq", "distance",
             F.when(own_first, F.col("e_t")).otherwise(F.col("o_e_t")).alias("next_t"),
             F.when(own_first, F.col("e_seq")).otherwise(F.col("o_e_seq")).alias("next_seq"),
+            *[F.when(own_is_lo, F.col(own)).otherwise(F.col(other)).alias(name) for name, own, other in (
+                ("lo_t", "t_ms", "o_s_t"), ("a_lat", "lat", "o_lat"), ("a_lon", "lon", "o_lon"),
+                ("b_lat", "o_lat", "lat"), ("b_lon", "o_lon", "lon"))],
         )
     )
 
@@ -372,9 +381,9 @@ def bunching_deadlines(
     split_episodes: bool = True,
     order: str = "event_time",
     expire_ms: int | None = None,
-) -> tuple[DataFrame, DataFrame, int, int]:
-    """(deadlines as (route_id, lo, hi, deadline, due), segments, last position,
-    width of the index buckets).  Positions are event times, or arrival numbers
+) -> tuple[DataFrame, DataFrame | None, DataFrame, int, int]:
+    """(deadlines as (route_id, lo, hi, deadline, due), near observations, segments,
+    last position, width of the index buckets).  Positions are event times, or arrival numbers
     with ``order="arrival"``."""
     if order not in ("event_time", "arrival"):
         raise ValueError(f"order is 'event_time' or 'arrival', not {order!r}")
@@ -384,28 +393,29 @@ def bunching_deadlines(
     max_t, max_seq = pings.agg(F.max("t_ms"), F.max("seq")).first()
     if max_t is None:
         empty = bus.sparkSession.createDataFrame([], SCAN_OUT)
-        return empty, segments(pings), 0, LOOKUP_BUCKET_MS
+        return empty, None, segments(pings), 0, LOOKUP_BUCKET_MS
     max_t = int(max_t)
     if order == "arrival":
         pings = pings.where(F.col("seq").isNotNull())
-    # Segments feed the grid join (both sides) and the as-of lookup: computed
+    # Segments feed the grid join (both sides) and the lookup of positions: computed
     # once and written under the shared checkpoint root.
     end = max_t if order == "event_time" else int(max_seq)
     ordered = pings if order == "event_time" else pings.withColumn("t_ms", F.col("seq"))
     seg = materialize(segments(ordered, hold_ms, expire_ms), "bunching-segments")
     bucket = LOOKUP_BUCKET_MS if order == "event_time" else arrival_bucket(seg)
-    near = near_observations(seg, radius_m, end, bucket)
+    # The near set feeds the tagging and the lookup of positions: written once.
+    observed = materialize(near_observations(seg, radius_m, end, bucket), "bunching-near")
+    near = observed.drop("lo_t", "a_lat", "a_lon", "b_lat", "b_lon")
     if not split_episodes and order == "event_time":
         near = near.withColumn("island_t", F.lit(0).cast("long")).withColumn("island_seq", F.lit(0).cast("long"))
         keys = ["route_id", "lo", "hi", "island_t", "island_seq"]
         sorted_rows = near.repartition(*keys).sortWithinPartitions(*keys, "t_ms", "seq")
         fired = sorted_rows.mapInPandas(_scan_factory(hold_ms, max_t - delay_ms - 1, once_per_episode), SCAN_OUT)
-        return fired, seg, end, bucket
-    # The near set feeds several branches of the tagging: written once.
+        return fired, observed, seg, end, bucket
     day = 24 * 3_600_000 if order == "event_time" else 4096 * bucket
-    near = with_islands(materialize(near, "bunching-near"), day)
+    near = with_islands(near, day)
     reach = hold_ms if order == "event_time" else None
-    return fired_watches(with_dues(near, pings, order, hold_ms, delay_ms, max_t), once_per_episode, reach), seg, end, bucket
+    return fired_watches(with_dues(near, pings, order, hold_ms, delay_ms, max_t), once_per_episode, reach), observed, seg, end, bucket
 
 
 def arrival_bucket(seg: DataFrame) -> int:
@@ -445,10 +455,11 @@ def bus_bunching(
     until the buses have been seen apart.  ``split_episodes`` spreads the
     episodes of a pair, and each episode, over tasks (costs a few shuffles of
     the near set, off = one scan per pair in event-time order)."""
-    fired, seg, end, bucket = bunching_deadlines(bus, radius_m, hold_ms, delay_ms, missing,
-                                                 once_per_episode=once_per_episode,
-                                                 split_episodes=split_episodes, order=order, expire_ms=expire_ms)
-    at = _as_of(seg, fired, end, bucket)
+    fired, near, seg, end, bucket = bunching_deadlines(bus, radius_m, hold_ms, delay_ms, missing,
+                                                       once_per_episode=once_per_episode,
+                                                       split_episodes=split_episodes, order=order, expire_ms=expire_ms)
+    by_near = near is not None and order == "event_time"
+    at = _last_near(near, seg, fired, hold_ms) if by_near else _as_of(seg, fired, end, bucket)
     dist = haversine_m("a_lat", "a_lon", "b_lat", "b_lon")
     desc = F.format_string(A.BUNCHING_TEMPLATE, F.col("lo"), F.col("hi"), F.col("route_id"), dist)
     return at.select(
@@ -460,6 +471,19 @@ def bus_bunching(
     )
 
 
+def _last_near(near: DataFrame, seg: DataFrame, fired: DataFrame, hold_ms: int) -> DataFrame:
+    """Positions of both buses when a watch fires: those of the pair's observation
+    that lasts beyond ``due``.  It is not before the watch began, ``hold_ms``
+    earlier, so it lies in the bucket of ``due`` or in the one before.  The report
+    of ``lo`` is the segment of that start that still lasts."""
+    own = floor_div(F.col("due"), hold_ms)
+    probe = fired.select("route_id", "lo", "hi", "deadline", "due", F.explode(F.array(own - 1, own)).alias("tb"))
+    held = near.select("route_id", "lo", "hi", floor_div(F.col("t_ms"), hold_ms).alias("tb"), "t_ms", "next_t", "lo_t", "a_lat", "a_lon", "b_lat", "b_lon")
+    hit = probe.join(held, ["route_id", "lo", "hi", "tb"]).where("t_ms <= due AND due < next_t").drop("tb", "t_ms", "next_t")
+    report = seg.select("route_id", F.col("bus_id").alias("lo"), F.col("s_t").alias("lo_t"), "e_t", F.col("timestamp").alias("a_timestamp"))
+    return hit.join(report, ["route_id", "lo", "lo_t"]).where("due < e_t").drop("lo_t", "e_t")
+
+
 def _as_of(seg: DataFrame, fired: DataFrame, max_t: int, bucket_ms: int = LOOKUP_BUCKET_MS) -> DataFrame:
     """Positions of both buses when a watch fires (latest ping up to ``due``):
     one bucketed interval join for both sides, folded back to one row."""
