@@ -1,7 +1,9 @@
 """Streaming forms: equal to the batch forms, and restartable from checkpoints."""
 
+import time
 import uuid
 
+import pytest
 from conftest import frame
 from pyspark.sql import functions as F
 
@@ -136,3 +138,22 @@ def test_throttled_subscriber_takes_one_slice_per_batch(spark, tmp_path):
         batches[name] = sum(q.numInputRows > 0 for q in query.recentProgress)
         assert spark.read.parquet(str(tmp_path / name)).count() == 40
     assert batches == {"fast": 1, "slow": 4}
+
+
+@pytest.mark.parametrize("sink", ["memory", "console"])
+def test_debug_sinks_with_the_production_trigger(spark, tmp_path, sink):
+    rows = [{"sec": i, "junction_id": "J", "zone": "Z", "vehicle_count": i, "signal_phase": "RED", "avg_wait_sec": 1.0} for i in range(3)]
+    df = frame(spark, rows, "junction_id string, zone string, vehicle_count int, signal_phase string, avg_wait_sec double")
+    run = _run_dir(tmp_path)
+    signals = jobs.typed(_stream_of(spark, df, "traffic_signals", run, slices=1), "traffic_signals")
+    query = write_stream(signals, sink, f"{run}/ck", trigger=jobs.PRODUCTION_TRIGGER, query_name=f"debug_{sink}")
+    try:
+        limit = time.monotonic() + 90
+        while not any(p.numInputRows for p in query.recentProgress) and time.monotonic() < limit:
+            time.sleep(0.2)
+        assert any(p.numInputRows for p in query.recentProgress)
+        assert query.isActive and query.exception() is None  # it waits for the next 30 seconds, and never ends by itself
+        if sink == "memory":
+            assert sorted(r.vehicle_count for r in spark.table("debug_memory").collect()) == [0, 1, 2]
+    finally:
+        query.stop()
