@@ -41,7 +41,7 @@ PRETOKEN = (
 PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
 #: Fragments kept by a worker process.
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 100_000
 #: Pre-tokens of more bytes are cut at their certain places too (in shorter
 #: ones the cuts would cost more than they save; the ids are the same).
 LONG_WORD = 48
