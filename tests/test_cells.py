@@ -128,3 +128,51 @@ def test_rows_at_the_very_watermark_are_not_late(spark, tmp_path):
     df = arrival_frame(spark, pings)
     got, _ = run_stream(spark, df, str(tmp_path / "w"), slices=5)
     assert got == [] == simulate(pings)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_blocks_of_a_cell_match_row_by_row(monkeypatch, seed):
+    """A cell's rows in blocks of any size: the observations of applying them one by one."""
+    rnd = random.Random(seed)
+    names = [f"b{i}" for i in range(6)]
+    rows = [(rnd.randrange(6), rnd.choice([cells.LEFT, cells.AROUND, cells.HOME, cells.HOME]), rnd.choice([0.0, 0.001, 0.0018]), 0.0) for _ in range(400)]
+
+    def run(step):
+        watch, out = cells.CellWatch(cells.Roster([]), {n: i for i, n in enumerate(names)}, set(), 150.0), []
+        for i in range(0, len(rows), step):
+            who, kind, lat, lon = (np.array(c) for c in zip(*rows[i:i + step]))
+            at = np.arange(i, i + len(who))
+            ts = np.array([str(j) for j in at], object)
+            for lo, hi, *arrays in watch.apply({"who": who, "kind": kind, "lat": lat, "lon": lon, "t": at, "seq": at}, ts):
+                assert len(arrays[0]) <= cells.PIECE
+                out += [(lo, hi, int(t), bool(near), ts, None if d != d else round(float(d), 6)) for t, _, near, ts, d in zip(*arrays)]
+        return sorted(out, key=lambda o: o[:3]), watch.near_pairs()
+
+    at, near, want = {}, set(), []
+    for j, (b, kind, lat, lon) in enumerate(rows):
+        at[b] = (kind, lat, lon, str(j))
+        for o in set(at) - {b}:
+            lo, hi = sorted((b, o))
+            d = haversine(at[b][1], at[b][2], at[o][1], at[o][2])
+            if at[lo][0] == cells.HOME and at[hi][0] != cells.LEFT and d < 150:
+                near.add((lo, hi))
+                want.append((names[lo], names[hi], j, True, at[lo][3], round(d, 6)))
+            elif (lo, hi) in near:
+                near.discard((lo, hi))
+                want.append((names[lo], names[hi], j, False, None, None))
+    want = sorted(want), {(names[a], names[b]) for a, b in near}
+    assert len(want[0]) > 200
+    for step in (1, 7, 400):
+        assert run(step) == want
+
+
+def test_a_dense_bus_travels_in_few_rows():
+    """Many pings of a bus in one cell are no row each, and no row holds all of them."""
+    import pyarrow as pa
+
+    n = 3 * cells.PINGS + 5
+    pings = pa.table([[28.4] * n, [77.0] * n, list(range(n)), list(range(n)), ["x"] * n], schema=cells.PINGS_OF_A_BUS)
+    frames = list(cells.BusCells(2 * chord_cell_size(200.0))._moves("R", "b", pings, np.arange(n), None, n))
+    assert max(len(f) for f in frames) * cells.PIECE <= 8 * cells.PINGS
+    sizes = [len(t) for f in frames for t in f["t"]]
+    assert max(sizes) <= cells.PIECE and sum(sizes) == 8 * n and len(sizes) <= 8 * (n // cells.PIECE + 4)
