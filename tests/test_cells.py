@@ -176,3 +176,69 @@ def test_a_dense_bus_travels_in_few_rows():
     assert max(len(f) for f in frames) * cells.PIECE <= 8 * cells.PINGS
     sizes = [len(t) for f in frames for t in f["t"]]
     assert max(sizes) <= cells.PIECE and sum(sizes) == 8 * n and len(sizes) <= 8 * (n // cells.PIECE + 4)
+
+
+class _State:
+    """The parts of a state handle that ``PairWatch`` uses, in memory."""
+
+    def __init__(self):
+        self.value, self.timers = None, set()
+        self.registerTimer, self.deleteTimer = self.timers.add, self.timers.remove
+
+    def getValueState(self, name, schema):
+        return self
+
+    exists = lambda self: self.value is not None
+    get = lambda self: self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+
+@pytest.mark.parametrize("seed,once", [(1, False), (2, True), (3, False), (4, True)])
+def test_watch_of_a_pair_matches_row_by_row(seed, once):
+    """From one change of a watch to the next: the alerts of applying each observation."""
+    import pandas as pd
+
+    rnd, hold = random.Random(seed), 50
+    rows, t = [], 0
+    for seq in range(600):
+        t += rnd.choice([0, 1, 3, 9, 30])
+        rows.append((t, seq, rnd.random() < 0.93, f"s{seq}", float(seq)))
+        if rnd.random() < 0.1:  # the owner before says apart for the same ping
+            rows.append((t, seq, not rows[-1][2], f"s{seq}", float(seq)))
+    want, deadline, quiet, seen, told, batch = [], None, False, None, None, 0
+    watch, state, got = cells.PairWatch(hold, once, ["lo", "hi", "deadline", "ts", "distance"]), _State(), []
+    watch.init(state)
+    while batch < len(rows):
+        size = rnd.choice([1, 40, 200])
+        while batch + size < len(rows) and rows[batch + size][1] == rows[batch + size - 1][1]:
+            size += 1
+        some, batch = rows[batch:batch + size], batch + size
+        wm = some[-1][0]
+        for t, seq, near, ts, distance in sorted(some, key=lambda r: (r[0], r[1], not r[2])):
+            if (t, seq) == told:
+                continue
+            told = (t, seq)
+            if deadline is not None and t > deadline:
+                want.append(("A", "B", deadline, *seen))
+                deadline, quiet = None, once
+            if not near:
+                deadline, quiet = None, False
+                continue
+            seen = (ts, distance)
+            if deadline is None and not quiet:
+                deadline = t + hold
+        if deadline is not None and deadline < wm:
+            want.append(("A", "B", deadline, *seen))
+            deadline, quiet = None, once
+        rnd.shuffle(some)
+        pieces = [some[i:i + 7] for i in range(0, len(some), 7)]
+        columns = pd.DataFrame([[list(c) for c in zip(*p)] for p in pieces], columns=["t", "seq", "near", "ts", "distance"])
+        found = cells.unpacked(iter([columns]), ["t", "seq", "near", "distance"])
+        got += list(watch._step(("A", "B"), found, wm).itertuples(index=False, name=None))
+        assert state.timers == ({deadline} if deadline is not None else set())
+    assert got == want and len(want) > 10
